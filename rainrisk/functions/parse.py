@@ -74,7 +74,7 @@ def pt_month_year_date(month_year, day) -> Column:
     dd = lenient_int(day)
     text = F.format_string("%04d-%02d-%02d", year, month, dd)
     ok = year.between(1, 9999) & dd.between(1, 31)
-    return F.when(ok, F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(ok, F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def year_in_text(c, pattern: str = r"/(\d{4})") -> Column:

@@ -106,20 +106,28 @@ def candidate_pairs(stations: DataFrame, municipalities: DataFrame) -> DataFrame
 
 
 def station_municipality_map(bronze: DataFrame, municipalities: DataFrame) -> DataFrame:
-    """One row per station code: municipio_inferido, latitude, longitude, tipo_match."""
+    """One row per station code: municipio_inferido, latitude, longitude, tipo_match.
+
+    Candidate pairs and a "no match" row per station (tier 4) go through one
+    aggregation by code; the struct minimum picks the lowest tier, then the
+    D2 tie-break, and combines map-side.
+    """
     stations = distinct_stations(bronze)
-    pairs = candidate_pairs(stations, municipalities)
-    # lowest tier, then the tie-break of D2; a struct min is a partial aggregate
-    best = (pairs.groupBy("codigo_posto").agg(F.min(F.struct(
-        F.col("tier"), (-F.length("municipio_limpo")).alias("neg_len"),
-        F.col("municipio"), F.col("codigo_ibge"),
-        F.col("latitude"), F.col("longitude"))).alias("b")))
-    codes = stations.select("codigo_posto").distinct()
-    tier_name = F.coalesce(
-        F.try_element_at(F.create_map(*[x for k, v in TIER_NAMES.items()
-                                        for x in (F.lit(k), F.lit(v))]), F.col("b.tier")),
-        F.lit(TIER_NONE))
-    return codes.join(best, "codigo_posto", "left").select(
+    pairs = candidate_pairs(stations, municipalities).select(
+        "codigo_posto", "tier", (-F.length("municipio_limpo")).alias("neg_len"),
+        "municipio", "codigo_ibge", "latitude", "longitude")
+    none = stations.select(
+        "codigo_posto", F.lit(4).alias("tier"), F.lit(None).cast("int").alias("neg_len"),
+        F.lit(None).cast("string").alias("municipio"),
+        F.lit(None).cast("int").alias("codigo_ibge"),
+        F.lit(None).cast("double").alias("latitude"),
+        F.lit(None).cast("double").alias("longitude"))
+    best = (pairs.unionByName(none).groupBy("codigo_posto")
+            .agg(F.min(F.struct("tier", "neg_len", "municipio", "codigo_ibge",
+                                "latitude", "longitude")).alias("b")))
+    names = F.create_map(*[x for k, v in TIER_NAMES.items() for x in (F.lit(k), F.lit(v))])
+    tier_name = F.coalesce(F.try_element_at(names, F.col("b.tier")), F.lit(TIER_NONE))
+    return best.select(
         "codigo_posto",
         F.col("b.municipio").alias("municipio_inferido"),
         F.col("b.latitude").alias("latitude"),

@@ -120,3 +120,107 @@ def gold_grid_risk(spark, d):
 @query
 def alerts(spark, d):
     return grid.alerts(medallion.gold_grid_risk(_bronze(spark, d), _mun(spark, d)))
+
+
+# ---- bronze shaping ------------------------------------------------------------
+def _landed_wide(spark, d, mis_tag_mod=None):
+    from rainrisk.session import scratch_path
+    from rainrisk.sources import daily
+    raw = scratch_path(spark, "raw-daily")
+    daily.land_raw_wide(B.daily_wide(_bronze(spark, d), mis_tag_mod), raw)
+    return daily.read_raw_wide(spark, raw)
+
+
+@query
+def bronze_daily_long(spark, d):
+    from rainrisk.sources import daily
+    return daily.shape_daily(_landed_wide(spark, d))
+
+
+@query
+def bronze_year_guard(spark, d):
+    from rainrisk.sources import daily
+    wide = daily.normalise_header(_landed_wide(spark, d, mis_tag_mod=7))
+    return daily.shape_daily(daily.guard_page_year(wide))
+
+
+@query
+def bronze_replace_year(spark, d):
+    from rainrisk.session import scratch_path
+    from rainrisk.sources import daily
+    path = scratch_path(spark, "bronze")
+    readings = _bronze(spark, d)
+    long = daily.shape_daily(B.daily_wide(readings))
+    daily.replace_bronze_partitions(long, path)
+    first_year = readings.select(F.min(F.year("data"))).scalar()
+    again = long.where((F.year("data") == first_year) & (F.col("codigo_posto") % 2 == 0))
+    daily.replace_bronze_partitions(again, path)
+    return daily.read_bronze(spark, path)
+
+
+# ---- feed ------------------------------------------------------------------------
+@query
+def json_flatten(spark, d):
+    from rainrisk.sources import feed
+    payload = feed.payload_from_feed(B.feed_rows(spark, d))
+    rows = feed.typed_feed(payload, ingest_ts=F.lit(None).cast("timestamp"), extra_nested=["k"])
+    return rows.drop("ingestao_ts").withColumn("dc_k", F.col("dc_k").try_cast("bigint"))
+
+
+@query
+def silver_station_latest(spark, d):
+    from rainrisk.functions.text import upper_trim
+    from rainrisk.operators.stations import latest_per_station
+    f = B.feed_rows(spark, d).withColumn("municipio_nome", upper_trim(F.col("cidade")))
+    latest = latest_per_station(f, carry=["municipio_nome", "chuva"])
+    return latest.select("codigo_gmmc", "municipio_nome", "nome_estacao", "data_hora", "chuva")
+
+
+@query
+def silver_stations(spark, d):
+    from rainrisk.operators.stations import latest_per_station, station_table
+    from rainrisk.sources import feed
+    payload = feed.payload_from_feed(B.feed_rows(spark, d))
+    rows = feed.typed_feed(payload)
+    return station_table(latest_per_station(rows), _mun(spark, d))
+
+
+@query
+def feed_stream_latest(spark, d):
+    from rainrisk.session import scratch_path
+    from rainrisk.sources import feed
+    from rainrisk.streaming import feed_stream as S
+    base = scratch_path(spark, "feed")
+    payload = feed.payload_from_feed(B.feed_rows(spark, d))
+    # land the payload as four separate arrivals, newest readings first
+    for part in range(4):
+        (payload.where(F.abs(F.xxhash64("Codigo_gmmc", "Data-hora")) % 4 == 3 - part)
+         .write.mode("overwrite").json(f"{base}/payload/arrival={part}"))
+    S.run_available_now(S.land_feed(spark, f"{base}/payload/*/*.json", f"{base}/landed",
+                                    f"{base}/cp-land"))
+    S.run_available_now(S.latest_snapshot_stream(spark, f"{base}/landed", f"{base}/latest",
+                                                 f"{base}/cp-latest"))
+    return spark.read.parquet(f"{base}/latest").select(
+        "codigo_gmmc", "municipio_nome", "nome_estacao", "data_hora", "chuva")
+
+
+@query
+def raw_partition_roundtrip(spark, d):
+    from rainrisk.session import scratch_path
+    from rainrisk.sources import feed
+    path = scratch_path(spark, "feed-raw")
+    rows = B.feed_rows(spark, d)
+    ts = F.col("data_hora")
+    (rows.withColumns({"ano": F.year(ts).cast("string"),
+                       "mes": F.lpad(F.month(ts).cast("string"), 2, "0"),
+                       "dia": F.lpad(F.dayofmonth(ts).cast("string"), 2, "0")})
+     .write.mode("overwrite").partitionBy("ano", "mes", "dia").parquet(path))
+    back = (spark.read.schema("data_hora timestamp_ntz, codigo_gmmc string, cidade string, "
+                              "nome_estacao string, chuva double, props string, "
+                              "ano string, mes string, dia string")
+            .option("basePath", path).parquet(path))
+    return (back.groupBy(*[F.col(c).cast("bigint").alias(c) for c in ("ano", "mes", "dia")])
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_distinct("codigo_gmmc").alias("n_stations"),
+                 F.min("data_hora").alias("first_reading"),
+                 F.max("data_hora").alias("last_reading")))

@@ -125,3 +125,40 @@ def with_bindings(body: str, *names: str) -> str:
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+# ---- raw wide daily pages built from the readings -----------------------------
+_PT_MONTHS_SQL = "array('jan','fev','mar','abr','mai','jun','jul','ago','set','out','nov','dez')"
+
+
+def daily_wide(readings: DataFrame, mis_tag_mod: int | None = None) -> DataFrame:
+    """The raw wide form of ``daily_readings``: one row per (station, month)
+    with text day columns ``01``..``31``, as the source publishes it.
+
+    Text shapes exercise the loader: month names in three letter cases,
+    decimal commas, padded cells, '-' and 'nan' for a missing reading, no
+    cell at all for a day without a reading, a padded header name. With
+    ``mis_tag_mod`` stations whose code % mis_tag_mod == 3 are filed under
+    the following year (a page that mixes years).
+    """
+    from rainrisk.sources.daily import DAY_COLUMNS
+    code = F.col("codigo_posto")
+    val = F.replace(F.col("precipitacao").cast("string"), F.lit("."), F.lit(","))
+    val = F.when(code % 5 == 0, F.concat(F.lit(" "), val, F.lit(" "))).otherwise(val)
+    missing = F.when(code % 3 == 0, F.lit("nan")).otherwise(F.lit("-"))
+    cell = F.when(F.col("precipitacao").isNull(), missing).otherwise(val)
+    mon = F.expr(f"element_at({_PT_MONTHS_SQL}, month(data))")
+    mon = (F.when(code % 3 == 0, F.upper(mon))
+           .when(code % 3 == 1, F.initcap(mon)).otherwise(mon))
+    month_year = F.concat(mon, F.lit("/"), F.year("data").cast("string"))
+    year_tag = F.year("data")
+    if mis_tag_mod:
+        year_tag = F.when(code % mis_tag_mod == 3, year_tag + 1).otherwise(year_tag)
+    long = readings.select(
+        code.alias("Código"), F.col("nome_posto").alias("Posto "),
+        month_year.alias("Mês/Ano"), F.lpad(F.dayofmonth("data").cast("string"), 2, "0").alias("_dd"),
+        cell.alias("_cell"), F.col("mesorregiao_id"), year_tag.alias("ano_ref"))
+    # one group per station-month: at most 31 rows, whatever the table size
+    return (long.groupBy("Código", "Posto ", "Mês/Ano", "mesorregiao_id", "ano_ref")
+            .pivot("_dd", DAY_COLUMNS).agg(F.first("_cell"))
+            .select("Código", "Posto ", "Mês/Ano", *DAY_COLUMNS, "mesorregiao_id", "ano_ref"))
