@@ -66,11 +66,8 @@ def lenient_int(c) -> Column:
 
 def pt_month_year_date(month_year, day) -> Column:
     """``'jan/2025'`` + day ``'07'`` → DATE; impossible dates are NULL."""
-    parts = F.split(_col(month_year).cast("string"), "/")
-    month_map = F.create_map(*[x for i, m in enumerate(PT_MONTHS)
-                               for x in (F.lit(m), F.lit(i + 1))])
-    month = F.try_element_at(month_map, F.lower(F.try_element_at(parts, F.lit(1))))
-    year = lenient_int(F.try_element_at(parts, F.lit(2)))
+    month = pt_month_number(month_year)
+    year = pt_year(month_year)
     dd = lenient_int(day)
     text = F.format_string("%04d-%02d-%02d", year, month, dd)
     ok = year.between(1, 9999) & dd.between(1, 31)
@@ -86,3 +83,17 @@ def year_in_text(c, pattern: str = r"/(\d{4})") -> Column:
 def year_in_file_name(path_col) -> Column:
     """Year expected from a raw file name ``<Region>_<yyyy>.parquet``."""
     return year_in_text(path_col, r"_(\d{4})\.parquet$")
+
+
+def pt_month_number(month_year) -> Column:
+    """Month number of ``'jan/2025'`` (any letter case); NULL if unknown."""
+    parts = F.split(_col(month_year).cast("string"), "/")
+    month_map = F.create_map(*[x for i, m in enumerate(PT_MONTHS)
+                               for x in (F.lit(m), F.lit(i + 1))])
+    return F.try_element_at(month_map, F.lower(F.try_element_at(parts, F.lit(1))))
+
+
+def pt_year(month_year) -> Column:
+    """Year of ``'jan/2025'``; NULL if it is not an integer."""
+    parts = F.split(_col(month_year).cast("string"), "/")
+    return lenient_int(F.try_element_at(parts, F.lit(2)))

@@ -224,3 +224,92 @@ def raw_partition_roundtrip(spark, d):
                  F.count_distinct("codigo_gmmc").alias("n_stations"),
                  F.min("data_hora").alias("first_reading"),
                  F.max("data_hora").alias("last_reading")))
+
+
+# ---- re-aimed sources ------------------------------------------------------------
+@query
+def html_table_rows(spark, d):
+    from rainrisk.functions.parse import lenient_int, parse_html_number, pt_month_number, pt_year
+    from rainrisk.sources import daily
+    from rainrisk.sources.html_table import table_rows
+    pages = B.daily_pages(_bronze(spark, d))
+    cols = [daily.COL_CODE, daily.COL_NAME, daily.COL_MONTH_YEAR, *daily.DAY_COLUMNS]
+    rows = daily.numeric_code_rows(table_rows(pages, columns=cols, keep=["page_id"]))
+    long = rows.unpivot(["page_id", *cols[:3]], daily.DAY_COLUMNS, "dia", "cell")
+    return long.select(
+        F.col(daily.COL_CODE).alias("codigo_posto"),
+        F.col(daily.COL_NAME).alias("nome_posto"),
+        pt_year(F.col(daily.COL_MONTH_YEAR)).alias("ano"),
+        pt_month_number(F.col(daily.COL_MONTH_YEAR)).cast("bigint").alias("mes"),
+        lenient_int(F.col("dia")).alias("dia"),
+        parse_html_number(F.col("cell")).alias("chuva"))
+
+
+QUERY_AS_OF = __import__("datetime").date(2026, 6, 30)
+
+
+@query
+def backfill_plan(spark, d):
+    from rainrisk.sources.backfill import backfill_plan as plan, landed_units
+    return plan(landed_units(_bronze(spark, d)), QUERY_AS_OF)
+
+
+@query
+def clean_string(spark, d):
+    from rainrisk.functions.text import clean_string as clean
+    docs = B.table(spark, d, "documents")
+    return docs.select("doc_id", clean(F.col("text")).alias("texto_limpo"))
+
+
+@query
+def gazetteer_lookup(spark, d):
+    from rainrisk.sources.gazetteer import geocode
+    names = _mun(spark, d).select("codigo_ibge", "municipio")
+    return geocode(names, B.gazetteer(spark, d))
+
+
+# ---- data quality ------------------------------------------------------------------
+BRONZE_TABLE = "bronze.monitoramento_pluviometrico"
+SILVER_TABLE = "silver.monitoramento_pluviometrico"
+
+
+@query
+def dq_not_null(spark, d):
+    from rainrisk.operators import quality as Q
+    bronze = _bronze(spark, d)
+    silver = medallion.silver_rainfall(bronze, _mun(spark, d))
+    return Q.union_reports(
+        Q.not_null(bronze, BRONZE_TABLE, ["codigo_posto", "data"]),
+        Q.not_null(silver, SILVER_TABLE, ["codigo_posto", "data", "ano", "mes", "dia",
+                                          "periodo_clima", "alerta_chuva"]))
+
+
+@query
+def dq_unique(spark, d):
+    from rainrisk.operators import quality as Q
+    bronze = _bronze(spark, d)
+    silver = medallion.silver_rainfall(bronze, _mun(spark, d))
+    return Q.union_reports(
+        Q.unique_combination(bronze, BRONZE_TABLE, ["codigo_posto", "data"]),
+        Q.unique_combination(silver, SILVER_TABLE, ["codigo_posto", "data"]))
+
+
+@query
+def dq_accepted(spark, d):
+    from rainrisk.functions import domain as D
+    from rainrisk.operators import quality as Q
+    bronze = _bronze(spark, d)
+    silver = medallion.silver_rainfall(bronze, _mun(spark, d))
+    return Q.union_reports(
+        Q.accepted_values(bronze, BRONZE_TABLE,
+                          {"mesorregiao_id": sorted(c for c, _ in D.MESOREGIONS)}),
+        Q.accepted_values(silver, SILVER_TABLE, {
+            "periodo_clima": [D.SEASON_WET, D.SEASON_DRY, D.SEASON_UNKNOWN],
+            "alerta_chuva": [D.BAND_NORMAL, D.BAND_POTENTIAL, D.BAND_DANGER, D.BAND_GREAT]}))
+
+
+@query
+def dq_file_integrity(spark, d):
+    from rainrisk.operators import quality as Q
+    raw = _landed_wide(spark, d, mis_tag_mod=7)
+    return Q.unit_integrity(raw, ["mesorregiao_id", "ano_ref"], F.col("ano_ref"))

@@ -232,3 +232,107 @@ SELECT CAST(year(data_hora) AS BIGINT) AS ano, CAST(month(data_hora) AS BIGINT)
        COUNT(DISTINCT codigo_gmmc) AS n_stations,
        MIN(data_hora) AS first_reading, MAX(data_hora) AS last_reading
 FROM v_feed GROUP BY 1, 2, 3""", "v_feed")
+
+
+# ---- re-aimed sources ----------------------------------------------------------------
+ORACLES["html_table_rows"] = with_bindings("""
+WITH o_months AS (
+  SELECT DISTINCT codigo_posto, nome_posto, year(data) AS y, month(data) AS m FROM v_leitura)
+SELECT o.codigo_posto, trim(o.nome_posto) AS nome_posto, CAST(o.y AS BIGINT) AS ano,
+       CAST(o.m AS BIGINT) AS mes, CAST(t.d AS BIGINT) AS dia, l.precipitacao AS chuva
+FROM o_months o CROSS JOIN range(1, 32) t(d)
+LEFT JOIN v_leitura l
+  ON l.codigo_posto = o.codigo_posto AND year(l.data) = o.y AND month(l.data) = o.m
+ AND day(l.data) = t.d""", "v_leitura")
+
+ORACLES["backfill_plan"] = with_bindings("""
+WITH o_regions(mesorregiao_id, mesorregiao_nome) AS (
+  VALUES (2605, 'Metropolitana_Recife'), (2604, 'Mata_Pernambucana'),
+         (2603, 'Agreste_Pernambucano'), (2602, 'Sao_Francisco_Pernambucano'),
+         (2601, 'Sertao_Pernambucano')),
+o_years AS (SELECT CAST(range AS INTEGER) AS ano FROM range(1961, 2027)),
+o_landed AS (
+  SELECT DISTINCT mesorregiao_id, CAST(year(data) AS INTEGER) AS ano
+  FROM v_leitura WHERE mesorregiao_id IS NOT NULL AND year(data) < 2026)
+SELECT CAST(r.mesorregiao_id AS INTEGER) AS mesorregiao_id, r.mesorregiao_nome, y.ano,
+       make_date(y.ano, 1, 1) AS data_inicio,
+       CASE WHEN y.ano = 2026 THEN DATE '2026-06-30' ELSE make_date(y.ano, 12, 31) END AS data_fim
+FROM o_regions r, o_years y
+WHERE NOT EXISTS (SELECT 1 FROM o_landed l
+                  WHERE l.mesorregiao_id = r.mesorregiao_id AND l.ano = y.ano)""", "v_leitura")
+
+ORACLES["clean_string"] = f"SELECT doc_id, {clean_sql('text')} AS texto_limpo FROM documents"
+
+ORACLES["gazetteer_lookup"] = with_bindings(f"""
+WITH o_gaz AS (
+  SELECT replace(n_name, 'NATION', 'Natión') AS nome,
+         CAST(-8.0 - n_nationkey / 100.0 AS DOUBLE) AS latitude,
+         CAST(-35.0 - n_regionkey / 10.0 AS DOUBLE) AS longitude, 1 AS rnk
+  FROM nation WHERE n_nationkey % 6 <> 5
+  UNION ALL
+  SELECT n_name, CAST(-8.0 - n_nationkey / 100.0 AS DOUBLE) - 1.0,
+         CAST(-35.0 - n_regionkey / 10.0 AS DOUBLE), 2
+  FROM nation WHERE n_nationkey % 6 <> 5),
+o_best AS (
+  SELECT * FROM (SELECT {clean_sql('nome')} AS k, latitude, longitude,
+                        ROW_NUMBER() OVER (PARTITION BY {clean_sql('nome')}
+                                           ORDER BY rnk, latitude, longitude) AS rn
+                 FROM o_gaz) WHERE rn = 1)
+SELECT m.codigo_ibge, m.municipio, b.latitude, b.longitude
+FROM v_municipio m JOIN o_best b ON {clean_sql('m.municipio')} = b.k""", "v_municipio")
+
+# ---- data quality ----------------------------------------------------------------------
+ORACLES["dq_not_null"] = _w(SILVER_CTES, """
+SELECT 'bronze.monitoramento_pluviometrico' AS table_name, 'not_null' AS check_name,
+       c AS column_name, CAST(n AS BIGINT) AS failing_rows
+FROM (SELECT 'codigo_posto' AS c, count(*) FILTER (WHERE codigo_posto IS NULL) AS n FROM v_leitura
+      UNION ALL SELECT 'data', count(*) FILTER (WHERE data IS NULL) FROM v_leitura)
+UNION ALL
+SELECT 'silver.monitoramento_pluviometrico', 'not_null', c, CAST(n AS BIGINT)
+FROM (SELECT 'codigo_posto' AS c, count(*) FILTER (WHERE codigo_posto IS NULL) AS n FROM o_silver
+      UNION ALL SELECT 'data', count(*) FILTER (WHERE data IS NULL) FROM o_silver
+      UNION ALL SELECT 'ano', count(*) FILTER (WHERE ano IS NULL) FROM o_silver
+      UNION ALL SELECT 'mes', count(*) FILTER (WHERE mes IS NULL) FROM o_silver
+      UNION ALL SELECT 'dia', count(*) FILTER (WHERE dia IS NULL) FROM o_silver
+      UNION ALL SELECT 'periodo_clima', count(*) FILTER (WHERE periodo_clima IS NULL) FROM o_silver
+      UNION ALL SELECT 'alerta_chuva', count(*) FILTER (WHERE alerta_chuva IS NULL) FROM o_silver)
+""", "v_municipio", "v_leitura")
+
+ORACLES["dq_unique"] = _w(SILVER_CTES, """
+SELECT 'bronze.monitoramento_pluviometrico' AS table_name, 'unique_combination' AS check_name,
+       'codigo_posto,data' AS column_name,
+       CAST((SELECT count(*) FROM (SELECT codigo_posto, data FROM v_leitura
+             GROUP BY 1, 2 HAVING count(*) > 1)) AS BIGINT) AS failing_rows
+UNION ALL
+SELECT 'silver.monitoramento_pluviometrico', 'unique_combination', 'codigo_posto,data',
+       CAST((SELECT count(*) FROM (SELECT codigo_posto, data FROM o_silver
+             GROUP BY 1, 2 HAVING count(*) > 1)) AS BIGINT)""", "v_municipio", "v_leitura")
+
+ORACLES["dq_accepted"] = _w(SILVER_CTES, """
+SELECT 'bronze.monitoramento_pluviometrico' AS table_name, 'accepted_values' AS check_name,
+       'mesorregiao_id' AS column_name,
+       CAST(count(*) FILTER (WHERE mesorregiao_id NOT IN (2601, 2602, 2603, 2604, 2605))
+            AS BIGINT) AS failing_rows
+FROM v_leitura
+UNION ALL
+SELECT 'silver.monitoramento_pluviometrico', 'accepted_values', 'periodo_clima',
+       CAST(count(*) FILTER (WHERE periodo_clima NOT IN ('Chuvoso', 'Seco', 'Desconhecido'))
+            AS BIGINT)
+FROM o_silver
+UNION ALL
+SELECT 'silver.monitoramento_pluviometrico', 'accepted_values', 'alerta_chuva',
+       CAST(count(*) FILTER (WHERE alerta_chuva NOT IN
+            ('Normal', 'Perigo Potencial', 'Perigo', 'Grande Perigo')) AS BIGINT)
+FROM o_silver""", "v_municipio", "v_leitura")
+
+ORACLES["dq_file_integrity"] = with_bindings("""
+WITH o_wide AS (
+  SELECT DISTINCT codigo_posto, mesorregiao_id, year(data) AS y, month(data) AS m
+  FROM v_leitura),
+o_tag AS (SELECT *, CASE WHEN codigo_posto % 7 = 3 THEN y + 1 ELSE y END AS tag FROM o_wide)
+SELECT mesorregiao_id, CAST(tag AS INTEGER) AS ano_ref, CAST(tag AS BIGINT) AS expected_year,
+       count(*) AS n_rows, CAST(min(y) AS BIGINT) AS year_min, CAST(max(y) AS BIGINT) AS year_max,
+       CASE WHEN count(y) = 0 THEN 'no_valid_values'
+            WHEN min(y) <> max(y) OR min(y) <> tag THEN 'inconsistent'
+            ELSE 'ok' END AS status
+FROM o_tag GROUP BY mesorregiao_id, tag""", "v_leitura")

@@ -162,3 +162,49 @@ def daily_wide(readings: DataFrame, mis_tag_mod: int | None = None) -> DataFrame
     return (long.groupBy("Código", "Posto ", "Mês/Ano", "mesorregiao_id", "ano_ref")
             .pivot("_dd", DAY_COLUMNS).agg(F.first("_cell"))
             .select("Código", "Posto ", "Mês/Ano", *DAY_COLUMNS, "mesorregiao_id", "ano_ref"))
+
+
+def daily_pages(readings: DataFrame) -> DataFrame:
+    """Landed result pages: one HTML page per station and year, holding the
+    rain table (header, one row per month, a 'Total' footer) after an
+    unrelated legend table. A page has at most 12 data rows, so building it
+    is a bounded group whatever the size of the readings.
+    """
+    from rainrisk.sources.daily import DAY_COLUMNS
+    wide = daily_wide(readings)
+    header = ["Código", "Posto", "Mês/Ano", *DAY_COLUMNS]
+    head_html = "<tr>" + "".join(f"<th>{h}</th>" for h in header) + "</tr>"
+    cells = [F.col("Código").cast("string"), F.col("Posto "), F.col("Mês/Ano"),
+             *[F.col(c) for c in DAY_COLUMNS]]
+    row_html = F.concat(F.lit("<tr>"), F.concat_ws("", *[
+        F.concat(F.lit("<td>"), F.coalesce(c, F.lit("")), F.lit("</td>")) for c in cells]),
+        F.lit("</tr>"))
+    rows = wide.select("Código", "ano_ref", "mesorregiao_id",
+                       F.struct(F.col("Mês/Ano").alias("k"), row_html.alias("h")).alias("r"))
+    footer = ("<tr><td>Total</td><td></td><td></td>" + "<td>-</td>" * len(DAY_COLUMNS) +
+              "</tr>")
+    pages = rows.groupBy("Código", "ano_ref", "mesorregiao_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["h"]), "")
+        .alias("body"))
+    html = F.concat(
+        F.lit("<html><body><table id=\"legenda\"><tr><td>mm</td></tr></table>"
+              "<table class=\"grid\" id=\"tbMonPluvio\"><thead>" + head_html + "</thead><tbody>"),
+        F.col("body"), F.lit(footer + "</tbody></table></body></html>"))
+    return pages.select(
+        F.concat_ws("-", F.col("Código").cast("string"), F.col("ano_ref").cast("string"))
+        .alias("page_id"), html.alias("html"))
+
+
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place-name gazetteer derived from ``nation``: for each nation an
+    accented, mixed-case spelling (best rank) and the plain name (second
+    rank, shifted coordinates); nations with key % 6 == 5 are absent.
+    """
+    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") % 6 != 5)
+    lat = F.expr("CAST(-8.0 - n_nationkey / 100.0 AS DOUBLE)")
+    lon = F.expr("CAST(-35.0 - n_regionkey / 10.0 AS DOUBLE)")
+    first = n.select(F.replace(F.col("n_name"), F.lit("NATION"), F.lit("Natión")).alias("nome"),
+                     lat.alias("latitude"), lon.alias("longitude"), F.lit(1).alias("rank"))
+    second = n.select(F.col("n_name").alias("nome"), (lat - 1.0).alias("latitude"),
+                      lon.alias("longitude"), F.lit(2).alias("rank"))
+    return first.unionByName(second)
