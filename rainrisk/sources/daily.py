@@ -175,3 +175,12 @@ def read_bronze(spark: SparkSession, path: str, year: int | None = None) -> Data
 def empty_like(df: DataFrame) -> DataFrame:
     """The frame's schema with no rows (``LIMIT 0``)."""
     return df.limit(0)
+
+
+def read_raw_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Raw tables kept as CSV with a header row (all text unless a schema
+    is given), with the file each row came from for per-file checks."""
+    reader = spark.read.option("header", True)
+    reader = reader.schema(schema) if schema else reader.option("inferSchema", False)
+    df = reader.csv(path)
+    return df.withColumn("_file", F.col("_metadata.file_name"))

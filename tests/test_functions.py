@@ -1,0 +1,86 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from rainrisk.functions import domain as D
+from rainrisk.functions.parse import (
+    parse_decimal_comma,
+    parse_html_number,
+    pt_month_year_date,
+    year_in_file_name,
+    year_in_text,
+)
+from rainrisk.functions.text import clean_string, upper_trim
+
+
+def one(spark, expr, value, schema="v string"):
+    return spark.createDataFrame([(value,)], schema).select(expr(F.col("v")).alias("r")).first()[0]
+
+
+def test_clean_string_accents_and_exceptions(spark):
+    assert one(spark, clean_string, "  São Lourenço da Mata ") == "SAO LOURENCO DA MATA"
+    assert one(spark, clean_string, "Áàâãä éèêë íìîï óòôõö úùûü ç") == \
+        "AAAAA EEEE IIII OOOOO UUUU C"
+    # Ñ is not folded; ß upper-cases to the capital sharp s like the reference engine
+    assert one(spark, clean_string, "ñandu") == "ÑANDU"
+    assert one(spark, clean_string, "straße") == "STRAẞE"
+    assert one(spark, upper_trim, "\tx ") == "\tX"  # trim removes blanks only
+    assert one(spark, clean_string, None) is None
+
+
+def test_parse_decimal_comma(spark):
+    cases = {" 1,2 ": 1.2, "45,0": 45.0, "-": None, "": None, "nan": None, "None": None,
+             "5d": None, "1.234,5": None, "12": 12.0, "-3,5": -3.5, "1e2": 100.0, None: None}
+    for text, want in cases.items():
+        assert one(spark, parse_decimal_comma, text) == want, text
+
+
+def test_parse_html_number(spark):
+    cases = {"1.234,5": 1234.5, "45,0": 45.0, "12": 12.0, "-": None, "1,2,3": None, "": None}
+    for text, want in cases.items():
+        assert one(spark, parse_html_number, text) == want, text
+
+
+def test_pt_month_year_date(spark):
+    df = spark.createDataFrame(
+        [("JAN/2025", "07"), ("fev/2024", "29"), ("fev/2025", "29"), ("Abr/2025", "31"),
+         ("xxx/2025", "01"), ("jan", "01"), ("dez/ 2020", "31"), ("mar/2025", "ab"), (None, "1")],
+        "m string, d string")
+    got = [r[0] for r in df.select(pt_month_year_date(F.col("m"), F.col("d"))).collect()]
+    assert got == [dt.date(2025, 1, 7), dt.date(2024, 2, 29), None, None, None, None,
+                   dt.date(2020, 12, 31), None, None]
+
+
+def test_years_from_text(spark):
+    assert one(spark, year_in_text, "jan/1961") == 1961
+    assert one(spark, year_in_text, "janeiro") is None
+    assert one(spark, year_in_file_name, "Mata_Pernambucana_2024.parquet") == 2024
+    assert one(spark, year_in_file_name, "Mata_Pernambucana.parquet") is None
+
+
+def test_alert_band_thresholds(spark):
+    vals = [0.0, 19.99, 20.0, 49.99, 50.0, 100.0, 100.01, None, -1.0]
+    df = spark.createDataFrame([(v,) for v in vals], "p double")
+    got = [r[0] for r in df.select(D.alert_band(F.col("p"))).collect()]
+    assert got == ["Normal", "Normal", "Perigo Potencial", "Perigo Potencial", "Perigo",
+                   "Perigo", "Grande Perigo", "Normal", "Normal"]
+
+
+def test_alert_labels(spark):
+    df = spark.createDataFrame([("Normal",), ("Perigo Potencial",), ("Perigo",),
+                                ("Grande Perigo",), ("x",), (None,)], "b string")
+    got = [r[0] for r in df.select(D.alert_level_label(F.col("b"))).collect()]
+    assert got == ["Normal 🟢", "Atenção 🟡", "Alerta 🟠", "Perigo 🔴", "Desconhecido ⚪",
+                   "Desconhecido ⚪"]
+
+
+def test_climate_period_and_weekday(spark):
+    rows = [(2601, dt.date(2025, 4, 30)), (2602, dt.date(2025, 5, 1)),
+            (2603, dt.date(2025, 4, 1)), (2605, dt.date(2025, 9, 1)),
+            (None, dt.date(2025, 1, 1)), (2600, dt.date(2025, 1, 1))]
+    df = spark.createDataFrame(rows, "r int, d date")
+    got = [r[0] for r in df.select(D.climate_period(F.col("r"), F.col("d"))).collect()]
+    assert got == ["Chuvoso", "Seco", "Chuvoso", "Seco", "Desconhecido", "Desconhecido"]
+    wd = spark.createDataFrame([(dt.date(2025, 1, 5),), (dt.date(2025, 1, 11),)], "d date")
+    assert [r[0] for r in wd.select(D.weekday_name(F.col("d"))).collect()] == \
+        ["Domingo", "Sábado"]
