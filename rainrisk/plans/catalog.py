@@ -235,7 +235,7 @@ def html_table_rows(spark, d):
     pages = B.daily_pages(_bronze(spark, d))
     cols = [daily.COL_CODE, daily.COL_NAME, daily.COL_MONTH_YEAR, *daily.DAY_COLUMNS]
     rows = daily.numeric_code_rows(table_rows(pages, columns=cols, keep=["page_id"]))
-    long = rows.unpivot(["page_id", *cols[:3]], daily.DAY_COLUMNS, "dia", "cell")
+    long = daily.unpivot_days(rows, ["page_id", *cols[:3]], daily.DAY_COLUMNS, value="cell")
     return long.select(
         F.col(daily.COL_CODE).alias("codigo_posto"),
         F.col(daily.COL_NAME).alias("nome_posto"),

@@ -102,6 +102,20 @@ def guard_page_year(wide: DataFrame, page_cols=(REGION, YEAR_TAG),
             .drop("_row_year", "_has_expected"))
 
 
+def unpivot_days(wide: DataFrame, ids: list[str], days: list[str],
+                 name: str = "dia", value: str = "chuva") -> DataFrame:
+    """Day columns → (dia, chuva) rows, empty cells kept as NULL.
+
+    Written as ``inline(array(struct(day, cell), ...))`` (a Generate) rather
+    than ``DataFrame.unpivot`` (an Expand): with 31 value columns Spark
+    4.1's Expand code generation emits a method that does not compile and
+    the stage silently falls back to the interpreted path.
+    """
+    pairs = F.array(*[F.struct(F.lit(d).alias(name), F.col(d).cast("string").alias(value))
+                      for d in days])
+    return wide.select(*ids, F.inline(pairs))
+
+
 def shape_daily(wide: DataFrame) -> DataFrame:
     """Raw wide rows → bronze long rows.
 
@@ -117,8 +131,7 @@ def shape_daily(wide: DataFrame) -> DataFrame:
     elif YEAR_TAG in wide.columns:
         wide = wide.withColumn(EXPECTED_YEAR, F.col(YEAR_TAG).cast("bigint"))
         ids.append(EXPECTED_YEAR)
-    wide = wide.select(*ids, *[F.col(c).cast("string").alias(c) for c in days])
-    long = wide.unpivot(ids, days, "dia", "chuva")
+    long = unpivot_days(wide, ids, days)
     out = long.select(
         F.col(COL_CODE).cast("bigint").alias("codigo_posto"),
         F.col(COL_NAME).cast("string").alias("nome_posto"),

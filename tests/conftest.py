@@ -11,7 +11,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from rainrisk.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=8, app_name="rainrisk-tests")
+    # codegen fallback off: a stage that fails to compile must fail the test
+    s = build_session(master="local[4]", shuffle_partitions=8, app_name="rainrisk-tests",
+                      extra={"spark.sql.codegen.fallback": "false"})
     yield s
     s.stop()
 
