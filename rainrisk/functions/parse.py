@@ -17,12 +17,13 @@ PT_MONTHS = ["jan", "fev", "mar", "abr", "mai", "jun",
 MISSING_TOKENS = ["-", "", "nan", "None"]
 # -----------------------------------------------------------------------------
 
-# Plain decimal number, as a strict numeric parser accepts it.
-_NUMBER_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-# Integer text with optional sign and surrounding white space.
-_INT_RE = r"^\s*[+-]?[0-9]+\s*$"
-# Number written with '.' thousands and ',' decimal separators.
-_PT_NUMBER_RE = r"^[+-]?([0-9]{1,3}(\.[0-9]{3})+|[0-9]+)(,[0-9]+)?$"
+# A plain decimal number (group 1) between optional white space, as a strict
+# numeric parser accepts it; anything else extracts as '' and casts to NULL.
+_NUMBER_RE = r"^\s*([+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+# An integer (group 1) between optional white space.
+_INT_RE = r"^\s*([+-]?[0-9]+)\s*$"
+# Number written with '.' thousands and ',' decimal separators (group 1).
+_PT_NUMBER_RE = r"^\s*([+-]?(?:[0-9]{1,3}(?:\.[0-9]{3})+|[0-9]+)(?:,[0-9]+)?)\s*$"
 
 
 def _col(c) -> Column:
@@ -34,44 +35,71 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
 
 
+def _extract(c: Column, pattern: str) -> Column:
+    # one regex evaluation; a non-match gives '' which try_cast turns to NULL
+    return F.regexp_extract(c.cast("string"), pattern, 1)
+
+
 def strict_double(c) -> Column:
-    """Text → double only if the whole text is a number; else NULL."""
-    t = strip_ws(c)
-    return F.when(t.rlike(_NUMBER_RE), t.try_cast("double"))
+    """Text → double only if the whole text is a number; else NULL.
+
+    The pattern check comes first because Spark's cast alone is lenient
+    (it reads '5d' as 5.0 and accepts 'NaN'/'Infinity').
+    """
+    return _extract(_col(c), _NUMBER_RE).try_cast("double")
 
 
 def parse_decimal_comma(c) -> Column:
     """Rain cell → mm.
 
     Trim; '-', '', 'nan', 'None' are missing; a decimal comma becomes a dot;
-    anything that is then not a plain number (e.g. '1.234,5') is NULL.
+    anything that is then not a plain number (e.g. '1.234,5') is NULL. The
+    missing-value tokens are not numbers, so the number check covers them.
     """
-    t = strip_ws(c)
-    t = F.when(t.isin(*MISSING_TOKENS), F.lit(None).cast("string")).otherwise(t)
-    t = F.replace(t, F.lit(","), F.lit("."))
-    return F.when(t.rlike(_NUMBER_RE), t.try_cast("double"))
+    return strict_double(F.replace(_col(c).cast("string"), F.lit(","), F.lit(".")))
 
 
 def parse_html_number(c) -> Column:
     """Table cell with ',' decimals and '.' thousands → double, else NULL."""
-    t = strip_ws(c)
+    t = _extract(_col(c), _PT_NUMBER_RE)
     plain = F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return F.when(t.rlike(_PT_NUMBER_RE), plain.try_cast("double"))
+    return plain.try_cast("double")
 
 
 def lenient_int(c) -> Column:
-    t = _col(c).cast("string")
-    return F.when(t.rlike(_INT_RE), F.trim(t).try_cast("bigint"))
+    """Integer text (sign and surrounding white space allowed) → bigint."""
+    return _extract(_col(c), _INT_RE).try_cast("bigint")
+
+
+def pt_month_start(month_year) -> Column:
+    """``'jan/2025'`` → DATE 2025-01-01; NULL when month or year is unusable."""
+    month = pt_month_number(month_year)
+    year = pt_year(month_year)
+    ok = year.between(1, 9999) & month.isNotNull()
+    return F.when(ok, F.make_date(year.cast("int"), month, F.lit(1)))
+
+
+def day_of_month_start(first, day_number) -> Column:
+    """The ``day_number``-th day of the month starting at ``first``; NULL when
+    the month has no such day (31 April, 29 February of a common year)."""
+    d = _col(day_number)
+    date = F.date_add(_col(first), (d - 1).cast("int"))
+    return F.when(d.between(1, 31), F.when(F.month(date) == F.month(_col(first)), date))
 
 
 def pt_month_year_date(month_year, day) -> Column:
-    """``'jan/2025'`` + day ``'07'`` → DATE; impossible dates are NULL."""
+    """``'jan/2025'`` + day ``'07'`` → DATE; impossible dates are NULL.
+
+    Built as the first of the month plus (day - 1) days, valid only when that
+    stays in the month: no date text is formatted or parsed per row.
+    """
     month = pt_month_number(month_year)
     year = pt_year(month_year)
     dd = lenient_int(day)
-    text = F.format_string("%04d-%02d-%02d", year, month, dd)
-    ok = year.between(1, 9999) & dd.between(1, 31)
-    return F.when(ok, F.try_to_date(text, "yyyy-MM-dd"))
+    ok = year.between(1, 9999) & month.isNotNull() & dd.between(1, 31)
+    first = F.make_date(year.cast("int"), month, F.lit(1))
+    date = F.date_add(first, (dd - 1).cast("int"))
+    return F.when(ok, F.when(F.month(date) == month, date))
 
 
 def year_in_text(c, pattern: str = r"/(\d{4})") -> Column:

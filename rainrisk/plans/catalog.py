@@ -229,19 +229,21 @@ def raw_partition_roundtrip(spark, d):
 # ---- re-aimed sources ------------------------------------------------------------
 @query
 def html_table_rows(spark, d):
-    from rainrisk.functions.parse import lenient_int, parse_html_number, pt_month_number, pt_year
+    from rainrisk.functions.parse import parse_html_number, pt_month_number, pt_year
     from rainrisk.sources import daily
     from rainrisk.sources.html_table import table_rows
     pages = B.daily_pages(_bronze(spark, d))
     cols = [daily.COL_CODE, daily.COL_NAME, daily.COL_MONTH_YEAR, *daily.DAY_COLUMNS]
     rows = daily.numeric_code_rows(table_rows(pages, columns=cols, keep=["page_id"]))
-    long = daily.unpivot_days(rows, ["page_id", *cols[:3]], daily.DAY_COLUMNS, value="cell")
+    rows = rows.select("page_id", *cols[:2], *daily.DAY_COLUMNS,
+                       pt_year(F.col(daily.COL_MONTH_YEAR)).alias("ano"),
+                       pt_month_number(F.col(daily.COL_MONTH_YEAR)).cast("bigint").alias("mes"))
+    long = daily.unpivot_days(rows, ["page_id", *cols[:2], "ano", "mes"], daily.DAY_COLUMNS,
+                              value="cell")
     return long.select(
         F.col(daily.COL_CODE).alias("codigo_posto"),
-        F.col(daily.COL_NAME).alias("nome_posto"),
-        pt_year(F.col(daily.COL_MONTH_YEAR)).alias("ano"),
-        pt_month_number(F.col(daily.COL_MONTH_YEAR)).cast("bigint").alias("mes"),
-        lenient_int(F.col("dia")).alias("dia"),
+        F.col(daily.COL_NAME).alias("nome_posto"), "ano", "mes",
+        F.col("_day_no").cast("bigint").alias("dia"),
         parse_html_number(F.col("cell")).alias("chuva"))
 
 

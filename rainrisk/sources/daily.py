@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainrisk.functions.parse import (
+    day_of_month_start,
     parse_decimal_comma,
-    pt_month_year_date,
+    pt_month_start,
     year_in_file_name,
     year_in_text,
 )
@@ -104,14 +105,16 @@ def guard_page_year(wide: DataFrame, page_cols=(REGION, YEAR_TAG),
 
 def unpivot_days(wide: DataFrame, ids: list[str], days: list[str],
                  name: str = "dia", value: str = "chuva") -> DataFrame:
-    """Day columns → (dia, chuva) rows, empty cells kept as NULL.
+    """Day columns → (dia, day number, cell) rows, empty cells kept.
 
-    Written as ``inline(array(struct(day, cell), ...))`` (a Generate) rather
-    than ``DataFrame.unpivot`` (an Expand): with 31 value columns Spark
-    4.1's Expand code generation emits a method that does not compile and
-    the stage silently falls back to the interpreted path.
+    Written as ``inline(array(struct(...)))`` (a Generate) rather than
+    ``DataFrame.unpivot`` (an Expand): with 31 value columns Spark 4.1's
+    Expand code generation emits a method that does not compile and the
+    stage silently falls back to the interpreted path. The day number is a
+    literal per column, so nothing is parsed per cell for it.
     """
-    pairs = F.array(*[F.struct(F.lit(d).alias(name), F.col(d).cast("string").alias(value))
+    pairs = F.array(*[F.struct(F.lit(d).alias(name), F.lit(int(d)).alias("_day_no"),
+                               F.col(d).cast("string").alias(value))
                       for d in days])
     return wide.select(*ids, F.inline(pairs))
 
@@ -125,17 +128,19 @@ def shape_daily(wide: DataFrame) -> DataFrame:
     """
     wide = normalise_header(wide)
     days = [c for c in DAY_COLUMNS if c in wide.columns]
-    ids = [COL_CODE, COL_NAME, COL_MONTH_YEAR, REGION]
-    if EXPECTED_YEAR in wide.columns:
-        ids.append(EXPECTED_YEAR)
-    elif YEAR_TAG in wide.columns:
+    ids = [COL_CODE, COL_NAME, REGION]
+    if EXPECTED_YEAR not in wide.columns and YEAR_TAG in wide.columns:
         wide = wide.withColumn(EXPECTED_YEAR, F.col(YEAR_TAG).cast("bigint"))
+    if EXPECTED_YEAR in wide.columns:
         ids.append(EXPECTED_YEAR)
-    long = unpivot_days(wide, ids, days)
+    # month and year are the same for the 31 cells of a row: parse them once
+    wide = wide.withColumn("_first", pt_month_start(F.col(COL_MONTH_YEAR)))
+    long = unpivot_days(wide, ids + ["_first"], days)
+    data = day_of_month_start(F.col("_first"), F.col("_day_no"))
     out = long.select(
         F.col(COL_CODE).cast("bigint").alias("codigo_posto"),
         F.col(COL_NAME).cast("string").alias("nome_posto"),
-        pt_month_year_date(F.col(COL_MONTH_YEAR), F.col("dia")).alias("data"),
+        data.alias("data"),
         parse_decimal_comma(F.col("chuva")).alias("precipitacao"),
         F.col(REGION).alias("mesorregiao_id"),
         *([F.col(EXPECTED_YEAR)] if EXPECTED_YEAR in ids else []))
