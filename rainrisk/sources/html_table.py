@@ -31,34 +31,54 @@ def _table_re(table_id: str) -> str:
             r"[\"']?(?:\s[^>]*)?>(.*?)</table\s*>")
 
 
+# white space stripped from cell ends (a decoded &nbsp; included)
+_WS = " \t\n\r\f\u000b\u00a0"
+
+
 def cell_text(c: Column) -> Column:
-    """Markup inside a cell removed, entities decoded, ends trimmed."""
-    t = F.regexp_replace(c, r"<[^>]*>", "")
+    """Markup inside a cell removed, entities decoded, ends trimmed.
+
+    The tag and entity steps only run on cells that contain ``<`` / ``&``.
+    """
+    t = F.when(F.instr(c, "<") > 0, F.regexp_replace(c, r"<[^>]*>", "")).otherwise(c)
+    decoded = t
     for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return F.regexp_replace(t, r"^\s+|\s+$", "")
+        decoded = F.replace(decoded, F.lit(ent), F.lit(ch))
+    t = F.when(F.instr(t, "&") > 0, decoded).otherwise(t)
+    return F.btrim(t, F.lit(_WS))
 
 
-def _cells(row_html: Column) -> Column:
-    return F.transform(F.regexp_extract_all(row_html, F.lit(_CELL_RE), 1), cell_text)
+def _raw_cells(row_html: Column) -> Column:
+    return F.regexp_extract_all(row_html, F.lit(_CELL_RE), 1)
 
 
 def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TABLE_ID,
                columns: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
     """One output row per data row of the table; ``columns`` taken by header name.
 
-    Rows whose cell count differs from the header's are skipped (spanned
-    footers). Columns missing from a page's header come out NULL.
+    The header is parsed once per page and each wanted column's position is
+    looked up there; data rows then only index their cells. Rows whose cell
+    count differs from the header's are skipped (spanned footers). Columns
+    missing from a page's header come out NULL.
     """
     keep = keep or [c for c in pages.columns if c != html_col]
+    cols = columns or []
     table = F.regexp_extract(F.col(html_col), _table_re(table_id), 1)
     rows = F.regexp_extract_all(table, F.lit(_ROW_RE), 1)
-    exploded = pages.select(*keep, F.posexplode(rows).alias("_row_no", "_row"),
-                            _cells(F.element_at(rows, 1)).alias("_header"))
+    header = F.transform(_raw_cells(F.element_at(rows, 1)), cell_text)
+    positions = F.array(*[F.array_position(header, F.lit(c)).cast("int") for c in cols]) \
+        if cols else F.array().cast("array<int>")
+    per_page = pages.select(*keep, rows.alias("_rows"), F.size(header).alias("_width"),
+                            positions.alias("_pos"))
+    exploded = per_page.select(*keep, "_width", "_pos",
+                               F.posexplode("_rows").alias("_row_no", "_row"))
     body = (exploded.where(F.col("_row_no") > 0)
-            .withColumn("_cells", _cells(F.col("_row")))
-            .where(F.size("_cells") == F.size("_header"))
-            .withColumn("_m", F.map_from_arrays("_header", "_cells")))
-    cols = columns or []
+            .withColumn("_cells", _raw_cells(F.col("_row")))
+            .where(F.size("_cells") == F.col("_width")))
+
+    def pick(i: int) -> Column:
+        pos = F.element_at(F.col("_pos"), i + 1)
+        return F.when(pos > 0, cell_text(F.element_at(F.col("_cells"), pos)))
+
     return body.select(*keep, F.col("_row_no").alias("row_no"),
-                       *[F.try_element_at(F.col("_m"), F.lit(c)).alias(c) for c in cols])
+                       *[pick(i).alias(c) for i, c in enumerate(cols)])
