@@ -6,18 +6,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rainrisk.functions.domain import alert_band, alert_level_label
+from rainrisk.operators.joins import checked_broadcast
 
 
-def latest_per_municipality(silver: DataFrame) -> DataFrame:
+def latest_per_municipality(silver: DataFrame,
+                            municipalities: DataFrame | None = None) -> DataFrame:
     """A1 + J7: readings on each municipality's latest date.
 
-    The per-municipality maxima are one row per municipality; AQE picks a
-    broadcast for that side from its measured size, else a sort-merge join.
+    The maxima are one row per municipality. Given the municipality
+    dimension, that bound is checked and the maxima are broadcast, so the
+    readings are not shuffled again by (municipality, date); without it AQE
+    decides from the measured size.
     """
     s = (silver.where(F.col("municipio_inferido").isNotNull())
          .select(F.col("municipio_inferido").alias("municipio"), "codigo_posto", "data",
                  "precipitacao"))
     latest = s.groupBy("municipio").agg(F.max("data").alias("data"))
+    if municipalities is not None:
+        latest = checked_broadcast(latest, bound=municipalities)
     return s.join(latest, ["municipio", "data"]).select(
         "municipio", "codigo_posto", "data", "precipitacao")
 

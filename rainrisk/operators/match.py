@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rainrisk.functions.text import LIKE_ESCAPE, clean_string, like_literal
+from rainrisk.operators.joins import checked_broadcast
 
 # --- fixed values (must equal the reference's tier names) --------------------
 TIER_EXACT = "Exato"
@@ -92,7 +93,10 @@ def candidate_pairs(stations: DataFrame, municipalities: DataFrame) -> DataFrame
     """All (station spelling, municipality) pairs with ``name LIKE %mun%``,
     tagged with the best tier each satisfies (1 exact, 2 prefix, 3 contains).
     """
-    mk = _municipality_gram(municipality_keys(municipalities))
+    # one key row per municipality: broadcast when the dimension is small,
+    # so the exploded station n-grams are probed in place, never shuffled
+    mk = checked_broadcast(_municipality_gram(municipality_keys(municipalities)),
+                           bound=municipalities)
     cand = _station_grams(stations).join(mk, "_key")
     name = F.col("nome_posto_limpo")
     pat = like_literal(F.col("municipio_limpo"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rainrisk.functions.text import upper_trim
+from rainrisk.operators.joins import checked_broadcast
 
 
 def latest_per_station(feed: DataFrame, order: list[str] | None = None,
@@ -40,4 +41,5 @@ def station_table(latest: DataFrame, municipalities: DataFrame,
             "codigo_ibge", "latitude", "longitude"]
     if as_of is not None:
         cols.append(as_of.alias("atualizado_em"))
-    return st.join(mun, "municipio_nome", "left").select(*cols)
+    return st.join(checked_broadcast(mun, bound=municipalities), "municipio_nome",
+                   "left").select(*cols)

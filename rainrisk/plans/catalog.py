@@ -108,8 +108,8 @@ def silver_rainfall(spark, d):
 
 @query
 def latest_per_municipality(spark, d):
-    return grid.latest_per_municipality(
-        medallion.silver_rainfall(_bronze(spark, d), _mun(spark, d)))
+    mun = _mun(spark, d)
+    return grid.latest_per_municipality(medallion.silver_rainfall(_bronze(spark, d), mun), mun)
 
 
 @query

@@ -57,7 +57,7 @@ def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TA
     """One output row per data row of the table; ``columns`` taken by header name.
 
     The header is parsed once per page and each wanted column's position is
-    looked up there; data rows then only index their cells. Rows whose cell
+    looked up there; data rows then only index their cleaned cells. Rows whose cell
     count differs from the header's are skipped (spanned footers). Columns
     missing from a page's header come out NULL.
     """
@@ -74,11 +74,14 @@ def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TA
                                F.posexplode("_rows").alias("_row_no", "_row"))
     body = (exploded.where(F.col("_row_no") > 0)
             .withColumn("_cells", _raw_cells(F.col("_row")))
-            .where(F.size("_cells") == F.col("_width")))
+            .where(F.size("_cells") == F.col("_width"))
+            # one generated loop cleans every cell (not one copy per column,
+            # which would push the generated method past the JVM's 64 KB)
+            .withColumn("_cells", F.transform("_cells", cell_text)))
 
     def pick(i: int) -> Column:
         pos = F.element_at(F.col("_pos"), i + 1)
-        return F.when(pos > 0, cell_text(F.element_at(F.col("_cells"), pos)))
+        return F.when(pos > 0, F.element_at(F.col("_cells"), pos))
 
     return body.select(*keep, F.col("_row_no").alias("row_no"),
                        *[pick(i).alias(c) for i, c in enumerate(cols)])
