@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rainrisk.operators.joins import checked_broadcast
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -64,7 +66,11 @@ def daily_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))
                           .otherwise(F.lit(0.0))).alias("_rain")))
     precip = F.when(F.col("_lines") % 13 == 0, F.lit(None).cast("double")).otherwise(F.col("_rain"))
-    return per_day.join(stations(spark, sf_dir), "codigo_posto").select(
+    # the station table is bounded by the supplier table; broadcast it only
+    # when that is small (without cost-based statistics Catalyst would
+    # otherwise pick the per-day aggregate, the larger side, to broadcast)
+    st = checked_broadcast(stations(spark, sf_dir), bound=table(spark, sf_dir, "supplier"))
+    return per_day.join(st, "codigo_posto").select(
         "codigo_posto", "nome_posto", "data", precip.alias("precipitacao"), "mesorregiao_id")
 
 
