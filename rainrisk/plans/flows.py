@@ -42,11 +42,21 @@ def daily_load(spark: SparkSession, raw_path: str, bronze_path: str,
     return units
 
 
+def bucket_bronze(spark: SparkSession, bronze_path: str, table: str, table_path: str,
+                  buckets: int) -> DataFrame:
+    """Store bronze bucketed by station and sorted by date: silver's mapping
+    join and windows then read it without shuffling the fact at all."""
+    return sinks.save_bucketed(daily.read_bronze(spark, bronze_path), table, table_path,
+                               "codigo_posto", buckets, sort_by=["codigo_posto", "data"])
+
+
 def build_silver_gold(spark: SparkSession, bronze_path: str, municipalities: DataFrame,
-                      silver_path: str, gold_path: str) -> DataFrame:
+                      silver_path: str, gold_path: str,
+                      bronze: DataFrame | None = None) -> DataFrame:
     """Rebuild silver (partitioned by year) and gold from it; returns the
-    served alerts (read from the written gold table)."""
-    bronze = daily.read_bronze(spark, bronze_path)
+    served alerts (read from the written gold table). ``bronze`` may be the
+    bucketed table from ``bucket_bronze`` instead of the plain path."""
+    bronze = bronze if bronze is not None else daily.read_bronze(spark, bronze_path)
     silver = medallion.silver_rainfall(bronze, municipalities)
     sinks.rebuild_table(silver, silver_path, partition_by=["ano"])
     gold = grid.gold_grid_risk(spark.read.parquet(silver_path))

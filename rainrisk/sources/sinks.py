@@ -56,3 +56,24 @@ def rows_per_file(df: DataFrame) -> DataFrame:
     """Row count per source file (from the file metadata column)."""
     return (df.select(F.col("_metadata.file_path").alias("file_path"))
             .groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, bucket_col: str, buckets: int,
+                  sort_by: list[str] | None = None,
+                  partition_by: list[str] | None = None) -> DataFrame:
+    """Store ``df`` as an external table bucketed (and sorted) on ``bucket_col``.
+
+    Readers that group, window or join on ``bucket_col`` then get Spark's
+    bucketed scan: each task reads one bucket and the data is already hash
+    partitioned on the key, so those operators need no shuffle. Used for
+    the bronze fact (bucketed by station, sorted by date) so the silver
+    windows run without moving the fact at all.
+    """
+    w = df.write.mode("overwrite").option("path", path)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w = w.bucketBy(buckets, bucket_col)
+    if sort_by:
+        w = w.sortBy(*sort_by)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)
