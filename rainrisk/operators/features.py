@@ -78,3 +78,60 @@ def with_alert_band(df: DataFrame) -> DataFrame:
 
 def rainfall_features(df: DataFrame, anchor: str = "reference") -> DataFrame:
     return with_moving_mean(with_dry_spell(with_islands(df), anchor))
+
+
+# ---- incremental form: one year slice with carried-in station state ----------
+def carry_state(history: DataFrame, rows: int = MOVING_ROWS) -> DataFrame:
+    """State of each station at the end of ``history`` (all its readings
+    before the slice to be computed):
+
+    * ``carry_rn`` – the reading's number within its island at the last
+      reading (readings since the last rainy one, that one included; all
+      readings when it never rained);
+    * the last ``rows - 1`` readings, for the moving mean's first rows.
+
+    Both are aggregates per station (the tail a top-k over a bounded
+    per-station partition), so no window over the whole history is needed.
+    """
+    p0 = F.coalesce(F.col("precipitacao"), F.lit(0.0))
+    h = history.select("codigo_posto", "data", "precipitacao")
+    last_rain = (h.where(p0 > 0).groupBy("codigo_posto")
+                 .agg(F.max("data").alias("_last_rain")))
+    rn = (h.join(last_rain, "codigo_posto", "left")
+          .where(F.col("_last_rain").isNull() | (F.col("data") >= F.col("_last_rain")))
+          .groupBy("codigo_posto").agg(F.count(F.lit(1)).alias("carry_rn")))
+    w = Window.partitionBy("codigo_posto").orderBy(F.col("data").desc())
+    tail = (h.withColumn("_k", F.row_number().over(w)).where(F.col("_k") < rows)
+            .drop("_k"))
+    return rn, tail
+
+
+def rainfall_features_slice(slice_df: DataFrame, history: DataFrame,
+                            rows: int = MOVING_ROWS) -> DataFrame:
+    """W3–W5 for the readings of ``slice_df`` only, equal to computing them on
+    history ∪ slice and keeping the slice's rows (``history`` must hold all
+    of each station's readings dated before its slice readings).
+
+    ``island_id`` is not produced (its absolute value needs the whole past
+    and appears in no output); ``dias_secos_consecutivos`` and ``mm_7d`` are.
+    """
+    rn, tail = carry_state(history, rows)
+    p0 = F.coalesce(F.col("precipitacao"), F.lit(0.0))
+    tail_rows = tail.withColumn("_tail", F.lit(True))
+    cols = slice_df.columns
+    both = (slice_df.withColumn("_tail", F.lit(False))
+            .unionByName(tail_rows, allowMissingColumns=True))
+    w = Window.partitionBy("codigo_posto").orderBy("data")
+    rainy = F.when(~F.col("_tail") & (p0 > 0), 1).otherwise(0)
+    both = both.withColumn("_island", F.sum(rainy).over(w))
+    w_island = Window.partitionBy("codigo_posto", "_island").orderBy("data") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local_rn = F.sum(F.when(~F.col("_tail"), 1).otherwise(0)).over(w_island)
+    both = both.withColumn("mm_7d", F.avg("precipitacao").over(
+        w.rowsBetween(-(rows - 1), Window.currentRow)))
+    both = both.withColumn("_local_rn", local_rn).where(~F.col("_tail"))
+    out = both.join(rn, "codigo_posto", "left")
+    n = F.col("_local_rn") + F.when(F.col("_island") == 0,
+                                    F.coalesce(F.col("carry_rn"), F.lit(0))).otherwise(0)
+    return out.select(*cols, F.when(p0 == 0, n).otherwise(F.lit(0)).cast("bigint")
+                      .alias("dias_secos_consecutivos"), "mm_7d")

@@ -106,6 +106,14 @@ def silver_rainfall(spark, d):
     return medallion.silver_rainfall(_bronze(spark, d), _mun(spark, d))
 
 
+@query
+def silver_rainfall_latest_year(spark, d):
+    """Incremental silver: the latest year recomputed from carried-in state."""
+    bronze = _bronze(spark, d)
+    latest = bronze.select(F.max(F.year("data"))).scalar()
+    return medallion.silver_rainfall_year(bronze, _mun(spark, d), latest)
+
+
 @query
 def latest_per_municipality(spark, d):
     mun = _mun(spark, d)

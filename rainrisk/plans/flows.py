@@ -62,3 +62,17 @@ def build_silver_gold(spark: SparkSession, bronze_path: str, municipalities: Dat
     gold = grid.gold_grid_risk(spark.read.parquet(silver_path))
     sinks.rebuild_table(gold, gold_path)
     return grid.alerts(spark.read.parquet(gold_path))
+
+
+def refresh_silver_year(spark: SparkSession, bronze_path: str, municipalities: DataFrame,
+                        silver_path: str, gold_path: str, year: int) -> DataFrame:
+    """Daily E3 after a current-year load: replace only silver's ``ano=year``
+    partition (carried-in station state instead of re-windowing history),
+    then rebuild gold from the silver table (a map-side-combined aggregate)."""
+    bronze = daily.read_bronze(spark, bronze_path)
+    (medallion.silver_rainfall_year(bronze, municipalities, year)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("ano").parquet(silver_path))
+    gold = grid.gold_grid_risk(spark.read.parquet(silver_path))
+    sinks.rebuild_table(gold, gold_path)
+    return grid.alerts(spark.read.parquet(gold_path))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rainrisk.operators import features, grid, match
@@ -29,6 +29,25 @@ def silver_rainfall(bronze: DataFrame, municipalities: DataFrame,
     return out.select(*SILVER_COLUMNS)
 
 
+def silver_rainfall_year(bronze: DataFrame, municipalities: DataFrame,
+                         year: int | Column) -> DataFrame:
+    """Silver rows of one year only, equal to ``silver_rainfall`` filtered to
+    that year: the year's readings plus each station's state carried in
+    from earlier years (``features.rainfall_features_slice``). The daily
+    load replaces the current year; this recomputes only that year instead
+    of re-windowing the whole history. Station matching still reads the
+    distinct (code, name) pairs of all years (two columns, combined
+    map-side), since a new spelling can change a station's match.
+    ``year`` may be a Column, e.g. a scalar subquery for "the latest year".
+    """
+    mapping = match.station_municipality_map(bronze, municipalities)
+    year_rows = bronze.where(F.year("data") == year)
+    history = bronze.where(F.year("data") < year)
+    base = features.with_calendar(year_rows.join(mapping, "codigo_posto", "left"))
+    out = features.with_alert_band(features.rainfall_features_slice(base, history))
+    return out.select(*SILVER_COLUMNS)
+
+
 def gold_grid_risk(bronze: DataFrame, municipalities: DataFrame) -> DataFrame:
     return grid.gold_grid_risk(silver_rainfall(bronze, municipalities))
 
@@ -41,5 +60,5 @@ def served_alerts(gold: DataFrame) -> DataFrame:
     return grid.alerts(gold)
 
 
-__all__ = ["SILVER_COLUMNS", "silver_rainfall", "gold_grid_risk", "gold_from_silver",
-           "served_alerts", "F"]
+__all__ = ["SILVER_COLUMNS", "silver_rainfall", "silver_rainfall_year", "gold_grid_risk",
+           "gold_from_silver", "served_alerts"]

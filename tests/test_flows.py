@@ -42,3 +42,17 @@ def test_pages_to_fetch_skips_landed_years(spark, scratch):
     plan = flows.pages_to_fetch(spark, bronze, dt.date(2026, 6, 30))
     assert plan.where("mesorregiao_id = 2601 AND ano = 1990").count() == 0
     assert plan.count() == 5 * 66 - 1
+
+
+def test_refresh_year_equals_full_build(spark, scratch):
+    bronze_path, silver_path = scratch("bronze"), scratch("silver")
+    readings = B.daily_readings(spark, SF_SMALL)
+    daily.replace_bronze_partitions(readings, bronze_path)
+    mun = B.municipalities(spark, SF_SMALL)
+    full = flows.build_silver_gold(spark, bronze_path, mun, silver_path, scratch("gold")).collect()
+    before = sorted(spark.read.parquet(silver_path).collect())
+    last = max(r.ano for r in spark.read.parquet(silver_path).select("ano").distinct().collect())
+    served = flows.refresh_silver_year(spark, bronze_path, mun, silver_path, scratch("gold2"),
+                                       last).collect()
+    assert sorted(spark.read.parquet(silver_path).collect()) == before
+    assert [tuple(r) for r in served] == [tuple(r) for r in full]
