@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainrisk.functions.domain import alert_band, climate_period, weekday_name
+from rainrisk.functions import domain
 from rainrisk.operators import features, grid, match
 from rainrisk.plans import medallion
 from rainrisk.sources import bindings as B
@@ -64,22 +64,21 @@ def match_remaining(spark, d):
 def alert_level(spark, d):
     b = _bronze(spark, d)
     return b.select("codigo_posto", "data", "precipitacao",
-                    alert_band(F.col("precipitacao")).alias("alerta_chuva"))
+                    domain.alert_band(F.col("precipitacao")).alias("alerta_chuva"))
 
 
 @query
-def climate_period(spark, d):  # noqa: F811 - query name mirrors the rule
-    from rainrisk.functions.domain import climate_period as rule
+def climate_period(spark, d):
     b = _bronze(spark, d)
     return b.select("codigo_posto", "data", "mesorregiao_id",
-                    rule(F.col("mesorregiao_id"), F.col("data")).alias("periodo_clima"))
+                    domain.climate_period(F.col("mesorregiao_id"), F.col("data"))
+                    .alias("periodo_clima"))
 
 
 @query
-def weekday_name(spark, d):  # noqa: F811
-    from rainrisk.functions.domain import weekday_name as rule
+def weekday_name(spark, d):
     b = _bronze(spark, d)
-    return b.select("codigo_posto", "data", rule(F.col("data")).alias("dia_semana"))
+    return b.select("codigo_posto", "data", domain.weekday_name(F.col("data")).alias("dia_semana"))
 
 
 @query
