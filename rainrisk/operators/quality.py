@@ -107,3 +107,18 @@ def assert_integrity(units: DataFrame) -> None:
     bad = units.where(F.col("status") != STATUS_OK).limit(20).collect()
     if bad:
         raise ValueError(f"raw integrity failed for {len(bad)}+ units, e.g. {bad[:3]}")
+
+
+STATUS_UNREADABLE = "unreadable_or_empty"
+
+
+def unreadable_files(spark, path: str, rows: DataFrame, glob: str = "*.parquet",
+                     file_col: str = "_file") -> DataFrame:
+    """Q4 'cannot be opened': files under ``path`` that yielded no rows in a
+    scan with ``ignoreCorruptFiles`` (an empty but valid file looks the same
+    from the data, hence the status name). The listing reads no content."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+              .option("pathGlobFilter", glob).load(path).select(F.col("path").alias(file_col)))
+    seen = rows.select(file_col).distinct()
+    return (listed.join(seen, file_col, "left_anti")
+            .withColumn("status", F.lit(STATUS_UNREADABLE)))

@@ -76,3 +76,29 @@ def refresh_silver_year(spark: SparkSession, bronze_path: str, municipalities: D
     gold = grid.gold_grid_risk(spark.read.parquet(silver_path))
     sinks.rebuild_table(gold, gold_path)
     return grid.alerts(spark.read.parquet(gold_path))
+
+
+def daily_load_files(spark: SparkSession, raw_dir: str, bronze_path: str,
+                     year: int | None = None) -> DataFrame:
+    """E1 load for raw files named ``<Region>_<yyyy>.parquet`` (one scan).
+
+    Per file: unreadable files and files lacking a mandatory column are
+    rejected (P3), the year guard keeps the file-name year (S2, P10), and
+    the integrity check reports each file (Q4). Accepted rows replace their
+    (year, region) partitions. Returns one report row per file.
+    """
+    from pyspark.sql import functions as F
+
+    glob = f"*_{year}.parquet" if year is not None else "*.parquet"
+    raw = daily.read_raw_files(spark, raw_dir, glob)
+    unreadable = quality.unreadable_files(spark, raw_dir, raw, glob)
+    kept, rejected = daily.guard_mandatory_columns(raw)
+    kept = kept.withColumn(daily.EXPECTED_YEAR, daily.year_in_file_name(F.col("_file")))
+    year_col = daily.YEAR_TAG if daily.YEAR_TAG in kept.columns else None
+    units = quality.unit_integrity(kept, ["_file"], F.col(daily.EXPECTED_YEAR), year_col=year_col)
+    long = daily.shape_daily(kept.drop("_file"))
+    sinks.ensure_table(spark, bronze_path, daily.bronze_schema(), daily.PARTITION_COLS)
+    daily.replace_bronze_partitions(long, bronze_path)
+    return (units.select("_file", "status")
+            .unionByName(rejected.select("_file", "status"))
+            .unionByName(unreadable.select("_file", "status")))

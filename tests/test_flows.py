@@ -56,3 +56,30 @@ def test_refresh_year_equals_full_build(spark, scratch):
                                        last).collect()
     assert sorted(spark.read.parquet(silver_path).collect()) == before
     assert [tuple(r) for r in served] == [tuple(r) for r in full]
+
+
+def test_daily_load_files_reports_each_file(spark, scratch):
+    import os
+
+    import pandas as pd
+    base = scratch("legacy").removeprefix("file:")
+    os.makedirs(base)
+    days = {f"{d:02d}": ["1,5"] for d in range(1, 32)}
+    good = pd.DataFrame({"Código": [1], "Posto": ["A"], "Mês/Ano": ["jan/2020"], **days,
+                         "mesorregiao_id": [2601], "ano_ref": [2020]})
+    good.to_parquet(f"{base}/Sertao_Pernambucano_2020.parquet")
+    wrong_year = good.assign(**{"Mês/Ano": ["jan/2019"], "ano_ref": [2019]})
+    wrong_year.to_parquet(f"{base}/Mata_Pernambucana_2020.parquet")
+    good.drop(columns=["Posto"]).to_parquet(f"{base}/Agreste_Pernambucano_2020.parquet")
+    with open(f"{base}/Metropolitana_Recife_2020.parquet", "wb") as fh:
+        fh.write(b"broken")
+    bronze = scratch("bronze")
+    report = {os.path.basename(r._file): r.status
+              for r in flows.daily_load_files(spark, base, bronze, year=2020).collect()}
+    assert report == {"Sertao_Pernambucano_2020.parquet": "ok",
+                      "Mata_Pernambucana_2020.parquet": "inconsistent",
+                      "Agreste_Pernambucano_2020.parquet": "missing_columns",
+                      "Metropolitana_Recife_2020.parquet": "unreadable_or_empty"}
+    loaded = daily.read_bronze(spark, bronze).collect()
+    assert len(loaded) == 31 and {r.codigo_posto for r in loaded} == {1}
+    assert {r.precipitacao for r in loaded} == {1.5}
