@@ -45,8 +45,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.col("s_name")))
     region = F.when(F.col("s_suppkey") % 10 == 9, F.lit(None).cast("int")) \
         .otherwise(F.lit(2601) + F.col("n_regionkey"))
-    # nation is a fixed 25-row table: broadcasting it is bounded by definition
-    return s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).select(
+    return s.join(checked_broadcast(n), s.s_nationkey == n.n_nationkey).select(
         F.col("s_suppkey").alias("codigo_posto"), name.alias("nome_posto"),
         region.alias("mesorregiao_id"))
 
