@@ -106,16 +106,18 @@ def carry_state(history: DataFrame, rows: int = MOVING_ROWS) -> DataFrame:
     return rn, tail
 
 
-def rainfall_features_slice(slice_df: DataFrame, history: DataFrame,
-                            rows: int = MOVING_ROWS) -> DataFrame:
+def rainfall_features_slice(slice_df: DataFrame, history: DataFrame | None = None,
+                            rows: int = MOVING_ROWS,
+                            state: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """W3–W5 for the readings of ``slice_df`` only, equal to computing them on
     history ∪ slice and keeping the slice's rows (``history`` must hold all
-    of each station's readings dated before its slice readings).
+    of each station's readings dated before its slice readings). Instead of
+    ``history``, a stored ``state = carry_state(history)`` may be given.
 
     ``island_id`` is not produced (its absolute value needs the whole past
     and appears in no output); ``dias_secos_consecutivos`` and ``mm_7d`` are.
     """
-    rn, tail = carry_state(history, rows)
+    rn, tail = state if state is not None else carry_state(history, rows)
     p0 = F.coalesce(F.col("precipitacao"), F.lit(0.0))
     tail_rows = tail.withColumn("_tail", F.lit(True))
     cols = slice_df.columns

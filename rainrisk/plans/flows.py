@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rainrisk.operators import grid, quality
 from rainrisk.plans import medallion
@@ -64,13 +65,36 @@ def build_silver_gold(spark: SparkSession, bronze_path: str, municipalities: Dat
     return grid.alerts(spark.read.parquet(gold_path))
 
 
+def year_start_state(spark: SparkSession, bronze_path: str, state_path: str,
+                     year: int) -> tuple[DataFrame, DataFrame]:
+    """Each station's state at the start of ``year`` (carry number and last
+    readings), computed from the earlier years once and stored: while the
+    current year is reloaded day after day, this state does not change.
+    """
+    from rainrisk.operators import features
+
+    base = f"{state_path.rstrip('/')}/ano={year}"
+    if not sinks.path_exists(spark, f"{base}/_READY"):
+        history = daily.read_bronze(spark, bronze_path).where(F.col("ano") < year)
+        rn, tail = features.carry_state(history)
+        rn.write.mode("overwrite").parquet(f"{base}/carry")
+        tail.write.mode("overwrite").parquet(f"{base}/tail")
+        spark.createDataFrame([(year,)], "ano int").write.mode("overwrite").parquet(
+            f"{base}/_READY")
+    return spark.read.parquet(f"{base}/carry"), spark.read.parquet(f"{base}/tail")
+
+
 def refresh_silver_year(spark: SparkSession, bronze_path: str, municipalities: DataFrame,
-                        silver_path: str, gold_path: str, year: int) -> DataFrame:
+                        silver_path: str, gold_path: str, year: int,
+                        state_path: str | None = None) -> DataFrame:
     """Daily E3 after a current-year load: replace only silver's ``ano=year``
     partition (carried-in station state instead of re-windowing history),
-    then rebuild gold from the silver table (a map-side-combined aggregate)."""
+    then rebuild gold from the silver table (a map-side-combined aggregate).
+    With ``state_path`` the year-start state is read from (or stored once
+    to) there, so the daily run reads only the current year's readings."""
     bronze = daily.read_bronze(spark, bronze_path)
-    (medallion.silver_rainfall_year(bronze, municipalities, year)
+    state = year_start_state(spark, bronze_path, state_path, year) if state_path else None
+    (medallion.silver_rainfall_year(bronze, municipalities, year, state=state)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ano").parquet(silver_path))
     gold = grid.gold_grid_risk(spark.read.parquet(silver_path))
@@ -87,8 +111,6 @@ def daily_load_files(spark: SparkSession, raw_dir: str, bronze_path: str,
     the integrity check reports each file (Q4). Accepted rows replace their
     (year, region) partitions. Returns one report row per file.
     """
-    from pyspark.sql import functions as F
-
     glob = f"*_{year}.parquet" if year is not None else "*.parquet"
     raw = daily.read_raw_files(spark, raw_dir, glob)
     unreadable = quality.unreadable_files(spark, raw_dir, raw, glob)

@@ -19,7 +19,7 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -29,7 +29,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType | str,
                  partition_by: list[str] | None = None) -> None:
     """Create an empty table with the given schema if none exists yet."""
-    if _exists(spark, path):
+    if path_exists(spark, path):
         return
     empty = spark.createDataFrame([], schema)
     w = empty.write.mode("ignore")

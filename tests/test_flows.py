@@ -56,6 +56,13 @@ def test_refresh_year_equals_full_build(spark, scratch):
                                        last).collect()
     assert sorted(spark.read.parquet(silver_path).collect()) == before
     assert [tuple(r) for r in served] == [tuple(r) for r in full]
+    # with the stored year-start state (computed on the first run, reused after)
+    state = scratch("state")
+    for _ in range(2):
+        served = flows.refresh_silver_year(spark, bronze_path, mun, silver_path,
+                                           scratch("gold3"), last, state_path=state).collect()
+        assert sorted(spark.read.parquet(silver_path).collect()) == before
+        assert [tuple(r) for r in served] == [tuple(r) for r in full]
 
 
 def test_daily_load_files_reports_each_file(spark, scratch):
