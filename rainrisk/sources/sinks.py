@@ -20,10 +20,13 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    """Whether a Parquet table (or marker) exists at ``path`` (lists files only)."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - resolving lists the path
+        return True
+    except AnalysisException:
+        return False
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType | str,
