@@ -9,7 +9,9 @@ accepts append only. A late or out-of-order file lands in a later ingestion
 partition and still ranks by ``data_hora``, so arrival order does not matter.
 
 Checkpoints live in the shared checkpoint folder, so a restarted driver or a
-lost executor resumes from the last committed batch.
+lost executor resumes from the last committed batch. T2's state is one row
+per station, so it stays small; a large deployment would still pick the
+RocksDB state store provider.
 """
 
 from __future__ import annotations
@@ -36,10 +38,17 @@ def _trigger(writer, available_now: bool):
 
 
 def land_feed(spark: SparkSession, payload_dir: str, landed_dir: str, checkpoint: str,
-              json_array: bool = False, available_now: bool = True):
-    """T1 + S8: payload files → typed rows → Parquet under ano=/mes=/dia=."""
-    src = (spark.readStream.schema(PAYLOAD_SCHEMA)
-           .option("multiLine", json_array).json(payload_dir))
+              json_array: bool = False, available_now: bool = True,
+              max_files_per_trigger: int | None = None):
+    """T1 + S8: payload files → typed rows → Parquet under ano=/mes=/dia=.
+
+    ``max_files_per_trigger`` bounds a micro-batch when a backlog of files
+    has piled up (``availableNow`` still drains all of it, in such batches).
+    """
+    reader = spark.readStream.schema(PAYLOAD_SCHEMA).option("multiLine", json_array)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.json(payload_dir)
     rows = with_ingest_partitions(typed_feed(src))
     writer = (rows.writeStream.format("parquet")
               .option("path", landed_dir).option("checkpointLocation", checkpoint)

@@ -41,7 +41,7 @@ def test_stream_equals_batch_out_of_order(spark, scratch):
     payload(spark, rows[1:2] + rows[3:]).write.json(f"{base}/payload/a1")
     payload(spark, rows[0:1] + rows[2:3]).write.json(f"{base}/payload/a2")
     S.run_available_now(S.land_feed(spark, f"{base}/payload/*/*.json", f"{base}/landed",
-                                    f"{base}/cp1"))
+                                    f"{base}/cp1", max_files_per_trigger=1))
     landed = feed.read_landed(spark, f"{base}/landed")
     assert landed.count() == 4 and set(landed.columns) >= {"ano", "mes", "dia"}
     assert all(len(r.mes) == 2 for r in landed.select("mes").collect())
