@@ -1,6 +1,7 @@
 """Batch and streaming jobs, one sub-command per pipeline step.
 
-    spark-submit -m rainrisk.jobs <command> [options]      (or python -m rainrisk.jobs)
+    spark-submit --py-files rainrisk.zip rainrisk/jobs.py <command> [options]
+    python -m rainrisk.jobs <command> [options]                      (local)
 
   plan          pages still to fetch (backfill plan) → Parquet
   load          validate and load landed raw data into bronze (one year or all)
@@ -22,6 +23,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
+if __package__ in (None, ""):  # run as a file by spark-submit: make the package importable
+    import os
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("rainrisk").getOrCreate()
