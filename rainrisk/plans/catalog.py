@@ -324,3 +324,26 @@ def dq_file_integrity(spark, d):
     from rainrisk.operators import quality as Q
     raw = _landed_wide(spark, d, mis_tag_mod=7)
     return Q.unit_integrity(raw, ["mesorregiao_id", "ano_ref"], F.col("ano_ref"))
+
+
+@query
+def dq_file_summary(spark, d):
+    """Q5/A4: raw units per integrity status."""
+    from rainrisk.operators import quality as Q
+    raw = _landed_wide(spark, d, mis_tag_mod=7)
+    return Q.integrity_summary(Q.unit_integrity(raw, ["mesorregiao_id", "ano_ref"],
+                                                F.col("ano_ref")))
+
+
+@query
+def raw_csv_integrity(spark, d):
+    """S5 + Q4: the raw wide pages kept as CSV (header row, all text), checked
+    per (region, year) directory like the Parquet landing."""
+    from rainrisk.operators import quality as Q
+    from rainrisk.session import scratch_path
+    from rainrisk.sources import daily
+    path = scratch_path(spark, "raw-csv")
+    (B.daily_wide(_bronze(spark, d), 7).write.mode("overwrite").option("header", True)
+     .partitionBy("mesorregiao_id", "ano_ref").csv(path))
+    raw = daily.read_raw_csv(spark, path)
+    return Q.unit_integrity(raw, ["mesorregiao_id", "ano_ref"], F.col("ano_ref"))

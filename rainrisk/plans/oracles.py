@@ -340,3 +340,8 @@ SELECT mesorregiao_id, CAST(tag AS INTEGER) AS ano_ref, CAST(tag AS BIGINT) AS e
             WHEN min(y) <> max(y) OR min(y) <> tag THEN 'inconsistent'
             ELSE 'ok' END AS status
 FROM o_tag GROUP BY mesorregiao_id, tag""", "v_leitura")
+
+_UNITS_SQL = ORACLES["dq_file_integrity"]
+ORACLES["raw_csv_integrity"] = _UNITS_SQL
+ORACLES["dq_file_summary"] = f"""
+SELECT status, count(*) AS n_units FROM ({_UNITS_SQL}) GROUP BY status"""
