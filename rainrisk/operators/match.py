@@ -13,12 +13,14 @@ That is one candidate join and one aggregation instead of three joins and
 three anti joins that each rescan the station set.
 
 Candidate join without a cross product: a pattern ``%P%`` can only match a
-name that contains P's first literal run (the text before its first `_`/`%`
-wildcard), so it contains the run's first ``GRAM`` characters. Stations emit
-every distinct substring of length 1..GRAM (plus the empty key, which
-wildcard-only patterns use); municipalities emit one key each; an equi-join on
-the key yields a complete candidate set, which ``LIKE`` then checks exactly.
-Work is linear in stations × name length, whatever the dimension size.
+name that contains P's first literal run (the first stretch without a `_`/`%`
+wildcard), so it contains the run's first ``GRAM`` characters. Municipalities
+emit that key (empty for wildcard-only names); stations emit their distinct
+substrings of the key lengths the dimension uses (usually only ``GRAM``); an
+equi-join on the key yields a complete candidate set, which ``LIKE`` then
+checks exactly. Work is linear in stations × name length, whatever the
+dimension size, and no key is shared by every station unless a
+wildcard-only name exists.
 """
 
 from __future__ import annotations
@@ -68,15 +70,17 @@ def _grams_of_length(name, positions, q: int):
     return F.filter(subs, lambda g: F.length(g) == q)
 
 
-def _station_grams(stations: DataFrame) -> DataFrame:
+def _station_grams(stations: DataFrame, lengths: list[int]) -> DataFrame:
+    """Each station's distinct substrings of the given lengths (0 = the empty
+    key that wildcard-only patterns use)."""
     name = F.col("nome_posto_limpo")
     n = F.length(name)
     positions = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    grams = F.flatten(F.array(*[_grams_of_length(name, positions, q)
-                                for q in range(1, GRAM + 1)]))
-    keys = F.array_union(F.array(F.lit("")), F.array_distinct(grams))
-    return stations.select("codigo_posto", "nome_posto_limpo",
-                           F.explode(keys).alias("_key"))
+    parts = [_grams_of_length(name, positions, q) for q in lengths if q > 0]
+    if 0 in lengths:
+        parts.append(F.array(F.lit("")))
+    keys = F.array_distinct(F.flatten(F.array(*parts))) if parts else F.array().cast("array<string>")
+    return stations.select("codigo_posto", "nome_posto_limpo", F.explode(keys).alias("_key"))
 
 
 def _municipality_gram(mun_keys: DataFrame) -> DataFrame:
@@ -97,7 +101,11 @@ def candidate_pairs(stations: DataFrame, municipalities: DataFrame) -> DataFrame
     # so the exploded station n-grams are probed in place, never shuffled
     mk = checked_broadcast(_municipality_gram(municipality_keys(municipalities)),
                            bound=municipalities)
-    cand = _station_grams(stations).join(mk, "_key")
+    # key lengths in use (a subset of 0..GRAM, so at most GRAM + 1 small
+    # integers reach the driver): stations emit only n-grams of those lengths
+    lengths = sorted(r[0] for r in mk.select(F.length("_key")).distinct().collect()
+                     if r[0] is not None)
+    cand = _station_grams(stations, lengths).join(mk, "_key")
     name = F.col("nome_posto_limpo")
     pat = like_literal(F.col("municipio_limpo"))
     contains = _like(name, F.concat(F.lit("%"), pat, F.lit("%")))
