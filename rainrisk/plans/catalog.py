@@ -106,6 +106,12 @@ def silver_rainfall(spark, d):
     return medallion.silver_rainfall(_bronze(spark, d), _mun(spark, d))
 
 
+@query
+def silver_rainfall_split(spark, d):
+    """Silver with the windows split per (station, year) (hot-station form)."""
+    return medallion.silver_rainfall(_bronze(spark, d), _mun(spark, d), split_by_year=True)
+
+
 @query
 def silver_rainfall_latest_year(spark, d):
     """Incremental silver: the latest year recomputed from carried-in state."""

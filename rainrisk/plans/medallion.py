@@ -16,17 +16,25 @@ SILVER_COLUMNS = [
 
 
 def silver_rainfall(bronze: DataFrame, municipalities: DataFrame,
-                    anchor: str = "reference") -> DataFrame:
+                    anchor: str = "reference", split_by_year: bool = False) -> DataFrame:
     """The silver daily table: bronze × station mapping + calendar + features.
 
     The mapping has one row per code, so the left join cannot fan out
     (silver rows = bronze rows). The join and the three windows share the
-    key ``codigo_posto``: the fact is shuffled once.
+    key ``codigo_posto``: the fact is shuffled once. With ``split_by_year``
+    the windows run per (station, year) with carried-in state instead
+    (``features.rainfall_features_split``), so no task holds more than one
+    station-year of readings.
     """
     mapping = match.station_municipality_map(bronze, municipalities)
     base = features.with_calendar(bronze.join(mapping, "codigo_posto", "left"))
-    out = features.with_alert_band(features.rainfall_features(base, anchor))
-    return out.select(*SILVER_COLUMNS)
+    if split_by_year:
+        if anchor != "reference":
+            raise ValueError("split_by_year supports the reference numbering only")
+        feats = features.rainfall_features_split(base)
+    else:
+        feats = features.rainfall_features(base, anchor)
+    return features.with_alert_band(feats).select(*SILVER_COLUMNS)
 
 
 def silver_rainfall_year(bronze: DataFrame, municipalities: DataFrame,

@@ -139,6 +139,8 @@ ORACLES["match_remaining"] = _w(
 
 ORACLES["silver_rainfall"] = _w(SILVER_CTES, "SELECT * FROM o_silver", "v_municipio", "v_leitura")
 
+ORACLES["silver_rainfall_split"] = ORACLES["silver_rainfall"]
+
 ORACLES["silver_rainfall_latest_year"] = _w(
     SILVER_CTES, "SELECT * FROM o_silver WHERE ano = (SELECT max(year(data)) FROM v_leitura)",
     "v_municipio", "v_leitura")

@@ -35,3 +35,27 @@ def test_silver_year_equals_full_silver(spark):
         want = sorted(full.where(F.col("ano") == y).collect())
         got = sorted(silver_rainfall_year(bronze, mun, y).collect())
         assert got == want, y
+
+
+def test_split_equals_full(spark):
+    from rainrisk.operators.features import rainfall_features_split
+    # year boundaries inside dry runs and islands, a one-reading year, gaps of years
+    vals = [0.0, 3.0, 0.0, None, 0.0, -1.0, 0.0, 0.0, 0.0, 5.0, 0.0, 0.0, None, 0.0]
+    df = rows(spark, vals)
+    df = df.unionByName(rows(spark, [0.0, 2.0, 0.0], start=dt.date(2025, 12, 31)))
+    df = df.unionByName(rows(spark, [0.0, 0.0], start=dt.date(2028, 6, 1)))
+    df = df.unionByName(rows(spark, [0.0] * 9, code=2)).unionByName(
+        rows(spark, [None, 7.0], start=dt.date(2025, 3, 1), code=3))
+    df = df.dropDuplicates(["codigo_posto", "data"])
+    key = lambda r: (r.codigo_posto, r.data)
+    full = {key(r): (r.island_id, r.dias_secos_consecutivos, r.mm_7d)
+            for r in rainfall_features(df).collect()}
+    split = {key(r): (r.island_id, r.dias_secos_consecutivos, r.mm_7d)
+             for r in rainfall_features_split(df).collect()}
+    assert split == full
+
+
+def test_split_equals_full_on_driver_data(spark):
+    from rainrisk.operators.features import rainfall_features_split
+    b = B.daily_readings(spark, SF_SMALL).select("codigo_posto", "data", "precipitacao")
+    assert sorted(rainfall_features_split(b).collect()) == sorted(rainfall_features(b).collect())
