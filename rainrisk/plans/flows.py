@@ -75,7 +75,7 @@ def year_start_state(spark: SparkSession, bronze_path: str, state_path: str,
 
     base = f"{state_path.rstrip('/')}/ano={year}"
     if not sinks.path_exists(spark, f"{base}/_READY"):
-        history = daily.read_bronze(spark, bronze_path).where(F.col("ano") < year)
+        history = daily.read_bronze(spark, bronze_path, before_year=year)
         rn, tail = features.carry_state(history)
         rn.write.mode("overwrite").parquet(f"{base}/carry")
         tail.write.mode("overwrite").parquet(f"{base}/tail")
@@ -94,7 +94,12 @@ def refresh_silver_year(spark: SparkSession, bronze_path: str, municipalities: D
     to) there, so the daily run reads only the current year's readings."""
     bronze = daily.read_bronze(spark, bronze_path)
     state = year_start_state(spark, bronze_path, state_path, year) if state_path else None
-    (medallion.silver_rainfall_year(bronze, municipalities, year, state=state)
+    if state is None:  # history read with a partition filter (ano < year)
+        from rainrisk.operators import features
+        state = features.carry_state(daily.read_bronze(spark, bronze_path, before_year=year))
+    year_rows = daily.read_bronze(spark, bronze_path, year=year)  # ano = year: pruned
+    (medallion.silver_rainfall_year(bronze, municipalities, year, state=state,
+                                    year_rows=year_rows)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ano").parquet(silver_path))
     gold = grid.gold_grid_risk(spark.read.parquet(silver_path))

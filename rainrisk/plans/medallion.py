@@ -39,7 +39,8 @@ def silver_rainfall(bronze: DataFrame, municipalities: DataFrame,
 
 def silver_rainfall_year(bronze: DataFrame, municipalities: DataFrame,
                          year: int | Column,
-                         state: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                         state: tuple[DataFrame, DataFrame] | None = None,
+                         year_rows: DataFrame | None = None) -> DataFrame:
     """Silver rows of one year only, equal to ``silver_rainfall`` filtered to
     that year: the year's readings plus each station's state carried in
     from earlier years (``features.rainfall_features_slice``). The daily
@@ -49,10 +50,14 @@ def silver_rainfall_year(bronze: DataFrame, municipalities: DataFrame,
     map-side), since a new spelling can change a station's match.
     ``year`` may be a Column, e.g. a scalar subquery for "the latest year".
     ``state`` (from ``features.carry_state`` of the years before, stored once
-    per year by ``flows.year_start_state``) replaces the history scan.
+    per year by ``flows.year_start_state``) replaces the history scan;
+    ``year_rows`` lets a caller pass the year's readings read with a
+    partition filter (a filter on ``year(data)`` cannot prune ``ano=``
+    directories).
     """
     mapping = match.station_municipality_map(bronze, municipalities)
-    year_rows = bronze.where(F.year("data") == year)
+    if year_rows is None:
+        year_rows = bronze.where(F.year("data") == year)
     history = None if state is not None else bronze.where(F.year("data") < year)
     base = features.with_calendar(year_rows.join(mapping, "codigo_posto", "left"))
     out = features.with_alert_band(

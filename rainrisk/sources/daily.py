@@ -183,10 +183,15 @@ def replace_bronze_partitions(long: DataFrame, path: str) -> None:
      .partitionBy(*PARTITION_COLS).parquet(path))
 
 
-def read_bronze(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, year: int | None = None,
+                before_year: int | None = None) -> DataFrame:
+    """Bronze rows; ``year`` / ``before_year`` become partition filters on
+    ``ano`` (directories outside them are not listed or read)."""
     df = spark.read.schema(bronze_schema()).parquet(path)
     if year is not None:
         df = df.where(F.col("ano") == year)
+    if before_year is not None:
+        df = df.where(F.col("ano") < before_year)
     return df.select(*BRONZE_COLUMNS)
 
 

@@ -59,3 +59,14 @@ def test_latest_dates_are_broadcast(plans):
     head = plans["latest_per_municipality"].split("\n\n")[0].split("\n")
     # AdaptiveSparkPlan / Project / the join with the per-municipality maxima
     assert head[3].strip().startswith("+- BroadcastHashJoin"), head[:4]
+
+
+def test_bronze_year_reads_are_partition_pruned(spark, scratch):
+    from rainrisk.sources import bindings as B
+    from rainrisk.sources import daily
+    path = scratch("bronze")
+    daily.replace_bronze_partitions(B.daily_readings(spark, SF_SMALL), path)
+    p = plan_of(daily.read_bronze(spark, path, year=1996))
+    assert "PartitionFilters: [isnotnull(ano" in p and "(ano#" in p and "= 1996)" in p
+    p = plan_of(daily.read_bronze(spark, path, before_year=1996))
+    assert "PartitionFilters: [isnotnull(ano" in p and "< 1996)" in p
