@@ -16,13 +16,18 @@ from pyspark.sql import functions as F
 from rainrisk.operators import grid, quality
 from rainrisk.plans import medallion
 from rainrisk.sources import daily, sinks
-from rainrisk.sources.backfill import backfill_plan, landed_units
+from rainrisk.sources.backfill import backfill_plan
 
 
 def pages_to_fetch(spark: SparkSession, bronze_path: str, as_of: dt.date) -> DataFrame:
     """E1 plan step (S14/S15): (region, year) pages still missing."""
     sinks.ensure_table(spark, bronze_path, daily.bronze_schema(), daily.PARTITION_COLS)
-    return backfill_plan(landed_units(daily.read_bronze(spark, bronze_path)), as_of)
+    # the landed (region, year) units are the partition values: reading only
+    # partition columns touches no data pages
+    units = (spark.read.schema(daily.bronze_schema()).parquet(bronze_path)
+             .where(F.col("mesorregiao_id").isNotNull())
+             .select("mesorregiao_id", "ano").distinct())
+    return backfill_plan(units, as_of)
 
 
 def daily_load(spark: SparkSession, raw_path: str, bronze_path: str,
