@@ -75,6 +75,7 @@ def year_start_state(spark: SparkSession, bronze_path: str, state_path: str,
     """Each station's state at the start of ``year`` (carry number and last
     readings), computed from the earlier years once and stored: while the
     current year is reloaded day after day, this state does not change.
+    The distinct (code, name) pairs of the earlier years are stored with it.
     """
     from rainrisk.operators import features
 
@@ -84,26 +85,37 @@ def year_start_state(spark: SparkSession, bronze_path: str, state_path: str,
         rn, tail = features.carry_state(history)
         rn.write.mode("overwrite").parquet(f"{base}/carry")
         tail.write.mode("overwrite").parquet(f"{base}/tail")
+        (history.select("codigo_posto", "nome_posto").distinct()
+         .write.mode("overwrite").parquet(f"{base}/stations"))
         spark.createDataFrame([(year,)], "ano int").write.mode("overwrite").parquet(
             f"{base}/_READY")
     return spark.read.parquet(f"{base}/carry"), spark.read.parquet(f"{base}/tail")
 
 
+def _stored_stations(spark: SparkSession, state_path: str, year: int) -> DataFrame:
+    return spark.read.parquet(f"{state_path.rstrip('/')}/ano={year}/stations")
+
+
 def refresh_silver_year(spark: SparkSession, bronze_path: str, municipalities: DataFrame,
                         silver_path: str, gold_path: str, year: int,
                         state_path: str | None = None) -> DataFrame:
     """Daily E3 after a current-year load: replace only silver's ``ano=year``
     partition (carried-in station state instead of re-windowing history),
     then rebuild gold from the silver table (a map-side-combined aggregate).
-    With ``state_path`` the year-start state is read from (or stored once
-    to) there, so the daily run reads only the current year's readings."""
-    bronze = daily.read_bronze(spark, bronze_path)
-    state = year_start_state(spark, bronze_path, state_path, year) if state_path else None
-    if state is None:  # history read with a partition filter (ano < year)
+    With ``state_path`` the year-start state and the earlier years' station
+    names are read from (or stored once to) there, so the daily run reads
+    only the current year's readings."""
+    year_rows = daily.read_bronze(spark, bronze_path, year=year)  # ano = year: pruned
+    if state_path:
+        state = year_start_state(spark, bronze_path, state_path, year)
+        # station names: stored pairs of earlier years ∪ this year's readings
+        names = _stored_stations(spark, state_path, year).unionByName(
+            year_rows.select("codigo_posto", "nome_posto"))
+    else:  # history read with a partition filter (ano < year)
         from rainrisk.operators import features
         state = features.carry_state(daily.read_bronze(spark, bronze_path, before_year=year))
-    year_rows = daily.read_bronze(spark, bronze_path, year=year)  # ano = year: pruned
-    (medallion.silver_rainfall_year(bronze, municipalities, year, state=state,
+        names = daily.read_bronze(spark, bronze_path).select("codigo_posto", "nome_posto")
+    (medallion.silver_rainfall_year(names, municipalities, year, state=state,
                                     year_rows=year_rows)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ano").parquet(silver_path))

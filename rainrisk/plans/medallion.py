@@ -55,6 +55,8 @@ def silver_rainfall_year(bronze: DataFrame, municipalities: DataFrame,
     partition filter (a filter on ``year(data)`` cannot prune ``ano=``
     directories).
     """
+    # ``bronze`` is only needed for (code, name) pairs and, without ``state``,
+    # for the history; the flows pass just the pairs when the state is stored
     mapping = match.station_municipality_map(bronze, municipalities)
     if year_rows is None:
         year_rows = bronze.where(F.year("data") == year)
