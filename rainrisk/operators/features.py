@@ -140,28 +140,45 @@ def rainfall_features_slice(slice_df: DataFrame, history: DataFrame | None = Non
 
 
 # ---- split form: windows per (station, year) chunk ----------------------------
-def chunk_states(df: DataFrame, chunk: str = "_chunk", rows: int = MOVING_ROWS):
-    """Carried-in state of every (station, chunk) from the station's earlier
-    chunks, computed on per-chunk summaries instead of the readings:
-
-    * ``carry_rn`` – number within the island at the end of the previous chunk
-      (a segmented scan: readings since the last rainy one, across chunks);
-    * ``prev_rainy`` – rainy readings in earlier chunks (island id offset);
-    * the last ``rows - 1`` readings before the chunk (for the moving mean),
-      taken from the tails of up to ``rows - 1`` preceding chunks.
-
-    Chunk summaries are one row per (station, chunk); their windows run over
-    a station's chunks (e.g. its years), never over its readings.
+def rainfall_features_split(df: DataFrame, rows: int = MOVING_ROWS,
+                            chunk_of: F.Column | None = None) -> DataFrame:
+    """``rainfall_features`` with every window partitioned by (station, chunk),
+    chunk = year by default: a station that held a large share of the table
+    is spread over as many tasks as it has years, each with at most 366
+    readings. The readings are exchanged once, on (station, chunk); all
+    other work is on per-chunk summaries and at most ``rows - 1`` readings
+    per chunk:
+
+    * per chunk: count, rainy count, position of the last rainy reading;
+    * a segmented scan over a station's chunk summaries gives each chunk its
+      carried-in number within the island (``carry_rn``) and the rainy count
+      of earlier chunks (island id offset);
+    * each chunk's last ``rows - 1`` readings are offered to the next
+      ``rows - 1`` chunks, which keep the latest ``rows - 1``; the moving
+      mean of a chunk's first ``rows - 1`` readings is recomputed over those
+      plus its own first readings (same rows, same order: same values).
     """
+    chunk = "_chunk"
     key = ["codigo_posto", chunk]
     p0 = F.coalesce(F.col("precipitacao"), F.lit(0.0))
-    w_in = Window.partitionBy(*key).orderBy("data")
-    indexed = df.select(*key, "data", "precipitacao",
-                        F.row_number().over(w_in).alias("_idx"), (p0 > 0).alias("_rainy"))
-    summ = indexed.groupBy(*key).agg(
+    cols = df.columns
+    d = df.withColumn(chunk, chunk_of if chunk_of is not None else F.year("data"))
+    w = Window.partitionBy(*key).orderBy("data")
+    w_desc = Window.partitionBy(*key).orderBy(F.col("data").desc())
+    d = d.withColumns({
+        "_idx": F.row_number().over(w),
+        "_ridx": F.row_number().over(w_desc),
+        "_island": F.sum(F.when(p0 > 0, 1).otherwise(0)).over(w),
+        "_mm_local": F.avg("precipitacao").over(w.rowsBetween(-(rows - 1), Window.currentRow)),
+    })
+    w_island = Window.partitionBy(*key, "_island").orderBy("data")
+    d = d.withColumn("_local_rn", F.row_number().over(w_island))
+
+    # per-chunk summaries and the segmented scan over a station's chunks
+    summ = d.groupBy(*key).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(F.col("_rainy").cast("int")).alias("_r"),
-        F.max(F.when(F.col("_rainy"), F.col("_idx"))).alias("_last_rain_idx"))
+        F.max("_island").alias("_r"),
+        F.max(F.when(p0 > 0, F.col("_idx"))).alias("_last_rain_idx"))
     ws = Window.partitionBy("codigo_posto").orderBy(chunk)
     upto = ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summ = summ.withColumns({
@@ -169,59 +186,50 @@ def chunk_states(df: DataFrame, chunk: str = "_chunk", rows: int = MOVING_ROWS):
         "_cum_r": F.sum("_r").over(upto),
         "_k": F.row_number().over(ws),
     })
-    last_rain = F.max(F.when(F.col("_last_rain_idx").isNotNull(), F.struct(
-        F.col(chunk).alias("c"), F.col("_cum_n").alias("cum_n"),
-        (F.col("_n") - F.col("_last_rain_idx") + 1).alias("after")))).over(upto)
-    summ = summ.withColumn("_lr", last_rain)
+    # the last rainy chunk so far, with its cumulative count and tail length
+    summ = summ.withColumn("_lr", F.max(F.when(F.col("_last_rain_idx").isNotNull(), F.struct(
+        F.col("_cum_n").alias("cum_n"),
+        (F.col("_n") - F.col("_last_rain_idx") + 1).alias("after")))).over(upto))
     after = F.when(F.col("_lr").isNull(), F.col("_cum_n")).otherwise(
         F.col("_cum_n") - F.col("_lr.cum_n") + F.col("_lr.after"))
     summ = summ.withColumn("_after", after)
-    carry = summ.select(*key, "_k", "_n",
-                        F.coalesce(F.lag("_after").over(ws), F.lit(0)).alias("carry_rn"),
-                        (F.col("_cum_r") - F.col("_r")).alias("prev_rainy"))
-    # tails: the last rows-1 readings of each chunk, offered to the next rows-1
-    # chunks; each target keeps the latest rows-1 it is offered
+    carry = summ.select(*key, "_k",
+                        F.coalesce(F.lag("_after").over(ws), F.lit(0)).alias("_carry_rn"),
+                        (F.col("_cum_r") - F.col("_r")).alias("_prev_rainy"))
+
+    # moving-mean fix-up for each chunk's first rows-1 readings
     chunk_of_k = carry.select("codigo_posto", F.col("_k").alias("_target_k"),
                               F.col(chunk).alias("_target"))
-    offers = (indexed.join(carry.select(*key, "_k", "_n"), key)
-              .where(F.col("_idx") > F.col("_n") - (rows - 1))
+    offers = (d.where(F.col("_ridx") < rows).select(*key, "data", "precipitacao")
+              .join(carry.select(*key, "_k"), key)
               .select("codigo_posto", "data", "precipitacao",
                       F.explode(F.sequence(F.col("_k") + 1, F.col("_k") + rows - 1))
                       .alias("_target_k"))
               .join(chunk_of_k, ["codigo_posto", "_target_k"]))
     w_t = Window.partitionBy("codigo_posto", "_target").orderBy(F.col("data").desc())
     tails = (offers.withColumn("_t", F.row_number().over(w_t)).where(F.col("_t") < rows)
-             .select("codigo_posto", F.col("_target").alias(chunk), "data", "precipitacao"))
-    return carry.drop("_k", "_n"), tails
-
-
-def rainfall_features_split(df: DataFrame, rows: int = MOVING_ROWS) -> DataFrame:
-    """``rainfall_features`` with every window partitioned by (station, year):
-    a station whose readings were a large share of the table is spread over
-    as many tasks as it has years, each with at most 366 (+ 6 carried)
-    rows. The chunks' carried-in state comes from ``chunk_states``.
-    """
-    chunk = "_chunk"
-    key = ["codigo_posto", chunk]
-    d = df.withColumn(chunk, F.year("data"))
-    carry, tails = chunk_states(d, chunk, rows)
-    p0 = F.coalesce(F.col("precipitacao"), F.lit(0.0))
-    cols = d.columns
-    both = (d.withColumn("_tail", F.lit(False))
-            .unionByName(tails.withColumn("_tail", F.lit(True)), allowMissingColumns=True))
-    w = Window.partitionBy(*key).orderBy("data")
-    rainy = F.when(~F.col("_tail") & (p0 > 0), 1).otherwise(0)
-    both = both.withColumn("_island", F.sum(rainy).over(w))
-    w_island = Window.partitionBy(*key, "_island").orderBy("data") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = both.withColumn("_local_rn", F.sum(F.when(~F.col("_tail"), 1).otherwise(0))
-                           .over(w_island))
-    both = both.withColumn("mm_7d", F.avg("precipitacao").over(
-        w.rowsBetween(-(rows - 1), Window.currentRow))).where(~F.col("_tail"))
-    out = both.join(carry, key, "left")
+             .select("codigo_posto", F.col("_target").alias(chunk), "data", "precipitacao",
+                     F.lit(True).alias("_tail")))
+    heads = d.where(F.col("_idx") < rows).select(*key, "data", "precipitacao", "_idx",
+                                                 F.lit(False).alias("_tail"))
+    fix = (heads.unionByName(tails, allowMissingColumns=True)
+           .withColumn("_mm_fix", F.avg("precipitacao").over(
+               w.rowsBetween(-(rows - 1), Window.currentRow)))
+           .where(~F.col("_tail"))
+           # at most rows-1 values per chunk, keyed by the reading's position
+           .groupBy(*key).agg(F.map_from_entries(F.collect_list(
+               F.struct("_idx", "_mm_fix"))).alias("_mm_first")))
+    # one small table per (station, chunk), joined on exactly the keys the
+    # readings are partitioned by: only the small side moves
+    per_chunk = carry.join(fix, key, "left")
+
+    out = d.join(per_chunk, key, "left")
     n = F.col("_local_rn") + F.when(F.col("_island") == 0,
-                                    F.coalesce(F.col("carry_rn"), F.lit(0))).otherwise(0)
-    island = (F.col("_island") + F.coalesce(F.col("prev_rainy"), F.lit(0))).cast("bigint")
-    return out.select(*[c for c in cols if c != chunk], island.alias("island_id"),
+                                    F.coalesce(F.col("_carry_rn"), F.lit(0))).otherwise(0)
+    island = (F.col("_island") + F.coalesce(F.col("_prev_rainy"), F.lit(0))).cast("bigint")
+    return out.select(*cols, island.alias("island_id"),
                       F.when(p0 == 0, n).otherwise(F.lit(0)).cast("bigint")
-                      .alias("dias_secos_consecutivos"), "mm_7d")
+                      .alias("dias_secos_consecutivos"),
+                      F.when(F.col("_idx") < rows,
+                             F.try_element_at(F.col("_mm_first"), F.col("_idx")))
+                      .otherwise(F.col("_mm_local")).alias("mm_7d"))

@@ -27,12 +27,15 @@ def silver_rainfall(bronze: DataFrame, municipalities: DataFrame,
     station-year of readings.
     """
     mapping = match.station_municipality_map(bronze, municipalities)
-    base = features.with_calendar(bronze.join(mapping, "codigo_posto", "left"))
     if split_by_year:
         if anchor != "reference":
             raise ValueError("split_by_year supports the reference numbering only")
-        feats = features.rainfall_features_split(base)
+        # windows first, on the (station, year) exchange; the mapping join
+        # after them is a join, which AQE can split when a station is hot
+        feats = features.rainfall_features_split(bronze)
+        feats = features.with_calendar(feats.join(mapping, "codigo_posto", "left"))
     else:
+        base = features.with_calendar(bronze.join(mapping, "codigo_posto", "left"))
         feats = features.rainfall_features(base, anchor)
     return features.with_alert_band(feats).select(*SILVER_COLUMNS)
 
