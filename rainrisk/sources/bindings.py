@@ -145,6 +145,9 @@ def daily_wide(readings: DataFrame, mis_tag_mod: int | None = None) -> DataFrame
     cell at all for a day without a reading, a padded header name. With
     ``mis_tag_mod`` stations whose code % mis_tag_mod == 3 are filed under
     the following year (a page that mixes years).
+
+    The pivot groups on two numeric keys (station, month start); name and
+    region depend on the station and are carried with ``first``.
     """
     from rainrisk.sources.daily import DAY_COLUMNS
     code = F.col("codigo_posto")
@@ -152,21 +155,25 @@ def daily_wide(readings: DataFrame, mis_tag_mod: int | None = None) -> DataFrame
     val = F.when(code % 5 == 0, F.concat(F.lit(" "), val, F.lit(" "))).otherwise(val)
     missing = F.when(code % 3 == 0, F.lit("nan")).otherwise(F.lit("-"))
     cell = F.when(F.col("precipitacao").isNull(), missing).otherwise(val)
-    mon = F.expr(f"element_at({_PT_MONTHS_SQL}, month(data))")
+    long = readings.select("codigo_posto", F.trunc("data", "month").alias("_month"),
+                           F.dayofmonth("data").alias("_dd"), cell.alias("_cell"),
+                           "nome_posto", "mesorregiao_id")
+    # one group per station-month: at most 31 rows, whatever the table size;
+    # a pivot written as one aggregate with a conditional first() per day
+    wide = long.groupBy("codigo_posto", "_month").agg(
+        F.first("nome_posto").alias("_name"), F.first("mesorregiao_id").alias("_region"),
+        *[F.first(F.when(F.col("_dd") == d, F.col("_cell")), ignorenulls=True).alias(dd)
+          for d, dd in zip(range(1, 32), DAY_COLUMNS)])
+    mon = F.expr(f"element_at({_PT_MONTHS_SQL}, month(_month))")
     mon = (F.when(code % 3 == 0, F.upper(mon))
            .when(code % 3 == 1, F.initcap(mon)).otherwise(mon))
-    month_year = F.concat(mon, F.lit("/"), F.year("data").cast("string"))
-    year_tag = F.year("data")
+    month_year = F.concat(mon, F.lit("/"), F.year("_month").cast("string"))
+    year_tag = F.year("_month")
     if mis_tag_mod:
         year_tag = F.when(code % mis_tag_mod == 3, year_tag + 1).otherwise(year_tag)
-    long = readings.select(
-        code.alias("Código"), F.col("nome_posto").alias("Posto "),
-        month_year.alias("Mês/Ano"), F.lpad(F.dayofmonth("data").cast("string"), 2, "0").alias("_dd"),
-        cell.alias("_cell"), F.col("mesorregiao_id"), year_tag.alias("ano_ref"))
-    # one group per station-month: at most 31 rows, whatever the table size
-    return (long.groupBy("Código", "Posto ", "Mês/Ano", "mesorregiao_id", "ano_ref")
-            .pivot("_dd", DAY_COLUMNS).agg(F.first("_cell"))
-            .select("Código", "Posto ", "Mês/Ano", *DAY_COLUMNS, "mesorregiao_id", "ano_ref"))
+    return wide.select(
+        code.alias("Código"), F.col("_name").alias("Posto "), month_year.alias("Mês/Ano"),
+        *DAY_COLUMNS, F.col("_region").alias("mesorregiao_id"), year_tag.alias("ano_ref"))
 
 
 def daily_pages(readings: DataFrame) -> DataFrame:
