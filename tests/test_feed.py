@@ -56,3 +56,18 @@ def test_stream_equals_batch_out_of_order(spark, scratch):
     S.run_available_now(S.land_feed(spark, f"{base}/payload/*/*.json", f"{base}/landed",
                                     f"{base}/cp1"))
     assert feed.read_landed(spark, f"{base}/landed").count() == 4
+
+
+def test_processing_time_trigger_path(spark, scratch):
+    from rainrisk.streaming import feed_stream as S
+    base = scratch("feed-pt")
+    payload(spark, [("2025-01-01 10:00:00", "E", "G9",
+                     '{"chuva": "1", "cidade": "Recife", "nome": "a"}')]
+            ).write.json(f"{base}/payload/a1")
+    q = S.land_feed(spark, f"{base}/payload/*/*.json", f"{base}/landed", f"{base}/cp",
+                    available_now=False)
+    try:
+        q.processAllAvailable()  # the first 15-minute trigger fires at start
+    finally:
+        q.stop()
+    assert feed.read_landed(spark, f"{base}/landed").count() == 1
