@@ -32,14 +32,14 @@ from rainrisk.sources.feed import (
 FEED_INTERVAL = "15 minutes"
 
 
-def _trigger(writer, available_now: bool):
+def _trigger(writer, available_now: bool, interval: str = FEED_INTERVAL):
     return writer.trigger(availableNow=True) if available_now \
-        else writer.trigger(processingTime=FEED_INTERVAL)
+        else writer.trigger(processingTime=interval)
 
 
 def land_feed(spark: SparkSession, payload_dir: str, landed_dir: str, checkpoint: str,
               json_array: bool = False, available_now: bool = True,
-              max_files_per_trigger: int | None = None):
+              max_files_per_trigger: int | None = None, interval: str = FEED_INTERVAL):
     """T1 + S8: payload files → typed rows → Parquet under ano=/mes=/dia=.
 
     ``max_files_per_trigger`` bounds a micro-batch when a backlog of files
@@ -53,11 +53,12 @@ def land_feed(spark: SparkSession, payload_dir: str, landed_dir: str, checkpoint
     writer = (rows.writeStream.format("parquet")
               .option("path", landed_dir).option("checkpointLocation", checkpoint)
               .partitionBy("ano", "mes", "dia").outputMode("append"))
-    return _trigger(writer, available_now).start()
+    return _trigger(writer, available_now, interval).start()
 
 
 def latest_snapshot_stream(spark: SparkSession, landed_dir: str, snapshot_dir: str,
-                           checkpoint: str, available_now: bool = True):
+                           checkpoint: str, available_now: bool = True,
+                           interval: str = FEED_INTERVAL):
     """Latest reading per station, rewritten as one snapshot per trigger."""
     src = (spark.readStream.schema(LANDED_SCHEMA)
            .option("basePath", landed_dir).parquet(landed_dir))
@@ -70,7 +71,7 @@ def latest_snapshot_stream(spark: SparkSession, landed_dir: str, snapshot_dir: s
 
     writer = (latest.writeStream.outputMode("complete")
               .option("checkpointLocation", checkpoint).foreachBatch(write_snapshot))
-    return _trigger(writer, available_now).start()
+    return _trigger(writer, available_now, interval).start()
 
 
 def run_available_now(query) -> None:

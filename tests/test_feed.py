@@ -65,9 +65,9 @@ def test_processing_time_trigger_path(spark, scratch):
                      '{"chuva": "1", "cidade": "Recife", "nome": "a"}')]
             ).write.json(f"{base}/payload/a1")
     q = S.land_feed(spark, f"{base}/payload/*/*.json", f"{base}/landed", f"{base}/cp",
-                    available_now=False)
+                    available_now=False, interval="1 second")
     try:
-        q.processAllAvailable()  # the first 15-minute trigger fires at start
+        q.processAllAvailable()
     finally:
         q.stop()
     assert feed.read_landed(spark, f"{base}/landed").count() == 1
