@@ -17,24 +17,28 @@ PT_MONTHS = ["jan", "fev", "mar", "abr", "mai", "jun",
 MISSING_TOKENS = ["-", "", "nan", "None"]
 # -----------------------------------------------------------------------------
 
+# White space as Python's str.strip() removes it (the reference strips cells
+# in Python): ASCII controls 0x09-0x0D and 0x1C-0x1F, the blank, NEL, NBSP and
+# the Unicode space separators.
+_WS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 # A plain decimal number (group 1) between optional white space, as a strict
 # numeric parser accepts it; anything else extracts as '' and casts to NULL.
-_NUMBER_RE = r"^\s*([+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+_NUMBER_RE = (r"^" + _WS + r"*([+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
+              + _WS + r"*$")
+# Infinity as the numeric parser spells it (any letter case, optional sign).
+_INF_RE = r"^" + _WS + r"*([+-]?)(?i:inf|infinity)" + _WS + r"*$"
 # An integer (group 1) between optional white space.
-_INT_RE = r"^\s*([+-]?[0-9]+)\s*$"
+_INT_RE = r"^" + _WS + r"*([+-]?[0-9]+)" + _WS + r"*$"
 # Number written with '.' thousands and ',' decimal separators (group 1).
-_PT_NUMBER_RE = r"^\s*([+-]?(?:[0-9]{1,3}(?:\.[0-9]{3})+|[0-9]+)(?:,[0-9]+)?)\s*$"
+_PT_NUMBER_RE = (r"^" + _WS + r"*([+-]?(?:[0-9]{1,3}(?:\.[0-9]{3})+|[0-9]+)(?:,[0-9]+)?)"
+                 + _WS + r"*$")
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip_ws(c) -> Column:
-    """Trim all white space (not only blanks) at both ends."""
-    return F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
-
-
 def _extract(c: Column, pattern: str) -> Column:
     # one regex evaluation; a non-match gives '' which try_cast turns to NULL
     return F.regexp_extract(c.cast("string"), pattern, 1)
@@ -44,9 +48,14 @@ def strict_double(c) -> Column:
     """Text → double only if the whole text is a number; else NULL.
 
     The pattern check comes first because Spark's cast alone is lenient
-    (it reads '5d' as 5.0 and accepts 'NaN'/'Infinity').
+    (it reads '5d' as 5.0). Infinity in any letter case is accepted, NaN
+    text is missing (NULL), as in the reference's numeric parser.
     """
-    return _extract(_col(c), _NUMBER_RE).try_cast("double")
+    t = _col(c).cast("string")
+    inf_sign = F.regexp_extract(t, _INF_RE, 1)
+    inf = F.when(t.rlike(_INF_RE), F.when(inf_sign == "-", F.lit(float("-inf")))
+                 .otherwise(F.lit(float("inf"))))
+    return F.coalesce(_extract(t, _NUMBER_RE).try_cast("double"), inf)
 
 
 def parse_decimal_comma(c) -> Column:

@@ -26,8 +26,9 @@ def pandas_rain(values):
     return [None if pd.isna(v) else float(v) for v in out]
 
 
-cells = st.lists(st.text(alphabet="0123456789,.-+ e\t", max_size=8) |
-                 st.sampled_from(["-", "", "nan", "None", " 1,5 ", "1.234,5", "5d", "12"]),
+cells = st.lists(st.text(alphabet="0123456789,.-+ e\t\xa0\u2003\x1c", max_size=8) |
+                 st.sampled_from(["-", "", "nan", "None", " 1,5 ", "1.234,5", "5d", "12",
+                                  "inf", "-Infinity", "+INF", "NaN", "infinit", "\xa01,5"]),
                  min_size=1, max_size=40)
 
 
