@@ -51,6 +51,28 @@ def gold_grid_risk(silver: DataFrame) -> DataFrame:
         F.col("b.data").alias("atualizacao"))
 
 
+def gold_from_readings(bronze: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The same grid computed from the readings and the station mapping,
+    reducing *before* the join: ``max(struct(data, precipitacao))`` is
+    decomposable, so each station is first reduced to its own latest
+    (date, rain) — combined map-side, one row per station leaves the scan —
+    then the per-station results are joined to the mapping and reduced per
+    municipality. The readings are never shuffled or joined.
+    """
+    per_station = (bronze.groupBy("codigo_posto")
+                   .agg(F.max(F.struct("data", "precipitacao")).alias("s")))
+    located = per_station.join(
+        mapping.where(F.col("municipio_inferido").isNotNull())
+        .select("codigo_posto", "municipio_inferido"), "codigo_posto")
+    best = (located.groupBy(F.col("municipio_inferido").alias("municipio"))
+            .agg(F.max("s").alias("b")))
+    ids = F.row_number().over(Window.orderBy("municipio")).cast("bigint")
+    return best.select(
+        ids.alias("id"), "municipio",
+        alert_level_label(alert_band(F.col("b.precipitacao"))).alias("nivel_alerta"),
+        F.col("b.data").alias("atualizacao"))
+
+
 def alerts(gold: DataFrame) -> DataFrame:
     """Served rows: gold ordered by id, date as text (O1, F16)."""
     return gold.select("id", "municipio", "nivel_alerta",

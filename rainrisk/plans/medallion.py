@@ -71,7 +71,10 @@ def silver_rainfall_year(bronze: DataFrame, municipalities: DataFrame,
 
 
 def gold_grid_risk(bronze: DataFrame, municipalities: DataFrame) -> DataFrame:
-    return grid.gold_grid_risk(silver_rainfall(bronze, municipalities))
+    """Gold straight from bronze: per-station reduction first, then the
+    mapping (equal to ``grid.gold_grid_risk(silver_rainfall(...))``)."""
+    mapping = match.station_municipality_map(bronze, municipalities)
+    return grid.gold_from_readings(bronze, mapping)
 
 
 def gold_from_silver(silver: DataFrame) -> DataFrame:

@@ -38,3 +38,15 @@ def test_gold_equals_reference_rule_on_driver_data(spark):
     g = QUERIES["gold_grid_risk"](spark, SF_SMALL).collect()
     assert sorted(r.id for r in g) == list(range(1, len(g) + 1))
     assert len({r.municipio for r in g}) == len(g)
+
+
+def test_gold_from_readings_equals_gold_from_silver(spark):
+    from rainrisk.operators.grid import gold_from_readings
+    from rainrisk.operators.match import station_municipality_map
+    from rainrisk.plans.medallion import silver_rainfall
+    from rainrisk.sources import bindings as B
+    from tests.conftest import SF_SMALL
+    bronze, mun = B.daily_readings(spark, SF_SMALL), B.municipalities(spark, SF_SMALL)
+    a = gold_grid_risk(silver_rainfall(bronze, mun)).collect()
+    b = gold_from_readings(bronze, station_municipality_map(bronze, mun)).collect()
+    assert sorted(a) == sorted(b) and len(a) > 0
