@@ -84,3 +84,17 @@ def test_climate_period_and_weekday(spark):
     wd = spark.createDataFrame([(dt.date(2025, 1, 5),), (dt.date(2025, 1, 11),)], "d date")
     assert [r[0] for r in wd.select(D.weekday_name(F.col("d"))).collect()] == \
         ["Domingo", "Sábado"]
+
+
+def test_sql_functions_equal_column_builders(spark):
+    from rainrisk.functions.sql import register_sql_functions
+    from rainrisk.sources.bindings import table
+    from tests.conftest import SF_SMALL
+    register_sql_functions(spark)
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    docs.createOrReplaceTempView("rainrisk_docs_test")
+    via_sql = spark.sql("SELECT doc_id, clean_string(text) AS c, upper_trim(text) AS u "
+                        "FROM rainrisk_docs_test").collect()
+    via_col = docs.select("doc_id", clean_string(F.col("text")).alias("c"),
+                          upper_trim(F.col("text")).alias("u")).collect()
+    assert sorted(via_sql) == sorted(via_col) and len(via_sql) > 0
