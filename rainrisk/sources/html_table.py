@@ -10,17 +10,21 @@ and no page passes through the driver.
 from __future__ import annotations
 
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values (must equal the reference's page layout) -------------------
 RAIN_TABLE_ID = "tbMonPluvio"
-# entity → character, as an HTML parser decodes them
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-            ("&#39;", "'"), ("&amp;", "&")]
 # -----------------------------------------------------------------------------
 
+# Named character references, built from the standard library's HTML 4 table
+# (252 names); ``&amp;`` goes last so that "&amp;lt;" decodes to "&lt;".
+_NAMED = sorted(((f"&{k};", chr(v)) for k, v in name2codepoint.items() if k != "amp"))
+_NAMED.append(("&amp;", "&"))
+_NUMERIC_RE = r"&#([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+
 _ROW_RE = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
 _CELL_RE = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
 
@@ -35,16 +39,30 @@ def _table_re(table_id: str) -> str:
 _WS = " \t\n\r\f\u000b\u00a0"
 
 
+def _codepoint_char(ref: Column) -> Column:
+    """'233' or 'xE9' → the character (decoded from its UTF-32 bytes)."""
+    hexdigits = F.when(F.lower(F.substring(ref, 1, 1)) == "x", F.substring(ref, 2, 8)) \
+        .otherwise(F.conv(ref, 10, 16))
+    return F.decode(F.unhex(F.lpad(hexdigits, 8, "0")), "UTF-32")
+
+
+def decode_entities(c: Column) -> Column:
+    """All numeric and HTML 4 named character references decoded, as an HTML
+    parser does. Each set is folded with ``aggregate`` (one generated loop)."""
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(_NUMERIC_RE), 1))
+    t = F.aggregate(refs, c, lambda acc, r: F.replace(
+        acc, F.concat(F.lit("&#"), r, F.lit(";")), _codepoint_char(r)))
+    named = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in _NAMED])
+    return F.aggregate(named, t, lambda acc, e: F.replace(acc, e["k"], e["v"]))
+
+
 def cell_text(c: Column) -> Column:
     """Markup inside a cell removed, entities decoded, ends trimmed.
 
     The tag and entity steps only run on cells that contain ``<`` / ``&``.
     """
     t = F.when(F.instr(c, "<") > 0, F.regexp_replace(c, r"<[^>]*>", "")).otherwise(c)
-    decoded = t
-    for ent, ch in ENTITIES:
-        decoded = F.replace(decoded, F.lit(ent), F.lit(ch))
-    t = F.when(F.instr(t, "&") > 0, decoded).otherwise(t)
+    t = F.when(F.instr(t, "&") > 0, decode_entities(t)).otherwise(t)
     return F.btrim(t, F.lit(_WS))
 
 
