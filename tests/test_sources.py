@@ -17,7 +17,7 @@ def test_html_table_rows(spark):
     pages = spark.createDataFrame([(1, html), (2, "<p>no table</p>")], "page_id int, html string")
     rows = table_rows(pages, columns=["Código", "Posto", "01", "02"]).orderBy("row_no").collect()
     assert [(r["Código"], r["Posto"], r["01"], r["02"]) for r in rows] == \
-        [("12", "S&atilde;o & Co", "1.234,5", None), ("Total", "", "-", None)]
+        [("12", "São & Co", "1.234,5", None), ("Total", "", "-", None)]
     from rainrisk.sources.daily import numeric_code_rows
     kept = numeric_code_rows(table_rows(pages, columns=["Código"])).collect()
     assert [r["Código"] for r in kept] == [12]
