@@ -51,6 +51,32 @@ def gold_grid_risk(silver: DataFrame) -> DataFrame:
         F.col("b.data").alias("atualizacao"))
 
 
+def latest_from_readings(bronze: DataFrame, mapping: DataFrame,
+                         stations: DataFrame | None = None) -> DataFrame:
+    """A1 + J7 without joining the readings to the mapping.
+
+    Per-station latest dates (combined map-side) are joined to the mapping
+    and reduced per municipality; the stations whose latest date is their
+    municipality's latest are the targets (at most one row per station).
+    The readings are then kept by a semi-join on (station, date) — broadcast
+    when ``stations`` (a table bounding the station count) is small — so
+    they are scanned and probed in place. Every reading on that date is
+    kept, duplicates included.
+    """
+    located = (bronze.groupBy("codigo_posto").agg(F.max("data").alias("_smax"))
+               .join(mapping.where(F.col("municipio_inferido").isNotNull())
+                     .select("codigo_posto", F.col("municipio_inferido").alias("municipio")),
+                     "codigo_posto"))
+    latest = located.groupBy("municipio").agg(F.max("_smax").alias("_mmax"))
+    targets = (located.join(latest, "municipio")
+               .where(F.col("_smax") == F.col("_mmax"))
+               .select("codigo_posto", "municipio", F.col("_smax").alias("data")))
+    if stations is not None:
+        targets = checked_broadcast(targets, bound=stations)
+    return bronze.join(targets, ["codigo_posto", "data"]).select(
+        "municipio", "codigo_posto", "data", "precipitacao")
+
+
 def gold_from_readings(bronze: DataFrame, mapping: DataFrame) -> DataFrame:
     """The same grid computed from the readings and the station mapping,
     reducing *before* the join: ``max(struct(data, precipitacao))`` is

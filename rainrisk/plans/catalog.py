@@ -122,8 +122,9 @@ def silver_rainfall_latest_year(spark, d):
 
 @query
 def latest_per_municipality(spark, d):
-    mun = _mun(spark, d)
-    return grid.latest_per_municipality(medallion.silver_rainfall(_bronze(spark, d), mun), mun)
+    bronze, mun = _bronze(spark, d), _mun(spark, d)
+    mapping = match.station_municipality_map(bronze, mun)
+    return grid.latest_from_readings(bronze, mapping, stations=B.table(spark, d, "supplier"))
 
 
 @query

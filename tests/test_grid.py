@@ -50,3 +50,16 @@ def test_gold_from_readings_equals_gold_from_silver(spark):
     a = gold_grid_risk(silver_rainfall(bronze, mun)).collect()
     b = gold_from_readings(bronze, station_municipality_map(bronze, mun)).collect()
     assert sorted(a) == sorted(b) and len(a) > 0
+
+
+def test_latest_from_readings_equals_silver_form(spark):
+    from rainrisk.operators.grid import latest_from_readings
+    from rainrisk.operators.match import station_municipality_map
+    from rainrisk.plans.medallion import silver_rainfall
+    from rainrisk.sources import bindings as B
+    from tests.conftest import SF_SMALL
+    bronze, mun = B.daily_readings(spark, SF_SMALL), B.municipalities(spark, SF_SMALL)
+    a = latest_per_municipality(silver_rainfall(bronze, mun), mun).collect()
+    b = latest_from_readings(bronze, station_municipality_map(bronze, mun),
+                             stations=B.table(spark, SF_SMALL, "supplier")).collect()
+    assert sorted(a) == sorted(b) and len(a) > 0
