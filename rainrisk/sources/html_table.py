@@ -20,9 +20,9 @@ RAIN_TABLE_ID = "tbMonPluvio"
 # -----------------------------------------------------------------------------
 
 # Named character references, built from the standard library's HTML 4 table
-# (252 names); ``&amp;`` goes last so that "&amp;lt;" decodes to "&lt;".
-_NAMED = sorted(((f"&{k};", chr(v)) for k, v in name2codepoint.items() if k != "amp"))
-_NAMED.append(("&amp;", "&"))
+# (252 names); ``&amp;`` is decoded last so that "&amp;lt;" becomes "&lt;".
+_NAMED = {k: chr(v) for k, v in name2codepoint.items() if k != "amp"}
+_NAME_RE = r"&([A-Za-z][A-Za-z0-9]{1,31});"
 _NUMERIC_RE = r"&#([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
 
 _ROW_RE = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
@@ -47,25 +47,38 @@ def _codepoint_char(ref: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """All numeric and HTML 4 named character references decoded, as an HTML
-    parser does. Each set is folded with ``aggregate`` (one generated loop)."""
+    """Numeric and HTML 4 named character references decoded, as an HTML
+    parser does. Only the references present in the text are folded over
+    (``aggregate`` on the extracted names), so the name table is consulted
+    once per reference found, never for text without any."""
     refs = F.array_distinct(F.regexp_extract_all(c, F.lit(_NUMERIC_RE), 1))
     t = F.aggregate(refs, c, lambda acc, r: F.replace(
         acc, F.concat(F.lit("&#"), r, F.lit(";")), _codepoint_char(r)))
-    named = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in _NAMED])
-    return F.aggregate(named, t, lambda acc, e: F.replace(acc, e["k"], e["v"]))
+    table = F.create_map(*[x for k, v in sorted(_NAMED.items()) for x in (F.lit(k), F.lit(v))])
+    names = F.array_distinct(F.regexp_extract_all(t, F.lit(_NAME_RE), 1))
+    t = F.aggregate(names, t, lambda acc, nm: F.replace(
+        acc, F.concat(F.lit("&"), nm, F.lit(";")),
+        F.coalesce(F.try_element_at(table, nm), F.concat(F.lit("&"), nm, F.lit(";")))))
+    return F.replace(t, F.lit("&amp;"), F.lit("&"))
 
 
-def cell_text(c: Column) -> Column:
-    """Markup inside a cell removed, entities decoded, ends trimmed.
-
-    The tag and entity steps only run on cells that contain ``<`` / ``&``.
-    """
+def cell_text(c: Column, decode: bool = True) -> Column:
+    """Markup inside a cell removed, character references decoded (unless
+    ``decode`` is off), ends trimmed."""
     t = F.when(F.instr(c, "<") > 0, F.regexp_replace(c, r"<[^>]*>", "")).otherwise(c)
-    t = F.when(F.instr(t, "&") > 0, decode_entities(t)).otherwise(t)
+    if decode:
+        t = F.when(F.instr(t, "&") > 0, decode_entities(t)).otherwise(t)
     return F.btrim(t, F.lit(_WS))
 
 
+def _clean_cells(raw_cells: Column, row_html: Column) -> Column:
+    # the choice is made per row, outside the per-cell loop: rows without any
+    # '&' (nearly all) take the loop without the reference decoding
+    # (one-argument lambdas: Spark reads a second parameter as the index)
+    return F.when(F.instr(row_html, "&") > 0, F.transform(raw_cells, lambda c: cell_text(c))) \
+        .otherwise(F.transform(raw_cells, lambda c: cell_text(c, decode=False)))
+
+
 def _raw_cells(row_html: Column) -> Column:
     return F.regexp_extract_all(row_html, F.lit(_CELL_RE), 1)
 
@@ -82,12 +95,13 @@ def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TA
     keep = keep or [c for c in pages.columns if c != html_col]
     cols = columns or []
     table = F.regexp_extract(F.col(html_col), _table_re(table_id), 1)
-    rows = F.regexp_extract_all(table, F.lit(_ROW_RE), 1)
-    header = F.transform(_raw_cells(F.element_at(rows, 1)), cell_text)
+    per_page = pages.select(*keep, table.alias("_table"))
+    rows = F.regexp_extract_all(F.col("_table"), F.lit(_ROW_RE), 1)
+    header = _clean_cells(_raw_cells(F.element_at(rows, 1)), F.element_at(rows, 1))
     positions = F.array(*[F.array_position(header, F.lit(c)).cast("int") for c in cols]) \
         if cols else F.array().cast("array<int>")
-    per_page = pages.select(*keep, rows.alias("_rows"), F.size(header).alias("_width"),
-                            positions.alias("_pos"))
+    per_page = per_page.select(*keep, rows.alias("_rows"), F.size(header).alias("_width"),
+                               positions.alias("_pos"))
     exploded = per_page.select(*keep, "_width", "_pos",
                                F.posexplode("_rows").alias("_row_no", "_row"))
     body = (exploded.where(F.col("_row_no") > 0)
@@ -95,7 +109,7 @@ def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TA
             .where(F.size("_cells") == F.col("_width"))
             # one generated loop cleans every cell (not one copy per column,
             # which would push the generated method past the JVM's 64 KB)
-            .withColumn("_cells", F.transform("_cells", cell_text)))
+            .withColumn("_cells", _clean_cells(F.col("_cells"), F.col("_row"))))
 
     def pick(i: int) -> Column:
         pos = F.element_at(F.col("_pos"), i + 1)
