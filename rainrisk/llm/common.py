@@ -4,7 +4,11 @@ connected components."""
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +23,21 @@ BASE = 0x9E3779B97F4A7C15  # odd multiplier of the rolling hash (fixed value)
 BLOCK_BYTES = 4 << 20      # bytes of text a numpy step holds at once
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once per context, unless their
+    PYTHONPATH already names its folder (then it is installed or mounted)."""
+    root = Path(__file__).resolve().parents[2]
+    sc = spark.sparkContext
+    if getattr(sc, "_rainrisk_sent", False) or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    to = Path(tempfile.mkdtemp(prefix="rainrisk-")) / "rainrisk.zip"  # driver's own; Spark serves it to the workers
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted((root / "rainrisk").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(to))
+    sc._rainrisk_sent = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, mixing
+from functools import wraps
 
-QUERIES = {
-    "op9_byte_bpe": byte_bpe.op9_byte_bpe,
-    "op10_mixing": mixing.op10_mixing,
-}
+from . import byte_bpe, mixing, token_files, topk, warc
+from .common import ship
+
+
+def _shipped(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+    return run
+
+
+QUERIES = {f.__name__: _shipped(f) for f in (
+    topk.op2_topk,
+    token_files.op6_token_files,
+    warc.op8_warc,
+    byte_bpe.op9_byte_bpe,
+    mixing.op10_mixing,
+)}
 
 ORACLES = {
+    "op2_topk": topk.OP2_SQL,
+    "op8_warc": warc.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
