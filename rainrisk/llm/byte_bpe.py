@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import schema_of, table
 
-#: Pieces a worker remembers; when full the memo starts anew (speed only).
-MEMO = 200_000
+#: Distinct pieces a worker remembers (speed only).
+MEMO = 400_000
 
 
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -92,30 +92,138 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
 
 
+class Merger:
+    """``merge_piece`` for many pieces at once: one segment tree per piece,
+    the trees of equal size side by side in an array, one merge per tree and
+    step."""
+
+    NONE = np.int64(1) << np.int64(62)
+    LONGEST, ROWS = 64, 8192  # longer pieces go one by one; trees in an array
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        pairs = {}
+        for tok, r in ranks.items():
+            for k in range(1, len(tok)):
+                a, b = ranks.get(tok[:k]), ranks.get(tok[k:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = r
+        keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.rank = np.append(np.fromiter(pairs.values(), np.int64, len(pairs))[order], -1)
+        self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+
+    def pair_keys(self, a: np.ndarray, b: np.ndarray, pos: np.ndarray, size: int) -> np.ndarray:
+        """Tree keys of the pairs (a, b) at ``pos``; NONE where they don't merge."""
+        want = (a << 32) | b
+        at = np.searchsorted(self.keys, want)
+        return np.where((self.keys[at] == want) & (a >= 0) & (b >= 0), self.rank[at] * size + pos, self.NONE)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece as little-endian uint32 bytes."""
+        out: list[bytes] = [b""] * len(pieces)
+        classes: dict[int, list[int]] = {}
+        for i, p in enumerate(pieces):
+            whole = self.ranks.get(p)
+            if whole is not None:
+                out[i] = whole.to_bytes(4, "little")
+            elif len(p) > self.LONGEST:
+                out[i] = np.array(merge_piece(p, self.ranks), "<u4").tobytes()
+            elif p:
+                classes.setdefault(max(2, 1 << (len(p) - 1).bit_length()), []).append(i)
+        for size, rows in classes.items():
+            for k in range(0, len(rows), self.ROWS):
+                part = rows[k:k + self.ROWS]
+                for i, ids in zip(part, self._trees([pieces[i] for i in part], size)):
+                    out[i] = ids
+        return out
+
+    def _trees(self, pieces: list[bytes], size: int) -> list[bytes]:
+        m = len(pieces)
+        n = np.fromiter(map(len, pieces), np.int64, m)
+        raw = np.frombuffer(b"".join(p.ljust(size, b"\0") for p in pieces), np.uint8).reshape(m, size)
+        pos = np.arange(size)
+        # column ``size`` stands for "no symbol": left of the first, right of the last
+        sym = np.full((m, size + 1), -1, np.int64)
+        sym[:, :size] = np.where(pos < n[:, None], self.byte[raw], -1)
+        nxt = np.minimum(np.tile(np.arange(1, size + 2), (m, 1)), n[:, None])
+        nxt = np.where(nxt >= n[:, None], size, nxt)
+        prv = np.tile(np.append(np.arange(-1, size - 1), size), (m, 1))
+        prv[:, 0] = size
+        tree = np.full((m, 2 * size), self.NONE)
+        tree[:, size:2 * size - 1] = self.pair_keys(sym[:, :size - 1], sym[:, 1:size], pos[:-1], size)
+        half = size // 2
+        while half:
+            tree[:, half:2 * half] = np.minimum(tree[:, 2 * half:4 * half:2], tree[:, 2 * half + 1:4 * half:2])
+            half //= 2
+        live = np.flatnonzero(tree[:, 1] != self.NONE)
+        while len(live):
+            key = tree[live, 1]
+            i, new = key % size, key // size
+            j = nxt[live, i]
+            k = nxt[live, j]
+            p = prv[live, i]
+            sym[live, i] = new
+            sym[live, j] = -1
+            nxt[live, i] = k
+            prv[live, k] = i
+            right, left = sym[live, k], sym[live, p]
+            self._put(tree, live, j, np.full(len(live), self.NONE), size)
+            self._put(tree, live, i, self.pair_keys(new, right, i, size), size)
+            has = p < size
+            self._put(tree, live[has], p[has], self.pair_keys(left[has], new[has], p[has], size), size)
+            live = live[tree[live, 1] != self.NONE]
+        sym = sym[:, :size]
+        keep = sym >= 0
+        flat = sym[keep].astype("<u4").tobytes()
+        cut = np.concatenate([[0], np.cumsum(keep.sum(1))]) * 4
+        return [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+
+    @staticmethod
+    def _put(tree: np.ndarray, rows: np.ndarray, i: np.ndarray, key: np.ndarray, size: int) -> None:
+        """Point update of leaf ``i`` and its log2(size) ancestors."""
+        i = i + size
+        tree[rows, i] = key
+        i = i >> 1
+        while size > 1:
+            tree[rows, i] = np.minimum(tree[rows, 2 * i], tree[rows, 2 * i + 1])
+            i = i >> 1
+            size //= 2
+
+
 class _Codec(dict):
-    """piece -> ids as little-endian uint32 bytes, filled on demand."""
+    """Memo piece -> ids as little-endian uint32 bytes: the first ``MEMO``
+    distinct pieces stay; the others of a batch are kept for that batch."""
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
         self.ranks = load_ranks(path)
+        self.merger = Merger(self.ranks)
         self.find = regex.compile(pattern).findall
+        self.rest: dict[str, bytes] = {}
         self.vocab = [b""] * (max(self.ranks.values(), default=-1) + 1)
         for b, i in self.ranks.items():
             self.vocab[i] = b
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge_piece(piece.encode("utf-8"), self.ranks), "<u4").tobytes()
-        if len(self) >= MEMO:
-            self.clear()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+        return self.rest[piece]
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.find(text)))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = list(map(self.find, texts))
+        new = [p for p in set().union(*cut) if p not in self]
+        ids = dict(zip(new, self.merger.merge([p.encode("utf-8") for p in new])))
+        room = MEMO - len(self)
+        if room > 0:
+            self.update((p, x) for p, x in list(ids.items())[:room] if len(p) <= 64)
+        self.rest = ids
+        out = [b"".join(map(self.__getitem__, c)) for c in cut]
+        self.rest = {}
+        return out
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.vocab.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode(self, packed: list[bytes]) -> list[bytes]:
+        get = self.vocab.__getitem__
+        return [b"".join(map(get, np.frombuffer(ids, "<u4").tolist())) for ids in packed]
 
 
 _codecs: dict[tuple, _Codec] = {}
@@ -137,9 +245,9 @@ def _row_by_row(df: DataFrame, src: str, kind: str, name: str, path: str, patter
         zero = "" if kind == "encode" else b""
         for b in batches:
             col = b.column(b.schema.get_field_index(src))
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
-                out = [fn(x.as_py() if x.is_valid else zero) for x in col.slice(i, 256)]
+            for i in range(0, b.num_rows, 512):
+                part = b.slice(i, 512)
+                out = fn([zero if x is None else x for x in col.slice(i, 512).to_pylist()])
                 cols = [part.column(part.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.binary())], names=[*keep, name])
 
