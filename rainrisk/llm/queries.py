@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import byte_bpe, mixing, token_files, topk, warc
+from . import byte_bpe, mixing, ngram_join, token_files, topk, warc
 from .common import ship
 
 
@@ -17,6 +17,7 @@ def _shipped(query):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
+    ngram_join.op1_ngram_join,
     topk.op2_topk,
     token_files.op6_token_files,
     warc.op8_warc,
@@ -25,6 +26,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
 )}
 
 ORACLES = {
+    "op1_ngram_join": ngram_join.OP1_SQL,
     "op2_topk": topk.OP2_SQL,
     "op8_warc": warc.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
