@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import byte_bpe, mixing, ngram_join, token_files, topk, warc
+from . import byte_bpe, lm_score, mixing, ngram_join, quality, token_files, topk, warc
 from .common import ship
 
 
@@ -19,6 +19,8 @@ def _shipped(query):
 QUERIES = {f.__name__: _shipped(f) for f in (
     ngram_join.op1_ngram_join,
     topk.op2_topk,
+    lm_score.op3_lm_score,
+    quality.op5_quality,
     token_files.op6_token_files,
     warc.op8_warc,
     byte_bpe.op9_byte_bpe,
