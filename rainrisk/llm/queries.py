@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import byte_bpe, lm_score, mixing, ngram_join, quality, token_files, topk, warc
+from . import byte_bpe, lm_score, mixing, ngram_join, quality, suffix_dedup, token_files, topk, warc
 from .common import ship
 
 
@@ -20,6 +20,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     ngram_join.op1_ngram_join,
     topk.op2_topk,
     lm_score.op3_lm_score,
+    suffix_dedup.op4_suffix_dedup,
     quality.op5_quality,
     token_files.op6_token_files,
     warc.op8_warc,
