@@ -1,11 +1,71 @@
-"""Corpus pipeline: documents through the operators of ``rainrisk.llm``."""
+"""Corpus pipeline: documents through the operators of ``rainrisk.llm``.
+
+Each stage takes (spark, docs, sf_dir), docs with the columns of documents
+(more may follow and are carried), and is written as Parquet and read again
+for the next one:
+
+1. ``quality``: documents scored below the classifier's threshold go. A text
+   without words is scored like any other; without labels nothing goes.
+2. ``near_duplicates``: of documents linked by five-word shingles at a
+   similarity of 0.8 or more, the one with the smallest doc_id stays; texts
+   without words are linked with nothing and stay; rows that repeat a doc_id
+   are one document, one row stays; rows with a null doc_id stay.
+3. ``repeated_passages``: bytes covered by a string of 400 bytes that also
+   starts elsewhere are cut out (cut characters are dropped); no row goes;
+   ``n_chars``, where present, follows the text.
+4. ``mix``: every document is read at least once; documents of smaller sources are
+   repeated, none more than MAX_REPETITION times on average of its source.
+   Rows with a null doc_id are read once.
+5. ``encode``: ids and the decoded bytes of every row, as digests.
+
+An empty table passes through all stages as an empty table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from rainrisk.llm import byte_bpe, mixing, ngram_join, quality, suffix_dedup
+from rainrisk.llm.common import materialise, ship, table
+
+MAX_REPETITION = 1.25
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    net = quality.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    out = "_score"
+    while out in docs.columns:
+        out = "_" + out
+    return quality.score(docs, net, out=out).where(F.col(out) >= quality.THRESHOLD).drop(out)
 
-from rainrisk.llm import byte_bpe
-from rainrisk.llm.common import materialise, table
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = ngram_join.jaccard_components(docs, n=5, num=4, den=5)
+    stay = groups.where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
+    one = Window.partitionBy("d.doc_id").orderBy(F.xxhash64("d.text"))
+    kept = docs.alias("d").join(stay.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
+    n = "_n"
+    while n in docs.columns:
+        n = "_" + n
+    return kept.withColumn(n, F.row_number().over(one)).where((F.col(n) == 1) | F.col("doc_id").isNull()).drop(n)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(docs)
+    text = F.try_validate_utf8(F.col("kept").cast("string"))
+    text = F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
+    cols = [text.alias("text") if c == "text" else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+            else F.col(f"row.`{c}`") for c in docs.columns]
+    return cut.select(*cols)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    dealt = mixing.mix_sources(docs, max_repetition=MAX_REPETITION, budget="cover")
+    copies = dealt.groupBy(F.col("doc_id").alias("m")).agg(F.max("copies").alias("k")).where("m is not null and k > 1")
+    rows = docs.alias("d").join(copies.alias("c"), F.col("d.doc_id") == F.col("c.m"), "left")
+    times = F.sequence(F.lit(1).cast("long"), F.coalesce(F.col("c.k"), F.lit(1)).cast("long"))
+    return rows.select(F.struct("d.*").alias("row"), F.explode(times).alias("copy")).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,11 +73,20 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
 
 
-STAGES = [("encode", encode)]
+STAGES = [
+    ("quality", keep_quality),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("mix", mix),
+    ("encode", encode),
+]
+
+#: The classifier is trained, so SQL can't express the first stage; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")

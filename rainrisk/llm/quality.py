@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, mix, table, text_blocks, words
+from .common import U64, mix, schema_of, table, text_blocks, words
 
 PASSAGE = 64
 BUCKETS, DIM, ATT, STATS = 4096, 16, 8, 14
@@ -197,16 +197,17 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Netwo
     return net
 
 
-def score(docs: DataFrame, net: Network) -> DataFrame:
-    """(doc_id, score) of every document."""
+def score(docs: DataFrame, net: Network, text: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with column ``out``, the score of every row's text."""
     model = docs.sparkSession.sparkContext.broadcast(net)  # BUCKETS * DIM floats
+    keep = [c for c in docs.columns if c != out]
 
     def run(batches):
-        for rows, data, off in text_blocks(batches, block_bytes=1 << 20):
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(model.value.score(*passages(data, off)), pa.float64())], names=["doc_id", "score"])
+        for rows, data, off in text_blocks(batches, text, block_bytes=1 << 20):
+            got = pa.array(model.value.score(*passages(data, off)), pa.float64())
+            yield pa.RecordBatch.from_arrays([*rows.columns, got], names=[*keep, out])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select(*keep).mapInArrow(run, schema_of(docs, keep, f"{out} double"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import byte_bpe, lm_score, mixing, ngram_join, quality, suffix_dedup, token_files, topk, warc
+from . import byte_bpe, lm_score, mixing, ngram_join, nn_descent, quality, suffix_dedup, token_files, topk, warc
 from .common import ship
 
 
@@ -23,6 +23,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     suffix_dedup.op4_suffix_dedup,
     quality.op5_quality,
     token_files.op6_token_files,
+    nn_descent.op7_nn_descent,
     warc.op8_warc,
     byte_bpe.op9_byte_bpe,
     mixing.op10_mixing,

@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, materialise, mix, prefix_hash, release, signed, table, text_blocks
+from .common import U64, materialise, mix, prefix_hash, release, schema_of, signed, table, text_blocks
 
 GRAM, REACH, GAP = 16, 128, 200
 RUN_BYTES = 48 << 20    # payload a task sorts at once
@@ -365,7 +365,7 @@ def _with_lists(docs: DataFrame, lists: DataFrame, how: str = "inner") -> DataFr
 
 
 def _cut(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, text, spans, kept) from the repeated stretches of each document."""
+    """(row, spans, kept) from the repeated stretches of each document."""
 
     def run(batches):
         for rows, data, off in text_blocks(batches):
@@ -387,17 +387,19 @@ def _cut(docs: DataFrame, length: int) -> DataFrame:
                     keep[a:b] = False
                 kept.append(text[keep].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(rows.schema.get_field_index("text")),
+                [rows.column(rows.schema.get_field_index("row")),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept, pa.binary())], names=["doc_id", "text", "spans", "kept"])
+                 pa.array(kept, pa.binary())], names=["row", "spans", "kept"])
 
-    return docs.mapInArrow(run, "doc_id long, text string, spans array<struct<start:long,end:long>>, kept binary")
+    return docs.mapInArrow(run, schema_of(docs, ["row"], "spans array<struct<start:long,end:long>>, kept binary"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
-    """Per row of ``docs (doc_id, text)``: doc_id, text, spans (removed byte
-    ranges, maximal, in order), kept (the remaining bytes)."""
+    """Per row of ``docs (doc_id, text, ...)``: row (the input row but for its text), spans
+    (removed byte ranges, maximal, in order), kept (the remaining bytes)."""
     spark: SparkSession = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), "text",
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
     if length < 2 * GAP or length - GAP < GRAM + REACH:
         raise ValueError(f"length must be at least {max(2 * GAP, GAP + GRAM + REACH)}")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), "text")
@@ -435,12 +437,11 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     settled = strings.where("start is not null").join(again, ["k1", "k2"], "left_semi") \
         .groupBy(*KEY).agg(F.collect_set("start").alias("edge"))
     sure = edges.where(F.col("m") >= length).groupBy(*KEY).agg(F.collect_list(F.struct("pos", "end")).alias("sure"))
-    return _cut(_with_lists(_with_lists(docs, sure, "left"), settled, "left"), length)
+    return _cut(_with_lists(_with_lists(rows, sure, "left"), settled, "left"), length)
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = remove_repeats(table(spark, sf_dir, "documents"))
+    r = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
-    return r.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-                    removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+    return r.select("row.doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                     F.sha2("kept", 256).alias("kept_sha256"))

@@ -63,8 +63,11 @@ def fixture(seed):
 def test_against_brute_force(spark, seed):
     rows = fixture(seed)
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, spans string, pos int").repartition(3)
-    got = [(r["doc_id"], len((r["text"] or "").encode()), sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]),
-            hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in S.remove_repeats(df).collect()]
+    got = []
+    for r in S.remove_repeats(df).collect():
+        cut = sum(s["end"] - s["start"] for s in r["spans"])
+        assert (r["row"]["spans"], r["row"]["pos"]) == ("x", 1)  # columns of the input are carried, whatever their names
+        got.append((r["row"]["doc_id"], len(r["kept"]) + cut, cut, len(r["spans"]), hashlib.sha256(bytes(r["kept"])).hexdigest()))
     want = [(i, *x) for (i, _), x in zip(rows, brute(rows))]
     key = lambda x: (x[0] is None, x)
     assert sorted(got, key=key) == sorted(want, key=key)
