@@ -13,10 +13,10 @@ Two documents link when ``den * |A & B| >= num * |A | B|`` over their sets of
    sketch only makes the lists short. A shingle whose bucket counts one
    document has no partner and is not sent.
 3. Rounds. A list (the classes that share a prefix shingle) may hold a third
-   of all classes, so its pairs are never all made: the first rounds pair each
-   member with one hub of its list (the member for which the shingle is
-   rarest in its order, then one by hash) and components are taken of the
-   links found. The last round pairs members of different components only,
+   of all classes, so its pairs are never all made: the first round pairs each
+   member with one hub of its list (the member in whose order the shingle
+   comes first; HUB_ROUNDS allows more, with hubs by hash) and components
+   are taken of the links found. The last round pairs members of different components only,
    never within the largest component of a list; whatever is left unpaired
    is already connected. So every link between classes is found or is implied
    by links found; ``component_id`` is exact.
@@ -46,7 +46,8 @@ from .common import components, materialise, mix, release, shingles, signed, tab
 U64 = np.uint64
 SKETCH_BITS, SLICES = 20, 64
 PARTS = 32
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
+FILTER_BITS = 27  # 16 MB
 
 
 def _sets(batch, data, off, n: int):
@@ -66,8 +67,13 @@ def _bucket(s: np.ndarray) -> np.ndarray:
     return (s >> U64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def _parts(s: np.ndarray) -> bytes:
+    return np.bincount((s >> U64(59)).astype(np.int64), minlength=PARTS).astype("<u4").tobytes()
+
+
 def _measure(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, sig) and, per task, the slices of its sketch."""
+    """(doc_id, n_shingles, sig, parts) and, per task, the slices of its
+    sketch; parts: counts per hash range, for the suffix filter."""
 
     def run(batches):
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -79,14 +85,15 @@ def _measure(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([_signature(s) if len(s) else 0 for s in sets], pa.int64()),
-                 pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=["doc_id", "n_shingles", "sig", "slice", "counts"])
+                 pa.array([_parts(s) for s in sets], pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
         if counts.any():
             packed = [x.astype("<u4").tobytes() for x in np.split(counts, SLICES)]
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.int64()),
-                 pa.array(range(SLICES), pa.int32()), pa.array(packed)], names=["doc_id", "n_shingles", "sig", "slice", "counts"])
+                 pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array(packed)], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sig long, slice int, counts binary")
+    names = ["doc_id", "n_shingles", "sig", "parts", "slice", "counts"]
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, sig long, parts binary, slice int, counts binary")
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
@@ -152,40 +159,81 @@ def _able(num: int, den: int) -> str:
             f"{num + den} * (1 + least(na - pa, nb - pb) - 1 + least(pa, pb)) >= {num} * (na + nb)")
 
 
-def _fetch(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """(sig, n, parts, items) of the classes ``(sig, rep)``: the sorted hashes
-    and their counts per hash range, from the representative's text."""
+def _suffix_filter(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs whose counts per hash range leave room for the overlap needed."""
 
     def run(batches):
-        for rows, data, off in text_blocks(batches):
-            sets = _sets(rows, data, off, n)
-            parts = [np.bincount((s >> U64(59)).astype(np.int64), minlength=PARTS).astype("<u4").tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(parts),
-                 pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["sig", "n", "parts", "items"])
-
-    texts = docs.join(classes.select(F.col("sig"), F.col("rep").alias("r")), F.col("doc_id") == F.col("r")).select("text", "sig")
-    return texts.mapInArrow(run, "sig long, n long, parts binary, items binary").dropDuplicates(["sig"])
-
-
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) among ``pairs (a, b)``: suffix filter, then the sets."""
-    short = sets.select("sig", "n", "parts")
-
-    def suffix(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            x = np.frombuffer(b"".join(b.column("xp").to_pylist()), "<u4").reshape(b.num_rows, PARTS).astype(np.int64)
-            y = np.frombuffer(b"".join(b.column("yp").to_pylist()), "<u4").reshape(b.num_rows, PARTS).astype(np.int64)
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(b.num_rows, PARTS).astype(np.int64)
+                    for c in ("xp", "yp"))
             total = x.sum(1) + y.sum(1)
-            overlap = (total - np.abs(x - y).sum(1)) // 2  # at most: Hamming distance is at least the sum of differences
+            overlap = (total - np.abs(x - y).sum(1)) // 2  # at most: the Hamming distance is at least the sum of differences
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]) \
                 .filter(pa.array((num + den) * overlap >= num * total))
 
-    xs = short.select(F.col("sig").alias("a"), F.col("parts").alias("xp"))
-    ys = short.select(F.col("sig").alias("b"), F.col("parts").alias("yp"))
-    near = pairs.join(xs, "a").join(ys, "b").select("a", "b", "xp", "yp").mapInArrow(suffix, "a long, b long")
+    xs = reps.select(F.col("sig").alias("a"), F.col("parts").alias("xp"))
+    ys = reps.select(F.col("sig").alias("b"), F.col("parts").alias("yp"))
+    return pairs.join(xs, "a").join(ys, "b").select("a", "b", "xp", "yp").mapInArrow(run, "a long, b long")
+
+
+def _filter_bits(sigs: DataFrame) -> np.ndarray:
+    """A Bloom filter (two probes) of ``sigs``: 16 bits a value up to
+    2**FILTER_BITS bits, beyond which it only lets more through."""
+    n = sigs.count()
+    bits = min(FILTER_BITS, max(16, int(n * 16).bit_length()))
+    size = (1 << bits) // SLICES
+
+    def run(batches):
+        on = np.zeros(1 << bits, bool)
+        for b in batches:
+            for at in _probes(b.column(0).to_numpy(), bits):
+                on[at] = True
+        if on.any():
+            for k, x in enumerate(np.split(on, SLICES)):
+                yield pa.RecordBatch.from_pydict({"slice": pa.array([k], pa.int32()), "bits": [np.packbits(x).tobytes()]})
+
+    def union(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, key = np.zeros(size // 8, np.uint8), None
+        for t in rows:
+            key = t.column("slice")[0].as_py()
+            for x in t.column("bits"):
+                total |= np.frombuffer(x.as_py(), np.uint8)
+        yield pa.RecordBatch.from_pydict({"slice": pa.array([key], pa.int32()), "bits": [total.tobytes()]})
+
+    out = np.zeros((SLICES, size // 8), np.uint8)
+    for r in sigs.mapInArrow(run, "slice int, bits binary").groupBy("slice").applyInArrow(union, "slice int, bits binary").collect():
+        out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def _probes(sig: np.ndarray, bits: int):
+    x = mix(sig.view(U64) + U64(17))
+    return (x >> U64(64 - bits)).astype(np.int64), (mix(x) >> U64(64 - bits)).astype(np.int64)
+
+
+def _verify(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) among ``pairs (a, b)``, written: the sets of the classes
+    named come from one more pass over the texts (a filter of bounded size
+    keeps the others from being sent) and meet once per pair."""
+    wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    held = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
+
+    def fetch(batches):
+        on, seen = held.value, set()
+        bits = (len(on) * 8).bit_length() - 1
+        for rows, data, off in text_blocks(batches):
+            sets = [s for s in _sets(rows, data, off, n) if len(s)]
+            sig = np.array([_signature(s) for s in sets], np.int64)
+            if not len(sig):
+                continue
+            ok = np.ones(len(sig), bool)
+            for at in _probes(sig, bits):
+                ok &= (on[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+            use = [i for i in np.flatnonzero(ok) if not (int(sig[i]) in seen or seen.add(int(sig[i])))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sig[use]), pa.array([sets[i].astype("<u8").tobytes() for i in use], pa.binary())], names=["sig", "items"])
 
     def meet(batches):
         for b in batches:
@@ -197,9 +245,13 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 keep.append(den * both >= num * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    sets = docs.select("text").mapInArrow(fetch, "sig long, items binary").join(wanted, "sig", "left_semi")
+    sets = materialise(sets.groupBy("sig").agg(F.first("items").alias("items")), "jaccard-sets")
     xi = sets.select(F.col("sig").alias("a"), F.col("items").alias("xi"))
     yi = sets.select(F.col("sig").alias("b"), F.col("items").alias("yi"))
-    return near.join(yi, "b").join(xi, "a").select("a", "b", "xi", "yi").mapInArrow(meet, "a long, b long")
+    links = materialise(pairs.join(yi, "b").join(xi, "a").select("a", "b", "xi", "yi").mapInArrow(meet, "a long, b long"), "jaccard-links")
+    release(sets)
+    return links
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -208,20 +260,19 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     spark: SparkSession = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = materialise(_measure(docs, n), "jaccard-measure")
-    rows = parts.where("slice is null").select("doc_id", "n_shingles", "sig")
+    rows = parts.where("slice is null").select("doc_id", "n_shingles", "sig", "parts")
     levels = spark.sparkContext.broadcast(_sketch(parts))  # 2**SKETCH_BITS bytes
 
-    posts = _prefixes(docs, n, num, den, levels).groupBy("tok", "sig").agg(F.first("size").alias("size"), F.first("pos").alias("pos"))
-    posts = materialise(posts, "jaccard-prefix")
-    shared = posts.groupBy("tok").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tok")
-    lists = materialise(posts.join(shared, "tok", "left_semi"), "jaccard-lists")
+    posts = materialise(_prefixes(docs, n, num, den, levels), "jaccard-prefix")
+    shared = posts.groupBy("tok").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x <> y").select("tok")
+    lists = materialise(posts.join(shared, "tok", "left_semi").groupBy("tok", "sig").agg(
+        F.first("size").alias("size"), F.first("pos").alias("pos")), "jaccard-lists")
     release(posts)
-    involved = lists.select("sig").distinct()
-    reps = rows.where("n_shingles > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"))
-    sets = materialise(_fetch(docs.where("doc_id is not null"), reps.join(involved, "sig", "left_semi"), n), "jaccard-sets")
+    reps = materialise(rows.where("n_shingles > 0").groupBy("sig").agg(F.first("parts").alias("parts")), "jaccard-classes")
 
     able = _able(num, den)
-    links, done, label = None, None, None
+    links = spark.createDataFrame([], "a long, b long")
+    done = label = None
     for turn in range(HUB_ROUNDS):
         rank = F.struct("pos", "size", "sig") if turn == 0 else F.struct(F.xxhash64("tok", "sig"), "size", "sig", "pos")
         hubs = lists.groupBy("tok").agg(F.min(rank).alias("h")).select(
@@ -230,11 +281,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5)
             "hs", "sig", "na", "pa", F.col("size").alias("nb"), F.col("pos").alias("pb")).where(able) \
             .select(F.least("hs", "sig").alias("a"), F.greatest("hs", "sig").alias("b")).distinct()
         if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-            pairs = _across(pairs, label)
+            pairs = _across(pairs.join(done, ["a", "b"], "left_anti"), label)
         pairs = materialise(pairs, f"jaccard-hub{turn}")
-        found = materialise(_verify(pairs, sets, num, den), f"jaccard-links{turn}")
-        links = found if links is None else links.unionByName(found)
+        near = materialise(_suffix_filter(pairs, reps, num, den), f"jaccard-near{turn}")
+        links = links.unionByName(_verify(docs, near, n, num, den))
         done = pairs if done is None else done.unionByName(pairs)
         label = components(links, f"jaccard-cc{turn}")
 
@@ -251,9 +301,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     pairs = small.join(other, "tok").where("lc <> c").where(F.expr("c = bc or ls < sig")).where(able) \
         .select(F.least("ls", "sig").alias("a"), F.greatest("ls", "sig").alias("b")).distinct() \
         .join(done, ["a", "b"], "left_anti")
-    links = links.unionByName(materialise(_verify(materialise(pairs, "jaccard-rest"), sets, num, den), "jaccard-links"))
+    near = materialise(_suffix_filter(pairs, reps, num, den), "jaccard-near")
+    links = links.unionByName(_verify(docs, near, n, num, den))
     label = components(links, "jaccard-cc")
-    release(sets)
 
     of_class = rows.where("n_shingles > 0 and doc_id is not null").select("sig", "doc_id").join(
         label.select(F.col("v").alias("sig"), "c"), "sig", "left").withColumn("c", F.coalesce("c", "sig"))
