@@ -123,7 +123,7 @@ def with_bindings(body: str, *names: str) -> str:
     need = set(names)
     if "v_leitura" in need:
         need.add("v_posto")
-    ctes = [f"{n} AS ({ORACLE_BINDINGS[n].strip()})" for n in order if n in need]
+    ctes = [f"{n} AS MATERIALIZED ({ORACLE_BINDINGS[n].strip()})" for n in order if n in need]
     if not ctes:
         return body.strip()
     body = body.strip()
