@@ -14,7 +14,9 @@ turns each part's counts into global offsets. Readers map the files.
 
 Words are split at ASCII white space and each distinct word is encoded once
 per memo: the tokenizer's normaliser and pre-tokeniser never look across
-white space (``tests/llm`` holds it against whole-text encoding).
+white space (``tests/llm`` holds it against whole-text encoding). For a
+tokenizer with the rules of ``CUT_RULES``, words of Latin-1 letters and signs
+are further cut into its pieces, each of which the library encodes once.
 
 Cases: null text is empty and has only the end id; null doc_ids come first
 and are kept (as the smallest int64 in the file); repeated rows each have
@@ -24,10 +26,14 @@ folder without ids and an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,11 +45,22 @@ from .files import make_dir, mapped, writer
 
 NULL_ID = np.iinfo(np.int64).min
 MEMO = 300_000  # words a worker remembers (speed only)
+#: Normaliser and pattern whose pieces are cut here (fixed value, as the file states them).
+CUT_RULES = json.dumps([
+    {'type': 'Sequence', 'normalizers': [{'type': 'NFC'}, {'type': 'Replace', 'pattern': {'Regex': '\\s+'}, 'content': ' '}, {'type': 'Lowercase'}]},
+    {'Regex': "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}])
 MANIFEST = "part int, file string, n_docs long, n_tokens long"
 
 
+#: Words of these characters (visible Latin-1) are cut into the pre-tokeniser's
+#: pieces here, so that "word," and "(word" share the piece "word".
+_PLAIN = re.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
 class WordEncoder(dict):
-    """word (bytes) -> packed ids."""
+    """word (bytes) -> packed ids; the first MEMO distinct words stay, the
+    others are kept for their batch."""
 
     def __init__(self, tokenizer: str):
         super().__init__()
@@ -51,18 +68,46 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(tokenizer)
         self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
+        self.pieces: dict[str, bytes] = {}
+        self.rest: dict[bytes, bytes] = {}
+        # cutting words here is right only for this normaliser and pre-tokeniser
+        rules = json.loads(self.tok.to_str())
+        self.cut = (json.dumps([rules["normalizer"], rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]]) == CUT_RULES
+                    if (rules["pre_tokenizer"] or {}).get("pretokenizers") else False)
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tok.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        out = np.array(ids, self.dtype).tobytes()
-        if len(self) >= MEMO:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = out
+        return self.rest[word]
+
+    def _pack(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of words not in the memo."""
+        plain, other = [], []
+        for w in words:
+            t = w.decode("utf-8")
+            (plain if self.cut and "<|" not in t and _PLAIN.fullmatch(t) else other).append((w, t))
+        out = dict(zip([w for w, _ in other], self._pack([t for _, t in other])))
+        cut = [_PIECES.findall(t.lower()) for _, t in plain]
+        new = [p for p in set().union(*cut) if p not in self.pieces]
+        found = dict(zip(new, self._pack(new)))
+        room = MEMO - len(self.pieces)
+        if room > 0:
+            self.pieces.update(islice(((p, x) for p, x in found.items() if len(p) <= 64), room))
+        for (w, _), ps in zip(plain, cut):
+            out[w] = b"".join([self.pieces[p] if p in self.pieces else found[p] for p in ps])
         return out
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode("utf-8").split()))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.encode("utf-8").split() for t in texts]
+        new = [w for w in set().union(*split) if w not in self]
+        self.rest = self._learn(new)
+        room = MEMO - len(self)
+        if room > 0:
+            self.update(islice(((w, x) for w, x in self.rest.items() if len(w) <= 64), room))
+        out = [b"".join(map(self.__getitem__, s)) for s in split]
+        self.rest = {}
+        return out
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -86,12 +131,11 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1)
         width, docs, counts = int(enc.dtype[-1]), [], []
         with writer(f"{stem}.ids") as out:
             for b in batches:
-                ids, text = b.column(0), b.column(1)
-                docs.append(ids.fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype("<i8"))
-                for x in text:
-                    packed = enc.encode(x.as_py()) + end if x.is_valid else end
-                    counts.append(len(packed) // width)
-                    out.write(packed)
+                docs.append(b.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype("<i8"))
+                for i in range(0, b.num_rows, 512):
+                    packed = enc.encode(b.column(1).slice(i, 512).fill_null("").to_pylist())
+                    counts += [len(x) // width + 1 for x in packed]
+                    out.write(end.join(packed) + end)
         with writer(f"{stem}.doc") as out:
             out.write(np.concatenate(docs).tobytes() if docs else b"")
         with writer(f"{stem}.cnt") as out:
