@@ -54,6 +54,8 @@ def main(argv: list[str] | None = None) -> int:
         a.add_argument("--bronze", required=True)
         a.add_argument("--year", type=int)
         a.add_argument("--report", help="write the per-unit report here")
+        a.add_argument("--accept-failures", action="store_true",
+                       help="load what is sound although some units are not")
 
     a = sub.add_parser("build")
     a.add_argument("--bronze", required=True)
@@ -93,9 +95,10 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd in ("load", "load-files"):
         if args.cmd == "load":
             report = flows.daily_load(spark, args.raw, args.bronze, year=args.year,
-                                      raise_on_failure=False)
+                                      raise_on_failure=not args.accept_failures)
         else:
-            report = flows.daily_load_files(spark, args.raw, args.bronze, year=args.year)
+            report = flows.daily_load_files(spark, args.raw, args.bronze, year=args.year,
+                                            raise_on_failure=not args.accept_failures)
         if args.report:
             report.write.mode("overwrite").parquet(args.report)
         report.groupBy("status").count().show(truncate=False)

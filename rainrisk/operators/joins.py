@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we broadcast. A municipality gazetteer (a few thousand
-# rows of short text) is far below it; a per-reading or per-station table
-# of a large deployment is far above it and keeps a sort-merge join.
-BROADCAST_MAX_ROWS = 200_000
+# Largest table (bytes, as Catalyst estimates them from file sizes) we
+# broadcast. A municipality gazetteer (a few thousand rows of short text) is
+# far below it; a per-reading or per-station table of a large deployment is
+# far above it and keeps a sort-merge join.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def checked_broadcast(df: DataFrame, bound: DataFrame | None = None,
-                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``bound`` (a table whose row count bounds
-    ``df``'s, e.g. the dimension ``df`` derives from; ``df`` itself by
-    default) has at most ``max_rows`` rows; otherwise ``df`` unchanged, so
-    Catalyst / AQE choose a shuffle join.
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df``: file sizes carried through the
+    optimised plan (filters and aggregates keep their input's size, joins
+    multiply), so it errs on the large side. Metadata only: no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
-    The check reads at most ``max_rows + 1`` rows of ``bound``.
+def checked_broadcast(df: DataFrame, bound: DataFrame | None = None,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when ``bound`` (a table that bounds ``df``'s size,
+    e.g. the dimension ``df`` derives from; ``df`` itself by default) is
+    estimated at ``max_bytes`` or less; otherwise ``df`` unchanged, so
+    Catalyst / AQE choose from what they measure.
     """
-    probe = df if bound is None else bound
-    n = probe.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if estimated_bytes(df if bound is None else bound) <= max_bytes else df

@@ -13,14 +13,15 @@ That is one candidate join and one aggregation instead of three joins and
 three anti joins that each rescan the station set.
 
 Candidate join without a cross product: a pattern ``%P%`` can only match a
-name that contains P's first literal run (the first stretch without a `_`/`%`
-wildcard), so it contains the run's first ``GRAM`` characters. Municipalities
-emit that key (empty for wildcard-only names); stations emit their distinct
-substrings of the key lengths the dimension uses (usually only ``GRAM``); an
-equi-join on the key yields a complete candidate set, which ``LIKE`` then
-checks exactly. Work is linear in stations × name length, whatever the
-dimension size, and no key is shared by every station unless a
-wildcard-only name exists.
+name that contains each of P's literal runs (the stretches without a `_`/`%`
+wildcard) whole. Municipalities emit one run as the key: the one that the
+fewest municipalities share (the longest of these), empty for wildcard-only
+names. Stations emit their distinct substrings of the key lengths the
+dimension uses (found by a scalar subquery of the same plan); an equi-join on
+the key yields a complete candidate set, which ``LIKE`` then checks exactly.
+For a name without wildcards the key is the whole name, so every candidate is
+a match; work is linear in the stations' substrings of those lengths, and no
+key is shared by every station unless a wildcard-only name exists.
 """
 
 from __future__ import annotations
@@ -40,21 +41,18 @@ TIER_NONE = "Sem_Match"
 
 TIER_NAMES = {1: TIER_EXACT, 2: TIER_PREFIX, 3: TIER_CONTAINS}
 
-# Length of the candidate key taken from a pattern's first literal run.
-GRAM = 3
 
-
-def distinct_stations(bronze: DataFrame) -> DataFrame:
+def distinct_stations(bronze: DataFrame, null_codes: bool = False) -> DataFrame:
     """A2: distinct (code, name) with the cleaned name.
 
-    Codes that are NULL are left out: they cannot join any reading (the join
-    to the fact is an equi-join) and the bronze not-null check rejects them.
-    In the reference a single NULL code would make its ``NOT IN`` remainder
-    empty for every later tier; we do not reproduce that.
+    Codes that are NULL are left out unless ``null_codes``: they cannot join
+    any reading (the join to the fact is an equi-join) and the bronze
+    not-null check rejects them.
     """
-    return (bronze.select("codigo_posto", "nome_posto")
-            .where(F.col("codigo_posto").isNotNull())
-            .distinct()
+    rows = bronze.select("codigo_posto", "nome_posto")
+    if not null_codes:
+        rows = rows.where(F.col("codigo_posto").isNotNull())
+    return (rows.distinct()
             .withColumn("nome_posto_limpo", clean_string("nome_posto")))
 
 
@@ -64,28 +62,31 @@ def municipality_keys(municipalities: DataFrame) -> DataFrame:
         clean_string("municipio").alias("municipio_limpo"))
 
 
-def _grams_of_length(name, positions, q: int):
-    # (one-argument lambdas: Spark reads a second parameter as the index)
-    subs = F.transform(positions, lambda i: F.substring(name, i, F.lit(q)))
-    return F.filter(subs, lambda g: F.length(g) == q)
-
-
-def _station_grams(stations: DataFrame, lengths: list[int]) -> DataFrame:
+def _station_grams(stations: DataFrame, lengths) -> DataFrame:
     """Each station's distinct substrings of the given lengths (0 = the empty
-    key that wildcard-only patterns use)."""
+    key that wildcard-only patterns use); ``lengths`` is an array column."""
     name = F.col("nome_posto_limpo")
-    n = F.length(name)
-    positions = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    parts = [_grams_of_length(name, positions, q) for q in lengths if q > 0]
-    if 0 in lengths:
-        parts.append(F.array(F.lit("")))
-    keys = F.array_distinct(F.flatten(F.array(*parts))) if parts else F.array().cast("array<string>")
+    stations = stations.withColumn("_lengths", lengths)
+    fits = F.filter(F.col("_lengths"), lambda q: q <= F.length(name))
+
+    def of_length(q):
+        starts = F.sequence(F.lit(1), F.when(q > 0, F.length(name) - q + 1).otherwise(F.lit(1)))
+        return F.transform(starts, lambda i: F.substring(name, i, q))
+
+    keys = F.array_distinct(F.flatten(F.transform(fits, of_length)))
     return stations.select("codigo_posto", "nome_posto_limpo", F.explode(keys).alias("_key"))
 
 
 def _municipality_gram(mun_keys: DataFrame) -> DataFrame:
-    run = F.regexp_extract(F.col("municipio_limpo"), r"([^%_]+)", 1)
-    return mun_keys.withColumn("_key", F.substring(run, 1, GRAM))
+    """``_key``: the literal run of the name that the fewest municipalities share."""
+    runs = F.array_distinct(F.regexp_extract_all(F.col("municipio_limpo"), F.lit("([^%_]+)"), F.lit(1)))
+    one = mun_keys.select("municipio_limpo", F.explode(runs).alias("_run")).distinct()
+    shared = one.groupBy(F.col("_run").alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
+    best = (one.join(shared, F.col("_run") == F.col("_r")).groupBy(F.col("municipio_limpo").alias("_m"))
+            .agg(F.min(F.struct("_n", (-F.length("_run")).alias("_l"), "_run")).alias("_b")))
+    return (mun_keys.join(best, F.col("municipio_limpo") == F.col("_m"), "left")
+            .withColumn("_key", F.when(F.col("municipio_limpo").isNotNull(), F.coalesce("_b._run", F.lit(""))))
+            .drop("_m", "_b"))
 
 
 def _like(value, pattern):
@@ -101,10 +102,8 @@ def candidate_pairs(stations: DataFrame, municipalities: DataFrame) -> DataFrame
     # so the exploded station n-grams are probed in place, never shuffled
     mk = checked_broadcast(_municipality_gram(municipality_keys(municipalities)),
                            bound=municipalities)
-    # key lengths in use (a subset of 0..GRAM, so at most GRAM + 1 small
-    # integers reach the driver): stations emit only n-grams of those lengths
-    lengths = sorted(r[0] for r in mk.select(F.length("_key")).distinct().collect()
-                     if r[0] is not None)
+    # key lengths in use: a scalar subquery, evaluated with the query
+    lengths = F.coalesce(mk.agg(F.collect_set(F.length("_key"))).scalar(), F.array().cast("array<int>"))
     cand = _station_grams(stations, lengths).join(mk, "_key")
     name = F.col("nome_posto_limpo")
     pat = like_literal(F.col("municipio_limpo"))
@@ -117,17 +116,41 @@ def candidate_pairs(stations: DataFrame, municipalities: DataFrame) -> DataFrame
                     "municipio_limpo", "latitude", "longitude", tier.alias("tier")))
 
 
-def station_municipality_map(bronze: DataFrame, municipalities: DataFrame) -> DataFrame:
+def _null_code_limit(pairs: DataFrame) -> tuple[DataFrame, F.Column, F.Column]:
+    """SQL's ``NOT IN`` with a NULL code: (kept pairs, whether stations without
+    a match are listed, whether any code matched at all).
+
+    A NULL code reaches a tier only while no tier before it matched anything;
+    once it has matched, nothing is left for the later tiers.
+    """
+    null = F.col("codigo_posto").isNull()
+    first = pairs.agg(F.min(F.when(~null, F.col("tier"))).alias("known"),
+                      F.min(F.when(null, F.col("tier"))).alias("null"))
+    limit = first.select(F.when(F.col("null") <= F.coalesce("known", F.lit(9)), F.col("null"))).scalar()
+    known = first.select(F.col("known")).scalar()
+    kept = pairs.where((F.col("tier") <= F.coalesce(limit, F.lit(9)))
+                       & (~null | F.coalesce(F.col("tier") == limit, F.lit(False))))
+    return kept, limit.isNull(), known.isNull()
+
+
+def station_municipality_map(bronze: DataFrame, municipalities: DataFrame,
+                             null_codes: bool = False) -> DataFrame:
     """One row per station code: municipio_inferido, latitude, longitude, tipo_match.
 
     Candidate pairs and a "no match" row per station (tier 4) go through one
     aggregation by code; the struct minimum picks the lowest tier, then the
     D2 tie-break, and combines map-side.
+
+    With ``null_codes`` a NULL station code takes part the way SQL's ``NOT
+    IN`` treats it (it can empty all later tiers); by default it is left out.
     """
-    stations = distinct_stations(bronze)
+    stations = distinct_stations(bronze, null_codes)
     pairs = candidate_pairs(stations, municipalities).select(
         "codigo_posto", "tier", (-F.length("municipio_limpo")).alias("neg_len"),
         "municipio", "codigo_ibge", "latitude", "longitude")
+    if null_codes:
+        pairs, listed, unmatched = _null_code_limit(pairs)
+        stations = stations.where(listed & (F.col("codigo_posto").isNotNull() | unmatched))
     none = stations.select(
         "codigo_posto", F.lit(4).alias("tier"), F.lit(None).cast("int").alias("neg_len"),
         F.lit(None).cast("string").alias("municipio"),

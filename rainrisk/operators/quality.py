@@ -104,9 +104,10 @@ def integrity_summary(units: DataFrame) -> DataFrame:
 
 def assert_integrity(units: DataFrame) -> None:
     """Fail the run when any unit is not ok (what the runbook asks for)."""
-    bad = units.where(F.col("status") != STATUS_OK).limit(20).collect()
-    if bad:
-        raise ValueError(f"raw integrity failed for {len(bad)}+ units, e.g. {bad[:3]}")
+    bad = units.where(F.col("status") != STATUS_OK)
+    n = bad.count()
+    if n:
+        raise ValueError(f"raw integrity failed for {n} units, e.g. {bad.limit(3).collect()}")
 
 
 STATUS_UNREADABLE = "unreadable_or_empty"

@@ -222,14 +222,14 @@ def feed_stream_latest(spark, d):
 @query
 def raw_partition_roundtrip(spark, d):
     from rainrisk.session import scratch_path
-    from rainrisk.sources import feed
+    from rainrisk.sources.sinks import rebalanced
     path = scratch_path(spark, "feed-raw")
     rows = B.feed_rows(spark, d)
     ts = F.col("data_hora")
-    (rows.withColumns({"ano": F.year(ts).cast("string"),
-                       "mes": F.lpad(F.month(ts).cast("string"), 2, "0"),
-                       "dia": F.lpad(F.dayofmonth(ts).cast("string"), 2, "0")})
-     .write.mode("overwrite").partitionBy("ano", "mes", "dia").parquet(path))
+    days = rows.withColumns({"ano": F.year(ts).cast("string"),
+                             "mes": F.lpad(F.month(ts).cast("string"), 2, "0"),
+                             "dia": F.lpad(F.dayofmonth(ts).cast("string"), 2, "0")})
+    (rebalanced(days, "ano", "mes", "dia").write.mode("overwrite").partitionBy("ano", "mes", "dia").parquet(path))
     back = (spark.read.schema("data_hora timestamp_ntz, codigo_gmmc string, cidade string, "
                               "nome_estacao string, chuva double, props string, "
                               "ano string, mes string, dia string")
@@ -349,8 +349,10 @@ def raw_csv_integrity(spark, d):
     from rainrisk.operators import quality as Q
     from rainrisk.session import scratch_path
     from rainrisk.sources import daily
+    from rainrisk.sources.sinks import rebalanced
     path = scratch_path(spark, "raw-csv")
-    (B.daily_wide(_bronze(spark, d), 7).write.mode("overwrite").option("header", True)
+    (rebalanced(B.daily_wide(_bronze(spark, d), 7), "mesorregiao_id", "ano_ref")
+     .write.mode("overwrite").option("header", True)
      .partitionBy("mesorregiao_id", "ano_ref").csv(path))
     raw = daily.read_raw_csv(spark, path)
     return Q.unit_integrity(raw, ["mesorregiao_id", "ano_ref"], F.col("ano_ref"))

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from rainrisk.operators import grid, quality
 from rainrisk.plans import medallion
+from rainrisk.session import scratch_path
 from rainrisk.sources import daily, sinks
 from rainrisk.sources.backfill import backfill_plan
+from rainrisk.sources.raw_files import RawFiles
 
 
 def pages_to_fetch(spark: SparkSession, bronze_path: str, as_of: dt.date) -> DataFrame:
@@ -125,24 +127,21 @@ def refresh_silver_year(spark: SparkSession, bronze_path: str, municipalities: D
 
 
 def daily_load_files(spark: SparkSession, raw_dir: str, bronze_path: str,
-                     year: int | None = None) -> DataFrame:
-    """E1 load for raw files named ``<Region>_<yyyy>.parquet`` (one scan).
-
-    Per file: unreadable files and files lacking a mandatory column are
-    rejected (P3), the year guard keeps the file-name year (S2, P10), and
-    the integrity check reports each file (Q4). Accepted rows replace their
-    (year, region) partitions. Returns one report row per file.
+                     year: int | None = None, raise_on_failure: bool = True) -> DataFrame:
+    """E1 load for raw files named ``<Region>_<yyyy>.parquet``.
+
+    Every file is judged first (readable to the end, mandatory columns, a
+    year in its name, the years inside); with ``raise_on_failure`` the run
+    stops there if any file is not ok. Otherwise the accepted files' rows of
+    their own year replace their (year, region) partitions. Returns one
+    report row per file.
     """
-    glob = f"*_{year}.parquet" if year is not None else "*.parquet"
-    raw = daily.read_raw_files(spark, raw_dir, glob)
-    unreadable = quality.unreadable_files(spark, raw_dir, raw, glob)
-    kept, rejected = daily.guard_mandatory_columns(raw)
-    kept = kept.withColumn(daily.EXPECTED_YEAR, daily.year_in_file_name(F.col("_file")))
-    year_col = daily.YEAR_TAG if daily.YEAR_TAG in kept.columns else None
-    units = quality.unit_integrity(kept, ["_file"], F.col(daily.EXPECTED_YEAR), year_col=year_col)
-    long = daily.shape_daily(kept.drop("_file"))
+    files = RawFiles(spark, raw_dir, f"*_{year}.parquet" if year is not None else "*.parquet")
+    path = scratch_path(spark, "raw-report")  # judged once; the load reads the verdicts
+    files.report().write.parquet(path)
+    report = spark.read.parquet(path)
+    if raise_on_failure:
+        quality.assert_integrity(report)
     sinks.ensure_table(spark, bronze_path, daily.bronze_schema(), daily.PARTITION_COLS)
-    daily.replace_bronze_partitions(long, bronze_path)
-    return (units.select("_file", "status")
-            .unionByName(rejected.select("_file", "status"))
-            .unionByName(unreadable.select("_file", "status")))
+    daily.replace_bronze_partitions(files.rows(report), bronze_path)
+    return report.select("_file", "status")

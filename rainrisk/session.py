@@ -45,14 +45,24 @@ def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def local_scratch_allowed(master: str) -> bool:
+    """A machine-local scratch folder is only seen by a single-machine session."""
+    if master == "local" or master.startswith("local["):
+        return True
+    raise RuntimeError(f"spark.checkpoint.dir is not set and master is {master!r}: name a folder that the "
+                       "driver and all executors share")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we set a fresh one.
+    Only when a local session (tests) has none do we set a fresh one; on a
+    cluster a missing setting is an error.
     """
     cp = _conf_checkpoint_dir(spark)
     if cp:
         return cp
+    local_scratch_allowed(spark.sparkContext.master)
     cp = tempfile.mkdtemp(prefix="rainrisk-cp-")
     spark.sparkContext.setCheckpointDir(cp)
     return spark.sparkContext.getCheckpointDir() or cp

@@ -20,6 +20,7 @@ from rainrisk.functions.parse import (  # noqa: F401 - year_in_file_name re-expo
     year_in_file_name,
     year_in_text,
 )
+from rainrisk.sources.sinks import rebalanced
 
 # --- fixed values (must equal the reference's raw layout) --------------------
 COL_CODE, COL_NAME, COL_MONTH_YEAR = "Código", "Posto", "Mês/Ano"
@@ -42,8 +43,8 @@ def land_raw_wide(wide: DataFrame, path: str) -> None:
     Dynamic partition overwrite replaces only the directories present in
     ``wide``; a (region, year) with no new rows is left untouched.
     """
-    (wide.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(REGION, YEAR_TAG).parquet(path))
+    (rebalanced(wide, REGION, YEAR_TAG).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(REGION, YEAR_TAG).parquet(path))
 
 
 def read_raw_wide(spark: SparkSession, path: str, year: int | None = None,
@@ -174,11 +175,10 @@ def replace_bronze_partitions(long: DataFrame, path: str) -> None:
     A partition that gets no new rows is not touched, so an empty or
     rejected file can never wipe a year. Each partition is replaced as a
     whole by the commit protocol, not by a separate delete and insert.
-    No shuffle: every task writes the partitions its rows fall in (the
-    writer sorts locally by the partition columns), so a hot (year, region)
-    is written by many tasks in parallel.
+    Rows are dealt out by partition first (AQE sizes the shares by bytes):
+    one file for a small (year, region), several writers for a hot one.
     """
-    (long.withColumn("ano", F.year("data"))
+    (rebalanced(long.withColumn("ano", F.year("data")), *PARTITION_COLS)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITION_COLS).parquet(path))
 

@@ -29,6 +29,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` dealt out by ``cols`` for a partitioned write: AQE sizes the
+    partitions by bytes, so small directories get one file each and a hot
+    directory is split over several writers, whatever the number of shuffle
+    partitions."""
+    names = ", ".join(f"`{c}`" for c in cols)
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({names}) */ * FROM {{df}}", df=df)
+
+
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType | str,
                  partition_by: list[str] | None = None) -> None:
     """Create an empty table with the given schema if none exists yet."""
@@ -43,6 +52,8 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType | str,
 
 def rebuild_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Full rebuild of a table from a query (overwrite)."""
+    if partition_by:
+        df = rebalanced(df, *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -82,7 +82,8 @@ def test_daily_load_files_reports_each_file(spark, scratch):
         fh.write(b"broken")
     bronze = scratch("bronze")
     report = {os.path.basename(r._file): r.status
-              for r in flows.daily_load_files(spark, base, bronze, year=2020).collect()}
+              for r in flows.daily_load_files(spark, base, bronze, year=2020,
+                                              raise_on_failure=False).collect()}
     assert report == {"Sertao_Pernambucano_2020.parquet": "ok",
                       "Mata_Pernambucana_2020.parquet": "inconsistent",
                       "Agreste_Pernambucano_2020.parquet": "missing_columns",
@@ -90,3 +91,119 @@ def test_daily_load_files_reports_each_file(spark, scratch):
     loaded = daily.read_bronze(spark, bronze).collect()
     assert len(loaded) == 31 and {r.codigo_posto for r in loaded} == {1}
     assert {r.precipitacao for r in loaded} == {1.5}
+
+
+def _files(scratch):
+    import os
+
+    import pandas as pd
+    base = scratch("raw-files").removeprefix("file:")
+    os.makedirs(base)
+    days = {f"{d:02d}": ["1,5"] for d in range(1, 32)}
+    row = pd.DataFrame({"Código": [1], "Posto": ["A"], "Mês/Ano": ["jan/2020"], **days,
+                        "mesorregiao_id": [2601], "ano_ref": [2020]})
+    return base, row
+
+
+def _load(spark, scratch, base, **kw):
+    import os
+    bronze = scratch("bronze")
+    report = {os.path.basename(r._file): r.status
+              for r in flows.daily_load_files(spark, base, bronze, raise_on_failure=False, **kw).collect()}
+    return report, daily.read_bronze(spark, bronze), bronze
+
+
+def test_files_with_text_and_number_day_columns(spark, scratch):
+    base, row = _files(scratch)
+    row.to_parquet(f"{base}/A_2020.parquet")
+    row.assign(Código=2, **{"07": [2.5], "08": [3]}).to_parquet(f"{base}/B_2020.parquet")
+    report, got, _ = _load(spark, scratch, base)
+    assert set(report.values()) == {"ok"}
+    rain = {(r.codigo_posto, r.data.day): r.precipitacao for r in got.collect()}
+    assert rain[1, 7] == 1.5 and rain[2, 7] == 2.5 and rain[2, 8] == 3.0 and len(rain) == 62
+
+
+def test_padded_headers_and_region_by_position_are_per_file(spark, scratch):
+    base, row = _files(scratch)
+    row.to_parquet(f"{base}/A_2020.parquet")
+    row.rename(columns={"Posto": " Posto "}).assign(Código=2).to_parquet(f"{base}/B_2020.parquet")
+    other = row.rename(columns={"mesorregiao_id": "regiao"}).assign(Código=3, regiao=2604)
+    other.to_parquet(f"{base}/C_2020.parquet")
+    report, got, _ = _load(spark, scratch, base)
+    assert set(report.values()) == {"ok"}
+    assert {(r.codigo_posto, r.nome_posto, r.mesorregiao_id) for r in got.collect()} == \
+        {(1, "A", 2601), (2, "A", 2601), (3, "A", 2604)}
+
+
+def test_file_damaged_part_way_is_refused_whole(spark, scratch):
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    base, row = _files(scratch)
+    row.to_parquet(f"{base}/A_2020.parquet")
+    _, before, bronze = _load(spark, scratch, base)
+    many = pd.concat([row.assign(Código=i, Posto=f"name {i}") for i in range(2000)])
+    table = pa.Table.from_pandas(many, preserve_index=False)
+    pq.write_table(table, f"{base}/A_2020.parquet", row_group_size=500)
+    start = pq.ParquetFile(f"{base}/A_2020.parquet").metadata.row_group(2).column(1)
+    at = start.dictionary_page_offset or start.data_page_offset
+    with open(f"{base}/A_2020.parquet", "r+b") as fh:
+        fh.seek(at)
+        fh.write(b"\xff" * 64)
+    report = flows.daily_load_files(spark, base, bronze, raise_on_failure=False).collect()
+    assert [r.status for r in report] == ["damaged"]
+    assert {r.codigo_posto for r in daily.read_bronze(spark, bronze).collect()} == {1}  # as before
+
+
+def test_file_without_year_replaces_nothing(spark, scratch):
+    base, row = _files(scratch)
+    row.to_parquet(f"{base}/A_2020.parquet")
+    row.assign(Código=9).to_parquet(f"{base}/extra.parquet")
+    report, got, _ = _load(spark, scratch, base)
+    assert report == {"A_2020.parquet": "ok", "extra.parquet": "no_year_in_name"}
+    assert {r.codigo_posto for r in got.collect()} == {1}
+
+
+def test_bad_file_stops_the_load_before_the_write(spark, scratch):
+    import pytest
+    base, row = _files(scratch)
+    row.to_parquet(f"{base}/A_2020.parquet")
+    row.drop(columns=["Posto"]).to_parquet(f"{base}/B_2020.parquet")
+    bronze = scratch("bronze")
+    with pytest.raises(ValueError, match="1 units"):
+        flows.daily_load_files(spark, base, bronze)
+    from rainrisk.sources.sinks import path_exists
+    assert not path_exists(spark, bronze)
+
+
+def test_partitioned_writes_make_few_files(spark, scratch):
+    import glob
+    readings = B.daily_readings(spark, SF_SMALL)
+    counts = []
+    for n in ("8", "64"):
+        was = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            path = scratch("bronze")
+            daily.replace_bronze_partitions(readings, path)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", was)
+        counts.append(len(glob.glob(f"{path.removeprefix('file:')}/ano=*/mesorregiao_id=*/*.parquet")))
+    units = readings.select(F.year("data"), "mesorregiao_id").distinct().count()
+    assert counts[0] == counts[1] == units
+
+
+def test_hot_partition_keeps_several_writers(spark, scratch):
+    import glob
+    was = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        path = scratch("bronze")
+        hot = spark.range(0, 60000, 1, 6).select(
+            F.col("id").alias("codigo_posto"), F.lit("A").alias("nome_posto"), F.lit(dt.date(2020, 1, 1)).alias("data"),
+            F.rand(1).alias("precipitacao"), F.lit(2601).alias("mesorregiao_id"))
+        daily.replace_bronze_partitions(hot, path)
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(glob.glob(f"{path.removeprefix('file:')}/ano=2020/mesorregiao_id=2601/*.parquet")) > 1

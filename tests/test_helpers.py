@@ -18,18 +18,45 @@ def _plan(df):
 def test_checked_broadcast_both_ways(spark):
     small = spark.range(3).withColumnRenamed("id", "k")
     big = spark.range(1000).withColumnRenamed("id", "k")
-    hinted = big.join(checked_broadcast(small, max_rows=10), "k")
+    hinted = big.join(checked_broadcast(small, max_bytes=100), "k")
     assert "BroadcastHashJoin" in _plan(hinted)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        not_hinted = big.join(checked_broadcast(small, max_rows=1), "k")
+        not_hinted = big.join(checked_broadcast(small, max_bytes=10), "k")
         assert "BroadcastHashJoin" not in _plan(not_hinted)
-        bounded = big.join(checked_broadcast(small, bound=big, max_rows=10), "k")
+        bounded = big.join(checked_broadcast(small, bound=big, max_bytes=100), "k")
         assert "BroadcastHashJoin" not in _plan(bounded)  # the bound is too large
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_size_check_runs_no_job_and_leaves_no_single_partition(spark):
+    from rainrisk.operators import match
+    from rainrisk.sources import bindings as B
+    from tests.conftest import SF_SMALL
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-only", "building a plan")
+    try:
+        readings, mun = B.daily_readings(spark, SF_SMALL), B.municipalities(spark, SF_SMALL)
+        before = len(sc.statusTracker().getJobIdsForGroup("plan-only"))
+        df = match.station_municipality_map(readings, mun)
+        assert len(sc.statusTracker().getJobIdsForGroup("plan-only")) == before
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert "LocalLimit" not in _plan(df) and "GlobalLimit" not in _plan(df)
+
+
+def test_local_scratch_is_refused_on_a_cluster():
+    import pytest
+
+    from rainrisk.session import local_scratch_allowed
+    assert local_scratch_allowed("local[4]") and local_scratch_allowed("local")
+    with pytest.raises(RuntimeError):
+        local_scratch_allowed("spark://host:7077")
+    with pytest.raises(RuntimeError):
+        local_scratch_allowed("local-cluster[2,1,1024]")
+
+
 def test_scratch_paths_are_fresh_and_lineage_cut(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b

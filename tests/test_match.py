@@ -85,6 +85,48 @@ def test_null_code_is_left_out(spark):
     assert got == {1: ("Olinda", 2.0, 2.0, "Comeca_Com")}
 
 
+def test_null_code_as_sql_not_in(spark):
+    """A NULL code that matches leaves nothing for the later tiers (NOT IN)."""
+    import duckdb
+
+    muns = [(1, "Recife", 1.0, 1.0), (2, "Olinda", 2.0, 2.0)]
+    cases = [[(None, "Recife"), (1, "Olinda x"), (2, "zz"), (3, "Olinda")],
+             [(None, "Recife x"), (1, "a Olinda"), (2, "zz")],
+             [(None, "Recife x"), (3, "Olinda"), (1, "a Olinda"), (2, "zz")],
+             [(None, "nothing"), (1, "Olinda x"), (2, "zz")], [(None, "nothing"), (2, "zz")]]
+    for stations in cases:
+        con = duckdb.connect()
+        con.execute("create table s(c bigint, k varchar); create table m(k varchar, n varchar)")
+        con.executemany("insert into s values (?, ?)", [(c, clean(n)) for c, n in stations])
+        con.executemany("insert into m values (?, ?)", [(clean(n), n) for _, n, _, _ in muns])
+        left, want = "s", {}
+        for t, cond in ((1, "s.k = m.k"), (2, "s.k like m.k || '%'"), (3, "s.k like '%' || m.k || '%'")):
+            con.execute(f"create table t{t} as select s.c, m.n from {left} s join m on {cond}")
+            con.execute(f"create table r{t} as select * from {left} where c not in (select c from t{t})")
+            want |= {c: n for c, n in con.execute(f"select c, n from t{t}").fetchall()}
+            left = f"r{t}"
+        want |= {c: None for c, in con.execute("select c from r3").fetchall()}
+        b = spark.createDataFrame(stations, "codigo_posto bigint, nome_posto string")
+        m = spark.createDataFrame(muns, "codigo_ibge int, municipio string, latitude double, longitude double")
+        got = {r.codigo_posto: r.municipio_inferido for r in station_municipality_map(b, m, null_codes=True).collect()}
+        assert got == want, stations
+
+
+def test_candidates_of_plain_names_are_matches(spark):
+    """The key of a name without wildcards is the whole name: no candidate is refused."""
+    from pyspark.sql import functions as F
+
+    from rainrisk.operators import match as M
+    muns = [(i, f"Cidade {a}{b}", 0.0, 0.0) for i, (a, b) in enumerate((x, y) for x in "abcde" for y in "vwxyz")]
+    stations = [(k, f"Posto Cidade {n[1][-2:]} {k}") for k, n in enumerate(muns * 3)]
+    b = spark.createDataFrame(stations, "codigo_posto bigint, nome_posto string")
+    m = spark.createDataFrame(muns, "codigo_ibge int, municipio string, latitude double, longitude double")
+    mk = M._municipality_gram(M.municipality_keys(m))
+    lengths = F.lit([r[0] for r in mk.select(F.length("_key")).distinct().collect()])
+    cand = M._station_grams(M.distinct_stations(b), lengths).join(mk, "_key").count()
+    assert cand == M.candidate_pairs(M.distinct_stations(b), m).count() == len(stations)
+
+
 names = st.text(alphabet="ab_%ç ", min_size=0, max_size=6)
 
 
