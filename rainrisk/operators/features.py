@@ -81,7 +81,24 @@ def rainfall_features(df: DataFrame, anchor: str = "reference") -> DataFrame:
 
 
 # ---- incremental form: one year slice with carried-in station state ----------
-def carry_state(history: DataFrame, rows: int = MOVING_ROWS) -> DataFrame:
+def station_year_summary(history: DataFrame, rows: int = MOVING_ROWS) -> DataFrame:
+    """One row per (station, year): readings, whether it rained, readings from
+    the last rainy one on, and the last ``rows - 1`` readings. A station-year
+    holds at most 366 readings, so its list is bounded; a closed year's
+    summary never changes."""
+    h = history.select("codigo_posto", F.year("data").alias("_y"), "data", "precipitacao")
+    rainy = F.coalesce(F.col("precipitacao"), F.lit(0.0)) > 0
+    per = h.groupBy("codigo_posto", "_y").agg(
+        F.array_sort(F.collect_list(F.struct("data", "precipitacao"))).alias("_all"),
+        F.max(F.when(rainy, F.col("data"))).alias("_rain"))
+    after = F.size(F.filter("_all", lambda x: x["data"] >= F.col("_rain")))
+    n = F.size("_all")
+    last = F.slice("_all", F.greatest(n - (rows - 2), F.lit(1)), F.lit(rows - 1))
+    return per.select("codigo_posto", "_y", n.alias("n"), F.col("_rain").isNotNull().alias("rained"),
+                      F.when(F.col("_rain").isNotNull(), after).otherwise(n).alias("after"), last.alias("last"))
+
+
+def carry_state(history: DataFrame, rows: int = MOVING_ROWS) -> tuple[DataFrame, DataFrame]:
     """State of each station at the end of ``history`` (all its readings
     before the slice to be computed):
 
@@ -90,19 +107,17 @@ def carry_state(history: DataFrame, rows: int = MOVING_ROWS) -> DataFrame:
       readings when it never rained);
     * the last ``rows - 1`` readings, for the moving mean's first rows.
 
-    Both are aggregates per station (the tail a top-k over a bounded
-    per-station partition), so no window over the whole history is needed.
+    The history is aggregated once per (station, year); a station's years
+    (tens of rows) are then folded in order.
     """
-    p0 = F.coalesce(F.col("precipitacao"), F.lit(0.0))
-    h = history.select("codigo_posto", "data", "precipitacao")
-    last_rain = (h.where(p0 > 0).groupBy("codigo_posto")
-                 .agg(F.max("data").alias("_last_rain")))
-    rn = (h.join(last_rain, "codigo_posto", "left")
-          .where(F.col("_last_rain").isNull() | (F.col("data") >= F.col("_last_rain")))
-          .groupBy("codigo_posto").agg(F.count(F.lit(1)).alias("carry_rn")))
-    w = Window.partitionBy("codigo_posto").orderBy(F.col("data").desc())
-    tail = (h.withColumn("_k", F.row_number().over(w)).where(F.col("_k") < rows)
-            .drop("_k"))
+    years = station_year_summary(history, rows).groupBy("codigo_posto").agg(
+        F.array_sort(F.collect_list(F.struct("_y", "n", "rained", "after", "last"))).alias("_years"))
+    carry = F.aggregate("_years", F.lit(0), lambda acc, x: F.when(x["rained"], x["after"]).otherwise(acc + x["n"]))
+    rn = years.select("codigo_posto", carry.cast("bigint").alias("carry_rn"))
+    all_last = F.flatten(F.transform("_years", lambda x: x["last"]))
+    size = F.size("_last")
+    tail = years.select("codigo_posto", all_last.alias("_last")).select(
+        "codigo_posto", F.inline(F.slice("_last", F.greatest(size - (rows - 2), F.lit(1)), F.lit(rows - 1))))
     return rn, tail
 
 

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainrisk.operators import grid, quality
+from rainrisk.operators import grid, match, quality
 from rainrisk.plans import medallion
 from rainrisk.session import scratch_path
 from rainrisk.sources import daily, sinks
@@ -72,25 +72,36 @@ def build_silver_gold(spark: SparkSession, bronze_path: str, municipalities: Dat
     return grid.alerts(spark.read.parquet(gold_path))
 
 
+def _version(spark: SparkSession, bronze_path: str, year: int) -> int:
+    """A fingerprint of the files of the years before ``year``."""
+    files = sinks.partition_files(spark, bronze_path).where(F.col("ano") < year)
+    return files.agg(F.coalesce(F.sum(F.xxhash64("path", "length", "written").cast("decimal(38,0)")), F.lit(0))
+                     .cast("string").alias("v")).first()[0]
+
+
 def year_start_state(spark: SparkSession, bronze_path: str, state_path: str,
                      year: int) -> tuple[DataFrame, DataFrame]:
     """Each station's state at the start of ``year`` (carry number and last
-    readings), computed from the earlier years once and stored: while the
-    current year is reloaded day after day, this state does not change.
-    The distinct (code, name) pairs of the earlier years are stored with it.
+    readings), computed from the earlier years and stored: while the current
+    year is reloaded day after day, this state does not change. The distinct
+    (code, name) pairs of the earlier years are stored with it. The state is
+    kept under a fingerprint of the earlier years' files; when any of them is
+    reloaded it is computed anew.
     """
     from rainrisk.operators import features
 
     base = f"{state_path.rstrip('/')}/ano={year}"
-    if not sinks.path_exists(spark, f"{base}/_READY"):
+    version = _version(spark, bronze_path, year)
+    known = sinks.path_exists(spark, f"{base}/_READY") and \
+        spark.read.schema("version string").parquet(f"{base}/_READY").where(F.col("version") == version).count() > 0
+    if not known:
         history = daily.read_bronze(spark, bronze_path, before_year=year)
         rn, tail = features.carry_state(history)
         rn.write.mode("overwrite").parquet(f"{base}/carry")
         tail.write.mode("overwrite").parquet(f"{base}/tail")
         (history.select("codigo_posto", "nome_posto").distinct()
          .write.mode("overwrite").parquet(f"{base}/stations"))
-        spark.createDataFrame([(year,)], "ano int").write.mode("overwrite").parquet(
-            f"{base}/_READY")
+        spark.createDataFrame([(version,)], "version string").write.mode("overwrite").parquet(f"{base}/_READY")
     return spark.read.parquet(f"{base}/carry"), spark.read.parquet(f"{base}/tail")
 
 
@@ -98,29 +109,74 @@ def _stored_stations(spark: SparkSession, state_path: str, year: int) -> DataFra
     return spark.read.parquet(f"{state_path.rstrip('/')}/ano={year}/stations")
 
 
+def first_stale_year(spark: SparkSession, bronze_path: str, silver_path: str, year: int) -> int:
+    """The earliest year whose bronze files were written after its silver
+    files (or that silver lacks), at most ``year``. Listings only."""
+    b = sinks.partition_files(spark, bronze_path).groupBy("ano").agg(F.max("written").alias("b"))
+    s = sinks.partition_files(spark, silver_path).groupBy(F.col("ano").alias("sa")).agg(F.min("written").alias("s"))
+    stale = b.join(s, F.col("ano") == F.col("sa"), "left").where(F.col("s").isNull() | (F.col("b") >= F.col("s")))
+    first = stale.agg(F.min("ano")).first()[0]
+    return year if first is None else min(year, first)
+
+
+MAPPING = ["municipio_inferido", "latitude", "longitude", "tipo_match"]
+
+
+def _rematch_earlier(spark: SparkSession, silver_path: str, mapping: DataFrame, before: int) -> None:
+    """Carry changed matches into silver's years before ``before``: only the
+    years that hold a changed station are rewritten, their features kept."""
+    silver = spark.read.parquet(silver_path).where(F.col("ano") < before)
+    was = silver.select("codigo_posto", *MAPPING).distinct()
+    now = mapping.select(F.col("codigo_posto").alias("_c"), *[F.col(c).alias(f"_{c}") for c in MAPPING])
+    same = F.lit(True)
+    for c in MAPPING:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    path = scratch_path(spark, "rematch")
+    was.join(now, F.col("codigo_posto") == F.col("_c")).where(~same).select(now.columns).distinct() \
+        .write.parquet(f"{path}/changed")
+    changed = spark.read.parquet(f"{path}/changed")
+    years = [r[0] for r in silver.join(changed, F.col("codigo_posto") == F.col("_c"), "left_semi")
+             .select("ano").distinct().collect()]  # years on record
+    if not years:
+        return
+    rows = silver.where(F.col("ano").isin(years)).join(changed, F.col("codigo_posto") == F.col("_c"), "left")
+    hit = F.col("_c").isNotNull()
+    rows.select(*[F.when(hit, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in MAPPING else F.col(c)
+                  for c in silver.columns]).write.parquet(f"{path}/silver")
+    (sinks.rebalanced(spark.read.parquet(f"{path}/silver"), "ano").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("ano").parquet(silver_path))
+
+
 def refresh_silver_year(spark: SparkSession, bronze_path: str, municipalities: DataFrame,
                         silver_path: str, gold_path: str, year: int,
                         state_path: str | None = None) -> DataFrame:
-    """Daily E3 after a current-year load: replace only silver's ``ano=year``
-    partition (carried-in station state instead of re-windowing history),
-    then rebuild gold from the silver table (a map-side-combined aggregate).
+    """Daily E3 after a load: silver equal to the full rebuild, at the cost of
+    what changed.
+
+    Silver is recomputed from the earliest year whose bronze is newer than
+    its silver (normally ``year`` alone; a reload of an earlier year moves
+    every year from there on, since dry spells and means carry over), from
+    each station's state at that year's start. A new spelling can change a
+    station's match; changed matches are carried into the earlier years.
+    Gold is rebuilt from the silver table (a map-side-combined aggregate).
     With ``state_path`` the year-start state and the earlier years' station
-    names are read from (or stored once to) there, so the daily run reads
-    only the current year's readings."""
-    year_rows = daily.read_bronze(spark, bronze_path, year=year)  # ano = year: pruned
+    names are read from (or stored to) there, so the daily run reads only
+    the readings of the years it recomputes."""
+    first = first_stale_year(spark, bronze_path, silver_path, year)
+    new_rows = daily.read_bronze(spark, bronze_path, from_year=first)  # ano >= first: pruned
     if state_path:
-        state = year_start_state(spark, bronze_path, state_path, year)
-        # station names: stored pairs of earlier years ∪ this year's readings
-        names = _stored_stations(spark, state_path, year).unionByName(
-            year_rows.select("codigo_posto", "nome_posto"))
-    else:  # history read with a partition filter (ano < year)
+        state = year_start_state(spark, bronze_path, state_path, first)
+        # station names: stored pairs of earlier years ∪ the readings read anyway
+        names = _stored_stations(spark, state_path, first).unionByName(
+            new_rows.select("codigo_posto", "nome_posto"))
+    else:  # history read with a partition filter (ano < first)
         from rainrisk.operators import features
-        state = features.carry_state(daily.read_bronze(spark, bronze_path, before_year=year))
+        state = features.carry_state(daily.read_bronze(spark, bronze_path, before_year=first))
         names = daily.read_bronze(spark, bronze_path).select("codigo_posto", "nome_posto")
-    (medallion.silver_rainfall_year(names, municipalities, year, state=state,
-                                    year_rows=year_rows)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    fresh = medallion.silver_rainfall_year(names, municipalities, first, state=state, year_rows=new_rows)
+    (sinks.rebalanced(fresh, "ano").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ano").parquet(silver_path))
+    _rematch_earlier(spark, silver_path, match.station_municipality_map(names, municipalities), first)
     gold = grid.gold_grid_risk(spark.read.parquet(silver_path))
     sinks.rebuild_table(gold, gold_path)
     return grid.alerts(spark.read.parquet(gold_path))

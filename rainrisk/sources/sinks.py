@@ -29,6 +29,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def partition_files(spark: SparkSession, path: str, key: str = "ano") -> DataFrame:
+    """(key, path, length, written) of a partitioned table's files, from the
+    listing alone (no content is read)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", True).load(path))
+    year = F.regexp_extract("path", f"/{key}=([^/]+)/", 1).try_cast("int")
+    return files.select(year.alias(key), "path", "length", F.col("modificationTime").alias("written"))
+
+
 def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
     """``df`` dealt out by ``cols`` for a partitioned write: AQE sizes the
     partitions by bytes, so small directories get one file each and a hot

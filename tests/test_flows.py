@@ -207,3 +207,35 @@ def test_hot_partition_keeps_several_writers(spark, scratch):
         for k, v in was.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len(glob.glob(f"{path.removeprefix('file:')}/ano=2020/mesorregiao_id=2601/*.parquet")) > 1
+
+
+def test_refresh_after_reload_and_new_spelling_equals_full_build(spark, scratch):
+    """An earlier year reloaded and a spelling added: refresh gives what a full build gives."""
+    bronze, silver, state = scratch("bronze"), scratch("silver"), scratch("state")
+    mun = spark.createDataFrame([(1, "Recife", 1.0, 1.0), (2, "Barra", 2.0, 2.0), (3, "Olinda", 3.0, 3.0)],
+                                "codigo_ibge int, municipio string, latitude double, longitude double")
+
+    def load(rows):
+        daily.replace_bronze_partitions(spark.createDataFrame(
+            rows, "codigo_posto bigint, nome_posto string, data date, precipitacao double, mesorregiao_id int"), bronze)
+
+    def year(y, rain, name="Posto Barra", code=1):
+        return [(code, name, dt.date(y, 12, d), rain(d), 2601) for d in range(20, 32)]
+
+    load(year(2023, lambda d: 0.0) + year(2024, lambda d: 5.0) + year(2025, lambda d: 0.0)
+         + year(2023, lambda d: 0.0, "Olinda", 2))
+    flows.build_silver_gold(spark, bronze, mun, silver, scratch("g"))
+    flows.refresh_silver_year(spark, bronze, mun, silver, scratch("g"), 2025, state_path=state)
+    load(year(2024, lambda d: 0.0 if d > 24 else 7.0))               # reload of an earlier year
+    load(year(2025, lambda d: 0.0, "Recife"))                        # a new spelling, better match
+    assert flows.first_stale_year(spark, bronze, silver, 2025) == 2024
+    gold = scratch("gold")
+    served = flows.refresh_silver_year(spark, bronze, mun, silver, gold, 2025, state_path=state).collect()
+    full_silver, full_gold = scratch("fs"), scratch("fg")
+    full = flows.build_silver_gold(spark, bronze, mun, full_silver, full_gold).collect()
+    cols = spark.read.parquet(full_silver).columns
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(spark.read.parquet(silver).select(cols).collect(), key=key) == \
+        sorted(spark.read.parquet(full_silver).collect(), key=key)
+    assert [tuple(r) for r in served] == [tuple(r) for r in full]
+    assert flows.first_stale_year(spark, bronze, silver, 2025) == 2025
