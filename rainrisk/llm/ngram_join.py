@@ -12,14 +12,15 @@ Two documents link when ``den * |A & B| >= num * |A | B|`` over their sets of
    bucket count (rare first, hash breaks ties). Any fixed order is exact, the
    sketch only makes the lists short. A shingle whose bucket counts one
    document has no partner and is not sent.
-3. Rounds. A list (the classes that share a prefix shingle) may hold a third
-   of all classes, so its pairs are never all made: the first round pairs each
-   member with one hub of its list (the member in whose order the shingle
-   comes first; HUB_ROUNDS allows more, with hubs by hash) and components
-   are taken of the links found. The last round pairs members of different components only,
-   never within the largest component of a list; whatever is left unpaired
-   is already connected. So every link between classes is found or is implied
-   by links found; ``component_id`` is exact.
+3. A list (the classes that share a prefix shingle) may hold a third of all
+   classes, so its pairs are never all made. First each member is paired with
+   one hub of its list, the member in whose order the shingle comes first,
+   and components are taken of the links found. Then members of different
+   components are paired, never two of the largest component of a list, and
+   not if their distances to a common hub differ by more than a link allows
+   (1 - Jaccard is a metric). Whatever is left unpaired is connected already
+   or cannot link, so every link between classes is found or implied by
+   links found; ``component_id`` is exact.
 4. A pair passes the length and positional filters when it is made and the
    suffix filter (a lower bound of the Hamming distance from counts per hash
    range, PARTS ranges) before any set is fetched; then the sets meet once.
@@ -38,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, materialise, mix, release, shingles, signed, table, text_blocks, words
@@ -46,7 +47,6 @@ from .common import components, materialise, mix, release, shingles, signed, tab
 U64 = np.uint64
 SKETCH_BITS, SLICES = 20, 64
 PARTS = 32
-HUB_ROUNDS = 1
 FILTER_BITS = 27  # 16 MB
 
 
@@ -153,14 +153,16 @@ def _prefixes(docs: DataFrame, n: int, num: int, den: int, levels) -> DataFrame:
 
 def _able(num: int, den: int) -> str:
     """Length and positional filter of a pair that shares a prefix shingle at
-    positions pa, pb: sizes compatible, and enough may follow to reach the
-    overlap that the threshold needs."""
+    positions pa, pb, with ra, rb listed shingles before it (one that no other
+    class lists can't be common): sizes compatible, and enough may precede
+    and follow to reach the overlap that the threshold needs."""
     return (f"{den} * least(na, nb) >= {num} * greatest(na, nb) and "
-            f"{num + den} * (1 + least(na - pa, nb - pb) - 1 + least(pa, pb)) >= {num} * (na + nb)")
+            f"{num + den} * (least(ra, rb) + least(na - pa, nb - pb)) >= {num} * (na + nb)")
 
 
 def _suffix_filter(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose counts per hash range leave room for the overlap needed."""
+    """``pairs (a, b)`` with ``most``, an upper bound of their similarity from
+    the counts per hash range, and ``near``, whether it leaves room for a link."""
 
     def run(batches):
         for b in batches:
@@ -170,18 +172,19 @@ def _suffix_filter(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> Dat
                     for c in ("xp", "yp"))
             total = x.sum(1) + y.sum(1)
             overlap = (total - np.abs(x - y).sum(1)) // 2  # at most: the Hamming distance is at least the sum of differences
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]) \
-                .filter(pa.array((num + den) * overlap >= num * total))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a"), b.column("b"), pa.array(overlap / np.maximum(total - overlap, 1)),
+                 pa.array((num + den) * overlap >= num * total)], names=["a", "b", "most", "near"])
 
     xs = reps.select(F.col("sig").alias("a"), F.col("parts").alias("xp"))
     ys = reps.select(F.col("sig").alias("b"), F.col("parts").alias("yp"))
-    return pairs.join(xs, "a").join(ys, "b").select("a", "b", "xp", "yp").mapInArrow(run, "a long, b long")
+    return pairs.join(xs, "a").join(ys, "b").select("a", "b", "xp", "yp").mapInArrow(run, "a long, b long, most double, near boolean")
 
 
-def _filter_bits(sigs: DataFrame) -> np.ndarray:
-    """A Bloom filter (two probes) of ``sigs``: 16 bits a value up to
+def _filter_bits(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter (two probes) of ``ids``: 16 bits a value up to
     2**FILTER_BITS bits, beyond which it only lets more through."""
-    n = sigs.count()
+    n = ids.count()
     bits = min(FILTER_BITS, max(16, int(n * 16).bit_length()))
     size = (1 << bits) // SLICES
 
@@ -203,55 +206,64 @@ def _filter_bits(sigs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"slice": pa.array([key], pa.int32()), "bits": [total.tobytes()]})
 
     out = np.zeros((SLICES, size // 8), np.uint8)
-    for r in sigs.mapInArrow(run, "slice int, bits binary").groupBy("slice").applyInArrow(union, "slice int, bits binary").collect():
+    for r in ids.mapInArrow(run, "slice int, bits binary").groupBy("slice").applyInArrow(union, "slice int, bits binary").collect():
         out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
     return out.reshape(-1)
 
 
-def _probes(sig: np.ndarray, bits: int):
-    x = mix(sig.view(U64) + U64(17))
+def _probes(ids: np.ndarray, bits: int):
+    x = mix(ids.view(U64) + U64(17))
     return (x >> U64(64 - bits)).astype(np.int64), (mix(x) >> U64(64 - bits)).astype(np.int64)
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Links (a, b) among ``pairs (a, b)``, written: the sets of the classes
-    named come from one more pass over the texts (a filter of bounded size
-    keeps the others from being sent) and meet once per pair."""
+def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """(a, b, both, total) of ``pairs (a, b)``, written: sizes of intersection
+    and union. The sets of the classes named come from one more pass over the
+    texts (a filter of bounded size lets the representatives through) and
+    meet once per pair."""
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    wanted = reps.join(wanted, "sig", "left_semi").select("rep")
     held = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
 
     def fetch(batches):
         on, seen = held.value, set()
         bits = (len(on) * 8).bit_length() - 1
         for rows, data, off in text_blocks(batches):
-            sets = [s for s in _sets(rows, data, off, n) if len(s)]
-            sig = np.array([_signature(s) for s in sets], np.int64)
-            if not len(sig):
-                continue
-            ok = np.ones(len(sig), bool)
-            for at in _probes(sig, bits):
+            ids = rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ok = np.ones(len(ids), bool)
+            for at in _probes(ids, bits):
                 ok &= (on[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-            use = [i for i in np.flatnonzero(ok) if not (int(sig[i]) in seen or seen.add(int(sig[i])))]
+            use = np.flatnonzero(ok)
+            if not len(use):
+                continue
+            cut = off[use + 1] - off[use]
+            part = np.concatenate([data[off[i]:off[i + 1]] for i in use])
+            sets = _sets(None, part, np.concatenate([[0], np.cumsum(cut)]), n)
+            sig = [_signature(s) if len(s) else 0 for s in sets]
+            use = [i for i, g in enumerate(sig) if len(sets[i]) and not (g in seen or seen.add(g))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sig[use]), pa.array([sets[i].astype("<u8").tobytes() for i in use], pa.binary())], names=["sig", "items"])
+                [pa.array([sig[i] for i in use], pa.int64()),
+                 pa.array([sets[i].astype("<u8").tobytes() for i in use], pa.binary())], names=["sig", "items"])
 
     def meet(batches):
         for b in batches:
-            keep = []
+            both, total = [], []
             for x, y in zip(b.column("xi").to_pylist(), b.column("yi").to_pylist()):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                 at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                both.append(int((y[np.minimum(at, len(y) - 1)] == x).sum()))
+                total.append(len(x) + len(y) - both[-1])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a"), b.column("b"), pa.array(both, pa.int64()), pa.array(total, pa.int64())],
+                names=["a", "b", "both", "total"])
 
-    sets = docs.select("text").mapInArrow(fetch, "sig long, items binary").join(wanted, "sig", "left_semi")
-    sets = materialise(sets.groupBy("sig").agg(F.first("items").alias("items")), "jaccard-sets")
+    sets = materialise(docs.select("doc_id", "text").mapInArrow(fetch, "sig long, items binary"), "jaccard-sets")
     xi = sets.select(F.col("sig").alias("a"), F.col("items").alias("xi"))
     yi = sets.select(F.col("sig").alias("b"), F.col("items").alias("yi"))
-    links = materialise(pairs.join(yi, "b").join(xi, "a").select("a", "b", "xi", "yi").mapInArrow(meet, "a long, b long"), "jaccard-links")
+    met = pairs.select("a", "b").join(yi, "b").join(xi, "a").select("a", "b", "xi", "yi")
+    out = materialise(met.mapInArrow(meet, "a long, b long, both long, total long"), "jaccard-met")
     release(sets)
-    return links
+    return out
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -264,45 +276,55 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     levels = spark.sparkContext.broadcast(_sketch(parts))  # 2**SKETCH_BITS bytes
 
     posts = materialise(_prefixes(docs, n, num, den, levels), "jaccard-prefix")
-    shared = posts.groupBy("tok").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x <> y").select("tok")
-    lists = materialise(posts.join(shared, "tok", "left_semi").groupBy("tok", "sig").agg(
-        F.first("size").alias("size"), F.first("pos").alias("pos")), "jaccard-lists")
+    shared = posts.groupBy("tok").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tok")
+    lists = posts.join(shared, "tok", "left_semi").groupBy("tok", "sig").agg(F.first("size").alias("size"), F.first("pos").alias("pos"))
+    before = Window.partitionBy("sig").orderBy("pos")  # a prefix: bounded by the text
+    lists = materialise(lists.withColumn("rank", F.row_number().over(before) - 1), "jaccard-lists")
     release(posts)
-    reps = materialise(rows.where("n_shingles > 0").groupBy("sig").agg(F.first("parts").alias("parts")), "jaccard-classes")
+    reps = materialise(rows.where("n_shingles > 0 and doc_id is not null").groupBy("sig").agg(
+        F.min("doc_id").alias("rep"), F.first("parts").alias("parts")), "jaccard-classes")
 
     able = _able(num, den)
-    links = spark.createDataFrame([], "a long, b long")
-    done = label = None
-    for turn in range(HUB_ROUNDS):
-        rank = F.struct("pos", "size", "sig") if turn == 0 else F.struct(F.xxhash64("tok", "sig"), "size", "sig", "pos")
-        hubs = lists.groupBy("tok").agg(F.min(rank).alias("h")).select(
-            "tok", F.col("h.sig").alias("hs"), F.col("h.size").alias("na"), F.col("h.pos").alias("pa"))
-        pairs = lists.join(hubs, "tok").where("sig <> hs").select(
-            "hs", "sig", "na", "pa", F.col("size").alias("nb"), F.col("pos").alias("pb")).where(able) \
-            .select(F.least("hs", "sig").alias("a"), F.greatest("hs", "sig").alias("b")).distinct()
-        if done is not None:
-            pairs = _across(pairs.join(done, ["a", "b"], "left_anti"), label)
-        pairs = materialise(pairs, f"jaccard-hub{turn}")
-        near = materialise(_suffix_filter(pairs, reps, num, den), f"jaccard-near{turn}")
-        links = links.unionByName(_verify(docs, near, n, num, den))
-        done = pairs if done is None else done.unionByName(pairs)
-        label = components(links, f"jaccard-cc{turn}")
+    link = F.expr(f"{den} * both >= {num} * total")
+    # every member with one hub of its list
+    hubs = lists.groupBy("tok").agg(F.min(F.struct("pos", "size", "sig", "rank")).alias("h")).select(
+        "tok", F.col("h.sig").alias("hs"), F.col("h.size").alias("na"), F.col("h.pos").alias("pa"), F.col("h.rank").alias("ra"))
+    pairs = lists.join(hubs, "tok").where("sig <> hs").select(
+        "hs", "sig", "na", "pa", "ra", F.col("size").alias("nb"), F.col("pos").alias("pb"), F.col("rank").alias("rb")).where(able)
+    pairs = materialise(pairs.select(F.col("hs").alias("a"), F.col("sig").alias("b")).distinct(), "jaccard-hub")
+    sifted = materialise(_suffix_filter(pairs, reps, num, den), "jaccard-sifted")
+    met = _verify(docs, reps, sifted.where("near"), n)
+    links = met.where(link).select("a", "b")
+    label = components(links, "jaccard-cc1")
+
+    # each class's distance to its nearest hub, between lo and hi
+    spread = met.select(F.col("a").alias("hub"), F.col("b").alias("s"), (1 - F.col("both") / F.col("total")).alias("lo"),
+                        (1 - F.col("both") / F.col("total")).alias("hi"))
+    spread = spread.unionByName(sifted.where("not near").select(
+        F.col("a").alias("hub"), F.col("b").alias("s"), (1 - F.col("most")).alias("lo"), F.lit(1.0).alias("hi")))
+    spread = spread.unionByName(pairs.select(F.col("a").alias("hub"), F.col("a").alias("s"), F.lit(0.0).alias("lo"), F.lit(0.0).alias("hi")))
+    spread = spread.groupBy("s").agg(F.min(F.struct("lo", "hi", "hub")).alias("d")).select("s", "d.*")
 
     # what is left: pairs of members in different components so far
-    tagged = materialise(lists.join(label, lists.sig == label.v, "left").select(
-        "tok", "sig", "size", "pos", F.coalesce("c", "sig").alias("c")), "jaccard-tagged")
+    tagged = lists.join(label, lists.sig == label.v, "left").select(
+        "tok", "sig", "size", "pos", "rank", F.coalesce("c", "sig").alias("c"))
+    tagged = materialise(tagged.join(spread, F.col("sig") == F.col("s"), "left").drop("s"), "jaccard-tagged")
     held = tagged.groupBy("tok", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("tok").agg(
         F.max(F.struct("n", "c")).alias("big"), F.count(F.lit(1)).alias("cs")).where("cs > 1") \
         .select("tok", F.col("big.c").alias("bc"))
     open_lists = tagged.join(held, "tok")
-    small = open_lists.where("c <> bc").select("tok", F.col("sig").alias("ls"), F.col("size").alias("na"),
-                                               F.col("pos").alias("pa"), F.col("c").alias("lc"))
-    other = open_lists.select("tok", "sig", F.col("size").alias("nb"), F.col("pos").alias("pb"), "c", "bc")
-    pairs = small.join(other, "tok").where("lc <> c").where(F.expr("c = bc or ls < sig")).where(able) \
-        .select(F.least("ls", "sig").alias("a"), F.greatest("ls", "sig").alias("b")).distinct() \
-        .join(done, ["a", "b"], "left_anti")
-    near = materialise(_suffix_filter(pairs, reps, num, den), "jaccard-near")
-    links = links.unionByName(_verify(docs, near, n, num, den))
+    small = open_lists.where("c <> bc").select(
+        "tok", F.col("sig").alias("ls"), F.col("size").alias("na"), F.col("pos").alias("pa"), F.col("rank").alias("ra"),
+        F.col("c").alias("lc"), F.col("lo").alias("llo"), F.col("hi").alias("lhi"), F.col("hub").alias("lhub"))
+    other = open_lists.select("tok", "sig", F.col("size").alias("nb"), F.col("pos").alias("pb"),
+                              F.col("rank").alias("rb"), "c", "bc", "lo", "hi", "hub")
+    far = f"lhub <=> hub and lhub is not null and greatest(llo - hi, lo - lhi) > {1 - num / den} + 1e-9"
+    pairs2 = small.join(other, (small.tok == other.tok) & F.expr(
+        f"lc <> c and (c = bc or ls < sig) and {able} and not ({far})"))
+    pairs2 = pairs2.select(F.least("ls", "sig").alias("a"), F.greatest("ls", "sig").alias("b")).distinct()
+    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    near = materialise(_suffix_filter(pairs2.join(done, ["a", "b"], "left_anti"), reps, num, den).where("near"), "jaccard-near")
+    links = links.unionByName(_verify(docs, reps, near, n).where(link).select("a", "b"))
     label = components(links, "jaccard-cc")
 
     of_class = rows.where("n_shingles > 0 and doc_id is not null").select("sig", "doc_id").join(
@@ -310,13 +332,6 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     return _by_document(rows, of_class)
 
 
-def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """Only pairs whose ends are in different components."""
-    for end in ("a", "b"):
-        pairs = pairs.join(label.select(F.col("v").alias(end), F.col("c").alias(f"c{end}")), end, "left")
-    return pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-
 def _by_document(rows: DataFrame, of_class: DataFrame) -> DataFrame:
     least = of_class.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     classes = of_class.select("sig", "c").distinct().join(least, "c").select(F.col("sig").alias("s"), "component_id")
