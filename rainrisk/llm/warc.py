@@ -246,7 +246,7 @@ def pack(df: DataFrame, col: str = "payload") -> DataFrame:
             i = b.schema.get_field_index(col)
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                out = pa.array([zlib.compress(x.as_py(), 1) if x.is_valid else None for x in part.column(i)], pa.binary())
+                out = pa.array([zlib.compress(x.as_py(), 6) if x.is_valid else None for x in part.column(i)], pa.binary())
                 yield part.set_column(i, b.schema.field(i), out)
 
     return df.mapInArrow(run, df.schema)
