@@ -15,8 +15,8 @@ turns each part's counts into global offsets. Readers map the files.
 Words are split at ASCII white space and each distinct word is encoded once
 per memo: the tokenizer's normaliser and pre-tokeniser never look across
 white space (``tests/llm`` holds it against whole-text encoding). For a
-tokenizer with the rules of ``CUT_RULES``, words of Latin-1 letters and signs
-are further cut into its pieces, each of which the library encodes once.
+tokenizer with the rules of ``CUT_RULES``, Latin-1 texts are cut straight into
+its pieces, each of which the library encodes once per memo.
 
 Cases: null text is empty and has only the end id; null doc_ids come first
 and are kept (as the smallest int64 in the file); repeated rows each have
@@ -29,11 +29,11 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,7 +44,7 @@ from .common import materialise, table
 from .files import make_dir, mapped, writer
 
 NULL_ID = np.iinfo(np.int64).min
-MEMO = 300_000  # words a worker remembers (speed only)
+MEMO = 600_000  # pieces a worker remembers (speed only)
 #: Normaliser and pattern whose pieces are cut here (fixed value, as the file states them).
 CUT_RULES = json.dumps([
     {'type': 'Sequence', 'normalizers': [{'type': 'NFC'}, {'type': 'Replace', 'pattern': {'Regex': '\\s+'}, 'content': ' '}, {'type': 'Lowercase'}]},
@@ -52,14 +52,15 @@ CUT_RULES = json.dumps([
 MANIFEST = "part int, file string, n_docs long, n_tokens long"
 
 
-#: Words of these characters (visible Latin-1) are cut into the pre-tokeniser's
-#: pieces here, so that "word," and "(word" share the piece "word".
-_PLAIN = re.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Texts of these characters (visible Latin-1 and ASCII white space) are cut
+#: into the pre-tokeniser's pieces here, so that "word," and "(word" share "word".
+_PLAIN = re.compile(r"[\x09-\x0d\x20-\x7e\xa1-\xac\xae-\xff]*")
+_L, _N = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\x09-\x0d {_L}{_N}]+")
 
 
 class WordEncoder(dict):
-    """word (bytes) -> packed ids; the first MEMO distinct words stay, the
+    """piece or word -> packed ids: the first MEMO distinct ones stay, the
     others are kept for their batch."""
 
     def __init__(self, tokenizer: str):
@@ -68,47 +69,37 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(tokenizer)
         self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
-        self.pieces: dict[str, bytes] = {}
-        self.rest: dict[bytes, bytes] = {}
-        # cutting words here is right only for this normaliser and pre-tokeniser
+        self.rest: dict[str | bytes, bytes] = {}
+        # cutting pieces here is right only for this normaliser and pre-tokeniser
         rules = json.loads(self.tok.to_str())
-        self.cut = (json.dumps([rules["normalizer"], rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]]) == CUT_RULES
-                    if (rules["pre_tokenizer"] or {}).get("pretokenizers") else False)
-
-    def __missing__(self, word: bytes) -> bytes:
-        return self.rest[word]
-
-    def _pack(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Packed ids of words not in the memo."""
-        plain, other = [], []
-        for w in words:
-            t = w.decode("utf-8")
-            (plain if self.cut and "<|" not in t and _PLAIN.fullmatch(t) else other).append((w, t))
-        out = dict(zip([w for w, _ in other], self._pack([t for _, t in other])))
-        cut = [_PIECES.findall(t.lower()) for _, t in plain]
-        new = [p for p in set().union(*cut) if p not in self.pieces]
-        found = dict(zip(new, self._pack(new)))
-        room = MEMO - len(self.pieces)
-        if room > 0:
-            self.pieces.update(islice(((p, x) for p, x in found.items() if len(p) <= 64), room))
-        for (w, _), ps in zip(plain, cut):
-            out[w] = b"".join([self.pieces[p] if p in self.pieces else found[p] for p in ps])
-        return out
+        parts = (rules["pre_tokenizer"] or {}).get("pretokenizers")
+        self.cut = bool(parts) and json.dumps([rules["normalizer"], parts[0].get("pattern")]) == CUT_RULES
+
+    def __missing__(self, key: str | bytes) -> bytes:
+        return self.rest[key]
+
+    def _split(self, text: str) -> list[str] | list[bytes]:
+        """Pieces (str) of a plain text, else its words (bytes) between ASCII white space."""
+        if self.cut and "<|" not in text and _PLAIN.fullmatch(text):
+            return _PIECES.findall(text.lower())
+        return text.encode("utf-8").split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode("utf-8").split() for t in texts]
-        new = [w for w in set().union(*split) if w not in self]
-        self.rest = self._learn(new)
+        split = [self._split(t) for t in texts]
+        new = [p for p in set().union(*split) if p not in self]
+        done = self.tok.encode_batch_fast([p if isinstance(p, str) else p.decode("utf-8") for p in new], add_special_tokens=False)
+        self.rest = {p: array(self.code, e.ids).tobytes() for p, e in zip(new, done)}
         room = MEMO - len(self)
         if room > 0:
-            self.update(islice(((w, x) for w, x in self.rest.items() if len(w) <= 64), room))
+            self.update(islice(((p, x) for p, x in self.rest.items() if len(p) <= 64), room))
         out = [b"".join(map(self.__getitem__, s)) for s in split]
         self.rest = {}
         return out
 
+    @property
+    def code(self) -> str:
+        return "H" if self.dtype == "<u2" else "I"
+
 
 _encoders: dict[str, WordEncoder] = {}
 
