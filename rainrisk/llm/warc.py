@@ -172,6 +172,8 @@ class WarcReader(DataSourceReader):
         return True
 
     def read(self, partition):
+        if partition is None:  # Spark's stand-in where there is nothing to read
+            return
         rows, held = [], 0
         with reader(partition.file) as raw:
             at, end = partition.start, partition.end if partition.end is not None else raw.size()
