@@ -13,6 +13,7 @@ conditional log-probabilities of all its words, each masked in turn.
 * Network: a table of vectors per window position, summed, tanh, then a
   two-level softmax (class of the id, id within its class), so one
   prediction costs two small products instead of one over the vocabulary.
+  It starts from the ids' corpus shares (biases).
 * Training covers every document: each task runs over its partition and
   predicts every ``MASK``-th word (the phase moves from round to round, the
   masked share of a masked language model) with AdaGrad from the broadcast
@@ -55,7 +56,7 @@ PAD = IDS
 class Vocabulary:
     """Ids of word hashes; log share of rare words within their id."""
 
-    def __init__(self, own: np.ndarray, tail: np.ndarray):
+    def __init__(self, own: np.ndarray, own_counts: np.ndarray, tail: np.ndarray):
         self.order = np.argsort(own)
         self.keys = own[self.order]
         # tail: per bucket (corpus count, distinct words) of rare words
@@ -63,6 +64,9 @@ class Vocabulary:
         per = np.zeros(RARE)
         b = np.arange(1 << TAIL_BITS)
         np.add.at(per, b % RARE, self.count)
+        self.freq = np.zeros(IDS)  # corpus count of every id
+        self.freq[:len(own)] = own_counts
+        self.freq[OWN:] = per
         each = np.where(self.distinct > 0, self.count / np.maximum(self.distinct, 1), 1.0)
         self.share = np.log(each / np.maximum(per[b % RARE], 1.0)).astype(np.float32)
 
@@ -86,6 +90,13 @@ class WindowNetwork:
                   "C": r.normal(0, .1, (DIM, CLASSES)).astype(f), "c": np.zeros(CLASSES, f),
                   "K": r.normal(0, .1, (CLASSES, DIM, WITHIN)).astype(f), "k": np.zeros((CLASSES, WITHIN), f)}
 
+    def start_from(self, freq: np.ndarray) -> WindowNetwork:
+        """Biases of the corpus counts: before training it predicts each id's share."""
+        f = freq.reshape(CLASSES, WITHIN) + .01
+        self.p["c"] = np.log(f.sum(1) / f.sum()).astype(np.float32)
+        self.p["k"] = np.log(f / f.sum(1, keepdims=True)).astype(np.float32)
+        return self
+
     def hidden(self, ctx: np.ndarray) -> np.ndarray:
         x = self.p["E"][0][ctx[:, 0]]
         for j in range(1, 2 * SIDE):
@@ -180,20 +191,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """The ``OWN`` most frequent words and the fixed-size tail table."""
-    own = [r["h"] for r in counts.orderBy(F.desc("n"), "h").limit(OWN).collect()]
+    top = counts.orderBy(F.desc("n"), "h").limit(OWN).collect()
+    own = [r["h"] for r in top]
     rare = counts.join(F.broadcast(counts.sparkSession.createDataFrame([(h,) for h in own], "h long")), "h", "left_anti")
     tail = rare.groupBy(F.shiftrightunsigned("h", 64 - TAIL_BITS).alias("b")).agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("d")).toArrow()  # at most 2**TAIL_BITS rows
     both = np.zeros((2, 1 << TAIL_BITS), np.float32)
     b = tail["b"].to_numpy()
     both[0, b], both[1, b] = tail["n"].to_numpy(), tail["d"].to_numpy()
-    return Vocabulary(np.array(own, np.int64).view(U64), both)
+    return Vocabulary(np.array(own, np.int64).view(U64), np.array([r["n"] for r in top], np.float64), both)
 
 
 def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> WindowNetwork:
     """Rounds of local AdaGrad over all partitions, averaged."""
     sc = docs.sparkSession.sparkContext
-    net = WindowNetwork()
+    net = WindowNetwork().start_from(vocab.value.freq)
     for turn in range(rounds):
         start = sc.broadcast(net.flat())
 
