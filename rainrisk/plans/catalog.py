@@ -173,6 +173,107 @@ def bronze_replace_year(spark, d):
     return daily.read_bronze(spark, path)
 
 
+def _raw_files(spark, d):
+    from rainrisk.plans.raw_fixture import write_raw_files
+    from rainrisk.session import scratch_path
+    from rainrisk.sources.raw_files import RawFiles
+    folder = scratch_path(spark, "raw-files")
+    write_raw_files(spark, _bronze(spark, d), folder)
+    return RawFiles(spark, f"{folder}/raw"), f"{folder}/raw"
+
+
+@query
+def raw_files_load(spark, d):
+    """Irregular flat files loaded: bronze of the accepted ones."""
+    from rainrisk.plans import flows
+    from rainrisk.session import scratch_path
+    from rainrisk.sources import daily
+    _, folder = _raw_files(spark, d)
+    bronze = scratch_path(spark, "bronze")
+    flows.daily_load_files(spark, folder, bronze, raise_on_failure=False)
+    return daily.read_bronze(spark, bronze)
+
+
+@query
+def dq_raw_files(spark, d):
+    """Every flat file's verdict, by file name."""
+    files, _ = _raw_files(spark, d)
+    name = F.regexp_extract("_file", r"([^/]+)$", 1)
+    return files.report().select(name.alias("arquivo"), "status", "n_rows", "year_min", "year_max")
+
+
+@query
+def silver_after_reload(spark, d):
+    """Build, reload an earlier year and a spelling, refresh: equal to a full build."""
+    from rainrisk.plans import flows
+    from rainrisk.session import scratch_path
+    from rainrisk.sources import daily
+    readings = _bronze(spark, d)
+    bronze, silver, gold = (scratch_path(spark, x) for x in ("bronze", "silver", "gold"))
+    first, last = readings.agg(F.min(F.year("data")), F.max(F.year("data"))).first()
+    year, odd = F.year("data"), F.col("codigo_posto") % 4 == 0
+    # what is true in the end: some stations had no usable name before the last year
+    true = readings.withColumn("nome_posto", F.when(odd & (year < last), "Sem nome").otherwise(F.col("nome_posto")))
+    before = true.withColumns({"nome_posto": F.when(odd, "Sem nome").otherwise(F.col("nome_posto")),
+                               "precipitacao": F.when(year == first + 2, 0.0).otherwise(F.col("precipitacao"))})
+    daily.replace_bronze_partitions(before, bronze)
+    flows.build_silver_gold(spark, bronze, _mun(spark, d), silver, gold)
+    daily.replace_bronze_partitions(true.where((year == first + 2) | (year == last)), bronze)
+    flows.refresh_silver_year(spark, bronze, _mun(spark, d), silver, gold, last, state_path=scratch_path(spark, "state"))
+    return spark.read.parquet(silver).select(*medallion.SILVER_COLUMNS).withColumn("ano", F.col("ano").cast("bigint"))
+
+
+@query
+def table_rebuild_view(spark, d):
+    """An empty table made, rebuilt by year, read
+    through a view of its namespace, with its rows per file."""
+    from rainrisk.session import scratch_path
+    from rainrisk.sources import daily, sinks
+    path = scratch_path(spark, "table")
+    readings = _bronze(spark, d).withColumn("ano", F.year("data"))
+    sinks.ensure_table(spark, path, daily.empty_like(readings).schema, ["ano"])
+    assert spark.read.schema(readings.schema).parquet(path).count() == 0
+    sinks.rebuild_table(readings, path, partition_by=["ano"])
+    back = spark.read.parquet(path)
+    sinks.register_view(back, "leituras_reconstruidas")
+    per_file = sinks.rows_per_file(back).withColumn("ano", F.regexp_extract("file_path", "/ano=([0-9]+)/", 1).cast("int"))
+    files = per_file.groupBy("ano").agg(F.sum("n_rows").alias("n_rows"))
+    rows = spark.sql("SELECT ano, count(DISTINCT codigo_posto) AS n_stations, sum(precipitacao) AS chuva, "
+                     "max(data) AS ultima FROM leituras_reconstruidas GROUP BY ano")
+    return rows.join(files, "ano").select(F.col("ano").cast("bigint").alias("ano"), "n_rows", "n_stations", "chuva", "ultima")
+
+
+@query
+def sql_clean_name(spark, d):
+    """D-u4: the name cleaner called from SQL text."""
+    from rainrisk.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    return spark.sql("SELECT codigo_posto, clean_string(nome_posto) AS limpo, upper_trim(nome_posto) AS maiusculo FROM {s}",
+                     s=B.stations(spark, d))
+
+
+@query
+def dimension_write(spark, d):
+    """The dimension replaced behind its unique-key check, read back."""
+    from rainrisk.session import scratch_path
+    from rainrisk.sources.gazetteer import geocode, write_dimension
+    path = scratch_path(spark, "dim")
+    names = _mun(spark, d).select("codigo_ibge", "municipio")
+    write_dimension(names.limit(0).withColumns({"latitude": F.lit(0.0), "longitude": F.lit(0.0)}), path)
+    write_dimension(geocode(names, B.gazetteer(spark, d)), path)
+    return spark.read.parquet(path)
+
+
+@query
+def feed_ingest_days(spark, d):
+    """The ingestion stamp and its partition keys."""
+    from rainrisk.sources import feed
+    payload = feed.payload_from_feed(B.feed_rows(spark, d))
+    stamp = F.make_timestamp(F.lit(2025), F.lit(3), F.lit(7), F.lit(23), F.lit(59), F.lit(59), F.lit("UTC"))
+    rows = feed.with_ingest_partitions(feed.typed_feed(payload, ingest_ts=stamp))
+    return rows.groupBy("ano", "mes", "dia").agg(F.count("ingestao_ts").alias("n_rows"))
+
+
 # ---- feed ------------------------------------------------------------------------
 @query
 def json_flatten(spark, d):
@@ -207,12 +308,12 @@ def feed_stream_latest(spark, d):
     from rainrisk.streaming import feed_stream as S
     base = scratch_path(spark, "feed")
     payload = feed.payload_from_feed(B.feed_rows(spark, d))
-    # land the payload as four separate arrivals, newest readings first
+    # land the payload as four separate arrivals of array files
     for part in range(4):
-        (payload.where(F.abs(F.xxhash64("Codigo_gmmc", "Data-hora")) % 4 == 3 - part)
-         .write.mode("overwrite").json(f"{base}/payload/arrival={part}"))
-    S.run_available_now(S.land_feed(spark, f"{base}/payload/*/*.json", f"{base}/landed",
-                                    f"{base}/cp-land"))
+        feed.write_array_files(payload.where(F.abs(F.xxhash64("Codigo_gmmc", "Data-hora")) % 4 == 3 - part),
+                               f"{base}/payload/arrival={part}")
+    S.run_available_now(S.land_feed(spark, f"{base}/payload/*/*/*.txt", f"{base}/landed",
+                                    f"{base}/cp-land", json_array=True))
     S.run_available_now(S.latest_snapshot_stream(spark, f"{base}/landed", f"{base}/latest",
                                                  f"{base}/cp-latest"))
     return spark.read.parquet(f"{base}/latest").select(

@@ -153,10 +153,11 @@ def shape_daily(wide: DataFrame) -> DataFrame:
 
 
 def numeric_code_rows(df: DataFrame, code_col: str = COL_CODE) -> DataFrame:
-    """Drop rows whose station code is not a number (footer rows)."""
-    from rainrisk.functions.parse import strict_double
-    code = strict_double(F.col(code_col))
-    return df.where(code.isNotNull()).withColumn(code_col, code.cast("bigint"))
+    """Drop rows whose station code is not a number (footer rows). Codes
+    follow the page's number format: ``1.234`` is 1234."""
+    from rainrisk.functions.parse import parse_html_number
+    code = parse_html_number(F.col(code_col)).try_cast("bigint")
+    return df.where(code.isNotNull()).withColumn(code_col, code)
 
 
 # ---- bronze sinks -------------------------------------------------------------

@@ -3,7 +3,8 @@
 The source publishes a JSON array of readings; each carries the nested JSON
 *string* ``Dados_completos``. Parsing is built-in: ``from_json`` to a struct,
 ``dc_`` prefix for its fields, rename to the standard names, lenient numbers,
-strict timestamps (a bad timestamp fails the batch, as in the reference).
+strict timestamps: a bad timestamp fails a batch read; the landing stream
+puts such readings in a side folder and goes on.
 """
 
 from __future__ import annotations
@@ -68,20 +69,29 @@ def flatten_nested(df: DataFrame, column: str = "Dados_completos",
                      *[parsed.getField(f).alias(prefix + f) for f in fields])
 
 
+def bad_timestamp() -> Column:
+    """Payload rows whose timestamp text is no timestamp."""
+    raw = F.col("Data-hora")
+    return raw.isNotNull() & raw.try_cast("timestamp_ntz").isNull()
+
+
 def typed_feed(payload: DataFrame, ingest_ts: Column | None = None,
-               extra_nested: list[str] | None = None) -> DataFrame:
+               extra_nested: list[str] | None = None, strict: bool = True) -> DataFrame:
     """Payload rows → the landed feed schema.
 
     Numbers that do not parse become NULL; a timestamp that does not parse
-    fails the job (ANSI), which aborts the batch like the reference. Missing
+    fails the job (ANSI), which aborts the batch like the reference; with
+    ``strict=False`` such rows are left out (see ``bad_timestamp``). Missing
     text stays NULL rather than becoming the text 'None' (D6).
     """
+    if not strict:
+        payload = payload.where(~bad_timestamp())
     fields = NESTED_FIELDS + list(extra_nested or [])
     flat = flatten_nested(payload, fields=fields)
     flat = flat.withColumnsRenamed({k: v for k, v in RENAMES.items() if k in flat.columns})
     ts = ingest_ts if ingest_ts is not None else F.current_timestamp()
     cols = {
-        "data_hora": F.to_timestamp_ntz(F.col("data_hora")),
+        "data_hora": F.to_timestamp_ntz(F.col("data_hora")) if strict else F.col("data_hora").try_cast("timestamp_ntz"),
         **{c: strict_double(F.col(c)) for c in NUMERIC},
         **{c: F.col(c).cast("string") for c in TEXT},
         "ingestao_ts": ts,
@@ -100,6 +110,16 @@ def with_ingest_partitions(feed: DataFrame) -> DataFrame:
     })
 
 
+def write_array_files(payload: DataFrame, path: str, rows_per_file: int = 5000) -> None:
+    """Payload rows as files that hold one JSON array each (the API's form):
+    rows are dealt to arrays of about ``rows_per_file`` by a hash."""
+    n = F.ceil(F.count(F.lit(1)) / rows_per_file)
+    files = payload.agg(F.greatest(n, F.lit(1))).scalar()
+    one = payload.select(F.to_json(F.struct(*TOP_FIELDS)).alias("j"), F.pmod(F.xxhash64(*TOP_FIELDS), files).alias("file"))
+    arrays = one.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
+    arrays.repartition("file").write.mode("overwrite").partitionBy("file").text(path)
+
+
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """S3: hive-partitioned landed feed; partition keys stay text ('05')."""
     return spark.read.schema(LANDED_SCHEMA).option("basePath", path).parquet(path)

@@ -31,6 +31,13 @@ def geocode(municipalities: DataFrame, gazetteer: DataFrame) -> DataFrame:
                     F.col("_g.longitude").alias("longitude")))
 
 
-def write_dimension(df: DataFrame, path: str) -> None:
-    """Create-or-replace the dimension (its key is checked by Q2)."""
+class DuplicateKey(ValueError):
+    """Two rows of the dimension have one key."""
+
+
+def write_dimension(df: DataFrame, path: str, key: str = "codigo_ibge") -> None:
+    """Create-or-replace the dimension, refused if its key repeats (Q2)."""
+    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(3).collect()
+    if twice:
+        raise DuplicateKey(f"{key} repeats: {[r[0] for r in twice]}")
     df.orderBy("municipio").write.mode("overwrite").parquet(path)

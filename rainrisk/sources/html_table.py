@@ -15,6 +15,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rainrisk.sources.sinks import rebalanced
+
 # --- fixed values (must equal the reference's page layout) -------------------
 RAIN_TABLE_ID = "tbMonPluvio"
 # -----------------------------------------------------------------------------
@@ -27,11 +29,13 @@ _NUMERIC_RE = r"&#([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
 
 _ROW_RE = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
 _CELL_RE = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
+_CELL_TAG_RE = r"(?is)<t[dh]\b([^>]*)>.*?</t[dh]\s*>"
+_COLSPAN_RE = r"(?i)\bcolspan\s*=\s*[\"']?\s*([0-9]{1,6})"
 
 
 def _table_re(table_id: str) -> str:
     tid = re.escape(table_id)
-    return (r"(?is)<table\b[^>]*\bid\s*=\s*[\"']?" + tid +
+    return (r"(?is)<table(?:\s[^>]*)?\sid\s*=\s*[\"']?" + tid +
             r"[\"']?(?:\s[^>]*)?>(.*?)</table\s*>")
 
 
@@ -80,7 +84,14 @@ def _clean_cells(raw_cells: Column, row_html: Column) -> Column:
 
 
 def _raw_cells(row_html: Column) -> Column:
-    return F.regexp_extract_all(row_html, F.lit(_CELL_RE), 1)
+    """Cells of a row; one with a ``colspan`` fills so many places (a
+    ``rowspan`` is not carried to the rows below)."""
+    plain = F.regexp_extract_all(row_html, F.lit(_CELL_RE), 1)
+    spans = F.transform(F.regexp_extract_all(row_html, F.lit(_CELL_TAG_RE), 1),
+                        lambda t: F.least(F.greatest(F.coalesce(F.regexp_extract(t, _COLSPAN_RE, 1).try_cast("int"), F.lit(1)),
+                                                     F.lit(1)), F.lit(1000)))  # HTML's limit of a span
+    spread = F.flatten(F.zip_with(plain, spans, lambda c, n: F.array_repeat(c, n)))
+    return F.when(row_html.rlike(r"(?i)\bcolspan\b"), spread).otherwise(plain)
 
 
 def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TABLE_ID,
@@ -88,32 +99,32 @@ def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TA
     """One output row per data row of the table; ``columns`` taken by header name.
 
     The header is parsed once per page and each wanted column's position is
-    looked up there; data rows then only index their cleaned cells. Rows whose cell
-    count differs from the header's are skipped (spanned footers). Columns
-    missing from a page's header come out NULL.
+    looked up there; data rows then only index their cleaned cells. A row
+    shorter than the header is kept, its missing cells NULL; a spanned cell
+    stands in every column it spans. Columns missing
+    from a page's header come out NULL. Each step is a select of its own, so
+    that no regex is repeated per column; pages are dealt out by bytes first.
     """
     keep = keep or [c for c in pages.columns if c != html_col]
     cols = columns or []
+    pages = rebalanced(pages.select(*keep, html_col))
     table = F.regexp_extract(F.col(html_col), _table_re(table_id), 1)
-    per_page = pages.select(*keep, table.alias("_table"))
-    rows = F.regexp_extract_all(F.col("_table"), F.lit(_ROW_RE), 1)
-    header = _clean_cells(_raw_cells(F.element_at(rows, 1)), F.element_at(rows, 1))
-    positions = F.array(*[F.array_position(header, F.lit(c)).cast("int") for c in cols]) \
+    staged = pages.select(*keep, F.regexp_extract_all(table, F.lit(_ROW_RE), 1).alias("_rows"))
+    staged = staged.select("*", F.get("_rows", 0).alias("_first"))
+    staged = staged.select("*", _raw_cells(F.col("_first")).alias("_heads"))
+    staged = staged.select(*keep, "_rows", _clean_cells(F.col("_heads"), F.col("_first")).alias("_header"))
+    positions = F.array(*[F.array_position("_header", F.lit(c)).cast("int") for c in cols]) \
         if cols else F.array().cast("array<int>")
-    per_page = per_page.select(*keep, rows.alias("_rows"), F.size(header).alias("_width"),
-                               positions.alias("_pos"))
-    exploded = per_page.select(*keep, "_width", "_pos",
-                               F.posexplode("_rows").alias("_row_no", "_row"))
-    body = (exploded.where(F.col("_row_no") > 0)
-            .withColumn("_cells", _raw_cells(F.col("_row")))
-            .where(F.size("_cells") == F.col("_width"))
-            # one generated loop cleans every cell (not one copy per column,
-            # which would push the generated method past the JVM's 64 KB)
-            .withColumn("_cells", _clean_cells(F.col("_cells"), F.col("_row"))))
+    staged = staged.select(*keep, "_rows", positions.alias("_pos"))
+    exploded = staged.select(*keep, "_pos", F.posexplode("_rows").alias("_row_no", "_row"))
+    body = exploded.where(F.col("_row_no") > 0).withColumn("_raw", _raw_cells(F.col("_row"))).where(F.size("_raw") > 0)
+    # one generated loop cleans every cell (not one copy per column, which
+    # would push the generated method past the JVM's 64 KB)
+    body = body.withColumn("_cells", _clean_cells(F.col("_raw"), F.col("_row")))
 
     def pick(i: int) -> Column:
         pos = F.element_at(F.col("_pos"), i + 1)
-        return F.when(pos > 0, F.element_at(F.col("_cells"), pos))
+        return F.when(pos > 0, F.get("_cells", pos - 1))
 
     return body.select(*keep, F.col("_row_no").alias("row_no"),
                        *[pick(i).alias(c) for i, c in enumerate(cols)])

@@ -34,23 +34,23 @@ STATUS_DAMAGED = "damaged"
 REFUSED = (Q.STATUS_UNREADABLE, STATUS_DAMAGED, STATUS_MISSING_COLUMNS, Q.STATUS_NO_NAME_YEAR)
 
 
-def _open(path: str):
-    from pyarrow import fs
-    local = re.sub(r"^file:/+", "/", path)
-    if local.startswith("/"):
-        return fs.LocalFileSystem().open_input_file(local)
-    f, p = fs.FileSystem.from_uri(path)
-    return f.open_input_file(p)
-
-
 def footers(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """One row per file: path, layout (JSON of names and types in file order;
     NULL when the footer cannot be read), rows the footer promises."""
     listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
               .option("pathGlobFilter", glob).load(path).select("path"))
 
-    def read(batches):
+    def read(batches):  # self-contained: workers need no module of ours
         import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        def _open(path):
+            local = re.sub(r"^file:/+", "/", path)
+            if local.startswith("/"):
+                return fs.LocalFileSystem().open_input_file(local)
+            f, p = fs.FileSystem.from_uri(path)
+            return f.open_input_file(p)
+
         for b in batches:
             layout, rows = [], []
             for p in b.column(0).to_pylist():

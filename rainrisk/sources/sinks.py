@@ -44,7 +44,8 @@ def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
     directory is split over several writers, whatever the number of shuffle
     partitions."""
     names = ", ".join(f"`{c}`" for c in cols)
-    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({names}) */ * FROM {{df}}", df=df)
+    hint = f"REBALANCE({names})" if cols else "REBALANCE"
+    return df.sparkSession.sql(f"SELECT /*+ {hint} */ * FROM {{df}}", df=df)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType | str,

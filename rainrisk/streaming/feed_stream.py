@@ -24,6 +24,7 @@ from rainrisk.operators.stations import latest_per_station
 from rainrisk.sources.feed import (
     LANDED_SCHEMA,
     PAYLOAD_SCHEMA,
+    bad_timestamp,
     typed_feed,
     with_ingest_partitions,
 )
@@ -37,31 +38,58 @@ def _trigger(writer, available_now: bool, interval: str = FEED_INTERVAL):
         else writer.trigger(processingTime=interval)
 
 
+def _payload_stream(spark: SparkSession, payload_dir: str, json_array: bool,
+                    max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.schema(PAYLOAD_SCHEMA).option("multiLine", json_array)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.json(payload_dir)
+
+
 def land_feed(spark: SparkSession, payload_dir: str, landed_dir: str, checkpoint: str,
               json_array: bool = False, available_now: bool = True,
               max_files_per_trigger: int | None = None, interval: str = FEED_INTERVAL):
     """T1 + S8: payload files → typed rows → Parquet under ano=/mes=/dia=.
 
-    ``max_files_per_trigger`` bounds a micro-batch when a backlog of files
-    has piled up (``availableNow`` still drains all of it, in such batches).
+    A reading with a bad timestamp does not stall the feed: it is left out
+    here and lands in ``land_rejects``' folder. ``max_files_per_trigger``
+    bounds a micro-batch when a backlog of files has piled up
+    (``availableNow`` still drains all of it, in such batches).
     """
-    reader = spark.readStream.schema(PAYLOAD_SCHEMA).option("multiLine", json_array)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.json(payload_dir)
-    rows = with_ingest_partitions(typed_feed(src))
+    src = _payload_stream(spark, payload_dir, json_array, max_files_per_trigger)
+    rows = with_ingest_partitions(typed_feed(src, strict=False))
     writer = (rows.writeStream.format("parquet")
               .option("path", landed_dir).option("checkpointLocation", checkpoint)
               .partitionBy("ano", "mes", "dia").outputMode("append"))
     return _trigger(writer, available_now, interval).start()
 
 
+def land_rejects(spark: SparkSession, payload_dir: str, rejects_dir: str, checkpoint: str,
+                 json_array: bool = False, available_now: bool = True,
+                 max_files_per_trigger: int | None = None, interval: str = FEED_INTERVAL):
+    """The readings ``land_feed`` leaves out, as they came, as Parquet in a side folder."""
+    src = _payload_stream(spark, payload_dir, json_array, max_files_per_trigger)
+    writer = (src.where(bad_timestamp()).writeStream.format("parquet")
+              .option("path", rejects_dir).option("checkpointLocation", checkpoint).outputMode("append"))
+    return _trigger(writer, available_now, interval).start()
+
+
+def check_rejects(spark: SparkSession, rejects_dir: str, max_rejects: int | None = None) -> int:
+    """How many readings were left out; more than ``max_rejects`` is an error."""
+    n = spark.read.schema(PAYLOAD_SCHEMA).parquet(rejects_dir).count()
+    if max_rejects is not None and n > max_rejects:
+        raise ValueError(f"{n} readings with a bad timestamp, more than {max_rejects}")
+    return n
+
+
 def latest_snapshot_stream(spark: SparkSession, landed_dir: str, snapshot_dir: str,
                            checkpoint: str, available_now: bool = True,
-                           interval: str = FEED_INTERVAL):
+                           interval: str = FEED_INTERVAL, max_files_per_trigger: int | None = None):
     """Latest reading per station, rewritten as one snapshot per trigger."""
-    src = (spark.readStream.schema(LANDED_SCHEMA)
-           .option("basePath", landed_dir).parquet(landed_dir))
+    reader = spark.readStream.schema(LANDED_SCHEMA).option("basePath", landed_dir)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.parquet(landed_dir)
     latest = latest_per_station(src.withColumn("municipio_nome", upper_trim(F.col("cidade"))),
                                 carry=["municipio_nome", "chuva"])
 

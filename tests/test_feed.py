@@ -71,3 +71,22 @@ def test_processing_time_trigger_path(spark, scratch):
     finally:
         q.stop()
     assert feed.read_landed(spark, f"{base}/landed").count() == 1
+
+
+def test_bad_timestamp_goes_to_the_side_folder_and_the_feed_goes_on(spark, scratch):
+    from rainrisk.streaming import feed_stream as S
+    base = scratch("feed-bad")
+    good = '{"chuva": "1", "cidade": "Recife", "nome": "a"}'
+    feed.write_array_files(payload(spark, [("not a time", "E", "G0", good), ("2025-01-01 10:00:00", "E", "G1", good)]), f"{base}/payload/a1")
+    args = dict(json_array=True, max_files_per_trigger=1)
+    for k in range(2):  # a good file after the bad one is landed too
+        S.run_available_now(S.land_feed(spark, f"{base}/payload/*/*/*.txt", f"{base}/landed", f"{base}/cp", **args))
+        S.run_available_now(S.land_rejects(spark, f"{base}/payload/*/*/*.txt", f"{base}/bad", f"{base}/cpb", **args))
+        if k == 0:
+            feed.write_array_files(payload(spark, [("2025-01-02 10:00:00", "E", "G2", good)]), f"{base}/payload/a2")
+    assert sorted(r.codigo_gmmc for r in feed.read_landed(spark, f"{base}/landed").collect()) == ["G1", "G2"]
+    assert S.check_rejects(spark, f"{base}/bad") == 1
+    with pytest.raises(ValueError, match="1 readings"):
+        S.check_rejects(spark, f"{base}/bad", max_rejects=0)
+    S.run_available_now(S.latest_snapshot_stream(spark, f"{base}/landed", f"{base}/latest", f"{base}/cp2", max_files_per_trigger=1))
+    assert spark.read.parquet(f"{base}/latest").count() == 2

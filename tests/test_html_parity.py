@@ -22,13 +22,13 @@ class _Tables(HTMLParser):
         elif self.depth and tag == "tr":
             self.rows.append([])
         elif self.depth and tag in ("td", "th"):
-            self.cell = []
+            self.cell, self.span = [], int(dict(attrs).get("colspan") or 1)
 
     def handle_endtag(self, tag):
         if tag == "table" and self.depth:
             self.depth -= 1
         elif self.depth and tag in ("td", "th") and self.cell is not None:
-            self.rows[-1].append("".join(self.cell).strip())
+            self.rows[-1] += ["".join(self.cell).strip()] * self.span
             self.cell = None
 
     def handle_data(self, data):
@@ -43,8 +43,6 @@ def brute(html, table_id, columns):
         return []
     header, out = p.rows[0], []
     for i, row in enumerate(p.rows[1:], 1):
-        if len(row) != len(header):
-            continue
         m = dict(zip(header, row))
         out.append((i, *[m.get(c) for c in columns]))
     return out

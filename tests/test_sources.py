@@ -17,7 +17,7 @@ def test_html_table_rows(spark):
     pages = spark.createDataFrame([(1, html), (2, "<p>no table</p>")], "page_id int, html string")
     rows = table_rows(pages, columns=["Código", "Posto", "01", "02"]).orderBy("row_no").collect()
     assert [(r["Código"], r["Posto"], r["01"], r["02"]) for r in rows] == \
-        [("12", "São & Co", "1.234,5", None), ("Total", "", "-", None)]
+        [("12", "São & Co", "1.234,5", None), ("Total", "", "-", None), ("rodapé", "rodapé", "rodapé", None)]
     from rainrisk.sources.daily import numeric_code_rows
     kept = numeric_code_rows(table_rows(pages, columns=["Código"])).collect()
     assert [r["Código"] for r in kept] == [12]
@@ -94,3 +94,14 @@ def test_per_file_mandatory_columns_and_unreadable(spark, scratch):
     assert rej == {"Sertao_2021.parquet": ["Posto"]}
     bad = [os.path.basename(r._file) for r in Q.unreadable_files(spark, base, raw).collect()]
     assert bad == ["Sertao_2022.parquet"]
+
+
+def test_html_short_rows_codes_and_table_id(spark):
+    from rainrisk.sources.daily import numeric_code_rows
+    html = ("<table data-id='tbMonPluvio'><tr><td>no</td></tr><tr><td>9</td></tr></table>"
+            "<table class='x' id = tbMonPluvio><tr><th>Código</th><th>Posto</th><th>01</th></tr>"
+            "<tr><td>1.234</td><td>A</td></tr><tr><td>5</td><td>B</td><td>1,5</td></tr>"
+            "<tr><td>inf</td><td>C</td><td>2</td></tr><tr></tr></table>")
+    pages = spark.createDataFrame([("p", html)], "page_id string, html string")
+    rows = numeric_code_rows(table_rows(pages, columns=["Código", "Posto", "01"])).collect()
+    assert sorted((r["Código"], r["Posto"], r["01"]) for r in rows) == [(5, "B", "1,5"), (1234, "A", None)]
