@@ -20,7 +20,7 @@ from rainrisk.session import scratch_path
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd multiplier of the rolling hash (fixed value)
-BLOCK_BYTES = 4 << 20      # bytes of text a numpy step holds at once
+BLOCK_BYTES = 1 << 20      # bytes of text a numpy step holds at once
 
 
 def ship(spark: SparkSession) -> None:

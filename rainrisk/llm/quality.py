@@ -203,7 +203,7 @@ def score(docs: DataFrame, net: Network, text: str = "text", out: str = "score")
     keep = [c for c in docs.columns if c != out]
 
     def run(batches):
-        for rows, data, off in text_blocks(batches, text, block_bytes=1 << 20):
+        for rows, data, off in text_blocks(batches, text):
             got = pa.array(model.value.score(*passages(data, off)), pa.float64())
             yield pa.RecordBatch.from_arrays([*rows.columns, got], names=[*keep, out])
 
