@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 
 from .common import U64, materialise, mix, prefix_hash, release, schema_of, signed, table, text_blocks
 
-GRAM, REACH, GAP = 16, 128, 200
+GRAM, REACH, GAP = 16, 64, 256
 RUN_BYTES = 48 << 20    # payload a task sorts at once
 RANGE_BYTES = 24 << 20  # payload a range merges
 SAMPLE = 4096           # prefixes the splitters are taken from
@@ -400,8 +400,8 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), "text",
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
-    if length < 2 * GAP or length - GAP < GRAM + REACH:
-        raise ValueError(f"length must be at least {max(2 * GAP, GAP + GRAM + REACH)}")
+    if length < GAP + GRAM + REACH:  # an anchor's choice must lie inside every string it stands for
+        raise ValueError(f"length must be at least {GAP + GRAM + REACH}")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), "text")
     found = materialise(_find_anchors(docs, length), "suffix-anchors")
     sample = [bytes(r["prefix"]) for r in found.where("prefix is not null").orderBy("h").limit(SAMPLE).collect()]
