@@ -197,6 +197,54 @@ def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
+# ------------------------------------------------------------ bounded filter
+
+FILTER_BITS, FILTER_SLICES = 27, 64  # 16 MB at most
+
+
+def filter_bits(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter (two probes) of ``ids``: 16 bits a value up to
+    2**FILTER_BITS bits, beyond which it only lets more through."""
+    n = ids.count()
+    bits = min(FILTER_BITS, max(16, int(n * 16).bit_length()))
+    size = (1 << bits) // FILTER_SLICES
+
+    def run(batches):
+        on = np.zeros(1 << bits, bool)
+        for b in batches:
+            for at in _probes(b.column(0).to_numpy(), bits):
+                on[at] = True
+        if on.any():
+            for k, x in enumerate(np.split(on, FILTER_SLICES)):
+                yield pa.RecordBatch.from_pydict({"slice": pa.array([k], pa.int32()), "bits": [np.packbits(x).tobytes()]})
+
+    def union(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, key = np.zeros(size // 8, np.uint8), None
+        for t in rows:
+            key = t.column("slice")[0].as_py()
+            for x in t.column("bits"):
+                total |= np.frombuffer(x.as_py(), np.uint8)
+        yield pa.RecordBatch.from_pydict({"slice": pa.array([key], pa.int32()), "bits": [total.tobytes()]})
+
+    out = np.zeros((FILTER_SLICES, size // 8), np.uint8)
+    for r in ids.mapInArrow(run, "slice int, bits binary").groupBy("slice").applyInArrow(union, "slice int, bits binary").collect():
+        out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def _probes(ids: np.ndarray, bits: int):
+    x = mix(ids.view(U64) + U64(17))
+    return (x >> U64(64 - bits)).astype(np.int64), (mix(x) >> U64(64 - bits)).astype(np.int64)
+
+
+def passes(on: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ``ids`` the filter lets through."""
+    bits, ok = (len(on) * 8).bit_length() - 1, np.ones(len(ids), bool)
+    for at in _probes(ids, bits):
+        ok &= (on[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+    return ok
+
+
 # -------------------------------------------------------------- components
 
 def components(edges: DataFrame, label: str = "cc") -> DataFrame:

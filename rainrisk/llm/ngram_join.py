@@ -42,12 +42,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, materialise, mix, release, shingles, signed, table, text_blocks, words
+from .common import components, filter_bits, materialise, mix, passes, release, shingles, signed, table, text_blocks, words
 
 U64 = np.uint64
 SKETCH_BITS, SLICES = 20, 64
 PARTS = 32
-FILTER_BITS = 27  # 16 MB
 
 
 def _sets(batch, data, off, n: int):
@@ -181,41 +180,6 @@ def _suffix_filter(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> Dat
     return pairs.join(xs, "a").join(ys, "b").select("a", "b", "xp", "yp").mapInArrow(run, "a long, b long, most double, near boolean")
 
 
-def _filter_bits(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter (two probes) of ``ids``: 16 bits a value up to
-    2**FILTER_BITS bits, beyond which it only lets more through."""
-    n = ids.count()
-    bits = min(FILTER_BITS, max(16, int(n * 16).bit_length()))
-    size = (1 << bits) // SLICES
-
-    def run(batches):
-        on = np.zeros(1 << bits, bool)
-        for b in batches:
-            for at in _probes(b.column(0).to_numpy(), bits):
-                on[at] = True
-        if on.any():
-            for k, x in enumerate(np.split(on, SLICES)):
-                yield pa.RecordBatch.from_pydict({"slice": pa.array([k], pa.int32()), "bits": [np.packbits(x).tobytes()]})
-
-    def union(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, key = np.zeros(size // 8, np.uint8), None
-        for t in rows:
-            key = t.column("slice")[0].as_py()
-            for x in t.column("bits"):
-                total |= np.frombuffer(x.as_py(), np.uint8)
-        yield pa.RecordBatch.from_pydict({"slice": pa.array([key], pa.int32()), "bits": [total.tobytes()]})
-
-    out = np.zeros((SLICES, size // 8), np.uint8)
-    for r in ids.mapInArrow(run, "slice int, bits binary").groupBy("slice").applyInArrow(union, "slice int, bits binary").collect():
-        out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
-    return out.reshape(-1)
-
-
-def _probes(ids: np.ndarray, bits: int):
-    x = mix(ids.view(U64) + U64(17))
-    return (x >> U64(64 - bits)).astype(np.int64), (mix(x) >> U64(64 - bits)).astype(np.int64)
-
-
 def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """(a, b, both, total) of ``pairs (a, b)``, written: sizes of intersection
     and union. The sets of the classes named come from one more pass over the
@@ -223,17 +187,13 @@ def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int) -> DataF
     meet once per pair."""
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     wanted = reps.join(wanted, "sig", "left_semi").select("rep")
-    held = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
+    held = docs.sparkSession.sparkContext.broadcast(filter_bits(wanted))
 
     def fetch(batches):
         on, seen = held.value, set()
-        bits = (len(on) * 8).bit_length() - 1
         for rows, data, off in text_blocks(batches):
             ids = rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            ok = np.ones(len(ids), bool)
-            for at in _probes(ids, bits):
-                ok &= (on[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-            use = np.flatnonzero(ok)
+            use = np.flatnonzero(passes(on, ids))
             if not len(use):
                 continue
             cut = off[use + 1] - off[use]

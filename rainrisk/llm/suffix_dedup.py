@@ -29,7 +29,8 @@ the starts up to p + M - length repeats; a start cannot repeat further than
 the next anchor's repeat) except just before an anchor whose repeat reaches
 further than the anchor's before it. These edges are settled by counting
 their ``length``-byte strings by hash (96 bits), only for anchors that share
-their context with an edge. All joins are on hashes or document keys and
+their context with an edge, and only where the bytes common to a stretch of
+such strings occur twice. All joins are on hashes or document keys and
 counts are partial before a shuffle; texts of a copied document meet as one
 folded suffix per run, so a group of copies is never collected.
 
@@ -43,6 +44,7 @@ are not read. Offsets are bytes of UTF-8; a cut may split a character.
 from __future__ import annotations
 
 import struct
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -51,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, materialise, mix, prefix_hash, release, schema_of, signed, table, text_blocks
+from .common import U64, filter_bits, materialise, mix, passes, prefix_hash, release, schema_of, signed, table, text_blocks
 
 GRAM, REACH, GAP = 16, 64, 256
 RUN_BYTES = 48 << 20    # payload a task sorts at once
@@ -164,7 +166,7 @@ def front_code(suffixes: list[tuple[bytes, int, int, bool]]) -> bytes:
         out.append(struct.pack("<HHqq?", k, len(x) - k, h, c, twice))
         out.append(x[k:])
         prev = x
-    return b"".join(out)
+    return zlib.compress(b"".join(out), 1)
 
 
 _HEAD = struct.Struct("<HHqq?")
@@ -172,6 +174,7 @@ _HEAD = struct.Struct("<HHqq?")
 
 def read_run(blob: bytes) -> Iterator[tuple[int, bytes, int, int, bool]]:
     """(common prefix with the one before, suffix, hash, context hash, repeated)."""
+    blob = zlib.decompress(blob) if blob else b""
     at, prev, end, size = 0, b"", len(blob), _HEAD.size
     while at < end:
         k, m, h, c, twice = _HEAD.unpack_from(blob, at)
@@ -321,19 +324,50 @@ def _longest(runs: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------------- edges
 
+#: Offsets before an anchor fall into these stretches; see ``_edge_cores``.
+STRETCHES = [(1, 8), (9, 24), (25, 56), (57, 120), (121, GAP)]
+
+
+def _lists_of(rows, names: int):
+    """The struct list column ``a`` of a block: its fields and each item's document."""
+    lists = rows.column(rows.schema.get_field_index("a"))
+    n = np.array([len(x) for x in lists])
+    flat = lists.flatten()
+    return [flat.field(k).to_numpy().astype(np.int64) for k in range(names)], np.repeat(np.arange(rows.num_rows), n)
+
+
+def _edge_cores(docs: DataFrame, length: int) -> DataFrame:
+    """(k1, k2, doc_id, tkey, pos, lo, hi): for each listed anchor and stretch
+    of offsets lo..hi, the bytes that all its strings have in common. Where
+    no other anchor of the same context has them, none of the strings repeats."""
+
+    def run(batches):
+        for rows, data, off in text_blocks(batches):
+            s, inv = prefix_hash(data)
+            (pos, lo, hi, h), doc = _lists_of(rows, 4)
+            for first, last in STRETCHES:
+                a, b = np.maximum(lo, first), np.minimum(hi, last)
+                ok = (a <= b) & (pos >= a) & (off[doc] + pos - b + length <= off[doc + 1])
+                p, d = pos[ok], doc[ok]
+                start, end = off[d] + p - first, off[d] + p + length - last
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(mix((s[end] - s[start]) * inv[start]))),
+                     pa.array((mix(h[ok].view(U64) + U64(first)) >> U64(33)).astype(np.int32)), rows.column(0).take(pa.array(d)),
+                     rows.column(1).take(pa.array(d)), pa.array(p.astype(np.int32)), pa.array(a[ok].astype(np.int32)),
+                     pa.array(b[ok].astype(np.int32))], names=["k1", "k2", *KEY, "pos", "lo", "hi"])
+
+    return docs.mapInArrow(run, "k1 long, k2 int, doc_id long, tkey long, pos int, lo int, hi int")
+
+
 def _edge_strings(docs: DataFrame, length: int) -> DataFrame:
     """(k1, k2, doc_id, tkey, start) of the ``length``-byte strings at the
-    listed offsets before the listed anchors; ``start`` only where the
+    listed offsets before the listed anchors; key and ``start`` only where the
     document itself asks for it."""
 
     def run(batches):
         for rows, data, off in text_blocks(batches):
             s, inv = prefix_hash(data)
-            lists = rows.column(rows.schema.get_field_index("a"))
-            n = np.array([len(x) for x in lists])
-            flat = lists.flatten()
-            pos, lo, hi, ulo, uhi, h = (flat.field(k).to_numpy().astype(np.int64) for k in range(6))
-            doc = np.repeat(np.arange(rows.num_rows), n)
+            (pos, lo, hi, ulo, uhi, h), doc = _lists_of(rows, 6)
             for i in range(0, len(pos), 2048):
                 part = slice(i, i + 2048)
                 cnt = np.maximum(hi[part] - lo[part] + 1, 0)
@@ -347,8 +381,8 @@ def _edge_strings(docs: DataFrame, length: int) -> DataFrame:
                 k2 = mix(h[part][who].view(U64) * U64(3) + o.astype(U64)) >> U64(33)
                 own = (o >= ulo[part][who]) & (o <= uhi[part][who])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(k1)), pa.array(k2.astype(np.int32)), rows.column(0).take(pa.array(d)),
-                     rows.column(1).take(pa.array(d)), pa.array((p - o).astype(np.int32), mask=~own)],
+                    [pa.array(signed(k1)), pa.array(k2.astype(np.int32)), rows.column(0).take(pa.array(d, mask=~own)),
+                     rows.column(1).take(pa.array(d, mask=~own)), pa.array((p - o).astype(np.int32), mask=~own)],
                     names=["k1", "k2", *KEY, "start"])
 
     return docs.mapInArrow(run, "k1 long, k2 int, doc_id long, tkey long, start int")
@@ -358,6 +392,24 @@ def _same(a: str, b: str):
     return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.tkey") == F.col(f"{b}.tkey"))
 
 
+def _key(df: DataFrame) -> DataFrame:
+    return df.select(F.xxhash64(*KEY).alias("k"))
+
+
+def _sift(docs: DataFrame, lists: DataFrame, inside: bool) -> DataFrame:
+    """``docs`` that may (``inside``) or surely do not have a list: a filter of
+    bounded size, so that texts without a list are not shuffled to the join."""
+    held = docs.sparkSession.sparkContext.broadcast(filter_bits(_key(lists)))
+    cols = docs.columns
+
+    def run(batches):
+        for b in batches:
+            ok = passes(held.value, b.column(len(cols)).to_numpy())
+            yield pa.RecordBatch.from_arrays(b.columns[:-1], names=cols).filter(pa.array(ok if inside else ~ok))
+
+    return docs.withColumn("_k", F.xxhash64(*KEY)).mapInArrow(run, docs.schema)
+
+
 def _with_lists(docs: DataFrame, lists: DataFrame, how: str = "inner") -> DataFrame:
     """``docs`` joined with per-document lists on the document key."""
     rest = [c for c in lists.columns if c not in KEY]
@@ -414,7 +466,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     splitters = spark.sparkContext.broadcast(sorted({order[len(order) * k // ranges] for k in range(1, ranges)} if order else set()))
 
     lists = near.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "back", "h")).alias("a"))
-    work = materialise(_suffix_runs(_with_lists(docs, lists), splitters, length), "suffix-runs")
+    work = materialise(_suffix_runs(_with_lists(_sift(docs, near, True), lists), splitters, length), "suffix-runs")
     release(near)
     longest = materialise(_longest(work.where("run is not null").select("range", "run")), "suffix-lcp")
     spots = work.where("pos is not null").select(*KEY, "pos", "back", "h", "c").distinct()
@@ -431,13 +483,28 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     asked = edges.where("ulo <= uhi").groupBy("h").agg(F.min("ulo").alias("olo"), F.max("uhi").alias("ohi"))
     mates = edges.join(asked, "h").withColumn("lo", F.greatest("olo", "ulo")) \
         .withColumn("hi", F.least("ohi", F.col("back") - 1)).where("lo <= hi")
-    mates = mates.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
-    strings = materialise(_edge_strings(_with_lists(docs, mates), length), "suffix-strings")
+    mates = materialise(mates.select(*KEY, "pos", "lo", "hi", "ulo", "uhi", "h"), "suffix-mates")
+    lists = mates.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "lo", "hi", "h")).alias("a"))
+    cores = materialise(_edge_cores(_with_lists(_sift(docs, mates, True), lists), length), "suffix-cores")
+    alike = cores.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2")
+    left = cores.join(alike, ["k1", "k2"], "left_semi").select(*KEY, "pos", "lo", "hi").distinct().alias("x")
+    m = mates.drop("lo", "hi").distinct().alias("m")
+    left = m.join(left, _same("m", "x") & (F.col("m.pos") == F.col("x.pos"))).select("m.*", "x.lo", "x.hi")
+    left = materialise(left, "suffix-left")
+    release(mates)
+    release(cores)
+    lists = left.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
+    strings = materialise(_edge_strings(_with_lists(_sift(docs, left, True), lists), length), "suffix-strings")
     again = strings.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2")
     settled = strings.where("start is not null").join(again, ["k1", "k2"], "left_semi") \
         .groupBy(*KEY).agg(F.collect_set("start").alias("edge"))
     sure = edges.where(F.col("m") >= length).groupBy(*KEY).agg(F.collect_list(F.struct("pos", "end")).alias("sure"))
-    return _cut(_with_lists(_with_lists(rows, sure, "left"), settled, "left"), length)
+    cuts = sure.alias("s").join(settled.alias("e"), _same("s", "e"), "full")
+    cuts = materialise(cuts.select(*[F.coalesce(f"s.{c}", f"e.{c}").alias(c) for c in KEY], "sure", "edge"), "suffix-cuts")
+    whole = _sift(rows, cuts, False).select(
+        "row", F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
+        F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("kept"))
+    return _cut(_with_lists(_sift(rows, cuts, True), cuts, "left"), length).unionByName(whole)
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
