@@ -12,8 +12,8 @@ by their own right context only, so that equal texts have equal anchors:
 Every start of a ``length``-byte string so has an anchor at most ``GAP``
 bytes on, and a repeat of the string has the same anchor at the same offset.
 An anchor's suffix matters if its next ``length - GAP`` bytes occur twice
-(counted by hash; a collision only adds work). Those suffixes, cut at
-``length + GAP`` bytes, are sorted by a distributed merge sort:
+(counted by hash; a collision only adds work). Those suffixes, cut
+``length`` bytes behind the next anchor, are sorted by a distributed merge sort:
 
 1. each task sorts its suffixes, folds equal ones, and cuts the run at global
    splitters (suffixes that share ``length - GAP`` bytes stay together);
@@ -67,13 +67,14 @@ KEY = ["doc_id", "tkey"]
 
 def anchors(data: np.ndarray, off: np.ndarray, length: int):
     """Anchors of a block of documents: (document, position in it, bytes back
-    to the anchor before, hash of the next ``length - GAP`` bytes)."""
+    to the anchor before, bytes ahead to the next (at most ``GAP``), hash of
+    the next ``length - GAP`` bytes)."""
     need = length - GAP
     s, inv = prefix_hash(data)
     n = len(data)
     if n < need:
         z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, U64)
+        return z, z, z, z, np.zeros(0, U64)
     g = np.full(n, 0xFFFFFFFF, np.uint32)
     g[:n - GRAM + 1] = (((s[GRAM:] - s[:-GRAM]) * inv[:n - GRAM + 1]) * U64(0x9E3779B97F4A7C15) >> U64(32)).astype(np.uint32)
     low, width = g, 1
@@ -109,8 +110,11 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int):
     back = np.diff(pos, prepend=-1)
     first = np.diff(doc, prepend=-1) != 0
     back[first] = (pos - off[doc] + 1)[first]
+    ahead = np.full(len(pos), GAP)
+    same = ~first[1:]
+    ahead[:-1][same] = np.minimum(back[1:][same], GAP)
     h = mix((s[pos + need] - s[pos]) * inv[pos])
-    return doc, pos - off[doc], back, h
+    return doc, pos - off[doc], back, ahead, h
 
 
 def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
@@ -120,7 +124,7 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
     def run(batches):
         small: dict[int, bytes] = {}
         for rows, data, off in text_blocks(batches):
-            doc, pos, back, h = anchors(data, off, length)
+            doc, pos, back, ahead, h = anchors(data, off, length)
             for i in np.argsort(h)[:256]:
                 at = off[doc[i]] + pos[i]
                 small[int(h[i])] = data[at:at + need].tobytes()
@@ -128,16 +132,16 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
                 small = dict(sorted(small.items())[:256])
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0).take(pa.array(doc)), rows.column(1).take(pa.array(doc)), pa.array(pos.astype(np.int32)),
-                 pa.array(back.astype(np.int32)), pa.array(signed(h)), pa.nulls(len(doc), pa.binary())],
-                names=[*KEY, "pos", "back", "h", "prefix"])
+                 pa.array(back.astype(np.int32)), pa.array(ahead.astype(np.int16)), pa.array(signed(h)),
+                 pa.nulls(len(doc), pa.binary())], names=[*KEY, "pos", "back", "ahead", "h", "prefix"])
         small = dict(sorted(small.items())[:256])
         m = len(small)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()),
-             pa.array(signed(np.fromiter(small.keys(), U64, m))), pa.array(list(small.values()), pa.binary())],
-            names=[*KEY, "pos", "back", "h", "prefix"])
+             pa.nulls(m, pa.int16()), pa.array(signed(np.fromiter(small.keys(), U64, m))), pa.array(list(small.values()), pa.binary())],
+            names=[*KEY, "pos", "back", "ahead", "h", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, tkey long, pos int, back int, h long, prefix binary")
+    return docs.mapInArrow(run, "doc_id long, tkey long, pos int, back int, ahead short, h long, prefix binary")
 
 
 # ----------------------------------------------------------------- the runs
@@ -231,45 +235,58 @@ def merge_runs(blobs: list[bytes]) -> Iterator[tuple[int, bytes, int, int, bool]
             i //= 2
 
 
-def _suffix_runs(docs: DataFrame, splitters, length: int) -> DataFrame:
-    """From (doc_id, tkey, text, a: anchors): anchor rows with the hash of
-    their whole context, and front-coded sorted runs by range."""
-    cap, need = length + GAP, length - GAP
+def _lists_of(rows, names: int):
+    """The struct list column ``a`` of a block: its fields and each item's document."""
+    lists = rows.column(rows.schema.get_field_index("a"))
+    n = np.array([len(x) for x in lists])
+    flat = lists.flatten()
+    return [flat.field(k).to_numpy().astype(np.int64) for k in range(names)], np.repeat(np.arange(rows.num_rows), n)
+
+
+def _context_ends(pos: np.ndarray, ahead: np.ndarray, doc: np.ndarray, off: np.ndarray, length: int) -> np.ndarray:
+    """Where an anchor's suffix is cut: ``length`` bytes behind the next
+    anchor, which equal texts have at the same place."""
+    return np.minimum(off[doc] + pos + ahead + length, off[doc + 1])
+
+
+def _contexts(texts: DataFrame, length: int) -> DataFrame:
+    """(doc_id, tkey, pos, back, h, c): anchors with the hash of their whole cut suffix."""
+
+    def run(batches):
+        for rows, data, off in text_blocks(batches):
+            s, inv = prefix_hash(data)
+            (pos, back, ahead, h), doc = _lists_of(rows, 4)
+            at, end = off[doc] + pos, _context_ends(pos, ahead, doc, off, length)
+            c = signed(mix((s[end] - s[at]) * inv[at] + (end - at).astype(U64)))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0).take(pa.array(doc)), rows.column(1).take(pa.array(doc)), pa.array(pos.astype(np.int32)),
+                 pa.array(back.astype(np.int32)), pa.array(h), pa.array(c)], names=[*KEY, "pos", "back", "h", "c"])
+
+    return texts.mapInArrow(run, "doc_id long, tkey long, pos int, back int, h long, c long")
+
+
+def _suffix_runs(texts: DataFrame, splitters, length: int) -> DataFrame:
+    """From (doc_id, tkey, text, a: anchors): front-coded sorted runs by range."""
+    need = length - GAP
 
     def run(batches):
         cuts = splitters.value
         held, size = {}, 0
 
-        def flush():
-            order = sorted(held)
-            at = 0
+        def runs():
+            order, at = sorted(held), 0
             for r in range(len(cuts) + 1):
                 end = bisect_left(order, cuts[r], at, key=lambda x: x[:need]) if r < len(cuts) else len(order)
                 if end > at:
-                    yield r, front_code([(x, *held[x]) for x in order[at:end]])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r], pa.int32()), pa.array([front_code([(x, *held[x]) for x in order[at:end]])])], names=["range", "run"])
                 at = end
 
-        def blobs():
-            got = list(flush())
-            m = len(got)
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())]
-                + [pa.array([r for r, _ in got], pa.int32()), pa.array([b for _, b in got], pa.binary())], names=names)
-
-        names = [*KEY, "pos", "back", "h", "c", "range", "run"]
         for rows, data, off in text_blocks(batches):
             s, inv = prefix_hash(data)
-            lists = rows.column(rows.schema.get_field_index("a"))
-            n = np.diff(np.concatenate([[0], np.cumsum([len(x) for x in lists])]))
-            flat = lists.flatten()
-            pos, back, h = (flat.field(k).to_numpy() for k in range(3))
-            doc = np.repeat(np.arange(rows.num_rows), n)
-            at = off[doc] + pos
-            end = np.minimum(at + cap, off[doc + 1])
+            (pos, _, ahead, h), doc = _lists_of(rows, 4)
+            at, end = off[doc] + pos, _context_ends(pos, ahead, doc, off, length)
             c = signed(mix((s[end] - s[at]) * inv[at] + (end - at).astype(U64)))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0).take(pa.array(doc)), rows.column(1).take(pa.array(doc)), pa.array(pos), pa.array(back),
-                 pa.array(h), pa.array(c), pa.nulls(len(doc), pa.int32()), pa.nulls(len(doc), pa.binary())], names=names)
             raw = data.tobytes()
             for a, e, x, y in zip(at.tolist(), end.tolist(), h.tolist(), c.tolist()):
                 t = raw[a:e]
@@ -280,13 +297,12 @@ def _suffix_runs(docs: DataFrame, splitters, length: int) -> DataFrame:
                 elif not was[2]:
                     held[t] = (x, y, True)
             if size >= RUN_BYTES:
-                yield blobs()
+                yield from runs()
                 held.clear()
                 size = 0
-        if held:
-            yield blobs()
+        yield from runs()
 
-    return docs.mapInArrow(run, "doc_id long, tkey long, pos int, back int, h long, c long, range int, run binary")
+    return texts.mapInArrow(run, "range int, run binary")
 
 
 def _longest(runs: DataFrame) -> DataFrame:
@@ -328,23 +344,16 @@ def _longest(runs: DataFrame) -> DataFrame:
 STRETCHES = [(1, 8), (9, 24), (25, 56), (57, 120), (121, GAP)]
 
 
-def _lists_of(rows, names: int):
-    """The struct list column ``a`` of a block: its fields and each item's document."""
-    lists = rows.column(rows.schema.get_field_index("a"))
-    n = np.array([len(x) for x in lists])
-    flat = lists.flatten()
-    return [flat.field(k).to_numpy().astype(np.int64) for k in range(names)], np.repeat(np.arange(rows.num_rows), n)
-
-
 def _edge_cores(docs: DataFrame, length: int) -> DataFrame:
-    """(k1, k2, doc_id, tkey, pos, lo, hi): for each listed anchor and stretch
-    of offsets lo..hi, the bytes that all its strings have in common. Where
-    no other anchor of the same context has them, none of the strings repeats."""
+    """(k1, k2, doc_id, tkey, pos, lo, hi, own): for each listed anchor and
+    stretch of offsets lo..hi, the bytes that all its strings have in common,
+    and whether the document asks for any of them. Where no other anchor of
+    the same context has them, or none asks, no string need be compared."""
 
     def run(batches):
         for rows, data, off in text_blocks(batches):
             s, inv = prefix_hash(data)
-            (pos, lo, hi, h), doc = _lists_of(rows, 4)
+            (pos, lo, hi, ulo, uhi, h), doc = _lists_of(rows, 6)
             for first, last in STRETCHES:
                 a, b = np.maximum(lo, first), np.minimum(hi, last)
                 ok = (a <= b) & (pos >= a) & (off[doc] + pos - b + length <= off[doc + 1])
@@ -354,9 +363,10 @@ def _edge_cores(docs: DataFrame, length: int) -> DataFrame:
                     [pa.array(signed(mix((s[end] - s[start]) * inv[start]))),
                      pa.array((mix(h[ok].view(U64) + U64(first)) >> U64(33)).astype(np.int32)), rows.column(0).take(pa.array(d)),
                      rows.column(1).take(pa.array(d)), pa.array(p.astype(np.int32)), pa.array(a[ok].astype(np.int32)),
-                     pa.array(b[ok].astype(np.int32))], names=["k1", "k2", *KEY, "pos", "lo", "hi"])
+                     pa.array(b[ok].astype(np.int32)), pa.array((np.maximum(a, ulo) <= np.minimum(b, uhi))[ok])],
+                    names=["k1", "k2", *KEY, "pos", "lo", "hi", "own"])
 
-    return docs.mapInArrow(run, "k1 long, k2 int, doc_id long, tkey long, pos int, lo int, hi int")
+    return docs.mapInArrow(run, "k1 long, k2 int, doc_id long, tkey long, pos int, lo int, hi int, own boolean")
 
 
 def _edge_strings(docs: DataFrame, length: int) -> DataFrame:
@@ -465,11 +475,12 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     order = sorted(set(sample))
     splitters = spark.sparkContext.broadcast(sorted({order[len(order) * k // ranges] for k in range(1, ranges)} if order else set()))
 
-    lists = near.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "back", "h")).alias("a"))
-    work = materialise(_suffix_runs(_with_lists(_sift(docs, near, True), lists), splitters, length), "suffix-runs")
+    lists = near.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "back", "ahead", "h")).alias("a"))
+    sifted = materialise(_with_lists(_sift(docs, near, True), lists), "suffix-texts")
     release(near)
-    longest = materialise(_longest(work.where("run is not null").select("range", "run")), "suffix-lcp")
-    spots = work.where("pos is not null").select(*KEY, "pos", "back", "h", "c").distinct()
+    texts = sifted.drop("a")
+    longest = materialise(_longest(_suffix_runs(sifted, splitters, length)), "suffix-lcp")
+    spots = _contexts(sifted, length).distinct()
     with_m = spots.join(longest.where(F.col("m") >= length - GAP).dropDuplicates(["h", "c"]), ["h", "c"]) \
         .select(*KEY, "pos", "back", "h", "m", (F.col("pos") + F.col("m")).alias("end"))
     w = Window.partitionBy(*KEY).orderBy("pos")
@@ -477,16 +488,15 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     edges = with_m.withColumn("ulo", F.greatest(F.lit(1), length - F.col("m"))) \
         .withColumn("uhi", F.least(F.col("back") - 1, F.coalesce(F.col("pos") + length - 1 - reached, F.col("back") - 1)))
     edges = materialise(edges, "suffix-edges")
-    release(work)
     release(longest)
 
     asked = edges.where("ulo <= uhi").groupBy("h").agg(F.min("ulo").alias("olo"), F.max("uhi").alias("ohi"))
     mates = edges.join(asked, "h").withColumn("lo", F.greatest("olo", "ulo")) \
         .withColumn("hi", F.least("ohi", F.col("back") - 1)).where("lo <= hi")
     mates = materialise(mates.select(*KEY, "pos", "lo", "hi", "ulo", "uhi", "h"), "suffix-mates")
-    lists = mates.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "lo", "hi", "h")).alias("a"))
-    cores = materialise(_edge_cores(_with_lists(_sift(docs, mates, True), lists), length), "suffix-cores")
-    alike = cores.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2")
+    lists = mates.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
+    cores = materialise(_edge_cores(_with_lists(texts, lists), length), "suffix-cores")
+    alike = cores.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).where("n > 1 and own").select("k1", "k2")
     left = cores.join(alike, ["k1", "k2"], "left_semi").select(*KEY, "pos", "lo", "hi").distinct().alias("x")
     m = mates.drop("lo", "hi").distinct().alias("m")
     left = m.join(left, _same("m", "x") & (F.col("m.pos") == F.col("x.pos"))).select("m.*", "x.lo", "x.hi")
@@ -494,7 +504,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     release(mates)
     release(cores)
     lists = left.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
-    strings = materialise(_edge_strings(_with_lists(_sift(docs, left, True), lists), length), "suffix-strings")
+    strings = materialise(_edge_strings(_with_lists(texts, lists), length), "suffix-strings")
     again = strings.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2")
     settled = strings.where("start is not null").join(again, ["k1", "k2"], "left_semi") \
         .groupBy(*KEY).agg(F.collect_set("start").alias("edge"))
