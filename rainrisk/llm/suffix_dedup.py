@@ -28,7 +28,7 @@ From M the starts between anchors are known (a repeat at p of length M makes
 the starts up to p + M - length repeats; a start cannot repeat further than
 the next anchor's repeat) except just before an anchor whose repeat reaches
 further than the anchor's before it. These edges are settled by counting
-their ``length``-byte strings by hash (96 bits), only for anchors that share
+their ``length``-byte strings by hash (64 bits, of string, context and offset), only for anchors that share
 their context with an edge, and only where the bytes common to a stretch of
 such strings occur twice. All joins are on hashes or document keys and
 counts are partial before a shuffle; texts of a copied document meet as one
@@ -137,11 +137,11 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
         small = dict(sorted(small.items())[:256])
         m = len(small)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()),
+            [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()),
              pa.nulls(m, pa.int16()), pa.array(signed(np.fromiter(small.keys(), U64, m))), pa.array(list(small.values()), pa.binary())],
             names=[*KEY, "pos", "back", "ahead", "h", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, tkey long, pos int, back int, ahead short, h long, prefix binary")
+    return docs.mapInArrow(run, "doc_id long, tkey int, pos int, back int, ahead short, h long, prefix binary")
 
 
 # ----------------------------------------------------------------- the runs
@@ -262,7 +262,7 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
                 [rows.column(0).take(pa.array(doc)), rows.column(1).take(pa.array(doc)), pa.array(pos.astype(np.int32)),
                  pa.array(back.astype(np.int32)), pa.array(h), pa.array(c)], names=[*KEY, "pos", "back", "h", "c"])
 
-    return texts.mapInArrow(run, "doc_id long, tkey long, pos int, back int, h long, c long")
+    return texts.mapInArrow(run, "doc_id long, tkey int, pos int, back int, h long, c long")
 
 
 def _suffix_runs(texts: DataFrame, splitters, length: int) -> DataFrame:
@@ -366,11 +366,11 @@ def _edge_cores(docs: DataFrame, length: int) -> DataFrame:
                      pa.array(b[ok].astype(np.int32)), pa.array((np.maximum(a, ulo) <= np.minimum(b, uhi))[ok])],
                     names=["k1", "k2", *KEY, "pos", "lo", "hi", "own"])
 
-    return docs.mapInArrow(run, "k1 long, k2 int, doc_id long, tkey long, pos int, lo int, hi int, own boolean")
+    return docs.mapInArrow(run, "k1 long, k2 int, doc_id long, tkey int, pos int, lo int, hi int, own boolean")
 
 
 def _edge_strings(docs: DataFrame, length: int) -> DataFrame:
-    """(k1, k2, doc_id, tkey, start) of the ``length``-byte strings at the
+    """(k, doc_id, tkey, start) of the ``length``-byte strings at the
     listed offsets before the listed anchors; key and ``start`` only where the
     document itself asks for it."""
 
@@ -387,15 +387,14 @@ def _edge_strings(docs: DataFrame, length: int) -> DataFrame:
                 at = off[d] + p - o
                 ok = (p >= o) & (at + length <= off[d + 1])
                 who, o, d, p, at = who[ok], o[ok], d[ok], p[ok], at[ok]
-                k1 = mix((s[at + length] - s[at]) * inv[at])
-                k2 = mix(h[part][who].view(U64) * U64(3) + o.astype(U64)) >> U64(33)
+                k = mix(mix((s[at + length] - s[at]) * inv[at]) ^ mix(h[part][who].view(U64) * U64(3) + o.astype(U64)))
                 own = (o >= ulo[part][who]) & (o <= uhi[part][who])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(k1)), pa.array(k2.astype(np.int32)), rows.column(0).take(pa.array(d, mask=~own)),
+                    [pa.array(signed(k)), rows.column(0).take(pa.array(d, mask=~own)),
                      rows.column(1).take(pa.array(d, mask=~own)), pa.array((p - o).astype(np.int32), mask=~own)],
-                    names=["k1", "k2", *KEY, "start"])
+                    names=["k", *KEY, "start"])
 
-    return docs.mapInArrow(run, "k1 long, k2 int, doc_id long, tkey long, start int")
+    return docs.mapInArrow(run, "k long, doc_id long, tkey int, start int")
 
 
 def _same(a: str, b: str):
@@ -460,17 +459,18 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     """Per row of ``docs (doc_id, text, ...)``: row (the input row but for its text), spans
     (removed byte ranges, maximal, in order), kept (the remaining bytes)."""
     spark: SparkSession = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), "text",
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("tkey"), "text",
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
     if length < GAP + GRAM + REACH:  # an anchor's choice must lie inside every string it stands for
         raise ValueError(f"length must be at least {GAP + GRAM + REACH}")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), "text")
-    found = materialise(_find_anchors(docs, length), "suffix-anchors")
-    sample = [bytes(r["prefix"]) for r in found.where("prefix is not null").orderBy("h").limit(SAMPLE).collect()]
-    anchored = found.where("pos is not null").drop("prefix")
-    twice = anchored.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    near = materialise(anchored.join(twice, "h", "left_semi"), "suffix-near")
-    release(found)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("tkey"), "text")
+    found = _find_anchors(docs, length)  # cheap: done twice rather than written
+    seen = found.groupBy("h").agg(F.count("pos").alias("n"), F.max("prefix").alias("prefix")).where("n > 1 or prefix is not null")
+    seen = materialise(seen, "suffix-seen")
+    sample = [bytes(r["prefix"]) for r in seen.where("prefix is not null").orderBy("h").limit(SAMPLE).collect()]
+    near = found.where("pos is not null").drop("prefix").join(seen.where("n > 1").select("h"), "h", "left_semi")
+    near = materialise(near, "suffix-near")
+    release(seen)
     ranges = int(max(1, min(len(sample) // 4, near.count() * (length + GAP) // RANGE_BYTES)))
     order = sorted(set(sample))
     splitters = spark.sparkContext.broadcast(sorted({order[len(order) * k // ranges] for k in range(1, ranges)} if order else set()))
@@ -480,9 +480,10 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     release(near)
     texts = sifted.drop("a")
     longest = materialise(_longest(_suffix_runs(sifted, splitters, length)), "suffix-lcp")
-    spots = _contexts(sifted, length).distinct()
+    spots = _contexts(sifted, length)
     with_m = spots.join(longest.where(F.col("m") >= length - GAP).dropDuplicates(["h", "c"]), ["h", "c"]) \
         .select(*KEY, "pos", "back", "h", "m", (F.col("pos") + F.col("m")).alias("end"))
+    with_m = with_m.repartition(*KEY).dropDuplicates([*KEY, "pos"])  # a row read twice has its anchors twice
     w = Window.partitionBy(*KEY).orderBy("pos")
     reached = F.when(F.lag("pos").over(w) == F.col("pos") - F.col("back"), F.lag("end").over(w))
     edges = with_m.withColumn("ulo", F.greatest(F.lit(1), length - F.col("m"))) \
@@ -505,8 +506,9 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     release(cores)
     lists = left.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
     strings = materialise(_edge_strings(_with_lists(texts, lists), length), "suffix-strings")
-    again = strings.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2")
-    settled = strings.where("start is not null").join(again, ["k1", "k2"], "left_semi") \
+    again = strings.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("start").isNotNull()).alias("own")) \
+        .where("n > 1 and own").select("k")
+    settled = strings.where("start is not null").join(again, "k", "left_semi") \
         .groupBy(*KEY).agg(F.collect_set("start").alias("edge"))
     sure = edges.where(F.col("m") >= length).groupBy(*KEY).agg(F.collect_list(F.struct("pos", "end")).alias("sure"))
     cuts = sure.alias("s").join(settled.alias("e"), _same("s", "e"), "full")
