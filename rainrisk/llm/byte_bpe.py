@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import schema_of, table
 
 #: Distinct pieces a worker remembers (speed only).
-MEMO = 400_000
+MEMO = 120_000
 
 
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -199,13 +199,20 @@ class _Codec(dict):
     def __init__(self, path: str, pattern: str):
         super().__init__()
         self.ranks = load_ranks(path)
-        self.merger = Merger(self.ranks)
+        self._merger: Merger | None = None
         self.find = regex.compile(pattern).findall
         self.rest: dict[str, bytes] = {}
         self.vocab = [b""] * (max(self.ranks.values(), default=-1) + 1)
         for b, i in self.ranks.items():
             self.vocab[i] = b
 
+    @property
+    def merger(self) -> Merger:
+        """Made when first needed: a worker that only decodes has none."""
+        if self._merger is None:
+            self._merger = Merger(self.ranks)
+        return self._merger
+
     def __missing__(self, piece: str) -> bytes:
         return self.rest[piece]
 
@@ -245,9 +252,9 @@ def _row_by_row(df: DataFrame, src: str, kind: str, name: str, path: str, patter
         zero = "" if kind == "encode" else b""
         for b in batches:
             col = b.column(b.schema.get_field_index(src))
-            for i in range(0, b.num_rows, 512):
-                part = b.slice(i, 512)
-                out = fn([zero if x is None else x for x in col.slice(i, 512).to_pylist()])
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
+                out = fn([zero if x is None else x for x in col.slice(i, 256).to_pylist()])
                 cols = [part.column(part.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.binary())], names=[*keep, name])
 
