@@ -6,17 +6,22 @@ started from groups of about ``GROUP`` nodes that share the signs of a few
 random projections, and refined: each node introduces its neighbours and the
 nodes that list it to each other (at least one of a pair must be new), and
 every node keeps its best ``K``. Lists of nodes that very many others list
-are cut into salted groups, so no group is unbounded. Rounds end when few
-lists change and the audit is content: for ``AUDIT`` nodes chosen by hash the
-true links (all rows, compared block by block) are held against the graph;
-below ``RECALL`` the descent goes on with other random groups.
+are cut into salted groups, so no group is unbounded. Rounds end when few lists change.
 
 Edges of at least the threshold are kept; cosines are computed in double
 precision. A node whose whole list is above the threshold is saturated: its
-list may be too short. The lists of all nodes of its component are then
-enlarged to the whole component, in blocks of ``BLOCK`` nodes against each
-other, which counts their links exactly (component members are linked
-already, so no pair need be written).
+list may be too short, and what it misses may lie in other components. It is
+therefore compared with all nodes of its label and length (``against_all``),
+which counts its links exactly, those of other nodes to it, and finds one
+link per pair of components it joins; components are taken after that. The
+saturated nodes of a component travel together, around a pivot: a node whose
+angle to the pivot is more than the group's radius and the threshold's angle
+links with none of them and is compared with the pivot only. Groups are
+broadcast in chunks of ``CHUNK_BYTES``, nothing is shuffled but counts.
+
+The audit compares ``AUDIT`` nodes chosen by hash with all rows and holds all
+their true links against the final counts; below ``RECALL`` the descent goes
+on with other random groups.
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite
 components, and those with a null label, link with nothing and are their own
@@ -39,6 +44,7 @@ from pyspark.sql import functions as F
 from .common import components, materialise, release, table
 
 K, GROUP, SALT_ROWS, BLOCK = 10, 64, 32, 1024
+CHUNK_BYTES = 32 << 20  # vectors of a broadcast
 ROUNDS, SETTLED = 8, 0.002
 AUDIT, RECALL = 1000, 0.97
 EDGE = "a long, b long, s double, fresh boolean"
@@ -164,79 +170,158 @@ def introduce(graph: DataFrame, nodes: DataFrame, dtype: str) -> DataFrame:
     return lists.select("l").mapInArrow(run, EDGE)
 
 
-def audit(nodes: DataFrame, links: DataFrame, dtype: str, threshold: float) -> float:
-    """Recall of links, for AUDIT nodes chosen by hash, against all rows."""
-    probe = nodes.orderBy(F.xxhash64("id", F.lit(99)), "id").limit(AUDIT).select("id", "label", "dim", "v").collect()
-    groups: dict[tuple, tuple] = {}
-    for r in probe:
-        groups.setdefault((r["label"], r["dim"]), ([], []))
-        groups[r["label"], r["dim"]][0].append(r["id"])
-        groups[r["label"], r["dim"]][1].append(bytes(r["v"]))
-    groups = {k: (np.array(i), _unit(v, dtype)) for k, (i, v) in groups.items()}
-    held = nodes.sparkSession.sparkContext.broadcast(groups)  # AUDIT vectors
-
-    def run(batches):
-        for b in batches:
-            keys = list(zip(b.column(1).to_pylist(), b.column(2).to_pylist()))
-            ids, blobs = b.column(0).to_numpy(), b.column(3).to_pylist()
-            for key in set(keys) & set(held.value):
-                who = [i for i, x in enumerate(keys) if x == key]
-                pid, px = held.value[key]
-                p, q = np.nonzero(px @ _unit([blobs[i] for i in who], dtype).T >= threshold)
-                other = ids[who][q]
-                ok = pid[p] != other
-                yield pa.RecordBatch.from_arrays([pa.array(pid[p][ok]), pa.array(other[ok])], names=["a", "b"])
-
-    true = nodes.select("id", "label", "dim", "v").mapInArrow(run, "a long, b long")
-    # a saturated list counts as far as it goes: K of its links
-    got = links.select("a", "b").union(links.select("b", "a")).distinct()
-    n = true.groupBy("a").agg(F.count(F.lit(1)).alias("t"))
-    f = got.groupBy("a").agg(F.count(F.lit(1)).alias("f"))
-    r = n.join(f, "a", "left").agg(F.sum(F.least("t", F.lit(K))), F.sum(F.least(F.coalesce("f", F.lit(0)), "t", F.lit(K)))).first()
-    return (r[1] or 0) / r[0] if r[0] else 1.0
-
-
-def neighbour_graph(nodes: DataFrame, dtype: str, threshold: float) -> DataFrame:
-    """The refined graph (a, b, s), at most K neighbours a node."""
+def _groups(t: pa.Table, dtype: str) -> dict:
+    """Of rows (id, c, label, dim, v, weight): per (label, dim) the pivots and
+    angles of its groups c, and each group's (ids, weights, vectors)."""
+    out: dict[tuple, tuple] = {}
+    rows: dict[tuple, list[int]] = {}
+    for i, key in enumerate(zip(t["label"].to_pylist(), t["dim"].to_pylist(), t["c"].to_pylist())):
+        rows.setdefault(key, []).append(i)
+    ids, weight, blobs = t["id"].to_numpy(), t["weight"].to_numpy(), t["v"].to_pylist()
+    for (label, dim, c), at in rows.items():
+        x = _unit([blobs[i] for i in at], dtype)
+        radius = np.arccos(np.clip(x @ x[0], -1, 1)).max()
+        pivots, radii, members = out.setdefault((label, dim), ([], [], []))
+        pivots.append(x[0])
+        radii.append(radius)
+        members.append((c, ids[at], weight[at], x))
+    return {k: (np.array(p), np.array(r), m) for k, (p, r, m) in out.items()}
+
+
+def _packed(counts: dict, joined: dict) -> pa.RecordBatch:
+    n = len(counts)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([*counts, *[a for a, _ in joined.values()]], pa.int64()),
+         pa.array([*counts.values(), *[None] * len(joined)], pa.int64()),
+         pa.array([*[None] * n, *[o for _, o in joined.values()]], pa.int64())], names=["id", "n", "o"])
+
+
+def _compare(group, at, y, ids, c, weight, also, threshold, counts, joined) -> None:
+    """Links of a group with the rows ``at`` (vectors y), and one for each component it joins."""
+    gc, gid, gw, x = group
+    for j in range(0, len(gid), BLOCK):
+        on = x[j:j + BLOCK] @ y.T >= threshold
+        on &= gid[j:j + BLOCK, None] != ids[at][None, :]
+        for i, n in zip(gid[j:j + BLOCK].tolist(), (on @ weight[at]).tolist()):
+            if n:
+                counts[i] = counts.get(i, 0) + n
+        for i, n, own in zip(ids[at].tolist(), (gw[j:j + BLOCK] @ on).tolist(), also[at].tolist()):
+            if n and not own:  # nodes of ``some`` count their links themselves
+                counts[i] = counts.get(i, 0) + n
+        p, q = np.nonzero(on & (c[at] != gc)[None, :])
+        _, first = np.unique(c[at][q], return_index=True)
+        for f in first:
+            joined.setdefault((gc, int(c[at][q[f]])), (int(gid[j + p[f]]), int(ids[at][q[f]])))
+
+
+def against_all(nodes: DataFrame, some: DataFrame, comp: DataFrame, dtype: str, threshold: float) -> DataFrame:
+    """Every node of ``some (id, c, label, dim, v, weight)`` against all nodes of
+    its label and length. Rows (id, n, o): with o null, n is a summed weight of
+    links (of nodes of ``some`` with all nodes, of other nodes with those of
+    ``some``); with o, a link between two components. ``comp (v, c)`` names the
+    components of all nodes that have links."""
+    sized = some.join(some.groupBy(F.col("c").alias("gc")).agg(F.count(F.lit(1)).alias("m")), F.col("c") == F.col("gc"))
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / BLOCK))
+    total = some.agg(F.sum(F.col("dim").cast("long") * 8)).first()[0] or 0
+    chunks = -(-total // CHUNK_BYTES)
+    # the nodes of a group share a chunk (a large group is cut into parts)
+    dealt = materialise(sized.withColumn("chunk", F.pmod(F.xxhash64("c", part), F.lit(max(1, chunks))))
+                        .select("id", "c", "label", "dim", "v", "weight", "chunk"), "nn-some")
+    listed = some.select(F.col("id").alias("si"), F.lit(True).alias("listed"))
+    every = nodes.join(comp.select(F.col("v").alias("cv"), F.col("c")), F.col("id") == F.col("cv"), "left") \
+        .join(listed, F.col("id") == F.col("si"), "left") \
+        .select("id", F.coalesce("c", "id").alias("c"), "label", "dim", "v", "weight", F.coalesce("listed", F.lit(False)).alias("listed"))
+    every = materialise(every, "nn-every")
+    within = np.arccos(threshold) + 1e-6
+    schema = "id long, n long, o long"
+    out = nodes.sparkSession.createDataFrame([], schema)
+    for k in range(chunks):
+        rows = dealt.where(F.col("chunk") == k).drop("chunk").toArrow()  # about CHUNK_BYTES
+        if not rows.num_rows:
+            continue
+        held = nodes.sparkSession.sparkContext.broadcast(_groups(rows, dtype))
+
+        def run(batches, held=held):
+            counts: dict[int, int] = {}
+            joined: dict[tuple[int, int], tuple[int, int]] = {}
+            for b in batches:
+                keys = list(zip(b.column(2).to_pylist(), b.column(3).to_pylist()))
+                ids, c, weight = (b.column(i).to_numpy() for i in (0, 1, 5))
+                also, blobs = b.column(6).to_numpy(zero_copy_only=False), b.column(4).to_pylist()
+                for key in set(keys) & set(held.value):
+                    pivots, radii, members = held.value[key]
+                    who = np.array([i for i, x in enumerate(keys) if x == key])
+                    for i in range(0, len(who), BLOCK):
+                        at = who[i:i + BLOCK]
+                        y = _unit([blobs[j] for j in at], dtype)
+                        for g in range(0, len(pivots), BLOCK):
+                            angle = np.arccos(np.clip(y @ pivots[g:g + BLOCK].T, -1, 1))
+                            close = angle <= radii[g:g + BLOCK] + within
+                            for q in np.flatnonzero(close.any(0)):
+                                _compare(members[g + q], at[close[:, q]], y[close[:, q]], ids, c, weight, also, threshold, counts, joined)
+                if len(counts) + len(joined) > 100000:
+                    yield _packed(counts, joined)
+                    counts.clear()
+                    joined.clear()
+            yield _packed(counts, joined)
+
+        part_of = materialise(every.mapInArrow(run, schema), "nn-against")
+        held.unpersist()
+        out = out.unionByName(part_of)
+    release(dealt)
+    release(every)
+    return out
+
+
+def descend(nodes: DataFrame, dtype: str, graph: DataFrame | None, attempt: int) -> DataFrame:
+    """The graph (a, b, s) of at most K neighbours a node, refined from new random groups."""
     n, groups = nodes.agg(F.count(F.lit(1)), F.count_distinct("label", "dim")).first()
     bits = max(0, math.ceil(math.log2(max(1, n / max(1, groups) / GROUP))))
-    graph = None
-    for attempt in range(3):
-        seeds = [start(nodes, dtype, bits, 2 * attempt + i) for i in range(2)]
-        pool = seeds[0].unionByName(seeds[1])
-        graph = materialise(_best(pool if graph is None else pool.unionByName(graph)), "nn-graph")
-        for _ in range(ROUNDS):
-            met = introduce(graph, nodes, dtype)
-            old = graph.withColumn("fresh", F.lit(False))
-            new = materialise(_best(old.unionByName(met)), "nn-graph")
-            changed = new.where("fresh").count()
-            release(graph)
-            graph = new
-            if changed <= SETTLED * K * n:
-                break
-        if audit(nodes, graph.where(F.col("s") >= threshold), dtype, threshold) >= RECALL:
+    seeds = [start(nodes, dtype, bits, 2 * attempt + i) for i in range(2)]
+    pool = seeds[0].unionByName(seeds[1])
+    graph = materialise(_best(pool if graph is None else pool.unionByName(graph)), "nn-graph")
+    for _ in range(ROUNDS):
+        met = introduce(graph, nodes, dtype)
+        old = graph.withColumn("fresh", F.lit(False))
+        new = materialise(_best(old.unionByName(met)), "nn-graph")
+        changed = new.where("fresh").count()
+        release(graph)
+        graph = new
+        if changed <= SETTLED * K * n:
             break
     return graph
 
 
-def _count_blocks(members: DataFrame, dtype: str, threshold: float) -> DataFrame:
-    """(id, n): links of every member (id, c, v, weight) inside its component."""
-    size = members.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(size, "c").withColumn("k", F.pmod(F.hash("id"), F.col("blocks")))
-    left = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = left.select("c", "o", "k", "id", "v", "weight").toDF("c2", "k2", "o2", "id2", "v2", "weight2")
-
-    def run(x: pa.Table, y: pa.Table) -> pa.Table:
-        if not x.num_rows or not y.num_rows:
-            return pa.table({"id": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-        ids, other = x["id"].to_numpy(), y["id2"].to_numpy()
-        on = _unit(x["v"].to_pylist(), dtype) @ _unit(y["v2"].to_pylist(), dtype).T >= threshold
-        on &= ids[:, None] != other[None, :]
-        return pa.table({"id": ids, "n": (on @ y["weight2"].to_numpy()).astype(np.int64)})
-
-    # block k of a component against its block o
-    got = left.groupBy("c", "k", "o").cogroup(right.groupBy("c2", "k2", "o2")).applyInArrow(run, "id long, n long")
-    return got.groupBy("id").agg(F.sum("n").alias("n"))
+def enlarge(nodes: DataFrame, graph: DataFrame, dtype: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(links, comp): (id, n) summed weights of every node's links, and the
+    components (v, c), with the saturated nodes compared with all."""
+    close = graph.where(F.col("s") >= threshold)
+    edges = materialise(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "nn-links")
+    comp = components(edges, "nn-cc")
+    full = materialise(close.groupBy(F.col("a").alias("f")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= K).select("f"), "nn-full")
+    some = nodes.join(full, F.col("id") == F.col("f"), "left_semi").join(comp.select(F.col("v").alias("cv"), "c"), F.col("id") == F.col("cv")) \
+        .select("id", "c", "label", "dim", "v", "weight")
+    more = materialise(against_all(nodes, some, comp, dtype, threshold), "nn-more")
+    both = edges.union(edges.select("b", "a")).toDF("id", "o")
+    both = both.join(full, F.col("id") == F.col("f"), "left_anti").join(full, F.col("o") == F.col("f"), "left_anti")
+    weight = nodes.select(F.col("id").alias("w"), "weight")
+    plain = both.join(weight, F.col("o") == F.col("w")).select("id", F.col("weight").alias("n"))
+    links = plain.unionByName(more.where("o is null").select("id", "n")).groupBy("id").agg(F.sum("n").alias("n"))
+    bridges = more.where("o is not null").select(F.col("id").alias("a"), F.col("o").alias("b"))
+    if bridges.limit(1).count():
+        comp = components(edges.unionByName(bridges), "nn-cc")
+    return materialise(links, "nn-counts"), comp
+
+
+def audit(nodes: DataFrame, links: DataFrame, comp: DataFrame, dtype: str, threshold: float) -> float:
+    """Recall of the counted links of AUDIT nodes chosen by hash, against all rows."""
+    some = nodes.orderBy(F.xxhash64("id", F.lit(99)), "id").limit(AUDIT)
+    probe = materialise(some.join(comp.select(F.col("v").alias("cv"), "c"), F.col("id") == F.col("cv"), "left")
+                        .select("id", F.coalesce("c", "id").alias("c"), "label", "dim", "v", "weight"), "nn-probe")
+    true = against_all(nodes, probe, comp, dtype, threshold).where("o is null") \
+        .join(probe.select(F.col("id").alias("p")), F.col("id") == F.col("p"), "left_semi").groupBy("id").agg(F.sum("n").alias("t"))
+    r = true.join(links, "id", "left").agg(F.sum("t"), F.sum(F.least("t", F.coalesce("n", F.lit(0))))).first()
+    return (r[1] or 0) / r[0] if r[0] else 1.0
 
 
 def near_duplicates(emb: DataFrame, threshold: float = 0.93) -> DataFrame:
@@ -244,20 +329,13 @@ def near_duplicates(emb: DataFrame, threshold: float = 0.93) -> DataFrame:
     emb = emb.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label")
     rows, nodes, dtype = fold(emb)
     rows = materialise(rows, "nn-rows")
-    graph = neighbour_graph(nodes, dtype, threshold)
-    edges = materialise(graph.where(F.col("s") >= threshold).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "nn-links")
-    comp = components(edges, "nn-cc")
-    full = graph.where(F.col("s") >= threshold).groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= K)
-    large = full.join(comp, full.a == comp.v).select(F.col("c").alias("big")).distinct()
-    members = comp.join(large, comp.c == large.big, "left_semi").select(F.col("v").alias("m"), "c") \
-        .join(nodes, F.col("m") == F.col("id")).select("id", "c", "v", "weight")
-    counted = _count_blocks(materialise(members, "nn-members"), dtype, threshold)
-    both = edges.union(edges.select("b", "a")).toDF("id", "o")
-    weight = nodes.select(F.col("id").alias("w"), "weight")
-    plain = both.join(weight, F.col("o") == F.col("w")).groupBy("id").agg(F.sum("weight").alias("n"))
-    links = plain.select("id", F.col("n").alias("few")).join(counted, "id", "left") \
-        .select(F.col("id").alias("l"), F.coalesce("n", "few").alias("n"))
+    graph = None
+    for attempt in range(3):
+        graph = descend(nodes, dtype, graph, attempt)
+        links, comp = enlarge(nodes, graph, dtype, threshold)
+        if audit(nodes, links, comp, dtype, threshold) >= RECALL:
+            break
+    links = links.select(F.col("id").alias("l"), "n")
     of_node = nodes.select("id", "weight").join(links, F.col("id") == F.col("l"), "left").join(
         comp.select(F.col("v").alias("cv"), "c"), F.col("id") == F.col("cv"), "left") \
         .select(F.col("id").alias("node"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("c", "id").alias("c"))

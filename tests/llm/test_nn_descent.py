@@ -66,6 +66,23 @@ def test_against_brute_force(spark):
     assert sum(got[i] == want[i] for i in want) >= .98 * len(want)
 
 
+def test_linked_dense_sub_clusters(spark):
+    # lists fill inside a sub-cluster (0.99); the links between two (0.94) are found all the same
+    r = np.random.default_rng(8)
+    rows = []
+    for label in range(3):
+        q, _ = np.linalg.qr(r.normal(size=(64, 64)))
+        for side in (0.175, -0.175):  # centres at an angle of about 0.35: cosine 0.94
+            centre = np.cos(side) * q[0] + np.sin(side) * q[1]
+            for _ in range(40):
+                v = centre + r.normal(size=64) * 0.0065
+                rows.append((len(rows), [float(np.float32(x)) for x in v], label))
+        rows += [(len(rows) + k, [float(np.float32(x)) for x in r.normal(size=64)], label) for k in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in N.near_duplicates(df).collect()}
+    assert got == brute(rows, .93)
+
+
 def test_empty_and_tiny_tables(spark):
     schema = "vec_id long, embedding array<double>, label int"
     assert N.near_duplicates(spark.createDataFrame([], schema)).collect() == []
