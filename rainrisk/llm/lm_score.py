@@ -4,12 +4,13 @@ A bidirectional window network (numpy) predicts every word of a text from
 the ``SIDE`` words on either side of it; a document's score is the sum of the
 conditional log-probabilities of all its words, each masked in turn.
 
-* Vocabulary: words (A-Z lower-cased) of all documents are counted, the
-  ``OWN`` most frequent have an id of their own, all others share ``RARE``
-  ids by hash. A rare word's probability is its id's times its share of the
-  id's corpus count (from the counts of all words, summed into 2**TAIL_BITS
-  hash buckets; words of one bucket share evenly). A word that the corpus
-  counts don't have counts as seen once.
+* Vocabulary: words (A-Z lower-cased) of all documents are counted. The
+  tables grow with the distinct words counted: ``side`` classes of ``side``
+  ids, side = max(CLASSES, 2 * distinct ** (1/3)). The most frequent words
+  have an id of their own, all others share the last ``side`` ids by hash. A rare
+  word's probability is its id's times its exact share of the id's corpus
+  count: rare words are counted per document, joined with the counts of all
+  words by hash, and summed per row (frequent words are never sent).
 * Network: a table of vectors per window position, summed, tanh, then a
   two-level softmax (class of the id, id within its class), so one
   prediction costs two small products instead of one over the vocabulary.
@@ -19,8 +20,7 @@ conditional log-probabilities of all its words, each masked in turn.
   masked share of a masked language model) with AdaGrad from the broadcast
   parameters, and returns its parameters; they are averaged by the number of
   predictions, slice by slice in Spark. A lost task is simply run again.
-  What tasks send grows with the number of partitions, hence with the input;
-  the averaged model that reaches the driver has a fixed size.
+  The averaged model that reaches the driver grows with the vocabulary.
 
 Cases: null or empty texts and texts without words have no words, score 0
 and mean null; a null doc_id is scored like any other; repeated rows are
@@ -34,10 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, materialise, release, signed, table, text_blocks, words
+from .common import U64, materialise, signed, table, text_blocks, words
 
 SIDE = 2
 CLASSES, WITHIN = 64, 64
@@ -53,46 +54,52 @@ SLICES = 16
 PAD = IDS
 
 
+def side_of(distinct: int) -> int:
+    """Classes, and ids of a class, for so many distinct words."""
+    return max(CLASSES, int(np.ceil(2 * distinct ** (1 / 3))))
+
+
 class Vocabulary:
-    """Ids of word hashes; log share of rare words within their id."""
+    """Ids of word hashes; log mean share of rare words within their id.
+    ``tail``: per bucket (corpus count, distinct words) of rare words."""
 
-    def __init__(self, own: np.ndarray, own_counts: np.ndarray, tail: np.ndarray):
+    def __init__(self, own: np.ndarray, own_counts: np.ndarray, tail: np.ndarray, side: int = CLASSES):
         self.order = np.argsort(own)
         self.keys = own[self.order]
-        # tail: per bucket (corpus count, distinct words) of rare words
+        self.side, self.first_rare = side, side * side - side
         self.count, self.distinct = tail
-        per = np.zeros(RARE)
-        b = np.arange(1 << TAIL_BITS)
-        np.add.at(per, b % RARE, self.count)
-        self.freq = np.zeros(IDS)  # corpus count of every id
+        self.per = np.zeros(side)
+        b = np.arange(len(self.count))
+        np.add.at(self.per, b % side, self.count)
+        self.freq = np.zeros(side * side)  # corpus count of every id
         self.freq[:len(own)] = own_counts
-        self.freq[OWN:] = per
+        self.freq[self.first_rare:] = self.per
         each = np.where(self.distinct > 0, self.count / np.maximum(self.distinct, 1), 1.0)
-        self.share = np.log(each / np.maximum(per[b % RARE], 1.0)).astype(np.float32)
+        self.share = np.log(each / np.maximum(self.per[b % side], 1.0)).astype(np.float32)
 
     def ids(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(id, log share within the id) of each word hash."""
+        """(id, log mean share within the id) of each word hash."""
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
             own = self.keys[at] == h
         else:
             at, own = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
         bucket = (h >> U64(64 - TAIL_BITS)).astype(np.int64)
-        ids = np.where(own, self.order[at] if len(self.keys) else 0, OWN + bucket % RARE)
-        return ids.astype(np.int32), np.where(own, np.float32(0), self.share[bucket])
+        ids = np.where(own, self.order[at] if len(self.keys) else 0, self.first_rare + bucket % self.side)
+        return ids.astype(np.int32), np.where(own, np.float32(0), self.share[bucket % len(self.share)])
 
 
 class WindowNetwork:
-    def __init__(self, seed: int = 3):
+    def __init__(self, side: int = CLASSES, seed: int = 3):
         r = np.random.default_rng(seed)
-        f = np.float32
-        self.p = {"E": r.normal(0, .1, (2 * SIDE, IDS + 1, DIM)).astype(f), "b": np.zeros(DIM, f),
-                  "C": r.normal(0, .1, (DIM, CLASSES)).astype(f), "c": np.zeros(CLASSES, f),
-                  "K": r.normal(0, .1, (CLASSES, DIM, WITHIN)).astype(f), "k": np.zeros((CLASSES, WITHIN), f)}
+        f, self.side = np.float32, side
+        self.p = {"E": r.normal(0, .1, (2 * SIDE, side * side + 1, DIM)).astype(f), "b": np.zeros(DIM, f),
+                  "C": r.normal(0, .1, (DIM, side)).astype(f), "c": np.zeros(side, f),
+                  "K": r.normal(0, .1, (side, DIM, side)).astype(f), "k": np.zeros((side, side), f)}
 
     def start_from(self, freq: np.ndarray) -> WindowNetwork:
         """Biases of the corpus counts: before training it predicts each id's share."""
-        f = freq.reshape(CLASSES, WITHIN) + .01
+        f = freq.reshape(self.side, self.side) + .01
         self.p["c"] = np.log(f.sum(1) / f.sum()).astype(np.float32)
         self.p["k"] = np.log(f / f.sum(1, keepdims=True)).astype(np.float32)
         return self
@@ -111,10 +118,10 @@ class WindowNetwork:
         return x
 
     def _by_class(self, ids: np.ndarray):
-        cls = ids // WITHIN
+        cls = ids // self.side
         order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        return cls, [(c, order[cut[c]:cut[c + 1]]) for c in range(CLASSES) if cut[c + 1] > cut[c]]
+        cut = np.searchsorted(cls[order], np.arange(self.side + 1))
+        return cls, [(c, order[cut[c]:cut[c + 1]]) for c in range(self.side) if cut[c + 1] > cut[c]]
 
     def log_prob(self, ctx: np.ndarray, ids: np.ndarray) -> np.ndarray:
         h = self.hidden(ctx)
@@ -122,7 +129,7 @@ class WindowNetwork:
         out = np.log(self._softmax(h @ self.p["C"] + self.p["c"])[np.arange(len(ids)), cls])
         for c, rows in groups:
             q = self._softmax(h[rows] @ self.p["K"][c] + self.p["k"][c])
-            out[rows] += np.log(q[np.arange(len(rows)), ids[rows] % WITHIN])
+            out[rows] += np.log(q[np.arange(len(rows)), ids[rows] % self.side])
         return out
 
     def step(self, ctx: np.ndarray, ids: np.ndarray, acc: dict, rate: float) -> None:
@@ -137,7 +144,7 @@ class WindowNetwork:
         g["K"], g["k"] = np.zeros_like(p["K"]), np.zeros_like(p["k"])
         for c, rows in groups:
             q = self._softmax(h[rows] @ p["K"][c] + p["k"][c])
-            q[np.arange(len(rows)), ids[rows] % WITHIN] -= 1
+            q[np.arange(len(rows)), ids[rows] % self.side] -= 1
             g["K"][c], g["k"][c] = h[rows].T @ q / n, q.sum(0) / n
             dh[rows] += q @ p["K"][c].T
         dx = dh * (1 - h * h) / n
@@ -167,14 +174,14 @@ class WindowNetwork:
         return self
 
 
-def windows(ids: np.ndarray, doc: np.ndarray, pick: np.ndarray) -> np.ndarray:
-    """Context ids (left to right) of the words at ``pick``; PAD outside the document."""
+def windows(ids: np.ndarray, doc: np.ndarray, pick: np.ndarray, pad: int = PAD) -> np.ndarray:
+    """Context ids (left to right) of the words at ``pick``; ``pad`` outside the document."""
     out = np.empty((len(pick), 2 * SIDE), np.int32)
     for j, step in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         at = pick + step
         ok = (at >= 0) & (at < len(ids))
         at = np.clip(at, 0, max(len(ids) - 1, 0))
-        out[:, j] = np.where(ok & (doc[at] == doc[pick]), ids[at], PAD)
+        out[:, j] = np.where(ok & (doc[at] == doc[pick]), ids[at], pad)
     return out
 
 
@@ -190,27 +197,39 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """The ``OWN`` most frequent words and the fixed-size tail table."""
-    top = counts.orderBy(F.desc("n"), "h").limit(OWN).collect()
-    own = [r["h"] for r in top]
-    rare = counts.join(F.broadcast(counts.sparkSession.createDataFrame([(h,) for h in own], "h long")), "h", "left_anti")
-    tail = rare.groupBy(F.shiftrightunsigned("h", 64 - TAIL_BITS).alias("b")).agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("d")).toArrow()  # at most 2**TAIL_BITS rows
-    both = np.zeros((2, 1 << TAIL_BITS), np.float32)
-    b = tail["b"].to_numpy()
-    both[0, b], both[1, b] = tail["n"].to_numpy(), tail["d"].to_numpy()
-    return Vocabulary(np.array(own, np.int64).view(U64), np.array([r["n"] for r in top], np.float64), both)
+    """Ids of the most frequent words, and per shared id the sums of all others."""
+    side = side_of(counts.count())
+    top = counts.orderBy(F.desc("n"), "h").limit(side * side - side).toArrow()  # grows with distinct ** (2/3)
+    own, n = top["h"].to_numpy(), top["n"].to_numpy()
+    keys = np.sort(own)
+    held = counts.sparkSession.sparkContext.broadcast(keys)
+
+    def rare(batches):
+        sums = np.zeros((2, side), np.int64)
+        for b in batches:
+            h = b.column(0).to_numpy()
+            at = np.minimum(np.searchsorted(held.value, h), max(len(held.value) - 1, 0))
+            left = held.value[at] != h if len(held.value) else np.ones(len(h), bool)
+            to = ((h[left].view(U64) >> U64(64 - TAIL_BITS)) % U64(side)).astype(np.int64)
+            np.add.at(sums[0], to, b.column(1).to_numpy()[left])
+            np.add.at(sums[1], to, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(side)), pa.array(sums[0]), pa.array(sums[1])], names=["b", "n", "d"])
+
+    both = np.zeros((2, side))
+    for r in counts.select("h", "n").mapInArrow(rare, "b long, n long, d long").groupBy("b").agg(F.sum("n"), F.sum("d")).collect():
+        both[:, r[0]] = r[1], r[2]
+    return Vocabulary(np.ascontiguousarray(own).view(U64), n.astype(np.float64), both, side)
 
 
 def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> WindowNetwork:
     """Rounds of local AdaGrad over all partitions, averaged."""
     sc = docs.sparkSession.sparkContext
-    net = WindowNetwork().start_from(vocab.value.freq)
+    net = WindowNetwork(vocab.value.side).start_from(vocab.value.freq)
     for turn in range(rounds):
         start = sc.broadcast(net.flat())
 
         def local(batches):
-            net, acc, seen = WindowNetwork().load(start.value), {}, 0
+            net, acc, seen = WindowNetwork(vocab.value.side).load(start.value), {}, 0
             for _, data, off in text_blocks(batches):
                 h, doc, _, _ = words(data, off)
                 ids, _ = vocab.value.ids(h)
@@ -218,7 +237,7 @@ def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> Wi
                 pick = np.random.default_rng(len(ids) + turn).permutation(pick)
                 for i in range(0, len(pick), 4096):
                     part = pick[i:i + 4096]
-                    net.step(windows(ids, doc, part), ids[part], acc, rate)
+                    net.step(windows(ids, doc, part, len(vocab.value.freq)), ids[part], acc, rate)
                 seen += len(pick)
             if seen:
                 yield pa.RecordBatch.from_arrays(
@@ -239,25 +258,43 @@ def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> Wi
     return net
 
 
-def score(docs: DataFrame, vocab, net: WindowNetwork) -> DataFrame:
+def score(docs: DataFrame, vocab, net: WindowNetwork, counts: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_prob): summed conditional log-probabilities."""
     model = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
+        v = vocab.value
+        per = np.log(np.maximum(v.per, 1.0))
+        row = TaskContext.get().partitionId() << 33  # of rows: a number of their own
         for rows, data, off in text_blocks(batches):
             h, doc, _, _ = words(data, off)
-            ids, share = vocab.value.ids(h)
+            ids, _ = v.ids(h)
             lp = np.empty(len(ids))
             for i in range(0, len(ids), CHUNK):
                 pick = np.arange(i, min(i + CHUNK, len(ids)))
-                lp[pick] = model.value.log_prob(windows(ids, doc, pick), ids[pick])
+                lp[pick] = model.value.log_prob(windows(ids, doc, pick, len(v.freq)), ids[pick])
             n = rows.num_rows
+            # rare words: of their id's probability the part of the exact count, which is joined
+            at = np.flatnonzero(ids >= v.first_rare)
+            lp[at] -= per[ids[at] - v.first_rare]
+            order = at[np.lexsort((h[at], doc[at]))]
+            first = np.ones(len(order), bool)
+            first[1:] = (h[order][1:] != h[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+            start = np.flatnonzero(first)
+            times = np.diff(np.append(start, len(order)))
+            cut = np.searchsorted(doc[order][start], np.arange(n + 1))
+            rare = pa.StructArray.from_arrays([pa.array(signed(h[order][start])), pa.array(times.astype(np.int32))], names=["h", "times"])
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(np.bincount(doc, minlength=n)),
-                 pa.array(np.bincount(doc, weights=lp + share, minlength=n).astype(np.float64))],
-                names=["doc_id", "n_words", "log_prob"])
+                [pa.array(row + np.arange(n)), rows.column(0), pa.array(np.bincount(doc, minlength=n)),
+                 pa.array(np.bincount(doc, weights=lp, minlength=n).astype(np.float64)),
+                 pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), rare)], names=["row", "doc_id", "n_words", "log_prob", "rare"])
+            row += n
 
-    return docs.mapInArrow(run, "doc_id long, n_words long, log_prob double")
+    part = materialise(docs.mapInArrow(run, "row long, doc_id long, n_words long, log_prob double, rare array<struct<h:long,times:int>>"), "lm-part")
+    rare = part.select("row", F.explode("rare").alias("r")).select("row", F.col("r.h").alias("w"), "r.times")
+    exact = rare.join(counts, F.col("w") == F.col("h")).groupBy("row").agg(F.sum(F.col("times") * F.ln("n")).alias("exact"))
+    return part.join(exact.withColumnRenamed("row", "of"), F.col("row") == F.col("of"), "left") \
+        .select("doc_id", "n_words", (F.col("log_prob") + F.coalesce("exact", F.lit(0.0))).alias("log_prob"))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
@@ -265,9 +302,8 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     all words), mean_log_prob."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = materialise(word_counts(docs), "lm-counts")
-    vocab = docs.sparkSession.sparkContext.broadcast(vocabulary(counts))  # OWN words and 2**TAIL_BITS figures
-    release(counts)
-    out = score(docs, vocab, train(docs, vocab))
+    vocab = docs.sparkSession.sparkContext.broadcast(vocabulary(counts))
+    out = score(docs, vocab, train(docs, vocab), counts)
     return out.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
 
 

@@ -71,5 +71,31 @@ def test_learns_and_scores_whole_texts(spark):
     assert sum(r["log_prob"] for r in got) / sum(r["n_words"] for r in got) > unigram
 
 
+def test_every_word_counts_for_itself(spark):
+    # w0 and w1 share a bucket and an id: their scores still differ by the log of their counts
+    r = np.random.default_rng(5)
+    pool = [f"x{i}" for i in range(60000)]
+    hashes = words(np.frombuffer(" ".join(pool).encode(), np.uint8), np.array([0, len(" ".join(pool))]))[0]
+    bucket = (hashes >> U64(64 - L.TAIL_BITS)).astype(int)
+    order = np.argsort(bucket, kind="stable")
+    k = next(i for i in range(len(order) - 1) if bucket[order[i]] == bucket[order[i + 1]])
+    a, b = pool[order[k]], pool[order[k + 1]]
+    own = " ".join(f"own{i} " * 12 for i in range(4100))  # more words than the smallest table has ids
+    rows = [(0, a), (1, b), (2, own), (3, (a + " ") * 7)] + [(10 + i, pool[i]) for i in r.permutation(2000).tolist()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    by = {r["doc_id"]: r["log_prob"] for r in L.pseudo_likelihood(docs).collect()}
+    n = {w: 8 if w == a else 1 for w in (a, b)}
+    for i, w in ((10 + i, pool[i]) for i in range(2000)):
+        n[w] = n.get(w, 0) + 1
+    assert abs((by[0] - by[1]) - (np.log(n[a]) - np.log(n[b]))) < 1e-4
+
+
+def test_tables_grow_with_the_vocabulary(spark):
+    assert L.side_of(1000) == L.CLASSES and L.side_of(1_000_000) == 200 and L.side_of(64_000_000) == 800
+    counts = spark.range(100000).selectExpr("xxhash64(id) as h", "cast(1 + id % 50 as long) as n")
+    vocab = L.vocabulary(counts)
+    assert vocab.side == 93 and len(vocab.keys) == 93 * 92 and vocab.freq.sum() == counts.agg({"n": "sum"}).first()[0]
+
+
 def test_empty_table(spark):
     assert L.pseudo_likelihood(spark.createDataFrame([], "doc_id long, text string")).collect() == []
