@@ -15,10 +15,11 @@ conditional log-probabilities of all its words, each masked in turn.
   two-level softmax (class of the id, id within its class), so one
   prediction costs two small products instead of one over the vocabulary.
   It starts from the ids' corpus shares (biases).
-* Training covers every document: each task runs over its partition and
-  predicts every ``MASK``-th word (the phase moves from round to round, the
-  masked share of a masked language model) with AdaGrad from the broadcast
-  parameters, and returns its parameters; they are averaged by the number of
+* Training predicts every word of every document once: a document's words
+  take ``MASK`` phases in turn (from a phase of its own) and each of the
+  ``ROUNDS`` rounds predicts the words of its share of the phases. A task runs
+  over its partition with AdaGrad from the broadcast parameters and returns
+  its parameters; they are averaged by the number of
   predictions, slice by slice in Spark. A lost task is simply run again.
   The averaged model that reaches the driver grows with the vocabulary.
 
@@ -185,6 +186,15 @@ def windows(ids: np.ndarray, doc: np.ndarray, pick: np.ndarray, pad: int = PAD)
     return out
 
 
+def targets(h: np.ndarray, doc: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """The words to predict in a round; over all rounds each word once."""
+    first = np.flatnonzero(np.diff(doc, prepend=-1))
+    size = np.diff(np.append(first, len(doc)))
+    place = np.arange(len(doc)) - np.repeat(first, size)
+    own = np.repeat((h[first] % U64(MASK)).astype(np.int64), size)
+    return np.flatnonzero((place + own) % max(MASK, rounds) * rounds // max(MASK, rounds) == turn)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(h, n): occurrences of every word of all documents."""
 
@@ -233,7 +243,7 @@ def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> Wi
             for _, data, off in text_blocks(batches):
                 h, doc, _, _ = words(data, off)
                 ids, _ = vocab.value.ids(h)
-                pick = np.arange((turn * MASK // ROUNDS) % MASK, len(ids), MASK)
+                pick = targets(h, doc, turn, rounds)
                 pick = np.random.default_rng(len(ids) + turn).permutation(pick)
                 for i in range(0, len(pick), 4096):
                     part = pick[i:i + 4096]

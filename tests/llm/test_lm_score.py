@@ -97,5 +97,35 @@ def test_tables_grow_with_the_vocabulary(spark):
     assert vocab.side == 93 and len(vocab.keys) == 93 * 92 and vocab.freq.sum() == counts.agg({"n": "sum"}).first()[0]
 
 
+def test_every_word_is_a_target_once():
+    texts = ["a", "b c", "", "d e f", " ".join(f"w{i}" for i in range(50))] + ["x y"] * 9
+    _, h, doc = _vocab(texts)
+    for rounds in (1, 2, 3, 8):
+        assert sorted(np.concatenate([L.targets(h, doc, t, rounds) for t in range(rounds)])) == list(range(len(h)))
+
+
+def test_learns_words_at_every_place(spark, monkeypatch):
+    # eight words in a fixed order: each of them is trained, not only those at two of eight places
+    seen, step = [], L.WindowNetwork.step
+    monkeypatch.setattr(L.WindowNetwork, "step", lambda self, ctx, ids, acc, rate: (seen.extend(ids.tolist()), step(self, ctx, ids, acc, rate))[1])
+    text = " ".join(f"w{i}" for i in range(8))
+    vocab, h, doc = _vocab([text] * 50)
+    ids, _ = vocab.ids(h)
+
+    class Docs:  # runs the tasks in this process
+        sparkSession = spark
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, f, _):
+            import pyarrow as pa
+            list(f(iter([pa.RecordBatch.from_pydict({"text": [text] * 50})])))
+            return spark.createDataFrame([], "slice int, n long, v binary")
+
+    L.train(Docs(), spark.sparkContext.broadcast(vocab))
+    assert sorted(seen) == sorted(ids.tolist())
+
+
 def test_empty_table(spark):
     assert L.pseudo_likelihood(spark.createDataFrame([], "doc_id long, text string")).collect() == []
