@@ -6,7 +6,7 @@ conditional log-probabilities of all its words, each masked in turn.
 
 * Vocabulary: words (A-Z lower-cased) of all documents are counted. The
   tables grow with the distinct words counted: ``side`` classes of ``side``
-  ids, side = max(CLASSES, 2 * distinct ** (1/3)). The most frequent words
+  ids, side = max(CLASSES, distinct ** (1/3)). The most frequent words
   have an id of their own, all others share the last ``side`` ids by hash. A rare
   word's probability is its id's times its exact share of the id's corpus
   count: rare words are counted per document, joined with the counts of all
@@ -57,7 +57,7 @@ PAD = IDS
 
 def side_of(distinct: int) -> int:
     """Classes, and ids of a class, for so many distinct words."""
-    return max(CLASSES, int(np.ceil(2 * distinct ** (1 / 3))))
+    return max(CLASSES, int(np.ceil(distinct ** (1 / 3))))
 
 
 class Vocabulary:
@@ -234,6 +234,9 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> WindowNetwork:
     """Rounds of local AdaGrad over all partitions, averaged."""
     sc = docs.sparkSession.sparkContext
+    # every task sends a model: no more tasks than twice the words' number of model bytes pays for
+    tasks = max(sc.defaultParallelism, int(2 * vocab.value.freq.sum() // (4 * (2 * SIDE + 1) * DIM * len(vocab.value.freq))))
+    docs = docs.coalesce(tasks)
     net = WindowNetwork(vocab.value.side).start_from(vocab.value.freq)
     for turn in range(rounds):
         start = sc.broadcast(net.flat())

@@ -91,10 +91,10 @@ def test_every_word_counts_for_itself(spark):
 
 
 def test_tables_grow_with_the_vocabulary(spark):
-    assert L.side_of(1000) == L.CLASSES and L.side_of(1_000_000) == 200 and L.side_of(64_000_000) == 800
-    counts = spark.range(100000).selectExpr("xxhash64(id) as h", "cast(1 + id % 50 as long) as n")
+    assert L.side_of(1000) == L.CLASSES and L.side_of(1_000_000) in (100, 101) and L.side_of(64_000_000) in (400, 401)
+    counts = spark.range(500000).selectExpr("xxhash64(id) as h", "cast(1 + id % 50 as long) as n")
     vocab = L.vocabulary(counts)
-    assert vocab.side == 93 and len(vocab.keys) == 93 * 92 and vocab.freq.sum() == counts.agg({"n": "sum"}).first()[0]
+    assert vocab.side == 80 and len(vocab.keys) == 80 * 79 and vocab.freq.sum() == counts.agg({"n": "sum"}).first()[0]
 
 
 def test_every_word_is_a_target_once():
@@ -118,6 +118,8 @@ def test_learns_words_at_every_place(spark, monkeypatch):
         def select(self, *_):
             return self
 
+        coalesce = select
+
         def mapInArrow(self, f, _):
             import pyarrow as pa
             list(f(iter([pa.RecordBatch.from_pydict({"text": [text] * 50})])))
