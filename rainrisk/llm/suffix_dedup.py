@@ -16,8 +16,12 @@ An anchor's suffix matters if its next ``length - GAP`` bytes occur twice
 ``length`` bytes behind the next anchor, are sorted by a distributed merge sort:
 
 1. each task sorts its suffixes, folds equal ones, and cuts the run at global
-   splitters (suffixes that share ``length - GAP`` bytes stay together);
-   runs travel front-coded: common prefix with the one before, and the rest;
+   splitters; runs travel front-coded: common prefix with the one before, and
+   the rest. Splitters are whole suffixes out of the runs, sampled by hash in
+   every task, so their number grows with the bytes of the runs and a prefix
+   that very many suffixes share is cut at deeper bytes. A range starts with
+   its splitter, so the common prefix across a border is that of the last
+   suffix before it with the splitter;
 2. each range merges its runs with a loser tree that keeps, for every head,
    its common prefix with the last output: heads with different prefixes are
    ordered by that number alone, equal ones are compared from there on, so a
@@ -58,7 +62,7 @@ from .common import U64, filter_bits, materialise, mix, passes, prefix_hash, rel
 GRAM, REACH, GAP = 16, 64, 256
 RUN_BYTES = 48 << 20    # payload a task sorts at once
 RANGE_BYTES = 24 << 20  # payload a range merges
-SAMPLE = 4096           # prefixes the splitters are taken from
+PER_RANGE = 16          # sampled suffixes of a range
 
 KEY = ["doc_id", "tkey"]
 
@@ -118,30 +122,17 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int):
 
 
 def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """Rows of anchors, and a few prefixes per task (least hashes) for the splitters."""
-    need = length - GAP
+    """Rows of anchors."""
 
     def run(batches):
-        small: dict[int, bytes] = {}
         for rows, data, off in text_blocks(batches):
             doc, pos, back, ahead, h = anchors(data, off, length)
-            for i in np.argsort(h)[:256]:
-                at = off[doc[i]] + pos[i]
-                small[int(h[i])] = data[at:at + need].tobytes()
-            if len(small) > 4096:
-                small = dict(sorted(small.items())[:256])
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0).take(pa.array(doc)), rows.column(1).take(pa.array(doc)), pa.array(pos.astype(np.int32)),
-                 pa.array(back.astype(np.int32)), pa.array(ahead.astype(np.int16)), pa.array(signed(h)),
-                 pa.nulls(len(doc), pa.binary())], names=[*KEY, "pos", "back", "ahead", "h", "prefix"])
-        small = dict(sorted(small.items())[:256])
-        m = len(small)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()),
-             pa.nulls(m, pa.int16()), pa.array(signed(np.fromiter(small.keys(), U64, m))), pa.array(list(small.values()), pa.binary())],
-            names=[*KEY, "pos", "back", "ahead", "h", "prefix"])
+                 pa.array(back.astype(np.int32)), pa.array(ahead.astype(np.int16)), pa.array(signed(h))],
+                names=[*KEY, "pos", "back", "ahead", "h"])
 
-    return docs.mapInArrow(run, "doc_id long, tkey int, pos int, back int, ahead short, h long, prefix binary")
+    return docs.mapInArrow(run, "doc_id long, tkey int, pos int, back int, ahead short, h long")
 
 
 # ----------------------------------------------------------------- the runs
@@ -265,9 +256,40 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, tkey int, pos int, back int, h long, c long")
 
 
+def _sample(texts: DataFrame, rate: int, length: int) -> DataFrame:
+    """(x, h, c): about one of ``rate`` distinct suffixes of every task, chosen by hash."""
+
+    def run(batches):
+        sent: set[int] = set()
+        for rows, data, off in text_blocks(batches):
+            s, inv = prefix_hash(data)
+            (pos, _, ahead, h), doc = _lists_of(rows, 4)
+            at, end = off[doc] + pos, _context_ends(pos, ahead, doc, off, length)
+            c = mix((s[end] - s[at]) * inv[at] + (end - at).astype(U64))
+            out = []
+            for i in np.flatnonzero(mix(c + U64(5)) % U64(rate) == 0):
+                if int(c[i]) not in sent:
+                    sent.add(int(c[i]))
+                    out.append(i)
+            c = signed(c)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([data[at[i]:end[i]].tobytes() for i in out], pa.binary()), pa.array(h[out].astype(np.int64)),
+                 pa.array(c[out])], names=["x", "h", "c"])
+
+    return texts.mapInArrow(run, "x binary, h long, c long")
+
+
+def _splitters(texts: DataFrame, n: int, length: int) -> list[tuple[bytes, int, int]]:
+    """Suffixes (bytes, hash, context hash) that cut the runs of ``n`` anchors into ranges of about RANGE_BYTES."""
+    rate = max(1, RANGE_BYTES // (PER_RANGE * (length + GAP)))
+    if n < 2 * rate * PER_RANGE:
+        return []
+    got = sorted((bytes(r["x"]), r["h"], r["c"]) for r in _sample(texts, rate, length).collect())  # 1/rate of the suffixes
+    return sorted(set(got[PER_RANGE::PER_RANGE]))
+
+
 def _suffix_runs(texts: DataFrame, splitters, length: int) -> DataFrame:
     """From (doc_id, tkey, text, a: anchors): front-coded sorted runs by range."""
-    need = length - GAP
 
     def run(batches):
         cuts = splitters.value
@@ -276,7 +298,7 @@ def _suffix_runs(texts: DataFrame, splitters, length: int) -> DataFrame:
         def runs():
             order, at = sorted(held), 0
             for r in range(len(cuts) + 1):
-                end = bisect_left(order, cuts[r], at, key=lambda x: x[:need]) if r < len(cuts) else len(order)
+                end = bisect_left(order, cuts[r][0], at) if r < len(cuts) else len(order)
                 if end > at:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r], pa.int32()), pa.array([front_code([(x, *held[x]) for x in order[at:end]])])], names=["range", "run"])
@@ -305,13 +327,16 @@ def _suffix_runs(texts: DataFrame, splitters, length: int) -> DataFrame:
     return texts.mapInArrow(run, "range int, run binary")
 
 
-def _longest(runs: DataFrame) -> DataFrame:
-    """(h, c, m): per suffix the longest common prefix with any other."""
+def _longest(runs: DataFrame, splitters) -> DataFrame:
+    """(h, c, m): per suffix the longest common prefix with any other in its
+    range or across its border (the greatest m of a suffix holds)."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [x.as_py() for b in rows for x in b.column("run")]  # one range: about RANGE_BYTES
+        held = list(rows)  # one range: about RANGE_BYTES
+        blobs, cuts = [x.as_py() for b in held for x in b.column("run")], splitters.value
+        here = held[0].column("range")[0].as_py()
         out: list[tuple[int, int, int]] = []
-        last = None  # (bytes, h, c, m) not yet sent
+        last, text = None, b""  # (bytes, h, c, m) not yet sent, its suffix
 
         def batch():
             h, c, m = zip(*out)
@@ -329,9 +354,13 @@ def _longest(runs: DataFrame) -> DataFrame:
                     yield batch()
                     out.clear()
                 own = max(own, lcp)
-            last = (len(x), h, c, own)
+            last, text = (len(x), h, c, own), x
         if last is not None:
-            out.append(last[1:])
+            across = 0
+            if here < len(cuts):  # the next range starts with its splitter
+                across = common_from(text, cuts[here][0], 0)
+                out.append((*cuts[here][1:], across))
+            out.append((*last[1:3], max(last[3], across)))
         if out:
             yield batch()
 
@@ -465,23 +494,18 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
         raise ValueError(f"length must be at least {GAP + GRAM + REACH}")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("tkey"), "text")
     found = _find_anchors(docs, length)  # cheap: done twice rather than written
-    seen = found.groupBy("h").agg(F.count("pos").alias("n"), F.max("prefix").alias("prefix")).where("n > 1 or prefix is not null")
-    seen = materialise(seen, "suffix-seen")
-    sample = [bytes(r["prefix"]) for r in seen.where("prefix is not null").orderBy("h").limit(SAMPLE).collect()]
-    near = found.where("pos is not null").drop("prefix").join(seen.where("n > 1").select("h"), "h", "left_semi")
+    seen = materialise(found.groupBy("h").agg(F.count("pos").alias("n")).where("n > 1").select("h"), "suffix-seen")
+    near = found.join(seen, "h", "left_semi")
     near = materialise(near, "suffix-near")
     release(seen)
-    ranges = int(max(1, min(len(sample) // 4, near.count() * (length + GAP) // RANGE_BYTES)))
-    order = sorted(set(sample))
-    splitters = spark.sparkContext.broadcast(sorted({order[len(order) * k // ranges] for k in range(1, ranges)} if order else set()))
-
     lists = near.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "back", "ahead", "h")).alias("a"))
     sifted = materialise(_with_lists(_sift(docs, near, True), lists), "suffix-texts")
+    splitters = spark.sparkContext.broadcast(_splitters(sifted, near.count(), length))
     release(near)
     texts = sifted.drop("a")
-    longest = materialise(_longest(_suffix_runs(sifted, splitters, length)), "suffix-lcp")
+    longest = materialise(_longest(_suffix_runs(sifted, splitters, length), splitters), "suffix-lcp")
     spots = _contexts(sifted, length)
-    with_m = spots.join(longest.where(F.col("m") >= length - GAP).dropDuplicates(["h", "c"]), ["h", "c"]) \
+    with_m = spots.join(longest.where(F.col("m") >= length - GAP).groupBy("h", "c").agg(F.max("m").alias("m")), ["h", "c"]) \
         .select(*KEY, "pos", "back", "h", "m", (F.col("pos") + F.col("m")).alias("end"))
     with_m = with_m.repartition(*KEY).dropDuplicates([*KEY, "pos"])  # a row read twice has its anchors twice
     w = Window.partitionBy(*KEY).orderBy("pos")

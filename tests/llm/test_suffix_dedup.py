@@ -73,6 +73,27 @@ def test_against_brute_force(spark, seed):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_shared_boilerplate_is_cut_into_ranges(spark, monkeypatch):
+    # a common header of 600 bytes before different texts: its suffixes don't meet in one range
+    r = random.Random(7)
+    prose = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    header = prose(600)
+    rows = [(i, prose(r.randint(0, 40)) + header + prose(300)) for i in range(150)] + [(500 + i, header[:420] + prose(99)) for i in range(9)]
+    runs, suffix_runs = [], S._suffix_runs
+    monkeypatch.setattr(S, "RANGE_BYTES", 1 << 15)
+    monkeypatch.setattr(S, "_suffix_runs", lambda *a: runs.append(suffix_runs(*a)) or runs[0])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = []
+    for x in S.remove_repeats(df).collect():
+        cut = sum(s["end"] - s["start"] for s in x["spans"])
+        got.append((x["row"]["doc_id"], len(x["kept"]) + cut, cut, len(x["spans"]), hashlib.sha256(bytes(x["kept"])).hexdigest()))
+    assert sorted(got) == sorted((i, *w) for (i, _), w in zip(rows, brute(rows)))
+    size = {}
+    for x in runs[0].collect():
+        size[x["range"]] = size.get(x["range"], 0) + sum(len(i[1]) for i in S.read_run(x["run"]))
+    assert len(size) > 4 and max(size.values()) < .5 * sum(size.values())
+
+
 def test_empty_table(spark):
     assert S.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
