@@ -10,8 +10,8 @@ for the next one:
    similarity of 0.8 or more, the one with the smallest doc_id stays; texts
    without words are linked with nothing and stay; rows that repeat a doc_id
    are one document, one row stays; rows with a null doc_id stay.
-3. ``repeated_passages``: bytes covered by a string of 400 bytes that also
-   starts elsewhere are cut out (cut characters are dropped); no row goes;
+3. ``repeated_passages``: bytes covered by a string of PASSAGE bytes (a passage
+   of 51 words of five bytes with their blanks) that also starts elsewhere are cut out (cut characters are dropped); no row goes;
    ``n_chars``, where present, follows the text.
 4. ``mix``: every document is read at least once; documents of smaller sources are
    repeated, none more than MAX_REPETITION times on average of its source.
@@ -30,6 +30,7 @@ from rainrisk.llm import byte_bpe, mixing, ngram_join, quality, suffix_dedup
 from rainrisk.llm.common import materialise, ship, table
 
 MAX_REPETITION = 1.25
+PASSAGE = 255
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = suffix_dedup.remove_repeats(docs)
+    cut = suffix_dedup.remove_repeats(docs, PASSAGE)
     text = F.try_validate_utf8(F.col("kept").cast("string"))
     text = F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
     cols = [text.alias("text") if c == "text" else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"

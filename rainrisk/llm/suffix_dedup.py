@@ -59,7 +59,7 @@ from pyspark.sql import functions as F
 
 from .common import U64, filter_bits, materialise, mix, passes, prefix_hash, release, schema_of, signed, table, text_blocks
 
-GRAM, REACH, GAP = 16, 64, 256
+GRAM, REACH, GAP = 16, 64, 256  # for strings of 400 bytes and more, see ``scale``
 RUN_BYTES = 48 << 20    # payload a task sorts at once
 RANGE_BYTES = 24 << 20  # payload a range merges
 PER_RANGE = 16          # sampled suffixes of a range
@@ -69,20 +69,28 @@ KEY = ["doc_id", "tkey"]
 
 # ------------------------------------------------------------------ anchors
 
+def scale(length: int) -> tuple[int, int, int]:
+    """(gram, reach, gap) for strings of ``length`` bytes: an anchor's choice
+    must lie inside every string it stands for. Reach is a power of two."""
+    part = min(1.0, length / 400)
+    return max(1, int(GRAM * part)), 1 << max(0, int(REACH * part).bit_length() - 1), int(GAP * part)
+
+
 def anchors(data: np.ndarray, off: np.ndarray, length: int):
     """Anchors of a block of documents: (document, position in it, bytes back
-    to the anchor before, bytes ahead to the next (at most ``GAP``), hash of
-    the next ``length - GAP`` bytes)."""
-    need = length - GAP
+    to the anchor before, bytes ahead to the next (at most the gap), hash of
+    the next ``length`` less gap bytes)."""
+    gram, reach, gap = scale(length)
+    need = length - gap
     s, inv = prefix_hash(data)
     n = len(data)
     if n < need:
         z = np.zeros(0, np.int64)
         return z, z, z, z, np.zeros(0, U64)
     g = np.full(n, 0xFFFFFFFF, np.uint32)
-    g[:n - GRAM + 1] = (((s[GRAM:] - s[:-GRAM]) * inv[:n - GRAM + 1]) * U64(0x9E3779B97F4A7C15) >> U64(32)).astype(np.uint32)
+    g[:n - gram + 1] = (((s[gram:] - s[:-gram]) * inv[:n - gram + 1]) * U64(0x9E3779B97F4A7C15) >> U64(32)).astype(np.uint32)
     low, width = g, 1
-    while width < REACH:
+    while width < reach:
         nxt = low.copy()
         nxt[:n - width] = np.minimum(low[:n - width], low[width:])
         low, width = nxt, 2 * width
@@ -93,9 +101,9 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int):
     doc = np.searchsorted(off, pos, "right") - 1
     ok = pos - off[doc] <= size[doc] - need
     pos, doc = pos[ok], doc[ok]
-    # gaps: starts that have no anchor within GAP
+    # gaps: starts that have no anchor within the gap
     d = np.arange(len(size))[size >= length]
-    ends = np.concatenate([pos, off[d] + size[d] - length + 1 + GAP])      # next anchor, or behind the last start
+    ends = np.concatenate([pos, off[d] + size[d] - length + 1 + gap])      # next anchor, or behind the last start
     begins = np.concatenate([pos, off[d] - 1])
     edoc = np.concatenate([doc, d])
     o1, o2 = np.lexsort((ends, edoc)), np.lexsort((begins, edoc))
@@ -106,17 +114,17 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int):
     sel = np.isin(ed, d)
     ep = ep[sel]
     extra = []
-    for k in np.flatnonzero(np.minimum(ep - GAP, off[bd] + size[bd] - length + 1) - bp > 1):
-        extra.append(np.arange(bp[k] + 1, min(ep[k] - GAP, off[bd[k]] + size[bd[k]] - length + 1)))
+    for k in np.flatnonzero(np.minimum(ep - gap, off[bd] + size[bd] - length + 1) - bp > 1):
+        extra.append(np.arange(bp[k] + 1, min(ep[k] - gap, off[bd[k]] + size[bd[k]] - length + 1)))
     if extra:
         pos = np.unique(np.concatenate([pos, *extra]))
         doc = np.searchsorted(off, pos, "right") - 1
     back = np.diff(pos, prepend=-1)
     first = np.diff(doc, prepend=-1) != 0
     back[first] = (pos - off[doc] + 1)[first]
-    ahead = np.full(len(pos), GAP)
+    ahead = np.full(len(pos), gap)
     same = ~first[1:]
-    ahead[:-1][same] = np.minimum(back[1:][same], GAP)
+    ahead[:-1][same] = np.minimum(back[1:][same], gap)
     h = mix((s[pos + need] - s[pos]) * inv[pos])
     return doc, pos - off[doc], back, ahead, h
 
@@ -378,12 +386,14 @@ def _edge_cores(docs: DataFrame, length: int) -> DataFrame:
     stretch of offsets lo..hi, the bytes that all its strings have in common,
     and whether the document asks for any of them. Where no other anchor of
     the same context has them, or none asks, no string need be compared."""
+    gap = scale(length)[2]
+    stretches = [(a, min(b, gap)) for a, b in STRETCHES if a <= gap]
 
     def run(batches):
         for rows, data, off in text_blocks(batches):
             s, inv = prefix_hash(data)
             (pos, lo, hi, ulo, uhi, h), doc = _lists_of(rows, 6)
-            for first, last in STRETCHES:
+            for first, last in stretches:
                 a, b = np.maximum(lo, first), np.minimum(hi, last)
                 ok = (a <= b) & (pos >= a) & (off[doc] + pos - b + length <= off[doc + 1])
                 p, d = pos[ok], doc[ok]
@@ -490,8 +500,8 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("tkey"), "text",
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
-    if length < GAP + GRAM + REACH:  # an anchor's choice must lie inside every string it stands for
-        raise ValueError(f"length must be at least {GAP + GRAM + REACH}")
+    if length < 1:
+        raise ValueError("length must be at least 1")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("tkey"), "text")
     found = _find_anchors(docs, length)  # cheap: done twice rather than written
     seen = materialise(found.groupBy("h").agg(F.count("pos").alias("n")).where("n > 1").select("h"), "suffix-seen")
@@ -505,7 +515,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     texts = sifted.drop("a")
     longest = materialise(_longest(_suffix_runs(sifted, splitters, length), splitters), "suffix-lcp")
     spots = _contexts(sifted, length)
-    with_m = spots.join(longest.where(F.col("m") >= length - GAP).groupBy("h", "c").agg(F.max("m").alias("m")), ["h", "c"]) \
+    with_m = spots.join(longest.where(F.col("m") >= length - scale(length)[2]).groupBy("h", "c").agg(F.max("m").alias("m")), ["h", "c"]) \
         .select(*KEY, "pos", "back", "h", "m", (F.col("pos") + F.col("m")).alias("end"))
     with_m = with_m.repartition(*KEY).dropDuplicates([*KEY, "pos"])  # a row read twice has its anchors twice
     w = Window.partitionBy(*KEY).orderBy("pos")

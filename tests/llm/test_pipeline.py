@@ -44,6 +44,19 @@ def test_stages_on_edge_rows(spark):
     assert len(out) == mixed.count()
 
 
+def test_passages_of_51_words_go(spark):
+    r = random.Random(3)
+    prose = lambda n: " ".join("".join(r.choice("abcdeo") for _ in range(r.randint(2, 8))) for _ in range(n))
+    passage = prose(51)
+    assert 256 <= len(passage) < 390
+    clean = {i: prose(150) for i in range(20)}
+    rows = [*clean.items()] + [(50 + i, prose(90 + i) + " " + passage + " " + prose(100)) for i in range(4)]
+    cut = C.repeated_passages(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
+    now = {r["doc_id"]: r["text"] for r in cut.collect()}
+    assert all(now[i] == t for i, t in clean.items())
+    assert all(passage not in now[50 + i] and len(now[50 + i]) <= len(rows[20 + i][1]) - len(passage) for i in range(4))
+
+
 def test_empty_table_passes_through(spark):
     docs = _docs(spark).limit(0)
     for name, stage in C.STAGES:

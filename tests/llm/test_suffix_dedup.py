@@ -1,6 +1,7 @@
 """Suffix-array dedup against a brute-force search of all strings."""
 import hashlib
 import random
+import sys
 from collections import defaultdict
 
 import numpy as np
@@ -73,6 +74,18 @@ def test_against_brute_force(spark, seed):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+@pytest.mark.parametrize("length", [255, 40])
+def test_short_lengths_against_brute_force(spark, monkeypatch, length):
+    monkeypatch.setattr(sys.modules[__name__], "LENGTH", length)
+    rows = fixture(4)
+    got = []
+    for x in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), length).collect():
+        cut = sum(s["end"] - s["start"] for s in x["spans"])
+        got.append((x["row"]["doc_id"], len(x["kept"]) + cut, cut, len(x["spans"]), hashlib.sha256(bytes(x["kept"])).hexdigest()))
+    key = lambda x: (x[0] is None, x)
+    assert sorted(got, key=key) == sorted([(i, *w) for (i, _), w in zip(rows, brute(rows))], key=key)
+
+
 def test_shared_boilerplate_is_cut_into_ranges(spark, monkeypatch):
     # a common header of 600 bytes before different texts: its suffixes don't meet in one range
     r = random.Random(7)
