@@ -8,8 +8,9 @@ for the next one:
    without words is scored like any other; without labels nothing goes.
 2. ``near_duplicates``: of documents linked by five-word shingles at a
    similarity of 0.8 or more, the one with the smallest doc_id stays; texts
-   without words are linked with nothing and stay; rows that repeat a doc_id
-   are one document, one row stays; rows with a null doc_id stay.
+   without words are linked with nothing and stay; of rows with the same doc_id
+   and text one stays, rows that repeat a doc_id with other texts are documents
+   of their own; rows with a null doc_id stay.
 3. ``repeated_passages``: bytes covered by a string of PASSAGE bytes (a passage
    of 51 words of five bytes with their blanks) that also starts elsewhere are cut out (cut characters are dropped); no row goes;
    ``n_chars``, where present, follows the text.
@@ -42,14 +43,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_join.jaccard_components(docs, n=5, num=4, den=5)
-    stay = groups.where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    one = Window.partitionBy("d.doc_id").orderBy(F.xxhash64("d.text"))
-    kept = docs.alias("d").join(stay.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
     n = "_n"
-    while n in docs.columns:
+    while n in docs.columns or "_row" + n in docs.columns:
         n = "_" + n
-    return kept.withColumn(n, F.row_number().over(one)).where((F.col(n) == 1) | F.col("doc_id").isNull()).drop(n)
+    own = docs.withColumn(n, F.xxhash64("doc_id", "text"))  # a row's identity: doc_id and text
+    known = own.where("doc_id is not null")
+    groups = ngram_join.jaccard_components(known.select(F.col(n).alias("doc_id"), "text"), n=5, num=4, den=5)
+    of = known.select(F.col(n).alias("k"), F.col("doc_id").alias("d")).distinct()
+    stay = groups.select("doc_id", "component_id").distinct().join(of, F.col("doc_id") == F.col("k")) \
+        .groupBy("component_id").agg(F.min(F.struct("d", "k")).alias("s")).select("s.k")
+    kept = known.join(stay, F.col(n) == F.col("k"), "left_semi")
+    one = Window.partitionBy(n).orderBy(F.lit(0))
+    kept = kept.withColumn("_row" + n, F.row_number().over(one)).where(F.col("_row" + n) == 1)
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,8 +27,8 @@ Two documents link when ``den * |A & B| >= num * |A | B|`` over their sets of
 
 Cases: null or empty texts and texts without words have an empty set and link
 with nothing, not even with each other; texts shorter than ``n`` words have
-one shingle, the whole sequence; rows that repeat a doc_id are separate rows
-of one document (all rows get the smallest component of any of them); a null
+one shingle, the whole sequence; rows that repeat a doc_id are separate rows,
+each with the component of its own text's shingles; a null
 doc_id links nothing and has no component; an empty table gives an empty
 result; other columns are not read.
 """

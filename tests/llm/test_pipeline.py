@@ -44,6 +44,17 @@ def test_stages_on_edge_rows(spark):
     assert len(out) == mixed.count()
 
 
+def test_rows_that_share_a_doc_id(spark):
+    r = random.Random(6)
+    prose = lambda n: " ".join("".join(r.choice("abcdeo") for _ in range(r.randint(2, 8))) for _ in range(n))
+    copied = prose(80)
+    rows = [(3, copied)] + [x for i in range(7, 27) for x in ((i, copied), (i, prose(80)))] + [(40, prose(80)), (40, prose(80))]
+    rows += [rows[2]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(x) for x in C.near_duplicates(spark, docs, "").collect())
+    assert got == sorted({(3, copied), *[x for x in rows if x[1] != copied]})
+
+
 def test_passages_of_51_words_go(spark):
     r = random.Random(3)
     prose = lambda n: " ".join("".join(r.choice("abcdeo") for _ in range(r.randint(2, 8))) for _ in range(n))
