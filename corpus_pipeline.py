@@ -14,7 +14,8 @@ for the next one:
 3. ``repeated_passages``: bytes covered by a string of PASSAGE bytes (a passage
    of 51 words of five bytes with their blanks) that also starts elsewhere are cut out (cut characters are dropped); no row goes;
    ``n_chars``, where present, follows the text.
-4. ``mix``: every document is read at least once; documents of smaller sources are
+4. ``mix``: op10's entropy target and repetition limit, with a budget that
+   reads every document at least once; documents of smaller sources are
    repeated, none more than MAX_REPETITION times on average of its source.
    Rows with a null doc_id are read once.
 5. ``encode``: ids and the decoded bytes of every row, as digests.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from rainrisk.llm import byte_bpe, mixing, ngram_join, quality, suffix_dedup
 from rainrisk.llm.common import materialise, ship, table
 
-MAX_REPETITION = 1.25
+MAX_REPETITION = mixing.MAX_REPETITION
 PASSAGE = 255
 
 
@@ -68,9 +69,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    dealt = mixing.mix_sources(docs, max_repetition=MAX_REPETITION, budget="cover")
-    copies = dealt.groupBy(F.col("doc_id").alias("m")).agg(F.max("copies").alias("k")).where("m is not null and k > 1")
-    rows = docs.alias("d").join(copies.alias("c"), F.col("d.doc_id") == F.col("c.m"), "left")
+    dealt = mixing.mix_sources(docs, entropy=mixing.ENTROPY, max_repetition=MAX_REPETITION, budget="cover")
+    copies = dealt.groupBy(F.col("doc_id").alias("m"), F.col("source").alias("s"), F.col("n_tokens").alias("t")) \
+        .agg(F.max("copies").alias("k")).where("m is not null and k > 1")
+    n_tokens = F.regexp_count(F.coalesce("d.text", F.lit("")), F.lit(mixing.WORDS)).cast("long")
+    same = (F.col("d.doc_id") == F.col("c.m")) & F.col("d.source").eqNullSafe(F.col("c.s")) & (n_tokens == F.col("c.t"))
+    rows = docs.alias("d").join(copies.alias("c"), same, "left")
     times = F.sequence(F.lit(1).cast("long"), F.coalesce(F.col("c.k"), F.lit(1)).cast("long"))
     return rows.select(F.struct("d.*").alias("row"), F.explode(times).alias("copy")).select("row.*")
 

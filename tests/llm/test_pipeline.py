@@ -55,6 +55,21 @@ def test_rows_that_share_a_doc_id(spark):
     assert got == sorted({(3, copied), *[x for x in rows if x[1] != copied]})
 
 
+def test_mix_meets_the_target_shares(spark):
+    # a hot source, some of five percent and a tiny one: shares follow a flatter target, nothing goes
+    size = {"hot": 900, "a": 140, "b": 140, "c": 140, "tiny": 6}
+    rows = [(1000 * k + i, "word " * 20, s) for k, (s, n) in enumerate(size.items()) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = {r["source"]: r["count"] for r in C.mix(spark, docs, "").groupBy("source").count().collect()}
+    natural = {s: n / len(rows) for s, n in size.items()}
+    totals = spark.createDataFrame([(x,) for x in natural.values()], "share double")
+    alpha = C.mixing.temperature(totals, C.mixing.ENTROPY, C.mixing.MAX_REPETITION, "cover")
+    p = {s: x ** alpha for s, x in natural.items()}
+    assert all(abs(got[s] / sum(got.values()) - p[s] / sum(p.values())) < .01 for s in size)
+    assert all(size[s] <= got[s] <= C.MAX_REPETITION * size[s] + 1 for s in size)
+    assert got["tiny"] > 3.5 * size["tiny"] and got["a"] > 1.3 * size["a"]
+
+
 def test_passages_of_51_words_go(spark):
     r = random.Random(3)
     prose = lambda n: " ".join("".join(r.choice("abcdeo") for _ in range(r.randint(2, 8))) for _ in range(n))
