@@ -19,9 +19,11 @@ angle to the pivot is more than the group's radius and the threshold's angle
 links with none of them and is compared with the pivot only. Groups are
 broadcast in chunks of ``CHUNK_BYTES``, nothing is shuffled but counts.
 
-The audit compares ``AUDIT`` nodes chosen by hash with all rows and holds all
-their true links against the final counts; below ``RECALL`` the descent goes
-on with other random groups.
+The audit compares at least ``AUDIT`` nodes chosen by hash with all rows, more
+until they have ``AUDIT_LINKS`` true links or all nodes are taken, and holds
+these against the final counts; below ``RECALL`` the descent goes on with other
+random groups, and after ``ATTEMPTS`` of them all nodes of the failing labels are
+compared with each other.
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite
 components, and those with a null label, link with nothing and are their own
@@ -46,7 +48,7 @@ from .common import components, materialise, release, table
 K, GROUP, SALT_ROWS, BLOCK = 10, 64, 32, 1024
 CHUNK_BYTES = 32 << 20  # vectors of a broadcast
 ROUNDS, SETTLED = 8, 0.002
-AUDIT, RECALL = 1000, 0.97
+AUDIT, AUDIT_LINKS, RECALL, ATTEMPTS = 1000, 200, 0.97, 3
 EDGE = "a long, b long, s double, fresh boolean"
 
 
@@ -292,15 +294,21 @@ def descend(nodes: DataFrame, dtype: str, graph: DataFrame | None, attempt: int)
     return graph
 
 
-def enlarge(nodes: DataFrame, graph: DataFrame, dtype: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+def enlarge(nodes: DataFrame, graph: DataFrame, dtype: str, threshold: float, whole: list = ()) -> tuple[DataFrame, DataFrame]:
     """(links, comp): (id, n) summed weights of every node's links, and the
-    components (v, c), with the saturated nodes compared with all."""
+    components (v, c), with the saturated nodes, and all of the (label, dim) in
+    ``whole``, compared with all."""
     close = graph.where(F.col("s") >= threshold)
     edges = materialise(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "nn-links")
     comp = components(edges, "nn-cc")
-    full = materialise(close.groupBy(F.col("a").alias("f")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= K).select("f"), "nn-full")
-    some = nodes.join(full, F.col("id") == F.col("f"), "left_semi").join(comp.select(F.col("v").alias("cv"), "c"), F.col("id") == F.col("cv")) \
-        .select("id", "c", "label", "dim", "v", "weight")
+    full = close.groupBy(F.col("a").alias("f")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= K).select("f")
+    if whole:
+        named = nodes.sparkSession.createDataFrame(whole, "label string, dim int")
+        full = full.union(nodes.join(named, ["label", "dim"], "left_semi").select("id")).distinct()
+    full = materialise(full, "nn-full")
+    some = nodes.join(full, F.col("id") == F.col("f"), "left_semi") \
+        .join(comp.select(F.col("v").alias("cv"), "c"), F.col("id") == F.col("cv"), "left") \
+        .select("id", F.coalesce("c", "id").alias("c"), "label", "dim", "v", "weight")
     more = materialise(against_all(nodes, some, comp, dtype, threshold), "nn-more")
     both = edges.union(edges.select("b", "a")).toDF("id", "o")
     both = both.join(full, F.col("id") == F.col("f"), "left_anti").join(full, F.col("o") == F.col("f"), "left_anti")
@@ -313,15 +321,22 @@ def enlarge(nodes: DataFrame, graph: DataFrame, dtype: str, threshold: float) ->
     return materialise(links, "nn-counts"), comp
 
 
-def audit(nodes: DataFrame, links: DataFrame, comp: DataFrame, dtype: str, threshold: float) -> float:
-    """Recall of the counted links of AUDIT nodes chosen by hash, against all rows."""
-    some = nodes.orderBy(F.xxhash64("id", F.lit(99)), "id").limit(AUDIT)
-    probe = materialise(some.join(comp.select(F.col("v").alias("cv"), "c"), F.col("id") == F.col("cv"), "left")
-                        .select("id", F.coalesce("c", "id").alias("c"), "label", "dim", "v", "weight"), "nn-probe")
-    true = against_all(nodes, probe, comp, dtype, threshold).where("o is null") \
-        .join(probe.select(F.col("id").alias("p")), F.col("id") == F.col("p"), "left_semi").groupBy("id").agg(F.sum("n").alias("t"))
-    r = true.join(links, "id", "left").agg(F.sum("t"), F.sum(F.least("t", F.coalesce("n", F.lit(0))))).first()
-    return (r[1] or 0) / r[0] if r[0] else 1.0
+def audit(nodes: DataFrame, links: DataFrame, comp: DataFrame, dtype: str, threshold: float) -> tuple[float, list]:
+    """Recall of the counted links of nodes chosen by hash, against all rows,
+    and the (label, dim) that have less than RECALL."""
+    want, n = AUDIT, nodes.count()
+    while True:
+        some = nodes.where(F.pmod(F.xxhash64("id", F.lit(99)), F.lit(max(1, n))) < want)
+        probe = materialise(some.join(comp.select(F.col("v").alias("cv"), "c"), F.col("id") == F.col("cv"), "left")
+                            .select("id", F.coalesce("c", "id").alias("c"), "label", "dim", "v", "weight"), "nn-probe")
+        true = against_all(nodes, probe, comp, dtype, threshold).where("o is null").groupBy(F.col("id").alias("p")).agg(F.sum("n").alias("t"))
+        held = probe.join(true, F.col("id") == F.col("p")).select("id", "label", "dim", "t").join(links, "id", "left") \
+            .groupBy("label", "dim").agg(F.sum("t").alias("t"), F.sum(F.least("t", F.coalesce("n", F.lit(0)))).alias("f"))
+        t, f = (x or 0 for x in held.agg(F.sum("t"), F.sum("f")).first())
+        if t >= AUDIT_LINKS or want >= n:
+            # as many rows as there are labels that fail
+            return (f / t if t else 1.0), [tuple(r) for r in held.where(F.col("f") < F.lit(RECALL) * F.col("t")).select("label", "dim").collect()]
+        want *= 8
 
 
 def near_duplicates(emb: DataFrame, threshold: float = 0.93) -> DataFrame:
@@ -330,11 +345,14 @@ def near_duplicates(emb: DataFrame, threshold: float = 0.93) -> DataFrame:
     rows, nodes, dtype = fold(emb)
     rows = materialise(rows, "nn-rows")
     graph = None
-    for attempt in range(3):
+    for attempt in range(ATTEMPTS):
         graph = descend(nodes, dtype, graph, attempt)
         links, comp = enlarge(nodes, graph, dtype, threshold)
-        if audit(nodes, links, comp, dtype, threshold) >= RECALL:
+        recall, failing = audit(nodes, links, comp, dtype, threshold)
+        if recall >= RECALL:
             break
+    else:
+        links, comp = enlarge(nodes, graph, dtype, threshold, failing)
     links = links.select(F.col("id").alias("l"), "n")
     of_node = nodes.select("id", "weight").join(links, F.col("id") == F.col("l"), "left").join(
         comp.select(F.col("v").alias("cv"), "c"), F.col("id") == F.col("cv"), "left") \

@@ -83,6 +83,16 @@ def test_linked_dense_sub_clusters(spark):
     assert got == brute(rows, .93)
 
 
+def test_failing_labels_are_compared_whole(spark, monkeypatch):
+    # descents that find nothing: the audit sees it and the labels are compared exactly
+    monkeypatch.setattr(N, "descend", lambda nodes, *_: nodes.sparkSession.createDataFrame([], N.EDGE))
+    monkeypatch.setattr(N, "AUDIT", 4)  # too few to have a link: more are taken
+    rows = [x for x in fixture() if x[2] != 2 and x[0] is not None][:220]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in N.near_duplicates(df).collect()}
+    assert got == brute(rows, .93)
+
+
 def test_empty_and_tiny_tables(spark):
     schema = "vec_id long, embedding array<double>, label int"
     assert N.near_duplicates(spark.createDataFrame([], schema)).collect() == []
