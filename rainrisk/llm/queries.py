@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import byte_bpe, lm_score, mixing, ngram_join, nn_descent, quality, suffix_dedup, token_files, topk, warc
+from . import byte_bpe, lm_score, mixing, ngram_join, nn_descent, quality, suffix_dedup, token_files, topk, url_filter, warc
 from .common import ship
 
 
@@ -27,6 +27,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     warc.op8_warc,
     byte_bpe.op9_byte_bpe,
     mixing.op10_mixing,
+    url_filter.op11_url_filter,
 )}
 
 ORACLES = {
@@ -34,4 +35,5 @@ ORACLES = {
     "op2_topk": topk.OP2_SQL,
     "op8_warc": warc.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_url_filter": url_filter.OP11_SQL,
 }
