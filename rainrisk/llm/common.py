@@ -148,14 +148,15 @@ _WORD = np.ones(256, bool)
 _WORD[[32, 9, 10, 11, 12, 13]] = False
 
 
-def words(data: np.ndarray, off: np.ndarray):
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a block of documents, A-Z lower-cased:
-    (hash, document index, start, end) of each, in order."""
+def words(data: np.ndarray, off: np.ndarray, inside: np.ndarray = _WORD):
+    """Words ``[^\\x20\\x09-\\x0D]+`` (or runs of the bytes marked in ``inside``)
+    of a block of documents, A-Z lower-cased: (hash, document index, start,
+    end) of each, in order."""
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
         return np.zeros(0, U64), z, z, z
-    w = _WORD[data]
+    w = inside[data]
     first = np.zeros(n + 1, bool)
     first[off] = True
     first = first[:n]
