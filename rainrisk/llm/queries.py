@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import byte_bpe, lexical, lm_score, mixing, ngram_join, nn_descent, quality, suffix_dedup, token_files, topk, url_filter, warc
+from . import byte_bpe, lexical, lm_score, mixing, ngram_join, nn_descent, prefix_trie, quality, suffix_dedup, token_files, topk, url_filter, warc
 from .common import ship
 
 
@@ -28,6 +28,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     byte_bpe.op9_byte_bpe,
     mixing.op10_mixing,
     url_filter.op11_url_filter,
+    prefix_trie.op12_prefix_trie,
     lexical.op13_lexical,
 )}
 
@@ -37,5 +38,6 @@ ORACLES = {
     "op8_warc": warc.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
     "op11_url_filter": url_filter.OP11_SQL,
+    "op12_prefix_trie": prefix_trie.OP12_SQL,
     "op13_lexical": lexical.OP13_SQL,
 }
