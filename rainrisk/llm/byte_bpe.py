@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_of, table
+from .common import quoted, schema_of, table
 
 #: Distinct pieces a worker remembers (speed only).
 MEMO = 120_000
@@ -244,21 +244,22 @@ def codec(path: str, pattern: str) -> _Codec:
 
 
 def _row_by_row(df: DataFrame, src: str, kind: str, name: str, path: str, pattern: str) -> DataFrame:
-    keep = [c for c in df.columns if c != name]
-    schema = schema_of(df, keep, f"{name} binary")
+    keep = [c for c in df.columns if c.lower() != name.lower()]
+    if src.lower() == name.lower():
+        raise ValueError("the result needs a column of its own")
+    plain = df.select(*quoted(keep)).toDF(*[f"c{i}" for i in range(len(keep))])  # names may hold dots
 
     def run(batches):
         fn = getattr(codec(path, pattern), kind)
         zero = "" if kind == "encode" else b""
         for b in batches:
-            col = b.column(b.schema.get_field_index(src))
+            col = b.column(keep.index(src))
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
                 out = fn([zero if x is None else x for x in col.slice(i, 256).to_pylist()])
-                cols = [part.column(part.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.binary())], names=[*keep, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*part.schema.names, "out"])
 
-    return df.select(*keep).mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema_of(plain, plain.columns, "out binary")).toDF(*keep, name)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -277,9 +278,19 @@ def n_ids(ids: Column | str) -> Column:
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: number of ids, SHA-256 of the ids, SHA-256 of the
-    decoded bytes."""
-    enc = encode(docs.select("doc_id", "text"), path, pattern).select("doc_id", "ids")
-    return decode(enc, path, pattern).select(
+    decoded bytes. One worker encodes and decodes, so there is one set of tables."""
+    docs = docs.select("doc_id", "text")
+
+    def run(batches):
+        both = codec(path, pattern)
+        for b in batches:
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
+                ids = both.encode(["" if x is None else x for x in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(both.decode(ids), pa.binary())],
+                                                 names=["doc_id", "ids", "decoded"])
+
+    return docs.mapInArrow(run, schema_of(docs, ["doc_id"], "ids binary, decoded binary")).select(
         "doc_id", n_ids("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

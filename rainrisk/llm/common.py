@@ -21,11 +21,17 @@ from rainrisk.session import scratch_path
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd multiplier of the rolling hash (fixed value)
 BLOCK_BYTES = 1 << 20      # bytes of text a numpy step holds at once
+BATCH_BYTES = 4 << 20      # of an Arrow batch: Spark's 64 MB are held several times on either side of a worker
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the workers, once per context, unless their
-    PYTHONPATH already names its folder (then it is installed or mounted)."""
+    PYTHONPATH already names its folder (then it is installed or mounted), and
+    keep this session's Arrow batches to BATCH_BYTES."""
+    as_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if as_bytes(spark.conf.get(BATCH_CONF)) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     root = Path(__file__).resolve().parents[2]
     sc = spark.sparkContext
     if getattr(sc, "_rainrisk_sent", False) or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
@@ -63,6 +69,11 @@ def release(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def quoted(cols: list[str]) -> list[str]:
+    """Names for ``select`` that may hold dots or back-ticks."""
+    return ["`" + c.replace("`", "``") + "`" for c in cols]
+
+
 def schema_of(df: DataFrame, cols: list[str], extra: str) -> T.StructType:
     """Schema of ``cols`` of ``df`` followed by the DDL columns ``extra``."""
     fields = [df.schema[c] for c in cols] + list(T.StructType.fromDDL(extra).fields)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, mix, schema_of, table, text_blocks, words
+from .common import U64, mix, quoted, schema_of, table, text_blocks, words
 
 PASSAGE = 64
 BUCKETS, DIM, ATT, STATS = 4096, 16, 8, 14
@@ -172,7 +172,8 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Network:
-    """Fit on at most ``fit_docs`` labelled documents that are not held out."""
+    """Fit on at most ``fit_docs`` labelled documents that are not held out; of
+    rows that repeat a doc_id, on the least text."""
     known = labels.where("doc_id is not null and quality is not null").where(~held_out("doc_id")) \
         .groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").alias("y"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(fit_docs)
@@ -185,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Netwo
                     [rows.column(0).slice(i, 1), rows.column(2).slice(i, 1), pa.array([b.astype("<i2").tobytes()]),
                      pa.array([first.astype("<i4").tobytes()]), pa.array([fig.tobytes()])], names=["doc_id", "y", "b", "f", "s"])
 
-    rows = docs.join(known, F.col("doc_id") == F.col("id")).select("doc_id", "text", F.col("y").cast("int").alias("y")) \
+    rows = docs.join(known, F.col("doc_id") == F.col("id")).groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").cast("int").alias("y")) \
         .mapInArrow(encode, "doc_id long, y int, b binary, f binary, s binary").toArrow()  # fit_docs documents
     rows = sorted(rows.to_pylist(), key=lambda r: (r["doc_id"], r["b"]))
     y = np.array([r["y"] for r in rows], np.float32)
@@ -200,14 +201,15 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Netwo
 def score(docs: DataFrame, net: Network, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with column ``out``, the score of every row's text."""
     model = docs.sparkSession.sparkContext.broadcast(net)  # BUCKETS * DIM floats
-    keep = [c for c in docs.columns if c != out]
+    keep = [c for c in docs.columns if c.lower() != out.lower()]
+    plain = docs.select(*quoted(keep)).toDF(*[f"c{i}" for i in range(len(keep))])  # names may hold dots
 
     def run(batches):
-        for rows, data, off in text_blocks(batches, text):
+        for rows, data, off in text_blocks(batches, f"c{keep.index(text)}"):
             got = pa.array(model.value.score(*passages(data, off)), pa.float64())
-            yield pa.RecordBatch.from_arrays([*rows.columns, got], names=[*keep, out])
+            yield pa.RecordBatch.from_arrays([*rows.columns, got], names=[*rows.schema.names, "score"])
 
-    return docs.select(*keep).mapInArrow(run, schema_of(docs, keep, f"{out} double"))
+    return plain.mapInArrow(run, schema_of(plain, plain.columns, "score double")).toDF(*keep, out)
 
 
 def classify(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:

@@ -4,6 +4,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from rainrisk.llm.common import materialise, table
 
@@ -83,6 +85,16 @@ def test_passages_of_51_words_go(spark):
     assert all(passage not in now[50 + i] and len(now[50 + i]) <= len(rows[20 + i][1]) - len(passage) for i in range(4))
 
 
+def test_columns_with_any_name(spark):
+    more = ["k", "s", "d", "sig", "a", "h", "n", "c", "tok", "row", "copies", "_n", "_STAYS", "_Score", "x.y", "pos", "rep", "copy", "Sig2"]
+    docs = _docs(spark).select("doc_id", "text", "source", "n_chars", *[F.lit(i).alias(c) for i, c in enumerate(more)])
+    for name, stage in C.STAGES[:-1]:
+        docs = materialise(stage(spark, docs, "/root/testdata/sf0.001"), f"n-{name}")
+        assert docs.columns == ["doc_id", "text", "source", "n_chars", *more]
+        assert {tuple(r)[4:] for r in docs.collect()} <= {tuple(range(len(more)))}
+    assert C.encode(spark, docs, "").count() == docs.count() > 0
+
+
 def test_empty_table_passes_through(spark):
     docs = _docs(spark).limit(0)
     for name, stage in C.STAGES:
