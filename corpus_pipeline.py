@@ -25,46 +25,47 @@ An empty table passes through all stages as an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainrisk.llm import byte_bpe, mixing, ngram_join, quality, suffix_dedup
-from rainrisk.llm.common import materialise, ship, table
+from rainrisk.llm.common import materialise, quoted, ship, table
 
 MAX_REPETITION = mixing.MAX_REPETITION
 PASSAGE = 255
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     net = quality.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     out = "_score"
-    while out in docs.columns:
+    while out in {c.lower() for c in docs.columns}:
         out = "_" + out
     return quality.score(docs, net, out=out).where(F.col(out) >= quality.THRESHOLD).drop(out)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    n = "_n"
-    while n in docs.columns or "_row" + n in docs.columns:
-        n = "_" + n
+    ship(spark)
+    n, stays = "_n", "_stays"
+    while {n, stays} & {c.lower() for c in docs.columns}:
+        n, stays = "_" + n, "_" + stays
     own = docs.withColumn(n, F.xxhash64("doc_id", "text"))  # a row's identity: doc_id and text
-    known = own.where("doc_id is not null")
+    known = own.where("doc_id is not null").dropDuplicates([n])  # one of equal rows, before any shuffle
     groups = ngram_join.jaccard_components(known.select(F.col(n).alias("doc_id"), "text"), n=5, num=4, den=5)
     of = known.select(F.col(n).alias("k"), F.col("doc_id").alias("d")).distinct()
     stay = groups.select("doc_id", "component_id").distinct().join(of, F.col("doc_id") == F.col("k")) \
-        .groupBy("component_id").agg(F.min(F.struct("d", "k")).alias("s")).select("s.k")
-    kept = known.join(stay, F.col(n) == F.col("k"), "left_semi")
-    one = Window.partitionBy(n).orderBy(F.lit(0))
-    kept = kept.withColumn("_row" + n, F.row_number().over(one)).where(F.col("_row" + n) == 1)
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+        .groupBy("component_id").agg(F.min(F.struct("d", "k")).alias("s")).select(F.col("s.k").alias(stays))
+    kept = known.join(stay, F.col(n) == F.col(stays), "left_semi")
+    return kept.drop(n).unionByName(docs.where("doc_id is null"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     cut = suffix_dedup.remove_repeats(docs, PASSAGE)
     text = F.try_validate_utf8(F.col("kept").cast("string"))
     text = F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
     cols = [text.alias("text") if c == "text" else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-            else F.col(f"row.`{c}`") for c in docs.columns]
+            else F.col(f"row.{quoted([c])[0]}") for c in docs.columns]
     return cut.select(*cols)
 
 
@@ -81,6 +82,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
+    ship(spark)
     return byte_bpe.digests(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
 
 
@@ -97,7 +99,6 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
