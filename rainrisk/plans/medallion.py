@@ -77,13 +77,4 @@ def gold_grid_risk(bronze: DataFrame, municipalities: DataFrame) -> DataFrame:
     return grid.gold_from_readings(bronze, mapping)
 
 
-def gold_from_silver(silver: DataFrame) -> DataFrame:
-    return grid.gold_grid_risk(silver)
-
-
-def served_alerts(gold: DataFrame) -> DataFrame:
-    return grid.alerts(gold)
-
-
-__all__ = ["SILVER_COLUMNS", "silver_rainfall", "silver_rainfall_year", "gold_grid_risk",
-           "gold_from_silver", "served_alerts"]
+__all__ = ["SILVER_COLUMNS", "silver_rainfall", "silver_rainfall_year", "gold_grid_risk"]

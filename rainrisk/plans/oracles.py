@@ -196,7 +196,7 @@ WITH o_unit AS (
   SELECT mesorregiao_id AS r, year(data) AS y, (mesorregiao_id + year(data)) % 9 AS kind,
          count(DISTINCT (codigo_posto, month(data))) AS n
   FROM v_leitura WHERE mesorregiao_id IS NOT NULL GROUP BY ALL)
-SELECT r || CASE kind WHEN 5 THEN '-' ELSE '_' END || y || '.parquet' AS arquivo,
+SELECT r || CASE kind WHEN 5 THEN '-' WHEN 3 THEN '[1] 100%_' ELSE '_' END || y || '.parquet' AS arquivo,
        CASE kind WHEN 4 THEN 'missing_columns' WHEN 5 THEN 'no_year_in_name' WHEN 6 THEN 'inconsistent'
                  WHEN 7 THEN 'damaged' WHEN 8 THEN 'no_valid_values' ELSE 'ok' END AS status,
        CASE kind WHEN 4 THEN NULL WHEN 7 THEN 0 ELSE n END AS n_rows,
@@ -204,6 +204,8 @@ SELECT r || CASE kind WHEN 5 THEN '-' ELSE '_' END || y || '.parquet' AS arquivo
        CASE WHEN kind IN (4, 7, 8) THEN NULL ELSE CAST(y + CAST(kind = 6 AS INTEGER) AS BIGINT) END AS year_max
 FROM o_unit
 UNION ALL
+SELECT 'copia' || r || '_' || y || '.parquet', 'superseded', n, y, y FROM o_unit WHERE kind = 0
+UNION ALL
 SELECT 'lixo_2000.parquet', 'unreadable_or_empty', NULL, NULL, NULL""", "v_leitura")
 
 ORACLES["silver_after_reload"] = _w(

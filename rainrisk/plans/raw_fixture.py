@@ -4,12 +4,15 @@ irregularities that real landings have. ``kind = (region + year) % 9``:
 0 plain · 1 day columns as numbers · 2 padded header names · 3 region under
 another name, second to last · 4 without ``Posto`` · 5 no year in the file's
 name · 6 filed under the next year (``ano_ref``) · 7 damaged part-way ·
-8 ``ano_ref`` empty; and one file that is no Parquet at all.
+8 ``ano_ref`` empty. Units of kind 0 have an older second file with other rain,
+files of kind 3 names with brackets, blanks and per cent signs; one file is no
+Parquet at all, and a sub-folder holds a file that does not count.
 """
 
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,7 @@ from rainrisk.sources import daily
 KINDS = 9
 REFUSED_KINDS = (4, 5, 7)
 JUNK = "lixo_2000.parquet"
+COPY = "copia"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -41,6 +45,32 @@ def _overwrite(path: str, data: bytes, at: int | None = None) -> None:
         out.write(data)
 
 
+def _write_kind(spark: SparkSession, staged: str, folder: str, kind) -> None:
+    days = daily.DAY_COLUMNS
+    try:
+        part = spark.read.parquet(f"{staged}/kind={0 if kind == COPY else kind}")
+    except Exception as e:  # a kind that no (region, year) has
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return
+    if kind == 1:
+        number = [F.replace(F.trim(F.col(f"`{c}`")), F.lit(","), F.lit(".")).try_cast("double") for c in days]
+        part = part.withColumns({c: F.when(F.isnan(n), None).otherwise(n) for c, n in zip(days, number)})
+    elif kind == 2:
+        part = part.withColumnsRenamed({daily.COL_CODE: " Código ", daily.COL_MONTH_YEAR: "Mês/Ano "})
+    elif kind == 3:
+        part = part.withColumnRenamed(daily.REGION, "regiao")
+    elif kind == 4:
+        part = part.drop("Posto ")
+    elif kind == 6:
+        part = part.withColumn(daily.YEAR_TAG, F.col(daily.YEAR_TAG) + 1)
+    elif kind == 8:
+        part = part.withColumn(daily.YEAR_TAG, F.lit(None).cast("int"))
+    elif kind == COPY:
+        part = part.withColumns({days[0]: F.lit("99,9"), "name": F.concat(F.lit(COPY), "name")})
+    part.repartition("name").write.partitionBy("name").parquet(f"{folder}/laid/kind={kind}")
+
+
 def write_raw_files(spark: SparkSession, readings: DataFrame, folder: str) -> None:
     """Write the files described above into ``folder`` (one per region and
     year of the readings, so their number follows the regions and years)."""
@@ -51,38 +81,23 @@ def write_raw_files(spark: SparkSession, readings: DataFrame, folder: str) -> No
     staged = f"{folder}/staged"
     (wide.withColumns({"kind": kind, "name": name}).repartition("name")
      .write.partitionBy("kind", "name").parquet(staged))
-    days = daily.DAY_COLUMNS
-    for k in range(KINDS):
-        try:
-            part = spark.read.parquet(f"{staged}/kind={k}")
-        except Exception as e:  # a kind that no (region, year) has
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            continue
-        if k == 1:
-            number = [F.replace(F.trim(F.col(f"`{c}`")), F.lit(","), F.lit(".")).try_cast("double") for c in days]
-            part = part.withColumns({c: F.when(F.isnan(n), None).otherwise(n) for c, n in zip(days, number)})
-        elif k == 2:
-            part = part.withColumnsRenamed({daily.COL_CODE: " Código ", daily.COL_MONTH_YEAR: "Mês/Ano "})
-        elif k == 3:
-            part = part.withColumnRenamed(daily.REGION, "regiao")
-        elif k == 4:
-            part = part.drop("Posto ")
-        elif k == 6:
-            part = part.withColumn(daily.YEAR_TAG, F.col(daily.YEAR_TAG) + 1)
-        elif k == 8:
-            part = part.withColumn(daily.YEAR_TAG, F.lit(None).cast("int"))
-        part.repartition("name").write.partitionBy("name").parquet(f"{folder}/laid/kind={k}")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: _write_kind(spark, staged, folder, k), [*range(KINDS), COPY]))
     jvm, fs = _file_system(spark, folder)
     path = jvm.org.apache.hadoop.fs.Path
     fs.mkdirs(path(f"{folder}/raw"))
     for found in fs.globStatus(path(f"{folder}/laid/kind=*/name=*/*.parquet")):  # one per region and year
         parts = dict(x.split("=") for x in found.getPath().toString().split("/") if "=" in x)
-        to = f"{folder}/raw/{parts['name']}.parquet"
+        name = parts["name"].replace("_", "[1] 100%_") if parts["kind"] == "3" else parts["name"]
+        to = f"{folder}/raw/{name}.parquet"
         fs.rename(found.getPath(), path(to))
+        if parts["kind"] == COPY:
+            fs.setTimes(path(to), found.getModificationTime() - 86_400_000, -1)
         crc = path(re.sub(r"([^/]+)$", r".\1.crc", to))
         if fs.exists(crc):
             fs.delete(crc, False)
         if parts["kind"] == "7":
             _overwrite(to, b"\xff" * 256, at=64)
     _overwrite(f"{folder}/raw/{JUNK}", b"not a parquet file")
+    fs.mkdirs(path(f"{folder}/raw/antigos"))
+    _overwrite(f"{folder}/raw/antigos/{JUNK}", b"not a parquet file")

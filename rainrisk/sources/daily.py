@@ -120,12 +120,13 @@ def unpivot_days(wide: DataFrame, ids: list[str], days: list[str],
     return wide.select(*ids, F.inline(pairs))
 
 
-def shape_daily(wide: DataFrame) -> DataFrame:
+def shape_daily(wide: DataFrame, absent: str | None = None) -> DataFrame:
     """Raw wide rows → bronze long rows.
 
     Unpivots the day columns that exist (empty cells kept, as NULL rain),
     parses rain text and the ``'jan/2025'`` + day date, drops impossible
-    dates, and keeps only rows of the expected year when one is known.
+    dates, and keeps only rows of the expected year when one is known. Cells
+    that hold ``absent`` come from a file without that day's column: no rows.
     """
     wide = normalise_header(wide)
     days = [c for c in DAY_COLUMNS if c in wide.columns]
@@ -137,6 +138,8 @@ def shape_daily(wide: DataFrame) -> DataFrame:
     # month and year are the same for the 31 cells of a row: parse them once
     wide = wide.withColumn("_first", pt_month_start(F.col(COL_MONTH_YEAR)))
     long = unpivot_days(wide, ids + ["_first"], days)
+    if absent is not None:
+        long = long.where(F.col("chuva").isNull() | (F.col("chuva") != absent))
     data = day_of_month_start(F.col("_first"), F.col("_day_no"))
     out = long.select(
         F.col(COL_CODE).cast("bigint").alias("codigo_posto"),
@@ -210,35 +213,3 @@ def read_raw_csv(spark: SparkSession, path: str, schema: str | None = None) -> D
     reader = reader.schema(schema) if schema else reader.option("inferSchema", False)
     df = reader.csv(path)
     return df.withColumn("_file", F.col("_metadata.file_name"))
-
-
-# ---- per-file guards over one scan ------------------------------------------------
-def read_raw_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """All raw files under ``path`` in one scan with their schemas merged, the
-    source file of each row kept, and unreadable files skipped (they are
-    reported by ``quality.unreadable_files``)."""
-    df = (spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
-          .option("recursiveFileLookup", True).option("pathGlobFilter", glob).parquet(path))
-    return df.withColumn("_file", F.col("_metadata.file_path"))
-
-
-def guard_mandatory_columns(raw: DataFrame, file_col: str = "_file",
-                            mandatory: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """P3 per file: a file whose rows never carry a mandatory column (it is
-    missing from that file) is rejected whole.
-
-    Returns (rows of accepted files, one rejection row per rejected file).
-    One aggregate per file; the rejected-file list is small and anti-joined.
-    """
-    raw = raw.toDF(*[c.strip() for c in raw.columns])
-    mandatory = mandatory or MANDATORY
-    present = [c for c in mandatory if c in raw.columns]
-    absent_everywhere = [c for c in mandatory if c not in raw.columns]
-    counts = raw.groupBy(file_col).agg(*[F.count(F.col(c)).alias(c) for c in present])
-    missing = F.filter(F.array(*[F.when(F.col(c) == 0, F.lit(c)) for c in present],
-                               *[F.lit(c) for c in absent_everywhere]),
-                       lambda x: x.isNotNull())
-    rejected = (counts.select(file_col, missing.alias("missing_columns"))
-                .where(F.size("missing_columns") > 0))
-    kept = raw.join(rejected.select(file_col), file_col, "left_anti")
-    return kept, rejected.withColumn("status", F.lit("missing_columns"))

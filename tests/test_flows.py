@@ -116,7 +116,7 @@ def _load(spark, scratch, base, **kw):
 def test_files_with_text_and_number_day_columns(spark, scratch):
     base, row = _files(scratch)
     row.to_parquet(f"{base}/A_2020.parquet")
-    row.assign(Código=2, **{"07": [2.5], "08": [3]}).to_parquet(f"{base}/B_2020.parquet")
+    row.assign(Código=2, mesorregiao_id=2602, **{"07": [2.5], "08": [3]}).to_parquet(f"{base}/B_2020.parquet")
     report, got, _ = _load(spark, scratch, base)
     assert set(report.values()) == {"ok"}
     rain = {(r.codigo_posto, r.data.day): r.precipitacao for r in got.collect()}
@@ -126,13 +126,13 @@ def test_files_with_text_and_number_day_columns(spark, scratch):
 def test_padded_headers_and_region_by_position_are_per_file(spark, scratch):
     base, row = _files(scratch)
     row.to_parquet(f"{base}/A_2020.parquet")
-    row.rename(columns={"Posto": " Posto "}).assign(Código=2).to_parquet(f"{base}/B_2020.parquet")
+    row.rename(columns={"Posto": " Posto "}).assign(Código=2, mesorregiao_id=2602).to_parquet(f"{base}/B_2020.parquet")
     other = row.rename(columns={"mesorregiao_id": "regiao"}).assign(Código=3, regiao=2604)
     other.to_parquet(f"{base}/C_2020.parquet")
     report, got, _ = _load(spark, scratch, base)
     assert set(report.values()) == {"ok"}
     assert {(r.codigo_posto, r.nome_posto, r.mesorregiao_id) for r in got.collect()} == \
-        {(1, "A", 2601), (2, "A", 2601), (3, "A", 2604)}
+        {(1, "A", 2601), (2, "A", 2602), (3, "A", 2604)}
 
 
 def test_file_damaged_part_way_is_refused_whole(spark, scratch):
@@ -155,6 +155,87 @@ def test_file_damaged_part_way_is_refused_whole(spark, scratch):
     assert {r.codigo_posto for r in daily.read_bronze(spark, bronze).collect()} == {1}  # as before
 
 
+def test_two_files_of_a_unit_the_last_written_counts(spark, scratch):
+    import os
+
+    import pandas as pd
+    base, row = _files(scratch)
+    for name, code, at in (("Mata_2020", 1, 3000), ("MataCopia_2020", 2, 2000), ("Mata_2021", 3, 1000)):
+        row.assign(Código=code, **{"Mês/Ano": f"jan/{name[-4:]}", "ano_ref": int(name[-4:])}).to_parquet(f"{base}/{name}.parquet")
+        os.utime(f"{base}/{name}.parquet", (at, at))
+    two = pd.concat([row.assign(Código=4), row.assign(Código=5, mesorregiao_id=2602)])   # newer for 2602 only
+    two.to_parquet(f"{base}/Duas_2020.parquet")
+    os.utime(f"{base}/Duas_2020.parquet", (2500, 2500))
+    report, got, _ = _load(spark, scratch, base)
+    assert report == {"Mata_2020.parquet": "ok", "MataCopia_2020.parquet": "superseded", "Mata_2021.parquet": "ok", "Duas_2020.parquet": "ok"}
+    rows = sorted({(r.codigo_posto, r.mesorregiao_id, r.data.year) for r in got.collect()})
+    assert rows == [(1, 2601, 2020), (3, 2601, 2021), (5, 2602, 2020)] and got.count() == 93
+    flows.daily_load_files(spark, base, scratch("bronze"))   # a superseded file is no failure
+
+
+def test_a_newer_file_without_rows_of_its_year_replaces_nothing(spark, scratch):
+    import os
+    base, row = _files(scratch)
+    row.to_parquet(f"{base}/A_2020.parquet")
+    row.assign(Código=2, **{"Mês/Ano": "jan/2019", "ano_ref": 2019}).to_parquet(f"{base}/B_2020.parquet")
+    os.utime(f"{base}/A_2020.parquet", (1000, 1000))
+    report, got, _ = _load(spark, scratch, base)
+    assert report == {"A_2020.parquet": "ok", "B_2020.parquet": "inconsistent"}
+    assert {r.codigo_posto for r in got.collect()} == {1}
+
+
+def test_any_file_name_and_no_sub_folders(spark, scratch):
+    import os
+    base, row = _files(scratch)
+    for i, name in enumerate(["Mata[1]_2020", "Mata 100%_2020", "Sertão {a}*?_2020", "a+b%20c_2020", "#_2020"]):
+        row.assign(Código=i, mesorregiao_id=2601 + i).to_parquet(f"{base}/{name}.parquet")
+    for sub in ("old", "ano=2019"):
+        os.makedirs(f"{base}/{sub}")
+        row.assign(Código=99).to_parquet(f"{base}/{sub}/Mata_2020.parquet")
+    report, got, _ = _load(spark, scratch, base)
+    assert len(report) == 5 and set(report.values()) == {"ok"}
+    assert sorted({r.codigo_posto for r in got.collect()}) == [0, 1, 2, 3, 4]
+    assert len(_load(spark, scratch, base, year=2019)[0]) == 0
+
+
+def test_any_number_of_layouts_is_one_scan_and_one_exchange(spark, scratch):
+    from rainrisk.sources.raw_files import RawFiles
+    base, row = _files(scratch)
+    for i in range(24):
+        cells = {f"{d:02d}": [float(d)] if (d * 7 + i) % 3 else ["2,5"] for d in range(1, 32 - i % 4)}
+        row.drop(columns=[c for c in row if c.isdigit()]).assign(Código=i, **{f" {c}" if i % 2 else c: v for c, v in cells.items()},
+                                                                 mesorregiao_id=2601 + i).to_parquet(f"{base}/R{i}_2020.parquet")
+    files = RawFiles(spark, base)
+    assert len({r["names"] for r in files.found}) == 4   # and as many more layouts by type
+    seen = files._seen()._jdf.queryExecution().executedPlan().toString()
+    assert seen.count("BatchScan") == 1 and seen.count("Exchange hashpartitioning") == 1 and "Union" not in seen
+    report = files.report()
+    assert {r.status for r in report.collect()} == {"ok"}
+    long = files.rows(report)
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 1 and "Exchange" not in plan
+    # the footer's order: 24 files, 31 days of January less up to three at the end
+    assert long.count() == sum(31 - i % 4 for i in range(24))
+    rain = {(r.codigo_posto, r.data.day): r.precipitacao for r in long.collect()}
+    assert all(v == (float(d) if (d * 7 + i) % 3 else 2.5) for (i, d), v in rain.items())
+
+
+def test_cells_of_other_types(spark, scratch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    base, row = _files(scratch)
+    t = pa.Table.from_pandas(row.drop(columns=["01", "02", "03", "04"]), preserve_index=False)
+    for name, col in (("01", pa.array(["7,5"]).dictionary_encode()), ("02", pa.array([[1, 2]])), ("03", pa.array([None], pa.int8())),
+                      ("04", pa.array([float("nan")]))):
+        t = t.add_column(3, name, col)
+    t = t.set_column(t.schema.get_field_index("Código"), "Código", pa.array([12.0]))
+    pq.write_table(t, f"{base}/A_2020.parquet")
+    report, got, _ = _load(spark, scratch, base)
+    rain = {r.data.day: r.precipitacao for r in got.collect()}
+    assert report == {"A_2020.parquet": "ok"} and rain[1] == 7.5 and rain[2] is rain[3] is rain[4] is None and rain[5] == 1.5
+    assert {r.codigo_posto for r in got.collect()} == {12}
+
+
 def test_file_without_year_replaces_nothing(spark, scratch):
     base, row = _files(scratch)
     row.to_parquet(f"{base}/A_2020.parquet")

@@ -73,29 +73,6 @@ def test_file_integrity_csv_statuses(spark, scratch):
         Q.assert_integrity(units)
 
 
-def test_per_file_mandatory_columns_and_unreadable(spark, scratch):
-    import os
-
-    import pandas as pd
-
-    from rainrisk.sources.daily import guard_mandatory_columns, read_raw_files
-    base = scratch("files").removeprefix("file:")
-    os.makedirs(base)
-    good = pd.DataFrame({"Código": [1], "Posto": ["A"], "Mês/Ano": ["jan/2020"], "01": ["1"],
-                         "mesorregiao_id": [2601], "ano_ref": [2020]})
-    good.to_parquet(f"{base}/Sertao_2020.parquet")
-    good.drop(columns=["Posto"]).to_parquet(f"{base}/Sertao_2021.parquet")
-    with open(f"{base}/Sertao_2022.parquet", "wb") as fh:
-        fh.write(b"not a parquet file")
-    raw = read_raw_files(spark, base)
-    kept, rejected = guard_mandatory_columns(raw)
-    assert [os.path.basename(r._file) for r in kept.collect()] == ["Sertao_2020.parquet"]
-    rej = {os.path.basename(r._file): list(r.missing_columns) for r in rejected.collect()}
-    assert rej == {"Sertao_2021.parquet": ["Posto"]}
-    bad = [os.path.basename(r._file) for r in Q.unreadable_files(spark, base, raw).collect()]
-    assert bad == ["Sertao_2022.parquet"]
-
-
 def test_html_short_rows_codes_and_table_id(spark):
     from rainrisk.sources.daily import numeric_code_rows
     html = ("<table data-id='tbMonPluvio'><tr><td>no</td></tr><tr><td>9</td></tr></table>"
