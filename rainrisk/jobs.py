@@ -76,7 +76,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--landed", required=True)
     a.add_argument("--checkpoint", required=True)
     a.add_argument("--json-lines", action="store_true", help="files of JSON lines instead of one array each")
-    a.add_argument("--rejects", help="side folder for readings with a bad timestamp")
+    a.add_argument("--rejects", help="side folder for what cannot land (default: beside --landed)")
     a.add_argument("--max-rejects", type=int, help="with --once: fail beyond so many of them")
     a.add_argument("--once", action="store_true", help="availableNow instead of every 15 min")
 
@@ -112,14 +112,11 @@ def main(argv: list[str] | None = None) -> int:
                                   args.silver, args.gold, args.year,
                                   state_path=args.state).show(truncate=False)
     elif args.cmd == "feed-land":
-        side = S.land_rejects(spark, args.payload, args.rejects, f"{args.checkpoint.rstrip('/')}-rejects",
-                              json_array=not args.json_lines, available_now=args.once) if args.rejects else None
-        q = S.land_feed(spark, args.payload, args.landed, args.checkpoint,
+        side = args.rejects or f"{args.landed.rstrip('/')}-rejects"
+        q = S.land_feed(spark, args.payload, args.landed, args.checkpoint, side,
                         json_array=not args.json_lines, available_now=args.once)
         S.run_available_now(q)
-        if side is not None:
-            S.run_available_now(side)
-            print("readings left out:", S.check_rejects(spark, args.rejects, args.max_rejects))
+        print("readings and files that could not land:", S.check_rejects(spark, side, args.max_rejects))
     elif args.cmd == "feed-latest":
         q = S.latest_snapshot_stream(spark, args.landed, args.snapshot, args.checkpoint,
                                      available_now=args.once)

@@ -320,6 +320,32 @@ def feed_stream_latest(spark, d):
         "codigo_gmmc", "municipio_nome", "nome_estacao", "data_hora", "chuva")
 
 
+@query
+def feed_rejects(spark, d):
+    """What lands and what goes to the side, per station, of a feed
+    with cut-off files, an error page, bad and missing timestamps and broken
+    nested texts (stations by number modulo 17)."""
+    from rainrisk.session import scratch_path
+    from rainrisk.sources import feed
+    from rainrisk.streaming import feed_stream as S
+    base = scratch_path(spark, "feed-rejects")
+    code = F.substring("Codigo_gmmc", 2, 20).cast("bigint") % 17
+    payload = feed.payload_from_feed(B.feed_rows(spark, d)).withColumns({
+        "Data-hora": F.when(code == 3, "ontem").when(code != 5, F.col("Data-hora")),
+        "Dados_completos": F.when(code == 7, F.substring("Dados_completos", 1, 5)).otherwise(F.col("Dados_completos"))})
+    feed.write_array_files(payload.where(code != 9), f"{base}/payload/kind=arrays")
+    one = payload.where(code == 9).groupBy("Codigo_gmmc").agg(F.array_join(F.collect_list(F.to_json(F.struct(*feed.TOP_FIELDS))), ",").alias("j"))
+    cut = one.select(F.concat(F.lit("["), F.expr("left(j, length(j) - 9)")).alias("value"), F.col("Codigo_gmmc").alias("file"))
+    cut.write.partitionBy("file").text(f"{base}/payload/kind=cut")       # one file per station
+    page = spark.range(1).select(F.lit("<html>503</html>").alias("value"), F.lit("page").alias("file"))
+    page.write.partitionBy("file").text(f"{base}/payload/kind=page")
+    S.run_available_now(S.land_feed(spark, f"{base}/payload/*/*/*.txt", f"{base}/landed", f"{base}/cp", f"{base}/side"))
+    landed = feed.read_landed(spark, f"{base}/landed").select("codigo_gmmc", F.lit("ok").alias("motivo"))
+    named = F.nullif(F.regexp_extract("registro", '"Codigo_gmmc":"([^"]*)"', 1), F.lit(""))
+    side = S.read_rejects(spark, f"{base}/side").select(named.alias("codigo_gmmc"), "motivo")
+    return landed.unionByName(side).groupBy("codigo_gmmc", "motivo").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def raw_partition_roundtrip(spark, d):
     from rainrisk.session import scratch_path

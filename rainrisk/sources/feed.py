@@ -4,7 +4,7 @@ The source publishes a JSON array of readings; each carries the nested JSON
 *string* ``Dados_completos``. Parsing is built-in: ``from_json`` to a struct,
 ``dc_`` prefix for its fields, rename to the standard names, lenient numbers,
 strict timestamps: a bad timestamp fails a batch read; the landing stream
-puts such readings in a side folder and goes on.
+puts such readings, and files that are no JSON, in a side folder and goes on.
 """
 
 from __future__ import annotations
@@ -39,6 +39,10 @@ FEED_COLUMNS = ["data_hora", "estacao_nome", "codigo_gmmc", "chuva", "latitude",
 
 PAYLOAD_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in TOP_FIELDS])
 
+# a file that is no JSON, or no array of readings, arrives as one row with its text here
+CORRUPT = "_corrompido"
+PAYLOAD_OR_CORRUPT = T.StructType([*PAYLOAD_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+
 LANDED_SCHEMA = T.StructType([
     T.StructField("data_hora", T.TimestampNTZType()),
     *[T.StructField(c, T.DoubleType() if c in NUMERIC else T.StringType())
@@ -47,7 +51,9 @@ LANDED_SCHEMA = T.StructType([
     T.StructField("ano", T.StringType()),
     T.StructField("mes", T.StringType()),
     T.StructField("dia", T.StringType()),
+    T.StructField("lote", T.LongType()),
 ])
+REJECT_SCHEMA = "motivo string, arquivo string, registro string, ingestao_ts timestamp, lote long"
 
 
 def read_payload(spark: SparkSession, path: str, json_array: bool = True) -> DataFrame:
@@ -75,6 +81,16 @@ def bad_timestamp() -> Column:
     return raw.isNotNull() & raw.try_cast("timestamp_ntz").isNull()
 
 
+def reject_reason() -> Column:
+    """Why a row of a payload read with ``PAYLOAD_OR_CORRUPT`` cannot land
+    (NULL: it can): no JSON, no timestamp or no valid one, or a nested text
+    that is no JSON object."""
+    nested = F.trim(F.col("Dados_completos"))
+    no_object = nested.isNull() | ~nested.startswith("{") | F.get_json_object(nested, "$").isNull()
+    return (F.when(F.col(CORRUPT).isNotNull(), "json").when(F.col("Data-hora").isNull(), "sem_data_hora")
+            .when(bad_timestamp(), "data_hora").when(no_object, "dados_completos"))
+
+
 def typed_feed(payload: DataFrame, ingest_ts: Column | None = None,
                extra_nested: list[str] | None = None, strict: bool = True) -> DataFrame:
     """Payload rows → the landed feed schema.
@@ -121,7 +137,8 @@ def write_array_files(payload: DataFrame, path: str, rows_per_file: int = 5000)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """S3: hive-partitioned landed feed; partition keys stay text ('05')."""
+    """S3: hive-partitioned landed feed; partition keys stay text ('05'), ``lote``
+    is the micro-batch that landed the row."""
     return spark.read.schema(LANDED_SCHEMA).option("basePath", path).parquet(path)
 
 
