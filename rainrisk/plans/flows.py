@@ -9,8 +9,9 @@ files, not from the raw pages.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainrisk.operators import grid, match, quality
@@ -72,19 +73,54 @@ def build_silver_gold(spark: SparkSession, bronze_path: str, municipalities: Dat
     return grid.alerts(spark.read.parquet(gold_path))
 
 
-def _version(spark: SparkSession, bronze_path: str, year: int) -> int:
-    """A fingerprint of the files of the years before ``year``."""
-    files = sinks.partition_files(spark, bronze_path).where(F.col("ano") < year)
-    return files.agg(F.coalesce(F.sum(F.xxhash64("path", "length", "written").cast("decimal(38,0)")), F.lit(0))
-                     .cast("string").alias("v")).first()[0]
+def _fingerprint() -> Column:
+    """Of a listing's files."""
+    return F.coalesce(F.sum(F.xxhash64("path", "length", "written").cast("decimal(38,0)")), F.lit(0)).cast("string")
+
+
+def _version(spark: SparkSession, path: str, year: int) -> str:
+    """A fingerprint of a table's files of the years before ``year``."""
+    return sinks.partition_files(spark, path).where(F.col("ano") < year).agg(_fingerprint()).first()[0]
+
+
+def station_years(spark: SparkSession, bronze_path: str, state_path: str) -> tuple[DataFrame, DataFrame]:
+    """What matching and gold need of every (station, year), kept between
+    runs: (codigo_posto, ano, data, precipitacao), the latest reading, and
+    (codigo_posto, nome_posto, ano), the names.
+
+    Each year is kept under the fingerprint of its bronze files; only years
+    whose files changed are read and rewritten. A maximum of maxima is the
+    maximum, so gold from these rows is gold from all readings. The fingerprints
+    are written last: a run that stops before does the same years again.
+    """
+    base = f"{state_path.rstrip('/')}/station-years"
+    now = sinks.partition_files(spark, bronze_path).where("ano is not null").groupBy("ano").agg(_fingerprint().alias("version"))
+    now = {r["ano"]: r["version"] for r in now.collect()}  # years on record
+    known = {}
+    if sinks.path_exists(spark, f"{base}/_VERSIONS"):
+        known = {r["ano"]: r["version"] for r in spark.read.schema("ano int, version string").parquet(f"{base}/_VERSIONS").collect()}
+    stale = sorted(y for y, v in now.items() if known.get(y) != v)
+    if stale:
+        rows = daily.read_bronze(spark, bronze_path, years=stale).withColumn("ano", F.year("data"))
+        latest = rows.groupBy("codigo_posto", "ano").agg(F.max(F.struct("data", "precipitacao")).alias("s")) \
+            .select("codigo_posto", "s.data", "s.precipitacao", "ano")
+        names = rows.select("codigo_posto", "nome_posto", "ano").distinct()
+        for name, df in (("latest", latest), ("names", names)):
+            (sinks.rebalanced(df, "ano").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("ano").parquet(f"{base}/{name}"))
+        spark.createDataFrame(sorted(now.items()), "ano int, version string") \
+            .write.mode("overwrite").parquet(f"{base}/_VERSIONS")
+    years = F.col("ano").isin(sorted(now))  # a year that bronze no longer has does not count
+    latest = spark.read.schema("codigo_posto bigint, data date, precipitacao double, ano int").parquet(f"{base}/latest")
+    names = spark.read.schema("codigo_posto bigint, nome_posto string, ano int").parquet(f"{base}/names")
+    return latest.where(years), names.where(years)
 
 
 def year_start_state(spark: SparkSession, bronze_path: str, state_path: str,
                      year: int) -> tuple[DataFrame, DataFrame]:
     """Each station's state at the start of ``year`` (carry number and last
     readings), computed from the earlier years and stored: while the current
-    year is reloaded day after day, this state does not change. The distinct
-    (code, name) pairs of the earlier years are stored with it. The state is
+    year is reloaded day after day, this state does not change. The state is
     kept under a fingerprint of the earlier years' files; when any of them is
     reloaded it is computed anew.
     """
@@ -99,16 +135,10 @@ def year_start_state(spark: SparkSession, bronze_path: str, state_path: str,
         rn, tail = features.carry_state(history)
         rn.write.mode("overwrite").parquet(f"{base}/carry")
         tail.write.mode("overwrite").parquet(f"{base}/tail")
-        (history.select("codigo_posto", "nome_posto").distinct()
-         .write.mode("overwrite").parquet(f"{base}/stations"))
         spark.createDataFrame([(version,)], "version string").write.mode("overwrite").parquet(f"{base}/_READY")
     return spark.read.parquet(f"{base}/carry"), spark.read.parquet(f"{base}/tail")
 
 
-def _stored_stations(spark: SparkSession, state_path: str, year: int) -> DataFrame:
-    return spark.read.parquet(f"{state_path.rstrip('/')}/ano={year}/stations")
-
-
 def first_stale_year(spark: SparkSession, bronze_path: str, silver_path: str, year: int) -> int:
     """The earliest year whose bronze files were written after its silver
     files (or that silver lacks), at most ``year``. Listings only."""
@@ -122,24 +152,21 @@ def first_stale_year(spark: SparkSession, bronze_path: str, silver_path: str, ye
 MAPPING = ["municipio_inferido", "latitude", "longitude", "tipo_match"]
 
 
-def _rematch_earlier(spark: SparkSession, silver_path: str, mapping: DataFrame, before: int) -> None:
-    """Carry changed matches into silver's years before ``before``: only the
-    years that hold a changed station are rewritten, their features kept."""
-    silver = spark.read.parquet(silver_path).where(F.col("ano") < before)
-    was = silver.select("codigo_posto", *MAPPING).distinct()
-    now = mapping.select(F.col("codigo_posto").alias("_c"), *[F.col(c).alias(f"_{c}") for c in MAPPING])
+def _changed_matches(was: DataFrame, now: DataFrame) -> DataFrame:
+    """Rows of ``now`` (codes as ``_c``, matches as ``_…``) that ``was`` has otherwise, or not at all."""
+    now = now.select(F.col("codigo_posto").alias("_c"), *[F.col(c).alias(f"_{c}") for c in MAPPING])
     same = F.lit(True)
     for c in MAPPING:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    joined = now.join(was.withColumn("_known", F.lit(True)), F.col("codigo_posto") == F.col("_c"), "left")
+    return joined.where(F.col("_known").isNull() | ~same).select(now.columns).distinct()
+
+
+def _rematch(spark: SparkSession, silver_path: str, changed: DataFrame, years: list[int]) -> None:
+    """Carry changed matches into silver's ``years``: features are kept, other years not read."""
     path = scratch_path(spark, "rematch")
-    was.join(now, F.col("codigo_posto") == F.col("_c")).where(~same).select(now.columns).distinct() \
-        .write.parquet(f"{path}/changed")
-    changed = spark.read.parquet(f"{path}/changed")
-    years = [r[0] for r in silver.join(changed, F.col("codigo_posto") == F.col("_c"), "left_semi")
-             .select("ano").distinct().collect()]  # years on record
-    if not years:
-        return
-    rows = silver.where(F.col("ano").isin(years)).join(changed, F.col("codigo_posto") == F.col("_c"), "left")
+    silver = spark.read.parquet(silver_path).where(F.col("ano").isin(years))
+    rows = silver.join(changed, F.col("codigo_posto") == F.col("_c"), "left")
     hit = F.col("_c").isNotNull()
     rows.select(*[F.when(hit, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in MAPPING else F.col(c)
                   for c in silver.columns]).write.parquet(f"{path}/silver")
@@ -147,6 +174,28 @@ def _rematch_earlier(spark: SparkSession, silver_path: str, mapping: DataFrame,
      .option("partitionOverwriteMode", "dynamic").partitionBy("ano").parquet(silver_path))
 
 
+def _silver_version(spark: SparkSession, silver_path: str) -> str:
+    return sinks.partition_files(spark, silver_path).agg(_fingerprint()).first()[0]
+
+
+def _kept_mapping(spark: SparkSession, state_path: str, silver_path: str) -> DataFrame | None:
+    """The station mapping that silver was last refreshed with; None where
+    there is none or something else has written silver since."""
+    base = f"{state_path.rstrip('/')}/mapping"
+    if not sinks.path_exists(spark, f"{base}/_VERSION"):
+        return None
+    kept = spark.read.schema("silver string, mapping string").parquet(f"{base}/_VERSION").first()
+    return spark.read.parquet(f"{base}/{kept['mapping']}") if kept["silver"] == _silver_version(spark, silver_path) else None
+
+
+def _keep_mapping(spark: SparkSession, state_path: str, silver_path: str, mapping: DataFrame) -> None:
+    """A new version of the mapping; the pointer to it moves last."""
+    base, version = f"{state_path.rstrip('/')}/mapping", f"v-{uuid.uuid4().hex[:12]}"
+    mapping.write.parquet(f"{base}/{version}")
+    spark.createDataFrame([(_silver_version(spark, silver_path), version)], "silver string, mapping string") \
+        .write.mode("overwrite").parquet(f"{base}/_VERSION")
+
+
 def refresh_silver_year(spark: SparkSession, bronze_path: str, municipalities: DataFrame,
                         silver_path: str, gold_path: str, year: int,
                         state_path: str | None = None) -> DataFrame:
@@ -157,27 +206,42 @@ def refresh_silver_year(spark: SparkSession, bronze_path: str, municipalities: D
     its silver (normally ``year`` alone; a reload of an earlier year moves
     every year from there on, since dry spells and means carry over), from
     each station's state at that year's start. A new spelling can change a
-    station's match; changed matches are carried into the earlier years.
-    Gold is rebuilt from the silver table (a map-side-combined aggregate).
-    With ``state_path`` the year-start state and the earlier years' station
-    names are read from (or stored to) there, so the daily run reads only
-    the readings of the years it recomputes."""
+    station's match; changed matches are carried into the earlier years that
+    hold the station. With ``state_path`` the year-start state, the names and
+    latest readings per station and year (``station_years``) and the mapping
+    itself are kept there: matches are compared with the kept mapping, the years
+    of a changed station come from the kept (station, year) rows and gold from
+    the kept latest readings, so a run reads only the years that changed
+    (where something else wrote silver since, its earlier years are compared
+    once). Without ``state_path`` all of that is read from bronze and silver."""
     first = first_stale_year(spark, bronze_path, silver_path, year)
     new_rows = daily.read_bronze(spark, bronze_path, from_year=first)  # ano >= first: pruned
+    kept = None
     if state_path:
+        kept = _kept_mapping(spark, state_path, silver_path)
         state = year_start_state(spark, bronze_path, state_path, first)
-        # station names: stored pairs of earlier years ∪ the readings read anyway
-        names = _stored_stations(spark, state_path, first).unionByName(
-            new_rows.select("codigo_posto", "nome_posto"))
+        latest, names = station_years(spark, bronze_path, state_path)
     else:  # history read with a partition filter (ano < first)
         from rainrisk.operators import features
         state = features.carry_state(daily.read_bronze(spark, bronze_path, before_year=first))
-        names = daily.read_bronze(spark, bronze_path).select("codigo_posto", "nome_posto")
-    fresh = medallion.silver_rainfall_year(names, municipalities, first, state=state, year_rows=new_rows)
+        names = latest = daily.read_bronze(spark, bronze_path).withColumn("ano", F.year("data"))
+    path = scratch_path(spark, "refresh")
+    match.station_municipality_map(names.select("codigo_posto", "nome_posto"), municipalities).write.parquet(f"{path}/mapping")
+    mapping = spark.read.parquet(f"{path}/mapping")
+    earlier = F.col("ano") < first
+    was = kept if kept is not None else spark.read.parquet(silver_path).where(earlier).select("codigo_posto", *MAPPING).distinct()
+    _changed_matches(was, mapping).write.parquet(f"{path}/changed")
+    changed = spark.read.parquet(f"{path}/changed")
+    fresh = medallion.silver_rainfall_year(names, municipalities, first, state=state, year_rows=new_rows, mapping=mapping)
     (sinks.rebalanced(fresh, "ano").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ano").parquet(silver_path))
-    _rematch_earlier(spark, silver_path, match.station_municipality_map(names, municipalities), first)
-    gold = grid.gold_grid_risk(spark.read.parquet(silver_path))
+    years = [r[0] for r in latest.where(earlier).join(changed, F.col("codigo_posto") == F.col("_c"), "left_semi")
+             .select("ano").distinct().collect()]  # years on record
+    if years:
+        _rematch(spark, silver_path, changed, years)
+    if state_path:
+        _keep_mapping(spark, state_path, silver_path, mapping)
+    gold = grid.gold_from_readings(latest, mapping)
     sinks.rebuild_table(gold, gold_path)
     return grid.alerts(spark.read.parquet(gold_path))
 

@@ -43,7 +43,8 @@ def silver_rainfall(bronze: DataFrame, municipalities: DataFrame,
 def silver_rainfall_year(bronze: DataFrame, municipalities: DataFrame,
                          year: int | Column,
                          state: tuple[DataFrame, DataFrame] | None = None,
-                         year_rows: DataFrame | None = None) -> DataFrame:
+                         year_rows: DataFrame | None = None,
+                         mapping: DataFrame | None = None) -> DataFrame:
     """Silver rows of one year only, equal to ``silver_rainfall`` filtered to
     that year: the year's readings plus each station's state carried in
     from earlier years (``features.rainfall_features_slice``). The daily
@@ -54,13 +55,15 @@ def silver_rainfall_year(bronze: DataFrame, municipalities: DataFrame,
     ``year`` may be a Column, e.g. a scalar subquery for "the latest year".
     ``state`` (from ``features.carry_state`` of the years before, stored once
     per year by ``flows.year_start_state``) replaces the history scan;
+    ``mapping`` is the station mapping where the caller has it, and
     ``year_rows`` lets a caller pass the year's readings read with a
     partition filter (a filter on ``year(data)`` cannot prune ``ano=``
     directories).
     """
     # ``bronze`` is only needed for (code, name) pairs and, without ``state``,
     # for the history; the flows pass just the pairs when the state is stored
-    mapping = match.station_municipality_map(bronze, municipalities)
+    if mapping is None:
+        mapping = match.station_municipality_map(bronze, municipalities)
     if year_rows is None:
         year_rows = bronze.where(F.year("data") == year)
     history = None if state is not None else bronze.where(F.year("data") < year)

@@ -188,9 +188,10 @@ def replace_bronze_partitions(long: DataFrame, path: str) -> None:
 
 
 def read_bronze(spark: SparkSession, path: str, year: int | None = None,
-                before_year: int | None = None, from_year: int | None = None) -> DataFrame:
-    """Bronze rows; ``year`` / ``before_year`` / ``from_year`` become partition filters on
-    ``ano`` (directories outside them are not listed or read)."""
+                before_year: int | None = None, from_year: int | None = None,
+                years: list[int] | None = None) -> DataFrame:
+    """Bronze rows; ``year`` / ``before_year`` / ``from_year`` / ``years`` become partition
+    filters on ``ano`` (directories outside them are not listed or read)."""
     df = spark.read.schema(bronze_schema()).parquet(path)
     if year is not None:
         df = df.where(F.col("ano") == year)
@@ -198,6 +199,8 @@ def read_bronze(spark: SparkSession, path: str, year: int | None = None,
         df = df.where(F.col("ano") < before_year)
     if from_year is not None:
         df = df.where(F.col("ano") >= from_year)
+    if years is not None:
+        df = df.where(F.col("ano").isin(years))
     return df.select(*BRONZE_COLUMNS)
 
 

@@ -320,3 +320,60 @@ def test_refresh_after_reload_and_new_spelling_equals_full_build(spark, scratch)
         sorted(spark.read.parquet(full_silver).collect(), key=key)
     assert [tuple(r) for r in served] == [tuple(r) for r in full]
     assert flows.first_stale_year(spark, bronze, silver, 2025) == 2025
+
+
+def _lose_content(folder, years):
+    """Make the files of ``years`` unreadable; listings (size and time) stay."""
+    import glob
+    import os
+    n = 0
+    for y in years:
+        for f in glob.glob(f"{folder.removeprefix('file:')}/ano={y}/**/*.parquet", recursive=True):
+            at = os.stat(f)
+            with open(f, "wb") as fh:
+                fh.write(b"\0" * at.st_size)
+            os.utime(f, ns=(at.st_atime_ns, at.st_mtime_ns))
+            n += 1
+    return n
+
+
+def test_daily_refresh_reads_no_earlier_year(spark, scratch):
+    """With the kept state a daily refresh opens no file of an earlier year, in bronze or silver."""
+    bronze, silver, state = scratch("bronze"), scratch("silver"), scratch("state")
+    readings = B.daily_readings(spark, SF_SMALL)
+    mun = B.municipalities(spark, SF_SMALL)
+    last = readings.agg(F.max(F.year("data"))).first()[0]
+    daily.replace_bronze_partitions(readings, bronze)
+    flows.build_silver_gold(spark, bronze, mun, silver, scratch("g"))
+    flows.refresh_silver_year(spark, bronze, mun, silver, scratch("g"), last, state_path=state)
+    years = [r[0] for r in readings.select(F.year("data")).distinct().collect()]
+    wetter = readings.where(F.year("data") == last).withColumn("precipitacao", F.col("precipitacao") + 60)
+    daily.replace_bronze_partitions(wetter, bronze)
+    full = flows.build_silver_gold(spark, bronze, mun, scratch("fs"), scratch("fg")).collect()
+    want = sorted(daily.read_bronze(spark, bronze, year=last).collect(), key=str)
+    assert _lose_content(bronze, [y for y in years if y < last]) and _lose_content(silver, [y for y in years if y < last])
+    served = flows.refresh_silver_year(spark, bronze, mun, silver, scratch("gold"), last, state_path=state).collect()
+    assert [tuple(r) for r in served] == [tuple(r) for r in full] and len(served) > 0
+    got = spark.read.parquet(f"{silver}/ano={last}").select(*daily.BRONZE_COLUMNS)
+    assert sorted(got.collect(), key=str) == want
+
+
+def test_silver_written_by_someone_else_is_compared_again(spark, scratch):
+    """The kept mapping counts only while silver is as the last refresh left it."""
+    bronze, silver, state = scratch("bronze"), scratch("silver"), scratch("state")
+    rows = [(1, "Posto Barra", dt.date(y, 1, d), 1.0, 2601) for y in (2023, 2024) for d in (1, 2)]
+    daily.replace_bronze_partitions(spark.createDataFrame(
+        rows, "codigo_posto bigint, nome_posto string, data date, precipitacao double, mesorregiao_id int"), bronze)
+    schema = "codigo_ibge int, municipio string, latitude double, longitude double"
+    barra, other = spark.createDataFrame([(2, "Barra", 2.0, 2.0)], schema), spark.createDataFrame([(3, "Posto", 3.0, 3.0)], schema)
+
+    def matched():
+        return {(r.ano, r.municipio_inferido) for r in spark.read.parquet(silver).collect()}
+    flows.build_silver_gold(spark, bronze, barra, silver, scratch("g"))
+    flows.refresh_silver_year(spark, bronze, barra, silver, scratch("g"), 2024, state_path=state)
+    flows.build_silver_gold(spark, bronze, other, silver, scratch("g"))
+    assert matched() == {(2023, "Posto"), (2024, "Posto")}
+    flows.refresh_silver_year(spark, bronze, barra, silver, scratch("g"), 2024, state_path=state)
+    assert matched() == {(2023, "Barra"), (2024, "Barra")}
+    flows.refresh_silver_year(spark, bronze, other, silver, scratch("g"), 2024, state_path=state)   # by the kept mapping
+    assert matched() == {(2023, "Posto"), (2024, "Posto")}
