@@ -26,7 +26,7 @@ key is shared by every station unless a wildcard-only name exists.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rainrisk.functions.text import LIKE_ESCAPE, clean_string, like_literal
@@ -77,10 +77,14 @@ def _station_grams(stations: DataFrame, lengths) -> DataFrame:
     return stations.select("codigo_posto", "nome_posto_limpo", F.explode(keys).alias("_key"))
 
 
+def _runs() -> F.Column:
+    """The literal runs of a municipality's name: its stretches without wildcards."""
+    return F.array_distinct(F.regexp_extract_all(F.col("municipio_limpo"), F.lit("([^%_]+)"), F.lit(1)))
+
+
 def _municipality_gram(mun_keys: DataFrame) -> DataFrame:
     """``_key``: the literal run of the name that the fewest municipalities share."""
-    runs = F.array_distinct(F.regexp_extract_all(F.col("municipio_limpo"), F.lit("([^%_]+)"), F.lit(1)))
-    one = mun_keys.select("municipio_limpo", F.explode(runs).alias("_run")).distinct()
+    one = mun_keys.select("municipio_limpo", F.explode(_runs()).alias("_run")).distinct()
     shared = one.groupBy(F.col("_run").alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
     best = (one.join(shared, F.col("_run") == F.col("_r")).groupBy(F.col("municipio_limpo").alias("_m"))
             .agg(F.min(F.struct("_n", (-F.length("_run")).alias("_l"), "_run")).alias("_b")))
@@ -100,10 +104,13 @@ def candidate_pairs(stations: DataFrame, municipalities: DataFrame) -> DataFrame
     """
     # one key row per municipality: broadcast when the dimension is small,
     # so the exploded station n-grams are probed in place, never shuffled
-    mk = checked_broadcast(_municipality_gram(municipality_keys(municipalities)),
-                           bound=municipalities)
-    # key lengths in use: a scalar subquery, evaluated with the query
-    lengths = F.coalesce(mk.agg(F.collect_set(F.length("_key"))).scalar(), F.array().cast("array<int>"))
+    keys = municipality_keys(municipalities)
+    mk = checked_broadcast(_municipality_gram(keys), bound=municipalities)
+    # lengths of all runs (names without wildcards have one: the key): a scalar
+    # subquery of one aggregate, evaluated with the query
+    sizes = F.transform(_runs(), lambda r: F.length(r))
+    used = keys.where("municipio_limpo is not null").agg(F.collect_set(F.when(F.size(sizes) > 0, sizes).otherwise(F.array(F.lit(0)))))
+    lengths = F.array_distinct(F.flatten(F.coalesce(used.scalar(), F.array().cast("array<array<int>>"))))
     cand = _station_grams(stations, lengths).join(mk, "_key")
     name = F.col("nome_posto_limpo")
     pat = like_literal(F.col("municipio_limpo"))
@@ -173,12 +180,10 @@ def station_municipality_map(bronze: DataFrame, municipalities: DataFrame,
 def tier_matches(bronze: DataFrame, municipalities: DataFrame, tier: int) -> DataFrame:
     """Rows one cascade tier emits (before the one-row-per-code step):
     every pair of that tier for codes whose best tier it is."""
-    stations = distinct_stations(bronze)
-    pairs = candidate_pairs(stations, municipalities)
-    best = pairs.groupBy("codigo_posto").agg(F.min("tier").alias("_best"))
-    return (pairs.where(F.col("tier") == tier)
-            .join(best, "codigo_posto")
-            .where(F.col("_best") == tier)
+    pairs = candidate_pairs(distinct_stations(bronze), municipalities)
+    of_code = Window.partitionBy("codigo_posto")  # pairs of one code: its spellings times the names they hold
+    return (pairs.withColumn("_best", F.min("tier").over(of_code))
+            .where((F.col("tier") == tier) & (F.col("_best") == tier))
             .select("codigo_posto", F.col("municipio").alias("municipio_inferido"),
                     "latitude", "longitude", F.lit(TIER_NAMES[tier]).alias("tipo_match")))
 

@@ -178,7 +178,7 @@ o_long AS (
 ORACLES["bronze_daily_long"] = _w(LONG_CTES, "SELECT * FROM o_long", "v_leitura")
 ORACLES["bronze_year_guard"] = _w(
     LONG_CTES, "SELECT * FROM o_long WHERE codigo_posto % 7 <> 3", "v_leitura")
-ORACLES["bronze_replace_year"] = _w(LONG_CTES + """,
+ORACLES["bronze_replace_year"] = _w(LONG_CTES.replace("o_long AS (", "o_long AS MATERIALIZED (") + """,
 o_again AS (
   SELECT * FROM o_long WHERE codigo_posto % 2 = 0
     AND year(data) = (SELECT min(year(data)) FROM v_leitura)),
