@@ -465,7 +465,7 @@ def _with_lists(docs: DataFrame, lists: DataFrame, how: str = "inner") -> DataFr
 
 
 def _cut(docs: DataFrame, length: int) -> DataFrame:
-    """(row, spans, kept) from the repeated stretches of each document."""
+    """(row, spans, kept, longest) from the repeated stretches of each document."""
 
     def run(batches):
         for rows, data, off in text_blocks(batches):
@@ -489,14 +489,16 @@ def _cut(docs: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [rows.column(rows.schema.get_field_index("row")),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept, pa.binary())], names=["row", "spans", "kept"])
+                 pa.array(kept, pa.binary()), rows.column(rows.schema.get_field_index("longest"))], names=["row", "spans", "kept", "longest"])
 
-    return docs.mapInArrow(run, schema_of(docs, ["row"], "spans array<struct<start:long,end:long>>, kept binary"))
+    return docs.mapInArrow(run, schema_of(docs, ["row"], "spans array<struct<start:long,end:long>>, kept binary, longest int"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     """Per row of ``docs (doc_id, text, ...)``: row (the input row but for its text), spans
-    (removed byte ranges, maximal, in order), kept (the remaining bytes)."""
+    (removed byte ranges, maximal, in order), kept (the remaining bytes), longest (bytes
+    of the longest string at one of its anchors that also starts elsewhere: 0 below
+    ``length`` less the gap, at most ``length`` and the gap)."""
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("tkey"), "text",
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
@@ -508,7 +510,8 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     near = found.join(seen, "h", "left_semi")
     near = materialise(near, "suffix-near")
     release(seen)
-    lists = near.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "back", "ahead", "h")).alias("a"))
+    # a set: the anchors of a row read n times count once, not n times for each of n rows
+    lists = near.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "back", "ahead", "h")).alias("a"))
     sifted = materialise(_with_lists(_sift(docs, near, True), lists), "suffix-texts")
     splitters = spark.sparkContext.broadcast(_splitters(sifted, near.count(), length))
     release(near)
@@ -529,7 +532,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     mates = edges.join(asked, "h").withColumn("lo", F.greatest("olo", "ulo")) \
         .withColumn("hi", F.least("ohi", F.col("back") - 1)).where("lo <= hi")
     mates = materialise(mates.select(*KEY, "pos", "lo", "hi", "ulo", "uhi", "h"), "suffix-mates")
-    lists = mates.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
+    lists = mates.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
     cores = materialise(_edge_cores(_with_lists(texts, lists), length), "suffix-cores")
     alike = cores.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).where("n > 1 and own").select("k1", "k2")
     left = cores.join(alike, ["k1", "k2"], "left_semi").select(*KEY, "pos", "lo", "hi").distinct().alias("x")
@@ -538,18 +541,20 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     left = materialise(left, "suffix-left")
     release(mates)
     release(cores)
-    lists = left.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
+    lists = left.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
     strings = materialise(_edge_strings(_with_lists(texts, lists), length), "suffix-strings")
     again = strings.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("start").isNotNull()).alias("own")) \
         .where("n > 1 and own").select("k")
     settled = strings.where("start is not null").join(again, "k", "left_semi") \
         .groupBy(*KEY).agg(F.collect_set("start").alias("edge"))
     sure = edges.where(F.col("m") >= length).groupBy(*KEY).agg(F.collect_list(F.struct("pos", "end")).alias("sure"))
-    cuts = sure.alias("s").join(settled.alias("e"), _same("s", "e"), "full")
-    cuts = materialise(cuts.select(*[F.coalesce(f"s.{c}", f"e.{c}").alias(c) for c in KEY], "sure", "edge"), "suffix-cuts")
+    far = edges.groupBy(*KEY).agg(F.max("m").cast("int").alias("longest"))  # every document that loses a byte is here
+    cuts = far.alias("f").join(sure.alias("s"), _same("f", "s"), "left").select("f.*", "sure")
+    cuts = cuts.alias("s").join(settled.alias("e"), _same("s", "e"), "left")
+    cuts = materialise(cuts.select(*[f"s.{c}" for c in KEY], "sure", "edge", "longest"), "suffix-cuts")
     whole = _sift(rows, cuts, False).select(
         "row", F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
-        F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("kept"))
+        F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("kept"), F.lit(0).alias("longest"))
     return _cut(_with_lists(_sift(rows, cuts, True), cuts, "left"), length).unionByName(whole)
 
 
@@ -557,4 +562,4 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
     return r.select("row.doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                    F.sha2("kept", 256).alias("kept_sha256"))
+                    F.sha2("kept", 256).alias("kept_sha256"), F.coalesce("longest", F.lit(0)).cast("long").alias("longest_repeat"))

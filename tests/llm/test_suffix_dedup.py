@@ -120,3 +120,17 @@ def test_merge_of_front_coded_runs():
     for a, b in zip(out, out[1:]):
         assert b[0] == S.common_from(a[1], b[1], 0)
     assert list(S.merge_runs([])) == [] and len(list(S.merge_runs([S.front_code([(b"a", 1, 1, True)])]))) == 1
+
+
+def test_many_equal_rows_and_the_longest_repeat(spark):
+    r = random.Random(9)
+    prose = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    same, shared = prose(3000), prose(320)
+    rows = [(1, same)] * 1500 + [(2, prose(900)), (3, prose(500) + shared + prose(700)), (4, prose(800) + shared + prose(300)), (5, None)]
+    got = {}
+    for x in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        got.setdefault(x["row"]["doc_id"], []).append((len(x["kept"]), x["longest"]))
+    assert len(got[1]) == 1500 and {k for k, _ in got[1]} == {0} and all(400 < m <= 400 + S.GAP for _, m in got[1])
+    assert got[2] == [(900, 0)] and got[5] == [(0, 0)]
+    assert got[3][0][0] == 1520 and got[4][0][0] == 1420          # nothing of 400 bytes is repeated
+    assert all(200 <= got[i][0][1] <= 320 for i in (3, 4))        # but this is
