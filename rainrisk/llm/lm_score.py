@@ -12,9 +12,10 @@ conditional log-probabilities of all its words, each masked in turn.
   count: rare words are counted per document, joined with the counts of all
   words by hash, and summed per row (frequent words are never sent).
 * Network: a table of vectors per window position, summed, tanh, then a
-  two-level softmax (class of the id, id within its class), so one
-  prediction costs two small products instead of one over the vocabulary.
-  It starts from the ids' corpus shares (biases).
+  three-level softmax over a tree of the ids with side ** (2/3) branches a
+  level, so one prediction costs three small products instead of one over the
+  vocabulary. A chunk's words are sorted by id: words of one inner branch stand
+  together, and a step touches only branches and vectors that occur. It starts from the ids' corpus shares (biases).
 * Training predicts every word of every document once: a document's words
   take ``MASK`` phases in turn (from a phase of its own) and each of the
   ``ROUNDS`` rounds predicts the words of its share of the phases. A task runs
@@ -50,8 +51,8 @@ DIM = 16
 TAIL_BITS = 20
 MASK = 8
 ROUNDS = 2
-CHUNK = 1 << 15
-SLICES = 16
+CHUNK, STEP = 1 << 16, 1 << 15  # words scored, and learned, at once
+SLICES, MOST_SLICES = 16, 4096
 PAD = IDS
 
 
@@ -90,78 +91,98 @@ class Vocabulary:
         return ids.astype(np.int32), np.where(own, np.float32(0), self.share[bucket % len(self.share)])
 
 
+def _sorted(keys: np.ndarray, limit: int) -> np.ndarray:
+    """Positions in the order of ``keys`` below ``limit`` (by radix where they fit 16 bits)."""
+    return np.argsort(keys.astype(np.uint16), kind="stable") if limit <= 1 << 16 else np.argsort(keys, kind="stable")
+
+
 class WindowNetwork:
+    """``side ** 2`` ids in a tree of three levels with ``fan`` branches each;
+    ``W`` and ``c`` hold a small softmax for every inner branch."""
+
     def __init__(self, side: int = CLASSES, seed: int = 3):
         r = np.random.default_rng(seed)
         f, self.side = np.float32, side
-        self.p = {"E": r.normal(0, .1, (2 * SIDE, side * side + 1, DIM)).astype(f), "b": np.zeros(DIM, f),
-                  "C": r.normal(0, .1, (DIM, side)).astype(f), "c": np.zeros(side, f),
-                  "K": r.normal(0, .1, (side, DIM, side)).astype(f), "k": np.zeros((side, side), f)}
+        self.fan = s = next(x for x in range(max(1, int(round(side ** (2 / 3))) - 1), side + 2) if x ** 3 >= side * side)
+        self.p = {"E": r.normal(0, .1, (2 * SIDE, side * side + 1, DIM)).astype(f), "b": np.zeros(DIM, f)}
+        for level in range(3):
+            self.p[f"W{level}"] = r.normal(0, .1, (s ** level, DIM, s)).astype(f)
+            self.p[f"c{level}"] = np.zeros((s ** level, s), f)
 
     def start_from(self, freq: np.ndarray) -> WindowNetwork:
         """Biases of the corpus counts: before training it predicts each id's share."""
-        f = freq.reshape(self.side, self.side) + .01
-        self.p["c"] = np.log(f.sum(1) / f.sum()).astype(np.float32)
-        self.p["k"] = np.log(f / f.sum(1, keepdims=True)).astype(np.float32)
+        s = self.fan
+        f = np.zeros(s ** 3)  # places of the tree that no id has keep next to nothing
+        f[:len(freq)] = freq + .01
+        f = np.maximum(f, 1e-9).reshape(s, s, s)
+        for level, x in enumerate((f.sum((1, 2)).reshape(1, s), f.sum(2), f.reshape(s * s, s))):
+            self.p[f"c{level}"] = np.log(x / x.sum(1, keepdims=True)).astype(np.float32)
         return self
 
     def hidden(self, ctx: np.ndarray) -> np.ndarray:
-        x = self.p["E"][0][ctx[:, 0]]
-        for j in range(1, 2 * SIDE):
-            x += self.p["E"][j][ctx[:, j]]
-        return np.tanh(x + self.p["b"])
-
-    @staticmethod
-    def _softmax(x: np.ndarray) -> np.ndarray:
-        x -= x.max(1, keepdims=True)
+        x, of = np.repeat(self.p["b"][None], len(ctx), axis=0), np.ascontiguousarray(ctx.T)
+        for table, at in zip(self.p["E"], of):
+            x += np.take(table, at, axis=0, mode="clip")  # ids are in range; "clip" spares a check
+        return np.tanh(x, out=x)
+
+    def _branches(self, ids: np.ndarray, level: int):
+        """For sorted ids: the branch to take, the inner branches met, and where the rows of each begin."""
+        s = self.fan
+        key = ids // s ** (3 - level)
+        start = np.flatnonzero(np.diff(key, prepend=-1))
+        return (ids // s ** (2 - level)) % s, key[start], np.append(start, len(ids))
+
+    def _softmax(self, h: np.ndarray, level: int, keys: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        w, x = self.p[f"W{level}"], np.repeat(self.p[f"c{level}"][keys], np.diff(cut), axis=0)
+        for k, a, z in zip(keys.tolist(), cut[:-1].tolist(), cut[1:].tolist()):
+            x[a:z] += h[a:z].dot(w[k])
+        np.minimum(x, 80, out=x)  # below overflow; tanh units keep sums far from it
         np.exp(x, out=x)
-        x /= x.sum(1, keepdims=True)
+        x /= (x @ np.ones(self.fan, x.dtype))[:, None]
         return x
 
-    def _by_class(self, ids: np.ndarray):
-        cls = ids // self.side
-        order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(self.side + 1))
-        return cls, [(c, order[cut[c]:cut[c + 1]]) for c in range(self.side) if cut[c + 1] > cut[c]]
-
     def log_prob(self, ctx: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        h = self.hidden(ctx)
-        cls, groups = self._by_class(ids)
-        out = np.log(self._softmax(h @ self.p["C"] + self.p["c"])[np.arange(len(ids)), cls])
-        for c, rows in groups:
-            q = self._softmax(h[rows] @ self.p["K"][c] + self.p["k"][c])
-            out[rows] += np.log(q[np.arange(len(rows)), ids[rows] % self.side])
+        order = _sorted(ids, self.side ** 2)
+        ids, h, row = ids[order], self.hidden(ctx[order]), np.arange(len(ids))
+        lp = np.zeros(len(ids), np.float32)
+        for level in range(3):
+            take, keys, cut = self._branches(ids, level)
+            lp += np.log(self._softmax(h, level, keys, cut)[row, take])
+        out = np.empty_like(lp)
+        out[order] = lp
         return out
 
     def step(self, ctx: np.ndarray, ids: np.ndarray, acc: dict, rate: float) -> None:
-        """One AdaGrad step on a chunk of masked words."""
-        n, p = np.float32(len(ids)), self.p
+        """One AdaGrad step on a chunk of masked words; only rows of the tables that they touch are read or changed."""
+        n, p, row = np.float32(len(ids)), self.p, np.arange(len(ids))
+
+        def update(name, rows, grad):
+            a = acc.setdefault(name, np.full_like(p[name], 1e-8))
+            sums = a[rows] + grad * grad
+            a[rows] = sums
+            p[name][rows] -= rate * grad / np.sqrt(sums)
+
+        order = _sorted(ids, self.side ** 2)
+        ids, ctx = ids[order], ctx[order]
         h = self.hidden(ctx)
-        cls, groups = self._by_class(ids)
-        d = self._softmax(h @ p["C"] + p["c"])
-        d[np.arange(len(ids)), cls] -= 1
-        g = {"C": h.T @ d / n, "c": d.sum(0) / n}
-        dh = d @ p["C"].T
-        g["K"], g["k"] = np.zeros_like(p["K"]), np.zeros_like(p["k"])
-        for c, rows in groups:
-            q = self._softmax(h[rows] @ p["K"][c] + p["k"][c])
-            q[np.arange(len(rows)), ids[rows] % self.side] -= 1
-            g["K"][c], g["k"][c] = h[rows].T @ q / n, q.sum(0) / n
-            dh[rows] += q @ p["K"][c].T
+        dh = np.zeros_like(h)
+        for level in range(3):
+            take, keys, cut = self._branches(ids, level)
+            d = self._softmax(h, level, keys, cut)
+            d[row, take] -= 1
+            w, g = p[f"W{level}"], np.empty((len(keys), DIM, self.fan), h.dtype)
+            for i, (k, a, z) in enumerate(zip(keys.tolist(), cut[:-1].tolist(), cut[1:].tolist())):
+                part = d[a:z]
+                np.dot(h[a:z].T, part, out=g[i])
+                dh[a:z] += part.dot(w[k].T)
+            update(f"W{level}", keys, g / n)
+            update(f"c{level}", keys, np.add.reduceat(d, cut[:-1], axis=0) / n)
         dx = dh * (1 - h * h) / n
-        g["b"] = dx.sum(0)
-        for name, x in g.items():
-            a = acc.setdefault(name, np.full_like(p[name], 1e-8))
-            a += x * x
-            p[name] -= rate * x / np.sqrt(a)
-        a = acc.setdefault("E", np.full_like(p["E"], 1e-8))
+        update("b", slice(None), dx.sum(0))
         for j in range(2 * SIDE):
-            order = np.argsort(ctx[:, j], kind="stable")
+            order = _sorted(ctx[:, j], self.side ** 2 + 1)
             at = np.flatnonzero(np.diff(ctx[order, j], prepend=-1))
-            rows = ctx[order[at], j]
-            x = np.add.reduceat(dx[order], at, axis=0)
-            a[j, rows] += x * x
-            p["E"][j, rows] -= rate * x / np.sqrt(a[j, rows])
+            update("E", (j, ctx[order[at], j]), np.add.reduceat(np.take(dx, order, axis=0, mode="clip"), at, axis=0))
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
@@ -237,6 +258,7 @@ def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> Wi
     # every task sends a model: no more tasks than twice the words' number of model bytes pays for
     tasks = max(sc.defaultParallelism, int(2 * vocab.value.freq.sum() // (4 * (2 * SIDE + 1) * DIM * len(vocab.value.freq))))
     docs = docs.coalesce(tasks)
+    slices = min(MOST_SLICES, max(SLICES, tasks))  # so that a slice's average reads about one model
     net = WindowNetwork(vocab.value.side).start_from(vocab.value.freq)
     for turn in range(rounds):
         start = sc.broadcast(net.flat())
@@ -248,14 +270,14 @@ def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> Wi
                 ids, _ = vocab.value.ids(h)
                 pick = targets(h, doc, turn, rounds)
                 pick = np.random.default_rng(len(ids) + turn).permutation(pick)
-                for i in range(0, len(pick), 4096):
-                    part = pick[i:i + 4096]
+                for i in range(0, len(pick), STEP):
+                    part = pick[i:i + STEP]
                     net.step(windows(ids, doc, part, len(vocab.value.freq)), ids[part], acc, rate)
                 seen += len(pick)
             if seen:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(SLICES), pa.int32()), pa.array([seen] * SLICES, pa.int64()),
-                     pa.array([x.tobytes() for x in np.array_split(net.flat(), SLICES)])], names=["slice", "n", "v"])
+                    [pa.array(range(slices), pa.int32()), pa.array([seen] * slices, pa.int64()),
+                     pa.array([x.tobytes() for x in np.array_split(net.flat(), slices)])], names=["slice", "n", "v"])
 
         def average(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total, n, key = 0.0, 0, None

@@ -21,7 +21,7 @@ def _vocab(texts):
     return L.Vocabulary(own, n[best], tail), h, doc
 
 
-def test_log_prob_is_the_product_of_both_softmaxes():
+def test_log_prob_is_the_product_of_three_softmaxes():
     texts = ["the cat sat on the mat", "", "one", "a b c d e f g the the cat " * 3]
     vocab, h, doc = _vocab(texts)
     ids, _ = vocab.ids(h)
@@ -35,10 +35,30 @@ def test_log_prob_is_the_product_of_both_softmaxes():
             ctx = ids[at] if 0 <= at < len(ids) and doc[at] == doc[k] else L.PAD
             x += net.p["E"][j][ctx]
         hid = np.tanh(x)
-        a = hid @ net.p["C"] + net.p["c"]
-        c, w = divmod(int(ids[k]), L.WITHIN)
-        b = hid @ net.p["K"][c] + net.p["k"][c]
-        assert abs(got[k] - (a[c] - np.log(np.exp(a).sum()) + b[w] - np.log(np.exp(b).sum()))) < 1e-4
+        lp, s = 0, net.fan
+        for level, (key, take) in enumerate(((0, ids[k] // s ** 2), (ids[k] // s ** 2, ids[k] // s % s), (ids[k] // s, ids[k] % s))):
+            a = hid @ net.p[f"W{level}"][key] + net.p[f"c{level}"][key]
+            lp += a[take] - np.log(np.exp(a).sum())
+        assert abs(got[k] - lp) < 1e-4
+
+
+def test_a_step_follows_the_gradient():
+    """Numeric derivatives of the mean log-probability, in every kind of table."""
+    r = np.random.default_rng(2)
+    net = L.WindowNetwork(8)
+    ids, ctx = r.integers(0, 64, 40).astype(np.int32), r.integers(0, 65, (40, 4)).astype(np.int32)
+    net.p = {k: x.astype(np.float64) for k, x in net.p.items()}
+    start = {k: x.copy() for k, x in net.p.items()}
+    acc = {k: np.zeros_like(x) for k, x in net.p.items()}
+    net.step(ctx, ids, acc, 1e-9)
+    for name in net.p:
+        net.p = {k: x.copy() for k, x in start.items()}
+        big = np.argsort(acc[name].ravel())[-3:]
+        for at in big.tolist():
+            low, high = (net.p[name].ravel().__setitem__(at, start[name].ravel()[at] + e) or float(net.log_prob(ctx, ids).astype(float).mean())
+                         for e in (-1e-3, 1e-3))
+            net.p[name].ravel()[at] = start[name].ravel()[at]
+            assert abs(abs(high - low) / 2e-3 - acc[name].ravel()[at] ** .5) < 2e-3
 
 
 def test_probabilities_of_a_place_sum_to_one():
