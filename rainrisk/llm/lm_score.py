@@ -81,14 +81,16 @@ class Vocabulary:
 
     def ids(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(id, log mean share within the id) of each word hash."""
+        ids, share = np.zeros(len(h), np.int32), np.zeros(len(h), np.float32)
+        rare = np.arange(len(h))
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            own = self.keys[at] == h
-        else:
-            at, own = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        bucket = (h >> U64(64 - TAIL_BITS)).astype(np.int64)
-        ids = np.where(own, self.order[at] if len(self.keys) else 0, self.first_rare + bucket % self.side)
-        return ids.astype(np.int32), np.where(own, np.float32(0), self.share[bucket % len(self.share)])
+            ids = np.take(self.order, at).astype(np.int32)
+            rare = np.flatnonzero(self.keys[at] != h)
+        bucket = (h[rare] >> U64(64 - TAIL_BITS)).astype(np.int64)
+        ids[rare] = self.first_rare + bucket % self.side
+        share[rare] = self.share[bucket % len(self.share)]
+        return ids, share
 
 
 def _sorted(keys: np.ndarray, limit: int) -> np.ndarray:
@@ -199,11 +201,11 @@ class WindowNetwork:
 def windows(ids: np.ndarray, doc: np.ndarray, pick: np.ndarray, pad: int = PAD) -> np.ndarray:
     """Context ids (left to right) of the words at ``pick``; ``pad`` outside the document."""
     out = np.empty((len(pick), 2 * SIDE), np.int32)
-    for j, step in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
+    own = doc[pick]
+    for j, step in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)] if len(pick) else ()):
         at = pick + step
-        ok = (at >= 0) & (at < len(ids))
-        at = np.clip(at, 0, max(len(ids) - 1, 0))
-        out[:, j] = np.where(ok & (doc[at] == doc[pick]), ids[at], pad)
+        ok = (at >= 0) & (at < len(ids)) & (np.take(doc, at, mode="clip") == own)
+        out[:, j] = np.where(ok, np.take(ids, at, mode="clip"), pad)
     return out
 
 
