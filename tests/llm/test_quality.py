@@ -75,3 +75,52 @@ def test_sample_is_bounded(spark):
     finally:
         Q.Network.fit = fit
     assert seen == [50]
+
+
+def _slow(net, text):
+    """A document's score word by word: passages, their figures, attention, one logistic unit."""
+    import math
+
+    from rainrisk.llm.common import words
+    raw = text.encode()
+    h, _, s, e = words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    ws = [(int(x) >> 52, raw[a:b], int(x)) for x, a, b in zip(h.tolist(), s.tolist(), e.tolist())] or [(Q.BUCKETS, b"", None)]
+    hidden, gates = [], []
+    for i in range(0, len(ws), Q.PASSAGE):
+        part = ws[i:i + Q.PASSAGE]
+        n, f = len(part), [0.0] * Q.STATS
+        for k, (_, w, x) in enumerate(part):
+            if x is None:
+                continue
+            ln = len(w)
+            up, dg = sum(65 <= c <= 90 for c in w), sum(48 <= c <= 57 for c in w)
+            al = sum(65 <= c <= 90 or 97 <= c <= 122 or c >= 128 for c in w)
+            same = i + k > 0 and ws[i + k - 1][2] == x
+            last = w[-1]
+            for j, v in ((1, ln), (2, ln * ln), (3, up / ln), (4, up == ln), (5, dg / ln), (6, (ln - al - dg) / ln), (7, last in b".!?"), (8, same),
+                         (10, al == 0), (11, ln == 1 and al == 0), (12, 65 <= last <= 90 or 97 <= last <= 122 or last >= 128), (13, 1)):
+                f[j] += float(v) / n
+        f[0], f[2], f[9] = math.log(n), math.sqrt(f[2]), len({x for _, _, x in part}) / n
+        p = {k: v.astype(float) for k, v in net.p.items()}
+        m = sum(p["E"][b] for b, _, _ in part) / n
+        hid = np.tanh(m + ((np.array(f) - net.mu) / net.sd) @ p["W"] + p["b"])
+        hidden.append(hid)
+        gates.append(float((np.tanh(hid @ p["V"]) / (1 + np.exp(-(hid @ p["U"])))) @ p["w"]))
+    weights = [math.exp(g - max(gates)) for g in gates]
+    z = sum(w * x for w, x in zip(weights, hidden)) / sum(weights)
+    return 1 / (1 + math.exp(-float(z @ p["c"] + p["c0"][0])))
+
+
+def test_scores_equal_a_plain_forward_pass(spark):
+    r = random.Random(4)
+    word = lambda: r.choice(["the", "Ab", "x9", "12", "!!", "-", "ü", "end.", "REALLY?", "w" * r.randint(1, 20)])
+    texts = [" ".join(word() for _ in range(r.choice([1, 5, 63, 64, 65, 200, 700]))) for _ in range(30)] + ["", " \n", "a a a b", None]
+    net = Q.Network(seed=3)
+    g = np.random.default_rng(1)
+    net.p["c"] = g.normal(0, 1, Q.DIM).astype(np.float32)
+    net.mu, net.sd = g.normal(0, .3, Q.STATS).astype(np.float32), g.uniform(.5, 2, Q.STATS).astype(np.float32)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: x["score"] for x in Q.score(docs, net).collect()}
+    assert len({round(x, 3) for x in got.values()}) > 20
+    for i, t in enumerate(texts):
+        assert abs(got[i] - _slow(net, t or "")) < 1e-4, (i, t)
