@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, filter_bits, materialise, mix, passes, release, shingles, signed, table, text_blocks, words
@@ -152,11 +152,12 @@ def _prefixes(docs: DataFrame, n: int, num: int, den: int, levels) -> DataFrame:
 
 def _able(num: int, den: int) -> str:
     """Length and positional filter of a pair that shares a prefix shingle at
-    positions pa, pb, with ra, rb listed shingles before it (one that no other
-    class lists can't be common): sizes compatible, and enough may precede
-    and follow to reach the overlap that the threshold needs."""
+    positions pa, pb: sizes compatible, and enough may follow to reach the
+    overlap that the threshold needs. It is asked as if the shingle were the
+    first that the two share, so a pair that links passes at its first one,
+    where nothing common precedes, and need not pass at the later ones."""
     return (f"{den} * least(na, nb) >= {num} * greatest(na, nb) and "
-            f"{num + den} * (least(ra, rb) + least(na - pa, nb - pb)) >= {num} * (na + nb)")
+            f"{num + den} * least(na - pa, nb - pb) >= {num} * (na + nb)")
 
 
 def _suffix_filter(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
@@ -238,8 +239,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     posts = materialise(_prefixes(docs, n, num, den, levels), "jaccard-prefix")
     shared = posts.groupBy("tok").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tok")
     lists = posts.join(shared, "tok", "left_semi").groupBy("tok", "sig").agg(F.first("size").alias("size"), F.first("pos").alias("pos"))
-    before = Window.partitionBy("sig").orderBy("pos")  # a prefix: bounded by the text
-    lists = materialise(lists.withColumn("rank", F.row_number().over(before) - 1), "jaccard-lists")
+    lists = materialise(lists, "jaccard-lists")
     release(posts)
     reps = materialise(rows.where("n_shingles > 0 and doc_id is not null").groupBy("sig").agg(
         F.min("doc_id").alias("rep"), F.first("parts").alias("parts")), "jaccard-classes")
@@ -247,10 +247,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     able = _able(num, den)
     link = F.expr(f"{den} * both >= {num} * total")
     # every member with one hub of its list
-    hubs = lists.groupBy("tok").agg(F.min(F.struct("pos", "size", "sig", "rank")).alias("h")).select(
-        "tok", F.col("h.sig").alias("hs"), F.col("h.size").alias("na"), F.col("h.pos").alias("pa"), F.col("h.rank").alias("ra"))
+    hubs = lists.groupBy("tok").agg(F.min(F.struct("pos", "size", "sig")).alias("h")).select(
+        "tok", F.col("h.sig").alias("hs"), F.col("h.size").alias("na"), F.col("h.pos").alias("pa"))
     pairs = lists.join(hubs, "tok").where("sig <> hs").select(
-        "hs", "sig", "na", "pa", "ra", F.col("size").alias("nb"), F.col("pos").alias("pb"), F.col("rank").alias("rb")).where(able)
+        "hs", "sig", "na", "pa", F.col("size").alias("nb"), F.col("pos").alias("pb")).where(able)
     pairs = materialise(pairs.select(F.col("hs").alias("a"), F.col("sig").alias("b")).distinct(), "jaccard-hub")
     sifted = materialise(_suffix_filter(pairs, reps, num, den), "jaccard-sifted")
     met = _verify(docs, reps, sifted.where("near"), n)
@@ -267,17 +267,16 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5)
 
     # what is left: pairs of members in different components so far
     tagged = lists.join(label, lists.sig == label.v, "left").select(
-        "tok", "sig", "size", "pos", "rank", F.coalesce("c", "sig").alias("c"))
+        "tok", "sig", "size", "pos", F.coalesce("c", "sig").alias("c"))
     tagged = materialise(tagged.join(spread, F.col("sig") == F.col("s"), "left").drop("s"), "jaccard-tagged")
     held = tagged.groupBy("tok", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("tok").agg(
         F.max(F.struct("n", "c")).alias("big"), F.count(F.lit(1)).alias("cs")).where("cs > 1") \
         .select("tok", F.col("big.c").alias("bc"))
     open_lists = tagged.join(held, "tok")
     small = open_lists.where("c <> bc").select(
-        "tok", F.col("sig").alias("ls"), F.col("size").alias("na"), F.col("pos").alias("pa"), F.col("rank").alias("ra"),
+        "tok", F.col("sig").alias("ls"), F.col("size").alias("na"), F.col("pos").alias("pa"),
         F.col("c").alias("lc"), F.col("lo").alias("llo"), F.col("hi").alias("lhi"), F.col("hub").alias("lhub"))
-    other = open_lists.select("tok", "sig", F.col("size").alias("nb"), F.col("pos").alias("pb"),
-                              F.col("rank").alias("rb"), "c", "bc", "lo", "hi", "hub")
+    other = open_lists.select("tok", "sig", F.col("size").alias("nb"), F.col("pos").alias("pb"), "c", "bc", "lo", "hi", "hub")
     far = f"lhub <=> hub and lhub is not null and greatest(llo - hi, lo - lhi) > {1 - num / den} + 1e-9"
     pairs2 = small.join(other, (small.tok == other.tok) & F.expr(
         f"lc <> c and (c = bc or ls < sig) and {able} and not ({far})"))
