@@ -382,10 +382,11 @@ STRETCHES = [(1, 8), (9, 24), (25, 56), (57, 120), (121, GAP)]
 
 
 def _edge_cores(docs: DataFrame, length: int) -> DataFrame:
-    """(k1, k2, doc_id, tkey, pos, lo, hi, own): for each listed anchor and
-    stretch of offsets lo..hi, the bytes that all its strings have in common,
-    and whether the document asks for any of them. Where no other anchor of
-    the same context has them, or none asks, no string need be compared."""
+    """(k1, k2, doc_id, tkey, pos, lo, hi, own, whole): for each listed anchor
+    and stretch of offsets lo..hi, the bytes that all its strings have in
+    common, whether the document asks for any of them, and a hash of lo, hi
+    and the bytes that its strings cover. Where no other anchor of the same
+    context has them, or none asks, no string need be compared."""
     gap = scale(length)[2]
     stretches = [(a, min(b, gap)) for a, b in STRETCHES if a <= gap]
 
@@ -398,14 +399,16 @@ def _edge_cores(docs: DataFrame, length: int) -> DataFrame:
                 ok = (a <= b) & (pos >= a) & (off[doc] + pos - b + length <= off[doc + 1])
                 p, d = pos[ok], doc[ok]
                 start, end = off[d] + p - first, off[d] + p + length - last
+                left, right = off[d] + p - b[ok], off[d] + p - a[ok] + length  # all bytes of its strings
+                whole = mix((s[right] - s[left]) * inv[left]) ^ mix((a[ok] << 16 | b[ok]).astype(U64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(mix((s[end] - s[start]) * inv[start]))),
                      pa.array((mix(h[ok].view(U64) + U64(first)) >> U64(33)).astype(np.int32)), rows.column(0).take(pa.array(d)),
                      rows.column(1).take(pa.array(d)), pa.array(p.astype(np.int32)), pa.array(a[ok].astype(np.int32)),
-                     pa.array(b[ok].astype(np.int32)), pa.array((np.maximum(a, ulo) <= np.minimum(b, uhi))[ok])],
-                    names=["k1", "k2", *KEY, "pos", "lo", "hi", "own"])
+                     pa.array(b[ok].astype(np.int32)), pa.array((np.maximum(a, ulo) <= np.minimum(b, uhi))[ok]),
+                     pa.array(signed(whole))], names=["k1", "k2", *KEY, "pos", "lo", "hi", "own", "whole"])
 
-    return docs.mapInArrow(run, "k1 long, k2 int, doc_id long, tkey int, pos int, lo int, hi int, own boolean")
+    return docs.mapInArrow(run, "k1 long, k2 int, doc_id long, tkey int, pos int, lo int, hi int, own boolean, whole long")
 
 
 def _edge_strings(docs: DataFrame, length: int) -> DataFrame:
@@ -534,8 +537,11 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     mates = materialise(mates.select(*KEY, "pos", "lo", "hi", "ulo", "uhi", "h"), "suffix-mates")
     lists = mates.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
     cores = materialise(_edge_cores(_with_lists(texts, lists), length), "suffix-cores")
-    alike = cores.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).where("n > 1 and own").select("k1", "k2")
-    left = cores.join(alike, ["k1", "k2"], "left_semi").select(*KEY, "pos", "lo", "hi").distinct().alias("x")
+    # who does not ask is only a partner: one of those that cover the same bytes will do
+    one = cores.where("not own").groupBy("k1", "k2", "whole").agg(F.min(F.struct(*KEY, "pos", "lo", "hi")).alias("p"))
+    told = cores.where("own").select("k1", "k2", *KEY, "pos", "lo", "hi", "own").unionByName(one.select("k1", "k2", "p.*", F.lit(False).alias("own")))
+    alike = told.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).where("n > 1 and own").select("k1", "k2")
+    left = told.join(alike, ["k1", "k2"], "left_semi").select(*KEY, "pos", "lo", "hi").distinct().alias("x")
     m = mates.drop("lo", "hi").distinct().alias("m")
     left = m.join(left, _same("m", "x") & (F.col("m.pos") == F.col("x.pos"))).select("m.*", "x.lo", "x.hi")
     left = materialise(left, "suffix-left")
