@@ -3,6 +3,8 @@
 A page is one string column; the table is found by its ``id``, rows by
 ``<tr>``, cells by ``<td>``/``<th>``. The first row is the header; each later
 row becomes a map header → cell text, from which named columns are taken.
+A table inside a cell is part of the cell's text; a cell with a ``rowspan``
+stands in the rows below it too.
 Everything is per row of the pages table, so pages are spread over tasks
 and no page passes through the driver.
 """
@@ -30,13 +32,33 @@ _NUMERIC_RE = r"&#([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
 _ROW_RE = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
 _CELL_RE = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
 _CELL_TAG_RE = r"(?is)<t[dh]\b([^>]*)>.*?</t[dh]\s*>"
-_COLSPAN_RE = r"(?i)\bcolspan\s*=\s*[\"']?\s*([0-9]{1,6})"
+_SPAN_RE = r"(?i)\b{}\s*=\s*[\"']?\s*([0-9]{{1,6}})"
+# HTML's limits of a span
+_MOST = {"colspan": 1000, "rowspan": 65534}
 
 
-def _table_re(table_id: str) -> str:
-    tid = re.escape(table_id)
-    return (r"(?is)<table(?:\s[^>]*)?\sid\s*=\s*[\"']?" + tid +
-            r"[\"']?(?:\s[^>]*)?>(.*?)</table\s*>")
+def _table_start(table_id: str) -> str:
+    return r"(?is)<table(?:\s[^>]*)?\sid\s*=\s*[\"']?" + re.escape(table_id) + r"[\"']?(?:\s[^>]*)?>"
+
+
+def _table_body(html: Column, table_id: str) -> Column:
+    """What lies between the table's tags, empty if it has no end tag. Only
+    where another table starts inside are the tags paired: the text is cut
+    before each table tag, and the pieces are folded with the depth they lie
+    at; of the inner tables the text without its markup stays."""
+    start = _table_start(table_id)
+    flat = F.regexp_extract(html, start + r"(.*?)</table\s*>", 1)
+    pieces = F.split(F.regexp_extract(html, start + "(.*)", 1), r"(?i)(?=</?table\b)")
+
+    def step(acc: Column, piece: Column) -> Column:
+        change = F.when(piece.rlike(r"(?i)^</table\b"), -1).when(piece.rlike(r"(?i)^<table\b"), 1).otherwise(0)
+        depth = F.when(acc["depth"] > 0, acc["depth"] + change).otherwise(0)
+        part = F.when(depth > 1, F.regexp_replace(piece, "<[^>]*>", "")).otherwise(piece)
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.array_append(acc["kept"], part)).otherwise(acc["kept"]).alias("kept"))
+
+    paired = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("kept")), step,
+                         lambda acc: F.when(acc["depth"] == 0, F.array_join(acc["kept"], "")).otherwise(""))
+    return F.when(flat.rlike(r"(?i)<table\b"), paired).otherwise(flat)
 
 
 # white space stripped from cell ends (a decoded &nbsp; included)
@@ -75,25 +97,68 @@ def cell_text(c: Column, decode: bool = True) -> Column:
     return F.btrim(t, F.lit(_WS))
 
 
-def _clean_cells(raw_cells: Column, row_html: Column) -> Column:
+def _clean_cells(raw_cells: Column, row_html: Column, carried: Column | bool = False) -> Column:
     # the choice is made per row, outside the per-cell loop: rows without any
-    # '&' (nearly all) take the loop without the reference decoding
+    # '&' (nearly all) take the loop without the reference decoding; ``carried``
+    # rows may hold cells of other rows
     # (one-argument lambdas: Spark reads a second parameter as the index)
-    return F.when(F.instr(row_html, "&") > 0, F.transform(raw_cells, lambda c: cell_text(c))) \
+    return F.when((F.instr(row_html, "&") > 0) | carried, F.transform(raw_cells, lambda c: cell_text(c))) \
         .otherwise(F.transform(raw_cells, lambda c: cell_text(c, decode=False)))
 
 
+def _span(attributes: Column, kind: str) -> Column:
+    n = F.regexp_extract(attributes, _SPAN_RE.format(kind), 1).try_cast("int")
+    return F.least(F.greatest(F.coalesce(n, F.lit(1)), F.lit(1)), F.lit(_MOST[kind]))
+
+
 def _raw_cells(row_html: Column) -> Column:
-    """Cells of a row; one with a ``colspan`` fills so many places (a
-    ``rowspan`` is not carried to the rows below)."""
+    """Cells of a row; one with a ``colspan`` fills so many places."""
     plain = F.regexp_extract_all(row_html, F.lit(_CELL_RE), 1)
-    spans = F.transform(F.regexp_extract_all(row_html, F.lit(_CELL_TAG_RE), 1),
-                        lambda t: F.least(F.greatest(F.coalesce(F.regexp_extract(t, _COLSPAN_RE, 1).try_cast("int"), F.lit(1)),
-                                                     F.lit(1)), F.lit(1000)))  # HTML's limit of a span
+    spans = F.transform(F.regexp_extract_all(row_html, F.lit(_CELL_TAG_RE), 1), lambda t: _span(t, "colspan"))
     spread = F.flatten(F.zip_with(plain, spans, lambda c, n: F.array_repeat(c, n)))
     return F.when(row_html.rlike(r"(?i)\bcolspan\b"), spread).otherwise(plain)
 
 
+_LINE = "array<struct<cell:string,below:int>>"
+
+
+def _place(cell: Column, below: Column) -> Column:
+    return F.struct(cell.alias("cell"), below.cast("int").alias("below"))
+
+
+def _line(row_html: Column, above: Column) -> Column:
+    """The row's places, each with the number of rows it still reaches down:
+    cells go to the first place that no cell of ``above`` reaches into."""
+    cells = F.zip_with(F.regexp_extract_all(row_html, F.lit(_CELL_RE), 1), F.regexp_extract_all(row_html, F.lit(_CELL_TAG_RE), 1),
+                       lambda c, t: F.struct(c.alias("cell"), _span(t, "colspan").alias("wide"), (_span(t, "rowspan") - 1).alias("below")))
+
+    def taken(i: Column) -> Column:
+        return F.coalesce(F.get(above, i)["below"], F.lit(0)) > 0
+
+    def put(line: Column, c: Column) -> Column:
+        n = F.size(line)
+        free = F.get(F.filter(F.sequence(n, F.greatest(n, F.size(above))), lambda i: ~taken(i)), 0)
+        carried = F.transform(F.slice(above, n + 1, free - n), lambda x: _place(x["cell"], x["below"] - 1))
+        return F.concat(line, carried, F.array_repeat(_place(c["cell"], c["below"]), c["wide"])).cast(_LINE)
+
+    def rest(line: Column) -> Column:
+        tail = F.slice(above, F.size(line) + 1, F.greatest(F.size(above) - F.size(line), F.lit(0)))
+        carried = F.transform(tail, lambda x: _place(F.when(x["below"] > 0, x["cell"]), F.greatest(x["below"] - 1, F.lit(0))))
+        return F.when(F.exists(tail, lambda x: x["below"] > 0), F.concat(line, carried)).otherwise(line).cast(_LINE)
+
+    return F.aggregate(cells, F.array().cast(_LINE), put, rest)
+
+
+def _grid(rows: Column) -> Column:
+    """Raw cells of all rows of a table with ``rowspan``, row by row with the
+    places of the row above as state. A cell that is spread over places that
+    one from above reaches into takes them; a span ends with the last row."""
+    empty = F.array().cast(_LINE)
+    lines = F.aggregate(rows, F.array().cast(f"array<{_LINE}>"), lambda acc, row: F.array_append(
+        acc, _line(row, F.coalesce(F.get(acc, F.size(acc) - 1), empty))))
+    return F.transform(lines, lambda line: line["cell"])
+
+
 def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TABLE_ID,
                columns: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
     """One output row per data row of the table; ``columns`` taken by header name.
@@ -101,26 +166,32 @@ def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TA
     The header is parsed once per page and each wanted column's position is
     looked up there; data rows then only index their cleaned cells. A row
     shorter than the header is kept, its missing cells NULL; a spanned cell
-    stands in every column it spans. Columns missing
+    stands in every column and row it spans. Columns missing
     from a page's header come out NULL. Each step is a select of its own, so
     that no regex is repeated per column; pages are dealt out by bytes first.
     """
     keep = keep or [c for c in pages.columns if c != html_col]
     cols = columns or []
     pages = rebalanced(pages.select(*keep, html_col))
-    table = F.regexp_extract(F.col(html_col), _table_re(table_id), 1)
-    staged = pages.select(*keep, F.regexp_extract_all(table, F.lit(_ROW_RE), 1).alias("_rows"))
-    staged = staged.select("*", F.get("_rows", 0).alias("_first"))
-    staged = staged.select("*", _raw_cells(F.col("_first")).alias("_heads"))
-    staged = staged.select(*keep, "_rows", _clean_cells(F.col("_heads"), F.col("_first")).alias("_header"))
+    staged = pages.select(*keep, _table_body(F.col(html_col), table_id).alias("_table"))
+    staged = staged.select(*keep, F.regexp_extract_all("_table", F.lit(_ROW_RE), 1).alias("_rows"),
+                           F.col("_table").rlike(r"(?i)\browspan\b").alias("_down"))
+    staged = staged.select("*", F.when(F.col("_down"), _grid(F.col("_rows"))).alias("_grid"))
+    staged = staged.select(*keep, "_rows", "_grid", F.get("_rows", 0).alias("_first"))
+    staged = staged.select("*", F.coalesce(F.get("_grid", 0), _raw_cells(F.col("_first"))).alias("_heads"))
+    staged = staged.select(*keep, F.transform("_rows", lambda row, i: F.struct(
+        row.alias("html"), F.get("_grid", i).alias("cells"))).alias("_rows"),
+        _clean_cells(F.col("_heads"), F.col("_first")).alias("_header"))
     positions = F.array(*[F.array_position("_header", F.lit(c)).cast("int") for c in cols]) \
         if cols else F.array().cast("array<int>")
     staged = staged.select(*keep, "_rows", positions.alias("_pos"))
-    exploded = staged.select(*keep, "_pos", F.posexplode("_rows").alias("_row_no", "_row"))
-    body = exploded.where(F.col("_row_no") > 0).withColumn("_raw", _raw_cells(F.col("_row"))).where(F.size("_raw") > 0)
+    exploded = staged.select(*keep, "_pos", F.posexplode("_rows").alias("_row_no", "_r"))
+    body = exploded.where(F.col("_row_no") > 0).select(
+        *keep, "_pos", "_row_no", F.col("_r.html").alias("_row"), F.coalesce("_r.cells", _raw_cells(F.col("_r.html"))).alias("_raw"),
+        F.col("_r.cells").isNotNull().alias("_down")).where(F.size("_raw") > 0)
     # one generated loop cleans every cell (not one copy per column, which
     # would push the generated method past the JVM's 64 KB)
-    body = body.withColumn("_cells", _clean_cells(F.col("_raw"), F.col("_row")))
+    body = body.withColumn("_cells", _clean_cells(F.col("_raw"), F.col("_row"), F.col("_down")))
 
     def pick(i: int) -> Column:
         pos = F.element_at(F.col("_pos"), i + 1)
