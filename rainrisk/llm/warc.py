@@ -284,11 +284,12 @@ def read_archive(spark: SparkSession, folder: str, payload: bool = True) -> Data
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     archive(table(spark, sf_dir, "pages"), folder)
-    r = read_archive(spark, folder)
-    body = F.col("record_type") == "response"  # a response is measured by what was read, a revisit by its headers
-    return r.select(
-        "page_id", F.when(body, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(body, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to")
+    # two reads, each filter with the reader: responses with their blocks, of revisits the headers only
+    response = read_archive(spark, folder).where("record_type = 'response'").select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
+        "record_type", "refers_to")
+    revisit = read_archive(spark, folder, payload=False).where("record_type = 'revisit'")
+    return response.unionByName(revisit.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
 OP8_SQL = """
