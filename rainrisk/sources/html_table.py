@@ -41,14 +41,12 @@ def _table_start(table_id: str) -> str:
     return r"(?is)<table(?:\s[^>]*)?\sid\s*=\s*[\"']?" + re.escape(table_id) + r"[\"']?(?:\s[^>]*)?>"
 
 
-def _table_body(html: Column, table_id: str) -> Column:
-    """What lies between the table's tags, empty if it has no end tag. Only
-    where another table starts inside are the tags paired: the text is cut
-    before each table tag, and the pieces are folded with the depth they lie
-    at; of the inner tables the text without its markup stays."""
-    start = _table_start(table_id)
-    flat = F.regexp_extract(html, start + r"(.*?)</table\s*>", 1)
-    pieces = F.split(F.regexp_extract(html, start + "(.*)", 1), r"(?i)(?=</?table\b)")
+def _paired_body(html: Column, table_id: str) -> Column:
+    """What lies between the tags of a table with others inside, empty if it
+    has no end tag: the text is cut before each table tag, and the pieces are
+    folded with the depth they lie at; of the inner tables the text without
+    its markup stays."""
+    pieces = F.split(F.regexp_extract(html, _table_start(table_id) + "(.*)", 1), r"(?i)(?=</?table\b)")
 
     def step(acc: Column, piece: Column) -> Column:
         change = F.when(piece.rlike(r"(?i)^</table\b"), -1).when(piece.rlike(r"(?i)^<table\b"), 1).otherwise(0)
@@ -56,9 +54,8 @@ def _table_body(html: Column, table_id: str) -> Column:
         part = F.when(depth > 1, F.regexp_replace(piece, "<[^>]*>", "")).otherwise(piece)
         return F.struct(depth.alias("depth"), F.when(depth > 0, F.array_append(acc["kept"], part)).otherwise(acc["kept"]).alias("kept"))
 
-    paired = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("kept")), step,
-                         lambda acc: F.when(acc["depth"] == 0, F.array_join(acc["kept"], "")).otherwise(""))
-    return F.when(flat.rlike(r"(?i)<table\b"), paired).otherwise(flat)
+    return F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("kept")), step,
+                       lambda acc: F.when(acc["depth"] == 0, F.array_join(acc["kept"], "")).otherwise(""))
 
 
 # white space stripped from cell ends (a decoded &nbsp; included)
@@ -97,12 +94,11 @@ def cell_text(c: Column, decode: bool = True) -> Column:
     return F.btrim(t, F.lit(_WS))
 
 
-def _clean_cells(raw_cells: Column, row_html: Column, carried: Column | bool = False) -> Column:
+def _clean_cells(raw_cells: Column, row_html: Column) -> Column:
     # the choice is made per row, outside the per-cell loop: rows without any
-    # '&' (nearly all) take the loop without the reference decoding; ``carried``
-    # rows may hold cells of other rows
+    # '&' (nearly all) take the loop without the reference decoding
     # (one-argument lambdas: Spark reads a second parameter as the index)
-    return F.when((F.instr(row_html, "&") > 0) | carried, F.transform(raw_cells, lambda c: cell_text(c))) \
+    return F.when(F.instr(row_html, "&") > 0, F.transform(raw_cells, lambda c: cell_text(c))) \
         .otherwise(F.transform(raw_cells, lambda c: cell_text(c, decode=False)))
 
 
@@ -141,22 +137,26 @@ def _line(row_html: Column, above: Column) -> Column:
         carried = F.transform(F.slice(above, n + 1, free - n), lambda x: _place(x["cell"], x["below"] - 1))
         return F.concat(line, carried, F.array_repeat(_place(c["cell"], c["below"]), c["wide"])).cast(_LINE)
 
+    reach = F.array_max(F.filter(F.sequence(F.lit(1), F.size(above)), lambda i: taken(i - 1)))
+
     def rest(line: Column) -> Column:
-        tail = F.slice(above, F.size(line) + 1, F.greatest(F.size(above) - F.size(line), F.lit(0)))
-        carried = F.transform(tail, lambda x: _place(F.when(x["below"] > 0, x["cell"]), F.greatest(x["below"] - 1, F.lit(0))))
-        return F.when(F.exists(tail, lambda x: x["below"] > 0), F.concat(line, carried)).otherwise(line).cast(_LINE)
+        tail = F.slice(above, F.size(line) + 1, F.greatest(F.coalesce(reach, F.lit(0)) - F.size(line), F.lit(0)))
+        return F.concat(line, F.transform(tail, lambda x: _place(
+            F.when(x["below"] > 0, x["cell"]), F.greatest(x["below"] - 1, F.lit(0))))).cast(_LINE)
 
     return F.aggregate(cells, F.array().cast(_LINE), put, rest)
 
 
-def _grid(rows: Column) -> Column:
-    """Raw cells of all rows of a table with ``rowspan``, row by row with the
-    places of the row above as state. A cell that is spread over places that
-    one from above reaches into takes them; a span ends with the last row."""
+def _without_rowspan(rows: Column) -> Column:
+    """Rows of a table with ``rowspan``, written anew with each cell in every
+    place it fills, row by row with the places of the row above as state. A
+    cell that is spread over places that one from above reaches into takes
+    them; a place that no cell fills is empty; a span ends with the last row."""
     empty = F.array().cast(_LINE)
     lines = F.aggregate(rows, F.array().cast(f"array<{_LINE}>"), lambda acc, row: F.array_append(
         acc, _line(row, F.coalesce(F.get(acc, F.size(acc) - 1), empty))))
-    return F.transform(lines, lambda line: line["cell"])
+    return F.transform(lines, lambda line: F.array_join(F.transform(
+        line, lambda x: F.concat(F.lit("<td>"), F.coalesce(x["cell"], F.lit("")), F.lit("</td>"))), ""))
 
 
 def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TABLE_ID,
@@ -173,25 +173,23 @@ def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TA
     keep = keep or [c for c in pages.columns if c != html_col]
     cols = columns or []
     pages = rebalanced(pages.select(*keep, html_col))
-    staged = pages.select(*keep, _table_body(F.col(html_col), table_id).alias("_table"))
-    staged = staged.select(*keep, F.regexp_extract_all("_table", F.lit(_ROW_RE), 1).alias("_rows"),
-                           F.col("_table").rlike(r"(?i)\browspan\b").alias("_down"))
-    staged = staged.select("*", F.when(F.col("_down"), _grid(F.col("_rows"))).alias("_grid"))
-    staged = staged.select(*keep, "_rows", "_grid", F.get("_rows", 0).alias("_first"))
-    staged = staged.select("*", F.coalesce(F.get("_grid", 0), _raw_cells(F.col("_first"))).alias("_heads"))
-    staged = staged.select(*keep, F.transform("_rows", lambda row, i: F.struct(
-        row.alias("html"), F.get("_grid", i).alias("cells"))).alias("_rows"),
-        _clean_cells(F.col("_heads"), F.col("_first")).alias("_header"))
+    flat = F.regexp_extract(html_col, _table_start(table_id) + r"(.*?)</table\s*>", 1)
+    staged = pages.select(*keep, html_col, flat.alias("_flat"))
+    staged = staged.select(*keep, F.when(F.lower("_flat").contains("<table"), _paired_body(F.col(html_col), table_id))
+                           .otherwise(F.col("_flat")).alias("_table"))
+    rows = F.regexp_extract_all("_table", F.lit(_ROW_RE), 1)
+    staged = staged.select(*keep, F.when(F.lower("_table").contains("rowspan"), _without_rowspan(rows)).otherwise(rows).alias("_rows"))
+    staged = staged.select("*", F.get("_rows", 0).alias("_first"))
+    staged = staged.select("*", _raw_cells(F.col("_first")).alias("_heads"))
+    staged = staged.select(*keep, "_rows", _clean_cells(F.col("_heads"), F.col("_first")).alias("_header"))
     positions = F.array(*[F.array_position("_header", F.lit(c)).cast("int") for c in cols]) \
         if cols else F.array().cast("array<int>")
     staged = staged.select(*keep, "_rows", positions.alias("_pos"))
-    exploded = staged.select(*keep, "_pos", F.posexplode("_rows").alias("_row_no", "_r"))
-    body = exploded.where(F.col("_row_no") > 0).select(
-        *keep, "_pos", "_row_no", F.col("_r.html").alias("_row"), F.coalesce("_r.cells", _raw_cells(F.col("_r.html"))).alias("_raw"),
-        F.col("_r.cells").isNotNull().alias("_down")).where(F.size("_raw") > 0)
+    exploded = staged.select(*keep, "_pos", F.posexplode("_rows").alias("_row_no", "_row"))
+    body = exploded.where(F.col("_row_no") > 0).withColumn("_raw", _raw_cells(F.col("_row"))).where(F.size("_raw") > 0)
     # one generated loop cleans every cell (not one copy per column, which
     # would push the generated method past the JVM's 64 KB)
-    body = body.withColumn("_cells", _clean_cells(F.col("_raw"), F.col("_row"), F.col("_down")))
+    body = body.withColumn("_cells", _clean_cells(F.col("_raw"), F.col("_row")))
 
     def pick(i: int) -> Column:
         pos = F.element_at(F.col("_pos"), i + 1)

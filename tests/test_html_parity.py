@@ -82,8 +82,10 @@ def brute_spans(html, table_id, columns):
     header = [places.get((0, x)) for x in range(50)]
     out = []
     for y in range(1, len(p.rows)):
-        if any((y, x) in places for x in range(50)):
-            out.append((y, *[places.get((y, header.index(c))) if c in header else None for c in columns]))
+        last = max((x for x in range(50) if (y, x) in places), default=-1)  # places before it that no cell fills are empty
+        if last >= 0:
+            at = [header.index(c) if c in header else 99 for c in columns]
+            out.append((y, *[places.get((y, x), "") if x <= last else None for x in at]))
     return out
 
 
