@@ -168,7 +168,8 @@ def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TA
     shorter than the header is kept, its missing cells NULL; a spanned cell
     stands in every column and row it spans. Columns missing
     from a page's header come out NULL. Each step is a select of its own, so
-    that no regex is repeated per column; pages are dealt out by bytes first.
+    that no regex is repeated per column or by a filter (rows are cleaned within
+    their page, before they are exploded); pages are dealt out by bytes first.
     """
     keep = keep or [c for c in pages.columns if c != html_col]
     cols = columns or []
@@ -179,21 +180,17 @@ def table_rows(pages: DataFrame, html_col: str = "html", table_id: str = RAIN_TA
                            .otherwise(F.col("_flat")).alias("_table"))
     rows = F.regexp_extract_all("_table", F.lit(_ROW_RE), 1)
     staged = staged.select(*keep, F.when(F.lower("_table").contains("rowspan"), _without_rowspan(rows)).otherwise(rows).alias("_rows"))
-    staged = staged.select("*", F.get("_rows", 0).alias("_first"))
-    staged = staged.select("*", _raw_cells(F.col("_first")).alias("_heads"))
-    staged = staged.select(*keep, "_rows", _clean_cells(F.col("_heads"), F.col("_first")).alias("_header"))
-    positions = F.array(*[F.array_position("_header", F.lit(c)).cast("int") for c in cols]) \
+    staged = staged.select(*keep, F.transform("_rows", lambda row: _clean_cells(_raw_cells(row), row)).alias("_cleaned"))
+    positions = F.array(*[F.array_position(F.get("_cleaned", 0), F.lit(c)).cast("int") for c in cols]) \
         if cols else F.array().cast("array<int>")
-    staged = staged.select(*keep, "_rows", positions.alias("_pos"))
-    exploded = staged.select(*keep, "_pos", F.posexplode("_rows").alias("_row_no", "_row"))
-    body = exploded.where(F.col("_row_no") > 0).withColumn("_raw", _raw_cells(F.col("_row"))).where(F.size("_raw") > 0)
-    # one generated loop cleans every cell (not one copy per column, which
-    # would push the generated method past the JVM's 64 KB)
-    body = body.withColumn("_cells", _clean_cells(F.col("_raw"), F.col("_row")))
-
-    def pick(i: int) -> Column:
-        pos = F.element_at(F.col("_pos"), i + 1)
-        return F.when(pos > 0, F.get("_cells", pos - 1))
-
+    staged = staged.select(*keep, "_cleaned", positions.alias("_pos"))
+    # the wanted cells are picked by one loop: a column's own lookup, 34 times,
+    # makes a method that is too long for the JVM to compile
+    picked = F.transform("_cleaned", lambda cells: F.when(F.size(cells) > 0, F.transform(
+        F.col("_pos"), lambda p: F.when(p > 0, F.get(cells, p - 1)))))
+    # filters on what a generator gives stay behind it, and the outer form has
+    # none inferred: either would repeat the page's regexes, one before the rebalance
+    body = staged.select(*keep, F.posexplode_outer(picked).alias("_row_no", "_cells")) \
+        .where((F.col("_row_no") > 0) & F.col("_cells").isNotNull())
     return body.select(*keep, F.col("_row_no").alias("row_no"),
-                       *[pick(i).alias(c) for i, c in enumerate(cols)])
+                       *[F.get("_cells", i).alias(c) for i, c in enumerate(cols)])

@@ -70,3 +70,34 @@ def test_bronze_year_reads_are_partition_pruned(spark, scratch):
     assert "PartitionFilters: [isnotnull(ano" in p and "(ano#" in p and "= 1996)" in p
     p = plan_of(daily.read_bronze(spark, path, before_year=1996))
     assert "PartitionFilters: [isnotnull(ano" in p and "< 1996)" in p
+
+
+def test_html_rows_are_parsed_once(spark):
+    """No filter repeats the page's regexes, and the raw pivot does not sort."""
+    p = plan_of(E.queries()["html_table_rows"](spark, SF_SMALL))
+    assert not [x for x in p.split("\n") if x.startswith("Condition") and "regexp_extract_all" in x]
+    assert "SortAggregate" not in p
+    assert p.count("Exchange hashpartitioning") <= 2  # readings per day, then by station: none for months and pages
+
+
+@pytest.mark.parametrize("name", ["silver_rainfall", "silver_rainfall_split", "dq_unique", "html_table_rows"])
+def test_tasks_follow_the_input(spark, monkeypatch, name):
+    """Where the input asks for more tasks than the session's, the exchanges of
+    the fact get them, with the same rows."""
+    from rainrisk.operators import joins
+    want = sorted(map(str, E.queries()[name](spark, SF_SMALL).collect()))
+    monkeypatch.setattr(joins, "TASK_BYTES", 4096)
+    many = E.queries()[name](spark, SF_SMALL)
+    found = plan_of(many).count("REPARTITION_BY_NUM")
+    assert found >= 2, found
+    assert sorted(map(str, many.collect())) == want
+
+
+def test_bucketed_table_is_not_dealt_out_again(spark, monkeypatch, scratch):
+    from rainrisk.operators import joins
+    from rainrisk.sources import sinks
+    rows = spark.range(1000).selectExpr("id % 50 AS codigo_posto", "id")
+    back = sinks.save_bucketed(rows, "agrupada", scratch("bucketed"), "codigo_posto", 4)
+    monkeypatch.setattr(joins, "TASK_BYTES", 16)
+    assert "REPARTITION" not in plan_of(joins.clustered(back, "codigo_posto"))
+    spark.sql("DROP TABLE agrupada")
