@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rainrisk.functions.domain import alert_band, climate_period, weekday_name
+from rainrisk.operators.joins import clustered
 
 # moving mean over this many readings (rows, not calendar days)
 MOVING_ROWS = 7
@@ -177,7 +178,7 @@ def rainfall_features_split(df: DataFrame, rows: int = MOVING_ROWS,
     key = ["codigo_posto", chunk]
     p0 = F.coalesce(F.col("precipitacao"), F.lit(0.0))
     cols = df.columns
-    d = df.withColumn(chunk, chunk_of if chunk_of is not None else F.year("data"))
+    d = clustered(df.withColumn(chunk, chunk_of if chunk_of is not None else F.year("data")), *key)
     w = Window.partitionBy(*key).orderBy("data")
     w_desc = Window.partitionBy(*key).orderBy(F.col("data").desc())
     d = d.withColumns({

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rainrisk.operators import features, grid, match
+from rainrisk.operators.joins import clustered_alike
 
 SILVER_COLUMNS = [
     "codigo_posto", "nome_posto", "data", "ano", "mes", "dia", "dia_semana",
@@ -21,7 +22,8 @@ def silver_rainfall(bronze: DataFrame, municipalities: DataFrame,
 
     The mapping has one row per code, so the left join cannot fan out
     (silver rows = bronze rows). The join and the three windows share the
-    key ``codigo_posto``: the fact is shuffled once. With ``split_by_year``
+    key ``codigo_posto``: the fact is shuffled once, into as many tasks as its
+    size needs (``joins.clustered_alike``). With ``split_by_year``
     the windows run per (station, year) with carried-in state instead
     (``features.rainfall_features_split``), so no task holds more than one
     station-year of readings.
@@ -35,7 +37,8 @@ def silver_rainfall(bronze: DataFrame, municipalities: DataFrame,
         feats = features.rainfall_features_split(bronze)
         feats = features.with_calendar(feats.join(mapping, "codigo_posto", "left"))
     else:
-        base = features.with_calendar(bronze.join(mapping, "codigo_posto", "left"))
+        fact, mapping = clustered_alike(bronze, mapping, "codigo_posto")
+        base = features.with_calendar(fact.join(mapping, "codigo_posto", "left"))
         feats = features.rainfall_features(base, anchor)
     return features.with_alert_band(feats).select(*SILVER_COLUMNS)
 
@@ -67,6 +70,7 @@ def silver_rainfall_year(bronze: DataFrame, municipalities: DataFrame,
     if year_rows is None:
         year_rows = bronze.where(F.year("data") == year)
     history = None if state is not None else bronze.where(F.year("data") < year)
+    year_rows, mapping = clustered_alike(year_rows, mapping, "codigo_posto")
     base = features.with_calendar(year_rows.join(mapping, "codigo_posto", "left"))
     out = features.with_alert_band(
         features.rainfall_features_slice(base, history, state=state))
