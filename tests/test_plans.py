@@ -101,3 +101,14 @@ def test_bucketed_table_is_not_dealt_out_again(spark, monkeypatch, scratch):
     monkeypatch.setattr(joins, "TASK_BYTES", 16)
     assert "REPARTITION" not in plan_of(joins.clustered(back, "codigo_posto"))
     spark.sql("DROP TABLE agrupada")
+
+
+def test_reload_builds_only_its_year(spark, monkeypatch):
+    """The year filter of the second load lies below the pivot."""
+    from rainrisk.sources import daily
+    seen, write = [], daily.replace_bronze_partitions
+    monkeypatch.setattr(daily, "replace_bronze_partitions", lambda long, path: (
+        seen.append(str(long._jdf.queryExecution().optimizedPlan())), write(long, path)))
+    E.queries()["bronze_replace_year"](spark, SF_SMALL)
+    pivot = seen[1][seen[1].index("bit_or"):]
+    assert "Filter" in pivot and "year(" in pivot.lower()
