@@ -34,7 +34,10 @@ the next anchor's repeat) except just before an anchor whose repeat reaches
 further than the anchor's before it. These edges are settled by counting
 their ``length``-byte strings by hash (64 bits, of string, context and offset), only for anchors that share
 their context with an edge, and only where the bytes common to a stretch of
-such strings occur twice. All joins are on hashes or document keys and
+such strings occur twice. Anchors with equal bytes on either side, as far as
+such a string reaches, are one kind: one of them is compared and counts for all,
+so a line that every document holds costs as many rows as it has
+surroundings; what is found holds for each anchor of the kind. All joins are on hashes or document keys and
 counts are partial before a shuffle; texts of a copied document meet as one
 folded suffix per run, so a group of copies is never collected.
 
@@ -249,7 +252,8 @@ def _context_ends(pos: np.ndarray, ahead: np.ndarray, doc: np.ndarray, off: np.n
 
 
 def _contexts(texts: DataFrame, length: int) -> DataFrame:
-    """(doc_id, tkey, pos, back, h, c): anchors with the hash of their whole cut suffix."""
+    """(doc_id, tkey, pos, back, h, c, b): anchors with the hash of their whole
+    cut suffix, and of the bytes between them and the anchor before."""
 
     def run(batches):
         for rows, data, off in text_blocks(batches):
@@ -257,11 +261,13 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
             (pos, back, ahead, h), doc = _lists_of(rows, 4)
             at, end = off[doc] + pos, _context_ends(pos, ahead, doc, off, length)
             c = signed(mix((s[end] - s[at]) * inv[at] + (end - at).astype(U64)))
+            left = at - back + 1
+            b = signed(mix((s[at] - s[left]) * inv[left] + back.astype(U64)))
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0).take(pa.array(doc)), rows.column(1).take(pa.array(doc)), pa.array(pos.astype(np.int32)),
-                 pa.array(back.astype(np.int32)), pa.array(h), pa.array(c)], names=[*KEY, "pos", "back", "h", "c"])
+                 pa.array(back.astype(np.int32)), pa.array(h), pa.array(c), pa.array(b)], names=[*KEY, "pos", "back", "h", "c", "b"])
 
-    return texts.mapInArrow(run, "doc_id long, tkey int, pos int, back int, h long, c long")
+    return texts.mapInArrow(run, "doc_id long, tkey int, pos int, back int, h long, c long, b long")
 
 
 def _sample(texts: DataFrame, rate: int, length: int) -> DataFrame:
@@ -382,9 +388,9 @@ STRETCHES = [(1, 8), (9, 24), (25, 56), (57, 120), (121, GAP)]
 
 
 def _edge_cores(docs: DataFrame, length: int) -> DataFrame:
-    """(k1, k2, doc_id, tkey, pos, lo, hi, own, whole): for each listed anchor
+    """(k1, k2, kind, n, lo, hi, own, whole): for each listed anchor
     and stretch of offsets lo..hi, the bytes that all its strings have in
-    common, whether the document asks for any of them, and a hash of lo, hi
+    common, its kind and the kind's anchors, whether it asks for any of them, and a hash of lo, hi
     and the bytes that its strings cover. Where no other anchor of the same
     context has them, or none asks, no string need be compared."""
     gap = scale(length)[2]
@@ -393,7 +399,7 @@ def _edge_cores(docs: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for rows, data, off in text_blocks(batches):
             s, inv = prefix_hash(data)
-            (pos, lo, hi, ulo, uhi, h), doc = _lists_of(rows, 6)
+            (pos, lo, hi, ulo, uhi, h, kind, n), doc = _lists_of(rows, 8)
             for first, last in stretches:
                 a, b = np.maximum(lo, first), np.minimum(hi, last)
                 ok = (a <= b) & (pos >= a) & (off[doc] + pos - b + length <= off[doc + 1])
@@ -403,23 +409,23 @@ def _edge_cores(docs: DataFrame, length: int) -> DataFrame:
                 whole = mix((s[right] - s[left]) * inv[left]) ^ mix((a[ok] << 16 | b[ok]).astype(U64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(mix((s[end] - s[start]) * inv[start]))),
-                     pa.array((mix(h[ok].view(U64) + U64(first)) >> U64(33)).astype(np.int32)), rows.column(0).take(pa.array(d)),
-                     rows.column(1).take(pa.array(d)), pa.array(p.astype(np.int32)), pa.array(a[ok].astype(np.int32)),
+                     pa.array((mix(h[ok].view(U64) + U64(first)) >> U64(33)).astype(np.int32)), pa.array(kind[ok]),
+                     pa.array(n[ok]), pa.array(a[ok].astype(np.int32)),
                      pa.array(b[ok].astype(np.int32)), pa.array((np.maximum(a, ulo) <= np.minimum(b, uhi))[ok]),
-                     pa.array(signed(whole))], names=["k1", "k2", *KEY, "pos", "lo", "hi", "own", "whole"])
+                     pa.array(signed(whole))], names=["k1", "k2", "kind", "n", "lo", "hi", "own", "whole"])
 
-    return docs.mapInArrow(run, "k1 long, k2 int, doc_id long, tkey int, pos int, lo int, hi int, own boolean, whole long")
+    return docs.mapInArrow(run, "k1 long, k2 int, kind long, n long, lo int, hi int, own boolean, whole long")
 
 
 def _edge_strings(docs: DataFrame, length: int) -> DataFrame:
-    """(k, doc_id, tkey, start) of the ``length``-byte strings at the
-    listed offsets before the listed anchors; key and ``start`` only where the
-    document itself asks for it."""
+    """(k, n, kind, o) of the ``length``-byte strings at the listed offsets
+    before the listed anchors: ``n`` anchors of the kind have it; ``kind`` and
+    offset ``o`` only where they ask for it."""
 
     def run(batches):
         for rows, data, off in text_blocks(batches):
             s, inv = prefix_hash(data)
-            (pos, lo, hi, ulo, uhi, h), doc = _lists_of(rows, 6)
+            (pos, lo, hi, ulo, uhi, h, kind, n), doc = _lists_of(rows, 8)
             for i in range(0, len(pos), 2048):
                 part = slice(i, i + 2048)
                 cnt = np.maximum(hi[part] - lo[part] + 1, 0)
@@ -432,11 +438,10 @@ def _edge_strings(docs: DataFrame, length: int) -> DataFrame:
                 k = mix(mix((s[at + length] - s[at]) * inv[at]) ^ mix(h[part][who].view(U64) * U64(3) + o.astype(U64)))
                 own = (o >= ulo[part][who]) & (o <= uhi[part][who])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(k)), rows.column(0).take(pa.array(d, mask=~own)),
-                     rows.column(1).take(pa.array(d, mask=~own)), pa.array((p - o).astype(np.int32), mask=~own)],
-                    names=["k", *KEY, "start"])
+                    [pa.array(signed(k)), pa.array(n[part][who]), pa.array(kind[part][who], mask=~own),
+                     pa.array(o.astype(np.int32), mask=~own)], names=["k", "n", "kind", "o"])
 
-    return docs.mapInArrow(run, "k long, doc_id long, tkey int, start int")
+    return docs.mapInArrow(run, "k long, n long, kind long, o int")
 
 
 def _same(a: str, b: str):
@@ -522,37 +527,42 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     longest = materialise(_longest(_suffix_runs(sifted, splitters, length), splitters), "suffix-lcp")
     spots = _contexts(sifted, length)
     with_m = spots.join(longest.where(F.col("m") >= length - scale(length)[2]).groupBy("h", "c").agg(F.max("m").alias("m")), ["h", "c"]) \
-        .select(*KEY, "pos", "back", "h", "m", (F.col("pos") + F.col("m")).alias("end"))
+        .select(*KEY, "pos", "back", "h", "c", "b", "m", (F.col("pos") + F.col("m")).alias("end"))
     with_m = with_m.repartition(*KEY).dropDuplicates([*KEY, "pos"])  # a row read twice has its anchors twice
     w = Window.partitionBy(*KEY).orderBy("pos")
     reached = F.when(F.lag("pos").over(w) == F.col("pos") - F.col("back"), F.lag("end").over(w))
     edges = with_m.withColumn("ulo", F.greatest(F.lit(1), length - F.col("m"))) \
         .withColumn("uhi", F.least(F.col("back") - 1, F.coalesce(F.col("pos") + length - 1 - reached, F.col("back") - 1)))
+    edges = edges.withColumn("kind", F.xxhash64("h", "c", "b", "back", "ulo", "uhi")).drop("c", "b")
     edges = materialise(edges, "suffix-edges")
     release(longest)
 
-    asked = edges.where("ulo <= uhi").groupBy("h").agg(F.min("ulo").alias("olo"), F.max("uhi").alias("ohi"))
-    mates = edges.join(asked, "h").withColumn("lo", F.greatest("olo", "ulo")) \
+    # anchors of one kind have the same strings and ask for the same: one of them stands for all
+    kinds = edges.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "pos", "back", "ulo", "uhi", "h")).alias("e")) \
+        .select("kind", "n", "e.*")
+    kinds = materialise(kinds, "suffix-kinds")
+    asked = kinds.where("ulo <= uhi").groupBy("h").agg(F.min("ulo").alias("olo"), F.max("uhi").alias("ohi"))
+    mates = kinds.join(asked, "h").withColumn("lo", F.greatest("olo", "ulo")) \
         .withColumn("hi", F.least("ohi", F.col("back") - 1)).where("lo <= hi")
-    mates = materialise(mates.select(*KEY, "pos", "lo", "hi", "ulo", "uhi", "h"), "suffix-mates")
-    lists = mates.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
+    mates = materialise(mates.select(*KEY, "pos", "lo", "hi", "ulo", "uhi", "h", "kind", "n"), "suffix-mates")
+    release(kinds)
+    lists = mates.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "lo", "hi", "ulo", "uhi", "h", "kind", "n")).alias("a"))
     cores = materialise(_edge_cores(_with_lists(texts, lists), length), "suffix-cores")
     # who does not ask is only a partner: one of those that cover the same bytes will do
-    one = cores.where("not own").groupBy("k1", "k2", "whole").agg(F.min(F.struct(*KEY, "pos", "lo", "hi")).alias("p"))
-    told = cores.where("own").select("k1", "k2", *KEY, "pos", "lo", "hi", "own").unionByName(one.select("k1", "k2", "p.*", F.lit(False).alias("own")))
-    alike = told.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).where("n > 1 and own").select("k1", "k2")
-    left = told.join(alike, ["k1", "k2"], "left_semi").select(*KEY, "pos", "lo", "hi").distinct().alias("x")
-    m = mates.drop("lo", "hi").distinct().alias("m")
-    left = m.join(left, _same("m", "x") & (F.col("m.pos") == F.col("x.pos"))).select("m.*", "x.lo", "x.hi")
-    left = materialise(left, "suffix-left")
+    one = cores.where("not own").groupBy("k1", "k2", "whole").agg(F.min(F.struct("kind", "n", "lo", "hi")).alias("p"))
+    told = cores.where("own").select("k1", "k2", "kind", "n", "lo", "hi", "own").unionByName(one.select("k1", "k2", "p.*", F.lit(False).alias("own")))
+    alike = told.groupBy("k1", "k2").agg(F.sum("n").alias("n"), F.max("own").alias("own")).where("n > 1 and own").select("k1", "k2")
+    left = told.join(alike, ["k1", "k2"], "left_semi").select("kind", "lo", "hi").distinct()
+    left = materialise(mates.drop("lo", "hi").join(left, "kind"), "suffix-left")
     release(mates)
     release(cores)
-    lists = left.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "lo", "hi", "ulo", "uhi", "h")).alias("a"))
+    lists = left.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "lo", "hi", "ulo", "uhi", "h", "kind", "n")).alias("a"))
     strings = materialise(_edge_strings(_with_lists(texts, lists), length), "suffix-strings")
-    again = strings.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("start").isNotNull()).alias("own")) \
+    again = strings.groupBy("k").agg(F.sum("n").alias("n"), F.max(F.col("o").isNotNull()).alias("own")) \
         .where("n > 1 and own").select("k")
-    settled = strings.where("start is not null").join(again, "k", "left_semi") \
-        .groupBy(*KEY).agg(F.collect_set("start").alias("edge"))
+    found = strings.where("o is not null").join(again, "k", "left_semi").groupBy("kind").agg(F.collect_set("o").alias("o"))
+    settled = edges.where("ulo <= uhi").join(found, "kind") \
+        .groupBy(*KEY).agg(F.array_distinct(F.flatten(F.collect_list(F.transform("o", lambda o: F.col("pos") - o)))).alias("edge"))
     sure = edges.where(F.col("m") >= length).groupBy(*KEY).agg(F.collect_list(F.struct("pos", "end")).alias("sure"))
     far = edges.groupBy(*KEY).agg(F.max("m").cast("int").alias("longest"))  # every document that loses a byte is here
     cuts = far.alias("f").join(sure.alias("s"), _same("f", "s"), "left").select("f.*", "sure")

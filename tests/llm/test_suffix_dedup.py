@@ -134,3 +134,27 @@ def test_many_equal_rows_and_the_longest_repeat(spark):
     assert got[2] == [(900, 0)] and got[5] == [(0, 0)]
     assert got[3][0][0] == 1520 and got[4][0][0] == 1420          # nothing of 400 bytes is repeated
     assert all(200 <= got[i][0][1] <= 320 for i in (3, 4))        # but this is
+
+
+def test_a_line_of_every_document_is_compared_once(spark, monkeypatch):
+    """Anchors with equal surroundings stand for each other: what is compared grows
+    with the distinct surroundings, not with the documents that hold a line."""
+    r = random.Random(9)
+
+    def prose(n):
+        return " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) for _ in range(n))
+
+    line = prose(60) + "\n"
+    rows = [(i, prose(20) + "\n" + line * 12 + prose(20)) for i in range(40)]
+    sizes, write = {}, S.materialise
+
+    def counted(df, label):
+        out = write(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(S, "materialise", counted)
+    got = S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", "kept").collect()
+    assert {x["doc_id"]: hashlib.sha256(bytes(x["kept"])).hexdigest() for x in got} == {i: x[3] for (i, _), x in zip(rows, brute(rows))}
+    assert sizes["suffix-edges"] > 40 * 12  # every document has its anchors
+    assert sizes["suffix-mates"] < sizes["suffix-edges"] / 4
