@@ -68,6 +68,11 @@ class Vocabulary:
     def __init__(self, own: np.ndarray, own_counts: np.ndarray, tail: np.ndarray, side: int = CLASSES):
         self.order = np.argsort(own)
         self.keys = own[self.order]
+        # where the keys with the same first bits begin: a word is looked for among a key or two
+        bits = max(1, int(len(own)).bit_length() + 2)
+        self.shift = U64(64 - bits)
+        self.begin = np.searchsorted(self.keys >> self.shift, np.arange((1 << bits) + 1, dtype=U64)).astype(np.int32)
+        self.longest = int(np.diff(self.begin).max()) if len(own) else 0
         self.side, self.first_rare = side, side * side - side
         self.count, self.distinct = tail
         self.per = np.zeros(side)
@@ -84,9 +89,14 @@ class Vocabulary:
         ids, share = np.zeros(len(h), np.int32), np.zeros(len(h), np.float32)
         rare = np.arange(len(h))
         if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            ids = np.take(self.order, at).astype(np.int32)
-            rare = np.flatnonzero(self.keys[at] != h)
+            at = np.take(self.begin, (h >> self.shift).astype(np.int64))
+            ids = np.take(self.order, at, mode="clip").astype(np.int32)
+            rare = np.flatnonzero(np.take(self.keys, at, mode="clip") != h)
+            for step in range(1, self.longest):  # those that are not the first key with their bits
+                then = np.minimum(at[rare] + step, len(self.keys) - 1)
+                hit = self.keys[then] == h[rare]
+                ids[rare[hit]] = self.order[then[hit]]
+                rare = rare[~hit]
         bucket = (h[rare] >> U64(64 - TAIL_BITS)).astype(np.int64)
         ids[rare] = self.first_rare + bucket % self.side
         share[rare] = self.share[bucket % len(self.share)]
@@ -134,14 +144,16 @@ class WindowNetwork:
         start = np.flatnonzero(np.diff(key, prepend=-1))
         return (ids // s ** (2 - level)) % s, key[start], np.append(start, len(ids))
 
-    def _softmax(self, h: np.ndarray, level: int, keys: np.ndarray, cut: np.ndarray) -> np.ndarray:
-        w, x = self.p[f"W{level}"], np.repeat(self.p[f"c{level}"][keys], np.diff(cut), axis=0)
+    def _exps(self, h: np.ndarray, level: int, keys: np.ndarray, cut: np.ndarray):
+        """The branches' unnormalised probabilities, and their sums."""
+        w, c, x = self.p[f"W{level}"], self.p[f"c{level}"], np.empty((len(h), self.fan), h.dtype)
         for k, a, z in zip(keys.tolist(), cut[:-1].tolist(), cut[1:].tolist()):
-            x[a:z] += h[a:z].dot(w[k])
+            part = x[a:z]
+            np.dot(h[a:z], w[k], out=part)
+            part += c[k]
         np.minimum(x, 80, out=x)  # below overflow; tanh units keep sums far from it
         np.exp(x, out=x)
-        x /= (x @ np.ones(self.fan, x.dtype))[:, None]
-        return x
+        return x, x @ np.ones(self.fan, x.dtype)
 
     def log_prob(self, ctx: np.ndarray, ids: np.ndarray) -> np.ndarray:
         order = _sorted(ids, self.side ** 2)
@@ -149,7 +161,8 @@ class WindowNetwork:
         lp = np.zeros(len(ids), np.float32)
         for level in range(3):
             take, keys, cut = self._branches(ids, level)
-            lp += np.log(self._softmax(h, level, keys, cut)[row, take])
+            x, total = self._exps(h, level, keys, cut)
+            lp += np.log(x[row, take] / total)
         out = np.empty_like(lp)
         out[order] = lp
         return out
@@ -158,33 +171,43 @@ class WindowNetwork:
         """One AdaGrad step on a chunk of masked words; only rows of the tables that they touch are read or changed."""
         n, p, row = np.float32(len(ids)), self.p, np.arange(len(ids))
 
-        def update(name, rows, grad):
-            a = acc.setdefault(name, np.full_like(p[name], 1e-8))
-            sums = a[rows] + grad * grad
+        def update(name, table, rows, grad):
+            a = acc[name][table]
+            sums = grad * grad
+            sums += a[rows]
             a[rows] = sums
-            p[name][rows] -= rate * grad / np.sqrt(sums)
+            grad *= p[name].dtype.type(rate)
+            grad /= np.sqrt(sums, out=sums)
+            p[name][table][rows] -= grad
 
+        for name in p.keys() - acc.keys():
+            acc[name] = np.full_like(p[name], 1e-8)
         order = _sorted(ids, self.side ** 2)
         ids, ctx = ids[order], ctx[order]
         h = self.hidden(ctx)
-        dh = np.zeros_like(h)
+        dh, ones = np.zeros_like(h), np.ones(len(h), h.dtype)
         for level in range(3):
             take, keys, cut = self._branches(ids, level)
-            d = self._softmax(h, level, keys, cut)
+            d, total = self._exps(h, level, keys, cut)
+            d *= (1 / total)[:, None]
             d[row, take] -= 1
-            w, g = p[f"W{level}"], np.empty((len(keys), DIM, self.fan), h.dtype)
+            w, g, gc = p[f"W{level}"], np.empty((len(keys), DIM, self.fan), h.dtype), np.empty((len(keys), self.fan), h.dtype)
             for i, (k, a, z) in enumerate(zip(keys.tolist(), cut[:-1].tolist(), cut[1:].tolist())):
                 part = d[a:z]
                 np.dot(h[a:z].T, part, out=g[i])
+                np.dot(ones[a:z], part, out=gc[i])
                 dh[a:z] += part.dot(w[k].T)
-            update(f"W{level}", keys, g / n)
-            update(f"c{level}", keys, np.add.reduceat(d, cut[:-1], axis=0) / n)
-        dx = dh * (1 - h * h) / n
-        update("b", slice(None), dx.sum(0))
+            g /= n
+            gc /= n
+            update(f"W{level}", ..., keys, g)
+            update(f"c{level}", ..., keys, gc)
+        dx = dh * (1 - h * h)
+        dx /= n
+        update("b", ..., slice(None), dx.sum(0))
         for j in range(2 * SIDE):
             order = _sorted(ctx[:, j], self.side ** 2 + 1)
             at = np.flatnonzero(np.diff(ctx[order, j], prepend=-1))
-            update("E", (j, ctx[order[at], j]), np.add.reduceat(np.take(dx, order, axis=0, mode="clip"), at, axis=0))
+            update("E", j, ctx[order[at], j], np.add.reduceat(np.take(dx, order, axis=0, mode="clip"), at, axis=0))
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])

@@ -151,3 +151,20 @@ def test_learns_words_at_every_place(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert L.pseudo_likelihood(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_accumulators_are_made_once(monkeypatch):
+    net, acc, made, full = L.WindowNetwork(), {}, [], np.full_like
+    monkeypatch.setattr(np, "full_like", lambda *a, **k: made.append(1) or full(*a, **k))
+    r = np.random.default_rng(2)
+    for _ in range(3):
+        net.step(r.integers(0, L.IDS + 1, (500, 2 * L.SIDE)).astype(np.int32), r.integers(0, L.IDS, 500).astype(np.int32), acc, .1)
+    assert len(made) == len(net.p)
+
+
+def test_ids_of_keys_that_share_their_first_bits():
+    own = np.array([5, 6, 7, 1 << 40, (1 << 63) + 9, (1 << 63) + 8, (1 << 64) - 1], np.uint64)
+    v = L.Vocabulary(own, np.ones(7), np.ones((2, L.CLASSES)))
+    asked = np.concatenate([own, np.array([0, 4, 8, (1 << 40) + 1, (1 << 63) + 7, (1 << 63) + 10, (1 << 64) - 2], np.uint64)])
+    ids, _ = v.ids(asked)
+    assert ids[:7].tolist() == list(range(7)) and (ids[7:] >= v.first_rare).all()
