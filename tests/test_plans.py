@@ -93,6 +93,23 @@ def test_tasks_follow_the_input(spark, monkeypatch, name):
     assert sorted(map(str, many.collect())) == want
 
 
+def test_tasks_are_held_against_cores_too(spark, monkeypatch, scratch):
+    # of 200 shuffle partitions AQE makes as few tasks as there are cores: those grew with the table
+    from rainrisk.operators import joins
+    path = scratch()
+    spark.range(20_000).selectExpr("id % 50 codigo_posto", "id data").write.parquet(path)
+    df = spark.read.parquet(path)
+    spark.conf.set("spark.sql.shuffle.partitions", 200)
+    try:
+        monkeypatch.setattr(joins, "TASK_BYTES", joins.stored_bytes(df) // 30)
+        cores = spark.sparkContext.defaultParallelism
+        assert joins.clustered(df, "codigo_posto").rdd.getNumPartitions() >= 30 > cores
+        monkeypatch.setattr(joins, "TASK_BYTES", joins.stored_bytes(df) // 2)
+        assert joins.clustered(df, "codigo_posto") is df
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
 def test_bucketed_table_is_not_dealt_out_again(spark, monkeypatch, scratch):
     from rainrisk.operators import joins
     from rainrisk.sources import sinks
