@@ -1,8 +1,8 @@
 """Per-station rainfall features.
 
-All three windows partition by station and order by date, so Spark plans a
-single hash exchange on ``codigo_posto`` for them (the island window's
-(station, island) partitioning is satisfied by the station hash). A station
+All windows partition by station and order by date, so Spark plans a single
+hash exchange on ``codigo_posto`` and a single sort for them (numbers within an
+island are positions within the station less the island's first). A station
 holds at most one reading per day (bronze is unique on (code, date)), so a
 window partition is bounded by the number of days on record, however large
 the table grows.
@@ -46,8 +46,19 @@ def with_islands(df: DataFrame) -> DataFrame:
     return df.withColumn("island_id", F.sum(rainy).over(_by_station()).cast("bigint"))
 
 
+def _with_places(df: DataFrame, of_island: F.Column | None = None) -> DataFrame:
+    """``_at``, the reading's place within its station, and ``_start``, that of
+    its island's first reading (NULL before any rain); with ``of_island`` only
+    such readings begin islands. Readings of the first one's date count from it."""
+    rainy = F.coalesce(F.col("precipitacao"), F.lit(0.0)) > 0
+    w = _by_station()
+    df = df.withColumns({"_at": F.row_number().over(w), "_rank": F.rank().over(w)})
+    first = rainy if of_island is None else of_island & rainy
+    return df.withColumn("_start", F.max(F.when(first, F.col("_rank"))).over(w))
+
+
 def with_dry_spell(df: DataFrame, anchor: str = "reference") -> DataFrame:
-    """dias_secos_consecutivos (needs ``island_id``).
+    """dias_secos_consecutivos (``anchor='dry'`` needs ``island_id``).
 
     ``anchor='reference'`` numbers every reading of an island and shows the
     number on dry readings, so the first dry day after rain counts 2 and a
@@ -55,16 +66,17 @@ def with_dry_spell(df: DataFrame, anchor: str = "reference") -> DataFrame:
     ``anchor='dry'`` counts dry readings only.
     """
     p0 = F.coalesce(F.col("precipitacao"), F.lit(0.0))
-    w = Window.partitionBy("codigo_posto", "island_id").orderBy("data")
     if anchor == "reference":
-        n = F.row_number().over(w)
+        df = _with_places(df)
+        n = F.col("_at") - F.coalesce("_start", F.lit(1)) + 1
     elif anchor == "dry":
+        w = Window.partitionBy("codigo_posto", "island_id").orderBy("data")
         n = F.sum(F.when(p0 == 0, 1).otherwise(0)).over(
             w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     else:
         raise ValueError(f"unknown anchor {anchor!r}")
     return df.withColumn("dias_secos_consecutivos",
-                         F.when(p0 == 0, n).otherwise(F.lit(0)).cast("bigint"))
+                         F.when(p0 == 0, n).otherwise(F.lit(0)).cast("bigint")).drop("_at", "_rank", "_start")
 
 
 def with_moving_mean(df: DataFrame, rows: int = MOVING_ROWS) -> DataFrame:
@@ -78,7 +90,8 @@ def with_alert_band(df: DataFrame) -> DataFrame:
 
 
 def rainfall_features(df: DataFrame, anchor: str = "reference") -> DataFrame:
-    return with_moving_mean(with_dry_spell(with_islands(df), anchor))
+    return with_dry_spell(with_moving_mean(with_islands(df)), anchor).select(
+        *df.columns, "island_id", "dias_secos_consecutivos", "mm_7d")
 
 
 # ---- incremental form: one year slice with carried-in station state ----------
@@ -99,14 +112,14 @@ def station_year_summary(history: DataFrame, rows: int = MOVING_ROWS) -> DataFra
                       F.when(F.col("_rain").isNotNull(), after).otherwise(n).alias("after"), last.alias("last"))
 
 
-def carry_state(history: DataFrame, rows: int = MOVING_ROWS) -> tuple[DataFrame, DataFrame]:
+def station_state(history: DataFrame, rows: int = MOVING_ROWS) -> DataFrame:
     """State of each station at the end of ``history`` (all its readings
     before the slice to be computed):
 
     * ``carry_rn`` – the reading's number within its island at the last
       reading (readings since the last rainy one, that one included; all
       readings when it never rained);
-    * the last ``rows - 1`` readings, for the moving mean's first rows.
+    * ``last`` – the last ``rows - 1`` readings, for the moving mean's first rows.
 
     The history is aggregated once per (station, year); a station's years
     (tens of rows) are then folded in order.
@@ -114,12 +127,19 @@ def carry_state(history: DataFrame, rows: int = MOVING_ROWS) -> tuple[DataFrame,
     years = station_year_summary(history, rows).groupBy("codigo_posto").agg(
         F.array_sort(F.collect_list(F.struct("_y", "n", "rained", "after", "last"))).alias("_years"))
     carry = F.aggregate("_years", F.lit(0), lambda acc, x: F.when(x["rained"], x["after"]).otherwise(acc + x["n"]))
-    rn = years.select("codigo_posto", carry.cast("bigint").alias("carry_rn"))
     all_last = F.flatten(F.transform("_years", lambda x: x["last"]))
     size = F.size("_last")
-    tail = years.select("codigo_posto", all_last.alias("_last")).select(
-        "codigo_posto", F.inline(F.slice("_last", F.greatest(size - (rows - 2), F.lit(1)), F.lit(rows - 1))))
-    return rn, tail
+    return years.select("codigo_posto", carry.cast("bigint").alias("carry_rn"), all_last.alias("_last")).select(
+        "codigo_posto", "carry_rn", F.slice("_last", F.greatest(size - (rows - 2), F.lit(1)), F.lit(rows - 1)).alias("last"))
+
+
+def carried(state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``station_state`` as (codigo_posto, carry_rn) and (codigo_posto, data, precipitacao)."""
+    return state.select("codigo_posto", "carry_rn"), state.select("codigo_posto", F.inline("last"))
+
+
+def carry_state(history: DataFrame, rows: int = MOVING_ROWS) -> tuple[DataFrame, DataFrame]:
+    return carried(station_state(history, rows))
 
 
 def rainfall_features_slice(slice_df: DataFrame, history: DataFrame | None = None,
@@ -139,18 +159,15 @@ def rainfall_features_slice(slice_df: DataFrame, history: DataFrame | None = Non
     cols = slice_df.columns
     both = (slice_df.withColumn("_tail", F.lit(False))
             .unionByName(tail_rows, allowMissingColumns=True))
-    w = Window.partitionBy("codigo_posto").orderBy("data")
-    rainy = F.when(~F.col("_tail") & (p0 > 0), 1).otherwise(0)
-    both = both.withColumn("_island", F.sum(rainy).over(w))
-    w_island = Window.partitionBy("codigo_posto", "_island").orderBy("data") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local_rn = F.sum(F.when(~F.col("_tail"), 1).otherwise(0)).over(w_island)
-    both = both.withColumn("mm_7d", F.avg("precipitacao").over(
-        w.rowsBetween(-(rows - 1), Window.currentRow)))
-    both = both.withColumn("_local_rn", local_rn).where(~F.col("_tail"))
+    w = _by_station()
+    both = both.withColumns({
+        "_seen": F.sum(F.when(F.col("_tail"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "mm_7d": F.avg("precipitacao").over(w.rowsBetween(-(rows - 1), Window.currentRow))})
+    # the carried readings come before all others: they cancel out in the place within an island
+    both = _with_places(both, of_island=~F.col("_tail")).where(~F.col("_tail"))
     out = both.join(rn, "codigo_posto", "left")
-    n = F.col("_local_rn") + F.when(F.col("_island") == 0,
-                                    F.coalesce(F.col("carry_rn"), F.lit(0))).otherwise(0)
+    n = F.when(F.col("_start").isNull(), F.col("_seen") + F.coalesce(F.col("carry_rn"), F.lit(0))) \
+        .otherwise(F.col("_at") - F.col("_start") + 1)
     return out.select(*cols, F.when(p0 == 0, n).otherwise(F.lit(0)).cast("bigint")
                       .alias("dias_secos_consecutivos"), "mm_7d")
 

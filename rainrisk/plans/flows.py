@@ -128,15 +128,13 @@ def year_start_state(spark: SparkSession, bronze_path: str, state_path: str,
 
     base = f"{state_path.rstrip('/')}/ano={year}"
     version = _version(spark, bronze_path, year)
-    known = sinks.path_exists(spark, f"{base}/_READY") and \
+    known = sinks.path_exists(spark, f"{base}/_READY") and sinks.path_exists(spark, f"{base}/stations") and \
         spark.read.schema("version string").parquet(f"{base}/_READY").where(F.col("version") == version).count() > 0
     if not known:
         history = daily.read_bronze(spark, bronze_path, before_year=year)
-        rn, tail = features.carry_state(history)
-        rn.write.mode("overwrite").parquet(f"{base}/carry")
-        tail.write.mode("overwrite").parquet(f"{base}/tail")
+        features.station_state(history).write.mode("overwrite").parquet(f"{base}/stations")
         spark.createDataFrame([(version,)], "version string").write.mode("overwrite").parquet(f"{base}/_READY")
-    return spark.read.parquet(f"{base}/carry"), spark.read.parquet(f"{base}/tail")
+    return features.carried(spark.read.parquet(f"{base}/stations"))
 
 
 def first_stale_year(spark: SparkSession, bronze_path: str, silver_path: str, year: int) -> int:

@@ -23,7 +23,8 @@ def silver_rainfall(bronze: DataFrame, municipalities: DataFrame,
     The mapping has one row per code, so the left join cannot fan out
     (silver rows = bronze rows). The join and the three windows share the
     key ``codigo_posto``: the fact is shuffled once, into as many tasks as its
-    size needs (``joins.clustered_alike``). With ``split_by_year``
+    size needs (``joins.clustered_alike``), and sorted by date once; the
+    calendar is added after that. With ``split_by_year``
     the windows run per (station, year) with carried-in state instead
     (``features.rainfall_features_split``), so no task holds more than one
     station-year of readings.
@@ -38,8 +39,7 @@ def silver_rainfall(bronze: DataFrame, municipalities: DataFrame,
         feats = features.with_calendar(feats.join(mapping, "codigo_posto", "left"))
     else:
         fact, mapping = clustered_alike(bronze, mapping, "codigo_posto")
-        base = features.with_calendar(fact.join(mapping, "codigo_posto", "left"))
-        feats = features.rainfall_features(base, anchor)
+        feats = features.with_calendar(features.rainfall_features(fact.join(mapping, "codigo_posto", "left"), anchor))
     return features.with_alert_band(feats).select(*SILVER_COLUMNS)
 
 
@@ -71,9 +71,8 @@ def silver_rainfall_year(bronze: DataFrame, municipalities: DataFrame,
         year_rows = bronze.where(F.year("data") == year)
     history = None if state is not None else bronze.where(F.year("data") < year)
     year_rows, mapping = clustered_alike(year_rows, mapping, "codigo_posto")
-    base = features.with_calendar(year_rows.join(mapping, "codigo_posto", "left"))
-    out = features.with_alert_band(
-        features.rainfall_features_slice(base, history, state=state))
+    feats = features.rainfall_features_slice(year_rows, history, state=state)
+    out = features.with_alert_band(features.with_calendar(feats.join(mapping, "codigo_posto", "left")))
     return out.select(*SILVER_COLUMNS)
 
 

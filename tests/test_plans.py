@@ -93,6 +93,23 @@ def test_tasks_follow_the_input(spark, monkeypatch, name):
     assert sorted(map(str, many.collect())) == want
 
 
+@pytest.mark.parametrize("name", ["silver_rainfall", "silver_rainfall_latest_year"])
+def test_silver_windows_sort_the_readings_once(spark, name):
+    """No window asks for an order of its own (each one sorted the fact again);
+    the calendar, derived per row, comes after them."""
+    p = plan_of(E.queries()[name](spark, SF_SMALL))
+    nodes = [x.strip(" +-:*()0123456789") for x in p.split("\n\n")[0].split("\n")]
+    at = [i for i, x in enumerate(nodes) if x == "Window"]
+    assert len(at) == 2 and not {"Sort", "Exchange"} & set(nodes[at[0]:at[-1]])
+    assert not [x for x in p.split("\n\n") if ") Window" in x and "dia_semana" in x]
+
+
+def test_reading_dates_are_those_of_the_readings(spark):
+    from rainrisk.sources import bindings as B
+    got = B.reading_dates(spark, SF_SMALL).distinct().collect()
+    assert sorted(got) == sorted(B.daily_readings(spark, SF_SMALL).select("data").distinct().collect())
+
+
 def test_tasks_are_held_against_cores_too(spark, monkeypatch, scratch):
     # of 200 shuffle partitions AQE makes as few tasks as there are cores: those grew with the table
     from rainrisk.operators import joins
