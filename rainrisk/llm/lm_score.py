@@ -11,6 +11,8 @@ conditional log-probabilities of all its words, each masked in turn.
   word's probability is its id's times its exact share of the id's corpus
   count: rare words are counted per document, joined with the counts of all
   words by hash, and summed per row (frequent words are never sent).
+* Encoding: each text is cut into words and looked up once and kept as ids,
+  beside its phase and its rare words; training and scoring read those.
 * Network: a table of vectors per window position, summed, tanh, then a
   three-level softmax over a tree of the ids with side ** (2/3) branches a
   level, so one prediction costs three small products instead of one over the
@@ -52,6 +54,7 @@ TAIL_BITS = 20
 MASK = 8
 ROUNDS = 2
 CHUNK, STEP = 1 << 16, 1 << 15  # words scored, and learned, at once
+BLOCK_WORDS = 1 << 17           # of encoded documents held at once
 SLICES, MOST_SLICES = 16, 4096
 PAD = IDS
 
@@ -277,8 +280,67 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(np.ascontiguousarray(own).view(U64), n.astype(np.float64), both, side)
 
 
-def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> WindowNetwork:
-    """Rounds of local AdaGrad over all partitions, averaged."""
+ENCODED = "row long, doc_id long, n_words long, phase byte, ids binary, rare array<struct<h:long,times:int>>"
+
+
+def id_type(vocab: Vocabulary) -> np.dtype:
+    return np.dtype("<u2" if len(vocab.freq) <= 1 << 16 else "<i4")
+
+
+def encode(docs: DataFrame, vocab) -> DataFrame:
+    """Every row of ``docs (doc_id, text)`` with the ids of all its words in
+    order, its phase, and (hash, times) of its rare words."""
+
+    def run(batches):
+        v = vocab.value
+        kind = id_type(v)
+        row = TaskContext.get().partitionId() << 33  # of rows: a number of their own
+        for rows, data, off in text_blocks(batches):
+            h, doc, _, _ = words(data, off)
+            ids, _ = v.ids(h)
+            n = rows.num_rows
+            held = np.bincount(doc, minlength=n)
+            begin = np.concatenate([[0], np.cumsum(held)])
+            phase = np.zeros(n, np.int8)
+            phase[held > 0] = h[begin[:-1][held > 0]] % U64(MASK)
+            at = np.flatnonzero(ids >= v.first_rare)
+            order = at[np.lexsort((h[at], doc[at]))]
+            first = np.ones(len(order), bool)
+            first[1:] = (h[order][1:] != h[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+            start = np.flatnonzero(first)
+            times = np.diff(np.append(start, len(order)))
+            cut = np.searchsorted(doc[order][start], np.arange(n + 1))
+            rare = pa.StructArray.from_arrays([pa.array(signed(h[order][start])), pa.array(times.astype(np.int32))], names=["h", "times"])
+            flat = pa.py_buffer(ids.astype(kind).tobytes())
+            ends = pa.py_buffer((begin * kind.itemsize).astype(np.int64).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row + np.arange(n)), rows.column(0), pa.array(held), pa.array(phase),
+                 pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, ends, flat]).cast(pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), rare)], names=["row", "doc_id", "n_words", "phase", "ids", "rare"])
+            row += n
+
+    return docs.mapInArrow(run, ENCODED)
+
+
+def text_ids(batches, vocab: Vocabulary):
+    """Blocks of whole texts as (rows, ids, document index, a number that gives its phase) of every word."""
+    for rows, data, off in text_blocks(batches):
+        h, doc, _, _ = words(data, off)
+        yield rows, vocab.ids(h)[0], doc, h
+
+
+def kept_ids(batches, vocab: Vocabulary):
+    """``text_ids`` of encoded rows."""
+    kind = id_type(vocab)
+    for rows, data, off in text_blocks(batches, "ids", BLOCK_WORDS * kind.itemsize):
+        doc = np.repeat(np.arange(rows.num_rows), np.diff(off) // kind.itemsize)
+        phase = rows.column(rows.schema.get_field_index("phase")).to_numpy().astype(U64)
+        yield rows, np.frombuffer(data.tobytes(), kind).astype(np.int32), doc, phase[doc]
+
+
+def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1, blocks=text_ids, columns=("text",)) -> WindowNetwork:
+    """Rounds of local AdaGrad over all partitions, averaged; ``blocks`` gives
+    the words of ``columns``."""
     sc = docs.sparkSession.sparkContext
     # every task sends a model: no more tasks than twice the words' number of model bytes pays for
     tasks = max(sc.defaultParallelism, int(2 * vocab.value.freq.sum() // (4 * (2 * SIDE + 1) * DIM * len(vocab.value.freq))))
@@ -290,9 +352,7 @@ def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> Wi
 
         def local(batches):
             net, acc, seen = WindowNetwork(vocab.value.side).load(start.value), {}, 0
-            for _, data, off in text_blocks(batches):
-                h, doc, _, _ = words(data, off)
-                ids, _ = vocab.value.ids(h)
+            for _, ids, doc, h in blocks(batches, vocab.value):
                 pick = targets(h, doc, turn, rounds)
                 pick = np.random.default_rng(len(ids) + turn).permutation(pick)
                 for i in range(0, len(pick), STEP):
@@ -311,47 +371,35 @@ def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = 0.1) -> Wi
                     total, n, key = total + k * np.frombuffer(v, np.float32).astype(np.float64), n + k, s
             yield pa.RecordBatch.from_pydict({"slice": pa.array([key], pa.int32()), "v": [(total / n).astype(np.float32).tobytes()]})
 
-        got = docs.select("text").mapInArrow(local, "slice int, n long, v binary").groupBy("slice") \
+        got = docs.select(*columns).mapInArrow(local, "slice int, n long, v binary").groupBy("slice") \
             .applyInArrow(average, "slice int, v binary").collect()  # the model, whatever the input
         if got:
             net.load(np.concatenate([np.frombuffer(r["v"], np.float32) for r in sorted(got, key=lambda r: r["slice"])]))
     return net
 
 
-def score(docs: DataFrame, vocab, net: WindowNetwork, counts: DataFrame) -> DataFrame:
+def score(encoded: DataFrame, vocab, net: WindowNetwork, counts: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_prob): summed conditional log-probabilities."""
-    model = docs.sparkSession.sparkContext.broadcast(net)
+    model = encoded.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
         v = vocab.value
         per = np.log(np.maximum(v.per, 1.0))
-        row = TaskContext.get().partitionId() << 33  # of rows: a number of their own
-        for rows, data, off in text_blocks(batches):
-            h, doc, _, _ = words(data, off)
-            ids, _ = v.ids(h)
+        for rows, ids, doc, _ in kept_ids(batches, v):
             lp = np.empty(len(ids))
             for i in range(0, len(ids), CHUNK):
                 pick = np.arange(i, min(i + CHUNK, len(ids)))
                 lp[pick] = model.value.log_prob(windows(ids, doc, pick, len(v.freq)), ids[pick])
-            n = rows.num_rows
             # rare words: of their id's probability the part of the exact count, which is joined
             at = np.flatnonzero(ids >= v.first_rare)
             lp[at] -= per[ids[at] - v.first_rare]
-            order = at[np.lexsort((h[at], doc[at]))]
-            first = np.ones(len(order), bool)
-            first[1:] = (h[order][1:] != h[order][:-1]) | (doc[order][1:] != doc[order][:-1])
-            start = np.flatnonzero(first)
-            times = np.diff(np.append(start, len(order)))
-            cut = np.searchsorted(doc[order][start], np.arange(n + 1))
-            rare = pa.StructArray.from_arrays([pa.array(signed(h[order][start])), pa.array(times.astype(np.int32))], names=["h", "times"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row + np.arange(n)), rows.column(0), pa.array(np.bincount(doc, minlength=n)),
-                 pa.array(np.bincount(doc, weights=lp, minlength=n).astype(np.float64)),
-                 pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), rare)], names=["row", "doc_id", "n_words", "log_prob", "rare"])
-            row += n
+            sums = np.bincount(doc, weights=lp, minlength=rows.num_rows).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(2), pa.array(sums)],
+                                             names=["row", "doc_id", "n_words", "log_prob"])
 
-    part = materialise(docs.mapInArrow(run, "row long, doc_id long, n_words long, log_prob double, rare array<struct<h:long,times:int>>"), "lm-part")
-    rare = part.select("row", F.explode("rare").alias("r")).select("row", F.col("r.h").alias("w"), "r.times")
+    part = materialise(encoded.select("row", "doc_id", "n_words", "phase", "ids")
+                       .mapInArrow(run, "row long, doc_id long, n_words long, log_prob double"), "lm-part")
+    rare = encoded.select("row", F.explode("rare").alias("r")).select("row", F.col("r.h").alias("w"), "r.times")
     exact = rare.join(counts, F.col("w") == F.col("h")).groupBy("row").agg(F.sum(F.col("times") * F.ln("n")).alias("exact"))
     return part.join(exact.withColumnRenamed("row", "of"), F.col("row") == F.col("of"), "left") \
         .select("doc_id", "n_words", (F.col("log_prob") + F.coalesce("exact", F.lit(0.0))).alias("log_prob"))
@@ -363,7 +411,9 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = materialise(word_counts(docs), "lm-counts")
     vocab = docs.sparkSession.sparkContext.broadcast(vocabulary(counts))
-    out = score(docs, vocab, train(docs, vocab), counts)
+    encoded = materialise(encode(docs, vocab), "lm-words")
+    net = train(encoded, vocab, blocks=kept_ids, columns=("phase", "ids"))
+    out = score(encoded, vocab, net, counts)
     return out.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
 
 

@@ -168,3 +168,20 @@ def test_ids_of_keys_that_share_their_first_bits():
     asked = np.concatenate([own, np.array([0, 4, 8, (1 << 40) + 1, (1 << 63) + 7, (1 << 63) + 10, (1 << 64) - 2], np.uint64)])
     ids, _ = v.ids(asked)
     assert ids[:7].tolist() == list(range(7)) and (ids[7:] >= v.first_rare).all()
+
+
+def test_texts_are_cut_into_words_once(spark, monkeypatch):
+    """Training and scoring read kept ids: the same words, documents and targets as from the texts."""
+    import pyarrow as pa
+    texts = ["a b c a b", None, "", " d  e a", "c" * 40 + " b"] * 3
+    vocab, _, _ = _vocab([t or "" for t in texts])
+    held = spark.sparkContext.broadcast(vocab)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    kept = L.encode(df, held).toArrow().combine_chunks().to_batches()
+    plain = [pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts, pa.string())})]
+    (_, ids, doc, h), = L.text_ids(plain, vocab)
+    (rows, ids2, doc2, h2), = L.kept_ids(kept, vocab)
+    assert ids.tolist() == ids2.tolist() and doc.tolist() == doc2.tolist()
+    assert rows.column(2).to_pylist() == np.bincount(doc, minlength=len(texts)).tolist()
+    for turn in range(2):
+        assert L.targets(h, doc, turn, 2).tolist() == L.targets(h2, doc2, turn, 2).tolist()
