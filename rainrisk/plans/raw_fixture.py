@@ -78,9 +78,8 @@ def write_raw_files(spark: SparkSession, readings: DataFrame, folder: str) -> No
     region, year = F.col(daily.REGION), F.col(daily.YEAR_TAG)
     kind = (region + year) % KINDS
     name = F.concat(region.cast("string"), F.when(kind == 5, "-").otherwise("_"), year.cast("string"))
-    staged = f"{folder}/staged"
-    (wide.withColumns({"kind": kind, "name": name}).repartition("name")
-     .write.partitionBy("kind", "name").parquet(staged))
+    staged = f"{folder}/staged"  # as the rows come: each kind deals them out by file, once
+    wide.withColumns({"kind": kind, "name": name}).write.partitionBy("kind").parquet(staged)
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(lambda k: _write_kind(spark, staged, folder, k), [*range(KINDS), COPY]))
     jvm, fs = _file_system(spark, folder)

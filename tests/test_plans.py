@@ -146,3 +146,16 @@ def test_reload_builds_only_its_year(spark, monkeypatch):
     E.queries()["bronze_replace_year"](spark, SF_SMALL)
     pivot = seen[1][seen[1].index("bit_or"):]
     assert "Filter" in pivot and "year(" in pivot.lower()
+
+
+def test_raw_files_are_dealt_out_once(spark, scratch):
+    """The rows are staged by as many tasks as they come in, not by those of (region, year) names; each name is one file."""
+    import glob
+    import re
+    from rainrisk.plans.raw_fixture import write_raw_files
+    from rainrisk.sources import bindings as B
+    folder = scratch("raw-files")
+    write_raw_files(spark, B.daily_readings(spark, SF_SMALL), folder)
+    plain = re.sub(r"^file:/+", "/", folder)
+    assert glob.glob(f"{plain}/staged/kind=0/*.parquet") and not glob.glob(f"{plain}/staged/kind=*/name=*")
+    assert all(len(glob.glob(f"{x}/*.parquet")) <= 1 for x in glob.glob(f"{plain}/laid/kind=*/name=*"))
